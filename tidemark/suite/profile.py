@@ -40,8 +40,8 @@ def relative_frequency(spark, sf):
     return profile.shares(inputs.catalog(spark, sf), "season").withColumn("share", F.round("share", 12))
 
 
-@query("profile_crosstab", """SELECT l_shipmonth, count_if(l_returnflag = 'A') AS A, count_if(l_returnflag = 'N') AS N,
-  count_if(l_returnflag = 'R') AS R
+@query("profile_crosstab", """SELECT l_shipmonth, CAST(count_if(l_returnflag = 'A') AS BIGINT) AS A, CAST(count_if(l_returnflag = 'N') AS BIGINT) AS N,
+  CAST(count_if(l_returnflag = 'R') AS BIGINT) AS R
 FROM (SELECT CAST(month(l_shipdate) AS INTEGER) AS l_shipmonth, l_returnflag FROM lineitem) GROUP BY 1""")
 def crosstab(spark, sf):
     lines = inputs.table(spark, sf, "lineitem").select(F.month("l_shipdate").alias("l_shipmonth"), "l_returnflag")
@@ -64,7 +64,7 @@ def summary(spark, sf):
 
 @query("profile_summary_maps", """SELECT count(*) AS total, count(DISTINCT user_id) AS unique_user_id,
   min(value) AS min_value, max(value) AS max_value,
-  count_if(event_type = 'click') AS clicks, count_if(event_type = 'view') AS views FROM events""")
+  CAST(count_if(event_type = 'click') AS BIGINT) AS clicks, CAST(count_if(event_type = 'view') AS BIGINT) AS views FROM events""")
 def summary_maps(spark, sf):
     row = profile.summary(inputs.table(spark, sf, "events"), ["user_id"], ["event_type"], "value")
     return row.select("total", "unique_user_id", "min_value", "max_value",
@@ -102,8 +102,8 @@ def median(spark, sf):
     return profile.exact_median(inputs.table(spark, sf, "lineitem"), "l_extendedprice")
 
 
-@query("profile_conditional_counts", """SELECT count_if(event_type = 'purchase') AS purchases,
-  count_if(value > 50) AS high_values FROM events""")
+@query("profile_conditional_counts", """SELECT CAST(count_if(event_type = 'purchase') AS BIGINT) AS purchases,
+  CAST(count_if(value > 50) AS BIGINT) AS high_values FROM events""")
 def conditional_counts(spark, sf):
     return profile.conditional_counts(inputs.table(spark, sf, "events"), {
         "purchases": F.col("event_type") == "purchase", "high_values": F.col("value") > 50})

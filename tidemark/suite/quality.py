@@ -14,7 +14,7 @@ from tidemark.suite.registry import query
 @query("validate_batch", f"""WITH {RAW_SQL}, c AS (SELECT count(*) AS row_count,
   count(*) - count(id) AS null_id, count(*) - count(productDisplayName) AS null_productDisplayName,
   count(*) - count(masterCategory) AS null_masterCategory, CAST(0 AS BIGINT) AS not_numeric,
-  count_if(NOT coalesce(year BETWEEN 1990 AND 2026, false)) AS outliers,
+  CAST(count_if(NOT coalesce(year BETWEEN 1990 AND 2026, false)) AS BIGINT) AS outliers,
   count(*) - count(DISTINCT id) AS duplicate_count FROM raw_catalog)
 SELECT *, true AS schema_valid, row_count > 0 AS not_empty,
   null_id + null_productDisplayName + null_masterCategory = 0 AS null_check_passed, true AS numeric_check_passed,

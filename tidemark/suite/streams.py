@@ -89,7 +89,7 @@ def event_encode_decode(spark, sf):
     return events.select("key", "event_type", "product_id", "payload.*", _micros("event_ts").alias("event_ts"))
 
 
-@query("event_dead_letters", """SELECT count_if(event_type = 'view') AS undecodable, count_if(event_type <> 'view') AS decoded FROM events""")
+@query("event_dead_letters", """SELECT CAST(count_if(event_type = 'view') AS BIGINT) AS undecodable, CAST(count_if(event_type <> 'view') AS BIGINT) AS decoded FROM events""")
 def event_dead_letters(spark, sf):
     """Records of one type arrive cut short."""
     cut = _records(spark, sf).withColumn("value", F.when(

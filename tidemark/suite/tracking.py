@@ -62,8 +62,8 @@ def cdc_changes(spark, sf):
 
 
 @query("cdc_counts", f"""WITH {_CHANGES_SQL}
-SELECT count_if(op = 'INSERT') AS inserted_count, count_if(op = 'UPDATE') AS updated_count,
-  count_if(op = 'DELETE') AS deleted_count, (SELECT count(*) FROM after) AS total_tracked FROM changes""")
+SELECT CAST(count_if(op = 'INSERT') AS BIGINT) AS inserted_count, CAST(count_if(op = 'UPDATE') AS BIGINT) AS updated_count,
+  CAST(count_if(op = 'DELETE') AS BIGINT) AS deleted_count, (SELECT count(*) FROM after) AS total_tracked FROM changes""")
 def cdc_counts(spark, sf):
     before, after = _snapshots(spark, sf)
     return cdc.change_counts(cdc.diff_snapshots(before, after, "o_orderkey"), after)
