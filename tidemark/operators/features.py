@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import word_count
 from tidemark.operators.profile import levels_of
+from tidemark.session import materialise
 
 # Season codes; any other text counts as unknown.
 SEASON_CODES = {"Spring": 0, "Summer": 1, "Fall": 2, "Winter": 3, "Unknown": -1}
@@ -26,12 +27,16 @@ def one_hot(df: DataFrame, column: str, levels: list | None = None) -> DataFrame
 
 
 def frequency_encode(df: DataFrame, column: str, output: str) -> DataFrame:
-    """Each row gets its value's share of all non-NULL rows."""
+    """Each row gets its value's share of all non-NULL rows.
+
+    The shares are written before the join, so a value that fills much of the
+    table can be split over tasks.
+    """
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
     total = counts.agg(F.sum("__n"))
-    encoded = counts.select(
+    encoded = materialise(counts.select(
         F.col(column).alias("__value"), (F.col("__n") / total.scalar()).alias(output)
-    )
+    ), "shares")
     return df.join(encoded, F.col(column) == F.col("__value"), "left").drop("__value")
 
 

@@ -1,4 +1,10 @@
-"""Key look-ups, membership and reference checks, all as joins."""
+"""Key look-ups, membership and reference checks, all as joins.
+
+Adaptive execution splits a hot key on the probing side of a join, but only
+when the other side enters the join straight from its shuffle. A side that has
+to be grouped first is therefore written before it is joined, which also gives
+Spark its real size for the choice between broadcast and sort-merge.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedupe import latest_per_key
+from tidemark.session import materialise
 
 
 def map_values(df: DataFrame, column: str, lookup: DataFrame, key: str, value: str, output: str,
@@ -18,21 +25,26 @@ def map_values(df: DataFrame, column: str, lookup: DataFrame, key: str, value: s
     key; without it the keys must be unique already.
     """
     if last_by is not None:
-        lookup = latest_per_key(lookup, [key], last_by)
+        lookup = materialise(latest_per_key(lookup, [key], last_by), "lookup")
     entries = lookup.select(F.col(key).alias("__key"), F.col(value).alias("__value"))
     joined = df.join(entries, F.col(column) == F.col("__key"), "left")
     result = F.col("__value") if default is None else F.coalesce(F.col("__value"), default)
     return joined.withColumn(output, result).drop("__key", "__value")
 
 
-def keep_keys(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows whose key is in `keys`."""
-    return df.join(keys, on, "left_semi")
+def _one_per_key(keys: DataFrame, on: str | list[str], unique: bool) -> DataFrame:
+    columns = [on] if isinstance(on, str) else on
+    return keys.select(*columns) if unique else materialise(keys.select(*columns).distinct(), "keys")
+
+
+def keep_keys(df: DataFrame, keys: DataFrame, on: str | list[str], unique: bool = False) -> DataFrame:
+    """Rows whose key is in `keys`; pass `unique=True` when no key repeats there."""
+    return df.join(_one_per_key(keys, on, unique), on, "left_semi")
 
 
-def drop_keys(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
+def drop_keys(df: DataFrame, keys: DataFrame, on: str | list[str], unique: bool = False) -> DataFrame:
     """Rows whose key is not in `keys`; also deletion by key."""
-    return df.join(keys, on, "left_anti")
+    return df.join(_one_per_key(keys, on, unique), on, "left_anti")
 
 
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.clean import outside
 from tidemark.operators.combine import missing_columns
-from tidemark.session import scratch_path
+from tidemark.session import materialise, scratch_path
 
 # The columns a catalogue batch must have.
 CATALOG_COLUMNS = [
@@ -36,12 +36,6 @@ class BatchRules:
     valid_range: tuple[int, int] = (1990, 2026)
 
 
-def _numeric_view(df: DataFrame, rules: BatchRules) -> DataFrame:
-    if rules.numeric in df.columns and not isinstance(df.schema[rules.numeric].dataType, T.NumericType):
-        return df.withColumn(f"__{rules.numeric}", F.col(rules.numeric).try_cast("double"))
-    return df
-
-
 def validate(df: DataFrame, rules: BatchRules | None = None) -> DataFrame:
     """One report row. A check whose column is absent fails instead of raising.
 
@@ -50,7 +44,6 @@ def validate(df: DataFrame, rules: BatchRules | None = None) -> DataFrame:
     """
     rules = rules or BatchRules()
     missing = missing_columns(df, rules.required)
-    spark = df.sparkSession
     per_row = {"n": F.lit(1)}
     for c in rules.mandatory:
         if c in df.columns:
@@ -110,11 +103,12 @@ def with_reject_reasons(df: DataFrame, order_by: list[str], rules: BatchRules |
     rules = rules or BatchRules()
     number = F.col(rules.numeric).try_cast("double")
     rank = F.struct(*order_by)
-    repeated = (
+    repeated = materialise(
         df.groupBy(F.col(rules.key).alias("__key"))
         .agg(F.count(F.lit(1)).alias("__n"), F.min(rank).alias("__first"))
         .filter(F.col("__n") > 1)
-        .drop("__n")
+        .drop("__n"),
+        "repeated-keys",
     )
     reasons = [
         *[F.when(F.col(c).isNull(), F.lit(f"null:{c}")) for c in rules.mandatory],

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 
 def sample_rows(df: DataFrame, keys: list[str], n: int, seed: int = 42) -> DataFrame:
-    """Exactly min(n, rows) rows, chosen by a seeded hash of the key.
+    """Exactly min(n, rows) rows, chosen by a seeded digest of the key.
 
     The choice depends on keys and seed only, not on partitioning, so a lost
     task recomputes the same rows.
     """
-    return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(seed), *keys)), *keys).limit(n)
 
 
 def sample_fraction(df: DataFrame, fraction: float, seed: int = 42, replacement: bool = False) -> DataFrame:

@@ -1,7 +1,8 @@
 """Cube queries over the star schema.
 
-Every function takes only the tables its result depends on, so no other join
-is planned. Sums are exact decimals, shown as doubles with two places.
+`star_join` attaches only the dimensions a result depends on; the queries work
+on its rows or on their `grain`. Sums are exact decimals, shown as doubles with
+two places.
 """
 
 from __future__ import annotations
@@ -9,6 +10,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialise
+
+CALENDAR = ["year", "quarter", "month"]
+
+
+def star_join(fact: DataFrame, product: DataFrame | None = None, store: DataFrame | None = None,
+              time: DataFrame | None = None) -> DataFrame:
+    """Sales with the attributes of the given dimensions.
+
+    Year, quarter and month follow from a yyyymmdd `time_id` without a join;
+    `time` is for keys that do not.
+    """
+    if product is not None:
+        fact = fact.join(product, "product_id")
+    if store is not None:
+        fact = fact.join(store, "store_id")
+    if time is not None:
+        fact = fact.join(time.select("time_id", *CALENDAR), "time_id")
+    elif "time_id" in fact.columns:
+        month = F.floor(F.col("time_id") / 100) % 100
+        fact = fact.withColumns({
+            "year": F.floor(F.col("time_id") / 10000).cast("int"),
+            "quarter": F.ceil(month / 3).cast("int"),
+            "month": month.cast("int"),
+        })
+    return fact
+
 
 def _revenue() -> Column:
     return F.sum("revenue")
@@ -18,46 +46,53 @@ def _shown(total: Column) -> Column:
     return F.round(total, 2).cast("double")
 
 
-def revenue_by_category_month(fact: DataFrame, product: DataFrame, time: DataFrame) -> DataFrame:
-    joined = fact.join(product, "product_id").join(time, "time_id")
+def _sales_count(df: DataFrame) -> Column:
+    return F.sum("txns") if "txns" in df.columns else F.count(F.lit(1))
+
+
+def grain(sales: DataFrame, attributes: list[str]) -> DataFrame:
+    """Sales summed per combination of attributes; every cube query gives the same result on it."""
+    return sales.groupBy(*attributes).agg(
+        _revenue().alias("revenue"), F.sum("quantity").alias("quantity"), _sales_count(sales).alias("txns")
+    )
+
+
+def revenue_by_category_month(sales: DataFrame) -> DataFrame:
     return (
-        joined.groupBy("category_name", "month").agg(_shown(_revenue()).alias("revenue"))
+        sales.groupBy("category_name", "month").agg(_shown(_revenue()).alias("revenue"))
         .orderBy(F.desc("revenue"), "category_name", "month")
     )
 
 
-def top_article_types(fact: DataFrame, product: DataFrame, n: int = 10) -> DataFrame:
+def top_article_types(sales: DataFrame, n: int = 10) -> DataFrame:
     return (
-        fact.join(product, "product_id").groupBy("article_type_name")
+        sales.groupBy("article_type_name")
         .agg(F.sum("quantity").cast("long").alias("units_sold"), _shown(_revenue()).alias("revenue"))
         .orderBy(F.desc("revenue"), "article_type_name").limit(n)
     )
 
 
-def revenue_by_region(fact: DataFrame, store: DataFrame) -> DataFrame:
+def revenue_by_region(sales: DataFrame) -> DataFrame:
     return (
-        fact.join(store, "store_id").groupBy("region")
-        .agg(_shown(_revenue()).alias("revenue"), F.count(F.lit(1)).alias("transactions"))
+        sales.groupBy("region")
+        .agg(_shown(_revenue()).alias("revenue"), _sales_count(sales).alias("transactions"))
         .orderBy(F.desc("revenue"), "region")
     )
 
 
-def quarterly_trend(fact: DataFrame, time: DataFrame) -> DataFrame:
-    return (
-        fact.join(time, "time_id").groupBy("year", "quarter").agg(_shown(_revenue()).alias("revenue"))
-        .orderBy("year", "quarter")
-    )
+def quarterly_trend(sales: DataFrame) -> DataFrame:
+    return sales.groupBy("year", "quarter").agg(_shown(_revenue()).alias("revenue")).orderBy("year", "quarter")
 
 
-def gender_by_category(fact: DataFrame, product: DataFrame) -> DataFrame:
+def gender_by_category(sales: DataFrame) -> DataFrame:
     return (
-        fact.join(product, "product_id").groupBy("gender", "category_name")
-        .agg(F.count(F.lit(1)).alias("txns"), _shown(_revenue()).alias("revenue"))
+        sales.groupBy("gender", "category_name")
+        .agg(_sales_count(sales).alias("txns"), _shown(_revenue()).alias("revenue"))
         .orderBy("gender", F.desc("revenue"), "category_name")
     )
 
 
-def revenue_cube(fact: DataFrame, product: DataFrame, store: DataFrame, time: DataFrame) -> DataFrame:
+def revenue_cube(sales: DataFrame) -> DataFrame:
     """All subtotals of category, region and quarter.
 
     The finest grain is aggregated first: the eightfold row expansion of the
@@ -65,10 +100,7 @@ def revenue_cube(fact: DataFrame, product: DataFrame, store: DataFrame, time: Da
     NULL in the data.
     """
     axes = ["category_name", "region", "quarter"]
-    groups = (
-        fact.join(product, "product_id").join(store, "store_id").join(time, "time_id")
-        .groupBy(*axes).agg(_revenue().alias("revenue"), F.count(F.lit(1)).alias("txns"))
-    )
+    groups = sales.groupBy(*axes).agg(_revenue().alias("revenue"), _sales_count(sales).alias("txns"))
     return (
         groups.cube(*axes)
         .agg(_shown(_revenue()).alias("revenue"), F.sum("txns").alias("txns"),
@@ -77,15 +109,20 @@ def revenue_cube(fact: DataFrame, product: DataFrame, store: DataFrame, time: Da
     )
 
 
-def run_all(fact: DataFrame, product: DataFrame, store: DataFrame, time: DataFrame) -> dict[str, DataFrame]:
-    """Every cube query by name, still lazy."""
+def run_all(sales: DataFrame) -> dict[str, DataFrame]:
+    """Every cube query by name.
+
+    Sales are read once: their common grain is written and all queries work on it.
+    """
+    attributes = ["category_name", "article_type_name", "gender", "region", *CALENDAR]
+    common = materialise(grain(sales, attributes), "grain")
     return {
-        "revenue_by_category_month": revenue_by_category_month(fact, product, time),
-        "top_article_types": top_article_types(fact, product),
-        "revenue_by_region": revenue_by_region(fact, store),
-        "quarterly_trend": quarterly_trend(fact, time),
-        "gender_by_category": gender_by_category(fact, product),
-        "revenue_cube": revenue_cube(fact, product, store, time),
+        "revenue_by_category_month": revenue_by_category_month(common),
+        "top_article_types": top_article_types(common),
+        "revenue_by_region": revenue_by_region(common),
+        "quarterly_trend": quarterly_trend(common),
+        "gender_by_category": gender_by_category(common),
+        "revenue_cube": revenue_cube(common),
     }
 
 

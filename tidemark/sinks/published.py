@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,54 +33,52 @@ class Constraints:
     not_null: list[str] = field(default_factory=list)
     unique: list[str] = field(default_factory=list)
 
-    def violations(self, df: DataFrame) -> dict[str, int]:
-        found = {}
-        if self.not_null:
-            nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in self.not_null]).first()
-            found.update({f"null:{c}": nulls[c] for c in self.not_null if nulls[c]})
-        if self.unique:
-            counts = df.groupBy(*self.unique).agg(F.count(F.lit(1)).alias("n"))
-            repeated = counts.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("r")).first()["r"]
-            if repeated:
-                found[f"duplicate:{','.join(self.unique)}"] = repeated
-        return found
+
+def repeated_rows(df: DataFrame, keys: list[str]) -> int:
+    """Rows beyond the first of each key."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return counts.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0))).first()[0]
 
 
 class PublishedTable:
     """A Parquet table at `root`, replaced, appended to or merged into as a whole.
 
     With `key`, rows are spread over `buckets` folders by key hash, and a merge
-    rewrites only the buckets that the batch touches.
+    rewrites only the buckets that the batch touches. With `time_column`, the
+    pointer keeps the time span of every appended part, so a reader of a span
+    opens no other part.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: list[str] | None = None, buckets: int = 32,
-                 constraints: Constraints | None = None):
+                 constraints: Constraints | None = None, time_column: str | None = None):
         self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
         self.constraints = constraints or Constraints()
+        self.time_column = time_column
 
     # pointer ---------------------------------------------------------------
 
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
 
+    def _files(self, path):
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def state(self) -> dict:
         """The pointer's content; an empty state before the first publish."""
         path = self._path(POINTER)
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files = self._files(path)
         if not files.exists(path):
             return {"version": 0, "parts": [], "rows": 0, "schema": None, "marks": {}}
         stream = files.open(path)
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return json.loads(text)
 
     def _set_state(self, state: dict) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        jvm = self.spark._jvm
         target, draft = self._path(POINTER), self._path(f"{POINTER}.{uuid.uuid4().hex}")
-        files = target.getFileSystem(conf)
-        out = files.create(draft, True)
+        out = self._files(target).create(draft, True)
         try:
             out.write(bytearray(json.dumps(state).encode("utf-8")))
         finally:
@@ -86,93 +86,123 @@ class PublishedTable:
         rename = jvm.org.apache.hadoop.fs.Options.Rename
         options = self.spark.sparkContext._gateway.new_array(rename, 1)
         options[0] = rename.OVERWRITE
-        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(draft, target, options)
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            target.toUri(), self.spark._jsc.hadoopConfiguration())
+        context.rename(draft, target, options)
 
     # reading ---------------------------------------------------------------
 
     def exists(self) -> bool:
         return self.state()["version"] > 0
 
-    def read(self, buckets: list[int] | None = None, since: int = 0) -> DataFrame:
-        """Current rows, optionally of some buckets or of versions after `since`."""
+    def _read_parts(self, parts: list[dict], schema: T.StructType) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{p['path']}" for p in parts])
+
+    def read(self, buckets: list[int] | None = None, since: int = 0,
+             span: tuple[datetime, datetime] | None = None) -> DataFrame:
+        """Current rows, optionally of some buckets, of versions after `since`, or of a time span."""
         state = self.state()
         if state["schema"] is None:
             raise FileNotFoundError(f"nothing has been published at {self.root}")
-        schema = T.StructType.fromJson(state["schema"])
-        wanted = None if buckets is None else set(buckets)
-        paths = [f"{self.root}/{p['path']}" for p in state["parts"]
-                 if (wanted is None or p["bucket"] in wanted) and p["version"] > since]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        parts = [p for p in state["parts"] if p["version"] > since]
+        if buckets is not None:
+            wanted = set(buckets)
+            parts = [p for p in parts if p["bucket"] in wanted]
+        if span is not None:
+            low, high = (_micros(t) for t in span)
+            parts = [p for p in parts if p["low"] <= high and p["high"] >= low]
+        rows = self._read_parts(parts, T.StructType.fromJson(state["schema"]))
+        return rows if span is None else rows.filter(F.col(self.time_column).between(*span))
 
     # writing ---------------------------------------------------------------
 
-    def bucket_of(self):
+    def bucket_of(self) -> Column:
         return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
 
-    def _write(self, df: DataFrame, version: int) -> tuple[list[dict], int]:
+    def _write(self, df: DataFrame, version: int) -> list[dict]:
         folder = f"data/v={version}-{uuid.uuid4().hex[:8]}"
-        counted = Observation()
-        rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
         if self.key is None:
-            rows.write.parquet(f"{self.root}/{folder}")
-            return [{"path": folder, "bucket": None, "version": version}], counted.get["rows"]
+            df.write.parquet(f"{self.root}/{folder}")
+            return [{"path": folder, "bucket": None, "version": version}]
         # rebalance splits a bucket that is too large for one task and joins small ones
-        placed = rows.withColumn(BUCKET, self.bucket_of()).hint("rebalance", F.col(BUCKET))
+        placed = df.withColumn(BUCKET, self.bucket_of()).hint("rebalance", F.col(BUCKET))
         placed.write.partitionBy(BUCKET).parquet(f"{self.root}/{folder}")
         base = self._path(folder)
-        statuses = base.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(base)
-        names = sorted(s.getPath().getName() for s in statuses if s.isDirectory())
-        parts = [{"path": f"{folder}/{n}", "bucket": int(n.split("=")[1]), "version": version}
-                 for n in names if n.startswith(BUCKET)]
-        return parts, counted.get["rows"]
+        names = [s.getPath().getName() for s in self._files(base).listStatus(base) if s.isDirectory()]
+        return [{"path": f"{folder}/{n}", "bucket": int(n.split("=")[1]), "version": version}
+                for n in sorted(names) if n.startswith(BUCKET)]
 
     def _publish(self, df: DataFrame, keep: list[dict], kept_rows: int, marks: dict | None,
-                 check_with_kept: bool = False) -> dict:
+                 unique_over_all: bool = False) -> dict:
         state = self.state()
         version = state["version"] + 1
-        parts, rows = self._write(df, version)
-        written = [f"{self.root}/{p['path']}" for p in parts]
-        if check_with_kept:
-            written += [f"{self.root}/{p['path']}" for p in keep]
-        if written:
-            found = self.constraints.violations(self.spark.read.schema(df.schema).parquet(*written))
-            if found:
-                raise PublishRejected(f"{self.root}: {found}")
+        parts = self._write(df, version)
+        written = self._read_parts(parts, df.schema)
+        # counted on the files: a count taken while writing may see a repeated task twice
+        facts = {"rows": F.count(F.lit(1))}
+        facts.update({f"null:{c}": F.count_if(F.col(c).isNull()) for c in self.constraints.not_null})
+        if self.time_column:
+            facts["low"] = F.unix_micros(F.min(self.time_column))
+            facts["high"] = F.unix_micros(F.max(self.time_column))
+        found = written.agg(*[v.alias(k) for k, v in facts.items()]).first().asDict()
+        broken = {k: n for k, n in found.items() if k.startswith("null:") and n}
+        if self.constraints.unique and not broken:
+            scope = written.unionByName(self._read_parts(keep, df.schema)) if unique_over_all else written
+            repeated = repeated_rows(scope, self.constraints.unique)
+            if repeated:
+                broken[f"duplicate:{','.join(self.constraints.unique)}"] = repeated
+        if broken:
+            raise PublishRejected(f"{self.root}: {broken}")
+        if self.key is None:
+            parts[0].update({k: found[k] for k in ("rows", "low", "high") if k in found})
         new = {
             "version": version,
-            "parts": keep + (parts if rows else []),
-            "rows": kept_rows + rows,
+            "parts": keep + (parts if found["rows"] else []),
+            "rows": kept_rows + found["rows"],
             "schema": df.schema.jsonValue(),
             "marks": {**state["marks"], **(marks or {})},
         }
         self._set_state(new)
-        return {"version": version, "rows_written": rows, "rows_total": new["rows"]}
+        return {"version": version, "rows_written": found["rows"], "rows_total": new["rows"]}
 
     def replace(self, df: DataFrame, marks: dict | None = None) -> dict:
         return self._publish(df, [], 0, marks)
 
     def append(self, df: DataFrame, marks: dict | None = None) -> dict:
         state = self.state()
-        return self._publish(df, state["parts"], state["rows"], marks, check_with_kept=bool(self.constraints.unique))
+        return self._publish(df, state["parts"], state["rows"], marks, unique_over_all=True)
 
-    def merge(self, batch: DataFrame, combine, marks: dict | None = None) -> dict:
+    def merge(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame],
+              marks: dict | None = None) -> dict:
         """Replace the touched buckets by `combine(rows of those buckets, batch)`.
 
-        The batch is written once (it is read for its buckets and for the
-        merge). At most `buckets` integers come to the driver.
+        The batch is written once and must have unique keys. At most `buckets`
+        integers come to the driver.
         """
         state = self.state()
         batch = materialise(batch, "merge-batch")
+        repeated = repeated_rows(batch, self.key)
+        if repeated:
+            raise PublishRejected(f"{self.root}: {repeated} repeated keys in the batch")
         touched = [r[0] for r in batch.select(self.bucket_of().alias("b")).distinct().collect()]
-        if not state["parts"]:
-            old = self.spark.createDataFrame([], batch.schema)
-        else:
-            old = self.read(touched)
         keep = [p for p in state["parts"] if p["bucket"] not in set(touched)]
-        kept_rows = 0
-        if keep:
-            schema = T.StructType.fromJson(state["schema"])
-            kept_rows = self.spark.read.schema(schema).parquet(*[f"{self.root}/{p['path']}" for p in keep]).count()
+        kept_rows = self._read_parts(keep, batch.schema).count() if keep else 0
+        old = self.read(touched) if state["version"] else self.spark.createDataFrame([], batch.schema)
         return self._publish(combine(old, batch), keep, kept_rows, marks)
+
+    def squash(self, small: int) -> dict | None:
+        """Join appended parts of fewer than `small` rows into one; large parts are not touched."""
+        state = self.state()
+        parts = [p for p in state["parts"] if p.get("rows", small) < small]
+        if len(parts) < 2:
+            return None
+        rows = self._read_parts(parts, T.StructType.fromJson(state["schema"]))
+        keep = [p for p in state["parts"] if p not in parts]
+        return self._publish(rows, keep, state["rows"] - sum(p["rows"] for p in parts), None)
+
+
+def _micros(moment: datetime) -> int:
+    """The driver reads timestamps in its own zone; so does `timestamp()`."""
+    return int(moment.timestamp()) * 1_000_000 + moment.microsecond

@@ -1,4 +1,4 @@
-"""Paginated collections, one task per page.
+"""Paginated collections, read page by page in parallel tasks.
 
 A page reader is any picklable callable `(offset, limit) -> list[dict]`. A page
 that cannot be read gives one error row instead of failing the job, and the
@@ -52,9 +52,13 @@ class FilePages:
         return rows
 
 
-def fetch_pages(spark: SparkSession, reader: PageReader, schema: T.StructType, page_size: int = 500,
-                max_pages: int = 100) -> DataFrame:
-    """(page, row, error) for every row of every page, plus one row per failed or empty page."""
+def fetch_pages(spark: SparkSession, reader: PageReader, page_size: int = 500, max_pages: int = 100,
+                tasks: int | None = None) -> DataFrame:
+    """(page, row, error) for every row of every page, plus one row per failed or empty page.
+
+    Pages are dealt out to `tasks` tasks (by default four per core); each task
+    holds one page at a time.
+    """
     out = T.StructType([
         T.StructField("page", T.LongType()),
         T.StructField("row", T.StringType()),
@@ -74,7 +78,8 @@ def fetch_pages(spark: SparkSession, reader: PageReader, schema: T.StructType, p
                 texts = rows or [None]
                 yield pd.DataFrame({"page": page, "row": texts, "error": error}).astype({"row": object, "error": object})
 
-    fetched = spark.range(0, max_pages, 1, max_pages).mapInPandas(read, out)
+    tasks = min(max_pages, tasks or 4 * spark.sparkContext.defaultParallelism)
+    fetched = spark.range(0, max_pages, 1, tasks).mapInPandas(read, out)
     # a remote page may answer differently when a task is repeated, so the answers are kept
     return materialise(fetched, "pages")
 

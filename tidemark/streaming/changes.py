@@ -30,7 +30,7 @@ class ChangeTable:
                  version: list[str] | None = None):
         self.spark, self.key = spark, key
         self.version = version or EVENT_TIME
-        self.log = PublishedTable(spark, f"{root}/log")
+        self.log = PublishedTable(spark, f"{root}/log", time_column="event_ts")
         self.folded = PublishedTable(spark, f"{root}/folded")
 
     def apply(self, events: DataFrame, batch_id: int = 0) -> dict:
@@ -44,7 +44,7 @@ class ChangeTable:
         fresh = events.dropDuplicates(["event_id"])
         if self.log.exists():
             # a redelivered event has its old time, so only that stretch of the log is read
-            seen = self.log.read().filter(F.col("event_ts").between(span["lo"], span["hi"]))
+            seen = self.log.read(span=(span["lo"], span["hi"]))
             fresh = fresh.join(seen.select("event_id"), "event_id", "left_anti")
         written = self.log.append(fresh.select(*events.columns))["rows_written"]
         return {"batch_id": batch_id, "applied": written, "duplicate_skipped": span["n"] - written}
@@ -71,6 +71,10 @@ class ChangeTable:
             newest = newest.filter((F.col("event_type") != "DELETE") | (F.col("event_ts") >= forget_deletes_before))
         return self.folded.replace(newest, {"log_version": version})
 
+    def tidy(self, small: int = 1_000_000) -> None:
+        """Join the small parts that short micro-batches leave in the log."""
+        self.log.squash(small)
+
     def change_log(self) -> DataFrame:
         return self.log.read()
 

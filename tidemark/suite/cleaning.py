@@ -126,7 +126,7 @@ WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO')""")
 def delete_by_key(spark, sf):
     gone = inputs.table(spark, sf, "part").filter("p_type = 'PROMO'").select(F.col("p_partkey").alias("l_partkey"))
     lines = inputs.table(spark, sf, "lineitem")
-    return lookup.drop_keys(lines, gone, "l_partkey").select("l_orderkey", "l_linenumber", "l_quantity")
+    return lookup.drop_keys(lines, gone, "l_partkey", unique=True).select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 @query("fk_orphans", """SELECT 'lineitem_orders' AS relation, count(DISTINCT l_orderkey) AS orphan_keys, count(*) AS orphan_rows
@@ -191,9 +191,9 @@ def append_new_ids(spark, sf):
     return ids.append_with_new_ids(have, new, "id", ["happened", "id", "l_linenumber", "l_partkey", "l_suppkey"])
 
 
-@query("seeded_sample")
+@query("seeded_sample", "SELECT * EXCLUDE (ts) FROM events ORDER BY md5(concat_ws(':', 7, event_id)), event_id LIMIT 500")
 def seeded_sample(spark, sf):
-    return sampling.sample_rows(inputs.table(spark, sf, "events"), ["event_id"], 500, seed=7)
+    return sampling.sample_rows(inputs.table(spark, sf, "events"), ["event_id"], 500, seed=7).drop("ts")
 
 
 @query("last_rows", "SELECT * FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 10")

@@ -25,7 +25,8 @@ SELECT id, gender, masterCategory, subCategory, articleType, baseColour, season,
 FROM clean""")
 def features_catalog(spark, sf):
     cleaned = clean_catalog(inputs.raw_catalog(spark, sf), ["delivery"])
-    return features.engineer_catalog(cleaned).withColumn(
+    levels = ["Boys", "Girls", "Men", "Unisex", "Women"]
+    return features.engineer_catalog(cleaned, gender_levels=levels).withColumn(
         "articleType_freq_encoded", F.round("articleType_freq_encoded", 12))
 
 

@@ -65,14 +65,14 @@ def scan_documents_json(spark, sf):
 
 @query("scan_pages", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def scan_pages(spark, sf):
-    """A collection cut into 32 pages and read one page per task until the first empty page."""
+    """A collection stored in pages of 1000 rows, read until the first empty page."""
     rows = inputs.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    pages = 32
-    size = rows.agg(F.ceil((F.max("o_orderkey") + 1) / pages)).first()[0]
+    size = 1000
+    pages = rows.agg(F.floor(F.max("o_orderkey") / size) + 1).first()[0]
     path = scratch_path(spark, "pages")
     page = F.floor(F.col("o_orderkey") / size)
     rows.withColumn("page", page).repartition("page").write.partitionBy("page").json(path)
-    fetched = paged.fetch_pages(spark, paged.FilePages(path), rows.schema, size, pages + 1)
+    fetched = paged.fetch_pages(spark, paged.FilePages(path), size, pages + 1, tasks=8)
     return paged.contiguous_rows(fetched, rows.schema)
 
 
