@@ -1,0 +1,75 @@
+import pytest
+from conftest import CATALOG, catalog_row
+from pyspark.sql import functions as F
+
+from tidemark.operators import quality
+
+
+def batch(spark, *rows):
+    return spark.createDataFrame(list(rows), CATALOG)
+
+
+@pytest.fixture(scope="module")
+def good(spark):
+    return batch(spark, *[catalog_row(i) for i in range(50)])
+
+
+def checks(df):
+    return quality.validate(df).first().asDict()
+
+
+def test_clean_batch_passes(good):
+    report = checks(good)
+    assert report["all_passed"] and report["row_count"] == 50 and report["missing_columns"] == []
+
+
+@pytest.mark.parametrize("extra, failed, count", [
+    (catalog_row(99, name=None), "null_check_passed", "null_productDisplayName"),
+    (catalog_row(None), "null_check_passed", "null_id"),
+    (catalog_row(99, category=None), "null_check_passed", "null_masterCategory"),
+    (catalog_row(99, year=1980), "outlier_check_passed", "outliers"),
+    (catalog_row(99, year=None), "outlier_check_passed", "outliers"),
+    (catalog_row(99, year=2027), "outlier_check_passed", "outliers"),
+    (catalog_row(10), "duplicate_check_passed", "duplicate_count"),
+])
+def test_one_bad_row_fails_one_check(spark, good, extra, failed, count):
+    report = checks(good.unionByName(batch(spark, extra)))
+    assert not report["all_passed"] and not report[failed] and report[count] == 1
+    others = {k for k in report if k.endswith("_passed") and k not in (failed, "all_passed")}
+    assert all(report[k] for k in others)
+
+
+def test_missing_columns_are_reported_and_nothing_raises(good):
+    report = checks(good.drop("year", "season", "id"))
+    assert report["missing_columns"] == ["id", "season", "year"]
+    assert not report["schema_valid"] and not report["duplicate_check_passed"] and not report["all_passed"]
+
+
+def test_text_in_a_numeric_column(good):
+    mixed = good.withColumn("year", F.when(F.col("id") == 3, "soon").otherwise(F.col("year").cast("string")))
+    report = checks(mixed)
+    assert report["not_numeric"] == 1 and not report["numeric_check_passed"] and report["outliers"] == 1
+
+
+def test_empty_batch_fails(good):
+    report = checks(good.limit(0))
+    assert not report["not_empty"] and not report["all_passed"]
+
+
+def test_split_names_every_reason(spark, rows):
+    df = batch(spark, catalog_row(1), catalog_row(1, name=None, year=1900), catalog_row(2, year=None),
+               catalog_row(None), catalog_row(None)).withColumn("line", F.monotonically_increasing_id())
+    ok, bad = quality.split_batch(df, ["line"])
+    assert rows(ok, "id") == [(1,)]
+    reasons = sorted((r["id"] or 0, tuple(r["reject_reasons"])) for r in bad.collect())
+    assert reasons == [(0, ("null:id",)), (0, ("null:id", "duplicate:id")),
+                       (1, ("null:productDisplayName", "range:year", "duplicate:id")), (2, ("range:year",))]
+
+
+def test_staging_keeps_a_rejected_batch(spark, good, tmp_path):
+    staged, report = quality.stage_and_validate(good, "b1", str(tmp_path))
+    assert staged.count() == 50 and report["batch_id"] == "b1"
+    with pytest.raises(quality.BatchRejected) as caught:
+        quality.stage_and_validate(good.unionByName(batch(spark, catalog_row(3))), "b2", str(tmp_path))
+    assert caught.value.report["duplicate_count"] == 1
+    assert spark.read.parquet(caught.value.report["staging_path"]).count() == 51

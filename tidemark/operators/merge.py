@@ -11,8 +11,8 @@ from tidemark.operators.dedupe import latest_per_key
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], last_by: list[str] | None = None) -> DataFrame:
     """Rows of `batch` replace or extend `target`.
 
-    A small batch is broadcast by Spark (its size is known), so the target
-    streams through without a shuffle; a large one becomes a sort-merge join.
+    A written batch has a known size: Spark broadcasts a small one, so the
+    target streams through without a shuffle, and sort-merge joins a large one.
     """
     if last_by is not None:
         batch = latest_per_key(batch, keys, last_by)

@@ -11,9 +11,12 @@ from tidemark.operators.dedupe import first_per_key_in_file
 
 
 def read_typed(spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None,
-               limit: int | None = None) -> DataFrame:
-    """Well-formed delimited files with declared types, optionally some columns or a preview."""
-    df = spark.read.schema(schema).option("header", True).csv(path)
+               limit: int | None = None, multi_line: bool = False) -> DataFrame:
+    """Well-formed delimited files with declared types, optionally some columns or a preview.
+
+    Quoted line breaks need `multi_line`, which reads each file in one task.
+    """
+    df = spark.read.schema(schema).options(header=True, escape='"', multiLine=multi_line).csv(path)
     if columns is not None:
         df = df.select(*columns)
     return df if limit is None else df.limit(limit)
@@ -50,7 +53,7 @@ def read_folder(spark: SparkSession, folder: str, schema: T.StructType, key: str
     dropped inside each file (`scope="file"`) or across files (`scope="all"`).
     """
     raw = (
-        spark.read.schema(schema).option("header", True).option("pathGlobFilter", pattern).csv(folder)
+        spark.read.schema(schema).options(header=True, escape='"', pathGlobFilter=pattern).csv(folder)
         .select("*", F.col("_metadata.file_name").alias("source_file"))
     )
     clean = raw.withColumns({c: strip(c) for c in trim}).na.fill("Unknown", subset=unknown)

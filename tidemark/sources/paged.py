@@ -8,10 +8,12 @@ caller keeps the pages before the first error or empty page.
 from __future__ import annotations
 
 import json
+import sys
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,6 +80,8 @@ def fetch_pages(spark: SparkSession, reader: PageReader, page_size: int = 500, m
                 texts = rows or [None]
                 yield pd.DataFrame({"page": page, "row": texts, "error": error}).astype({"row": object, "error": object})
 
+    # readers of this module travel with the job, so workers need not have the package installed
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     tasks = min(max_pages, tasks or 4 * spark.sparkContext.defaultParallelism)
     fetched = spark.range(0, max_pages, 1, tasks).mapInPandas(read, out)
     # a remote page may answer differently when a task is repeated, so the answers are kept

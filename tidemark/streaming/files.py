@@ -13,7 +13,7 @@ from tidemark.sinks.published import PublishedTable
 
 def stream_files(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.csv",
                  max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("header", True).option("pathGlobFilter", pattern)
+    reader = spark.readStream.schema(schema).options(header=True, escape='"', pathGlobFilter=pattern)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(folder).select("*", F.col("_metadata.file_name").alias("source_file"))
