@@ -74,7 +74,7 @@ def test_exact_median_in_one_task_and_by_narrowing(spark, values, limit):
     import statistics
 
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
-    assert exact_median(df, "v", max_histogram=limit).first()[0] == statistics.median(values)
+    assert exact_median(df, "v", small=limit).first()[0] == statistics.median(values)
 
 
 def test_median_of_nothing_is_null(spark):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.session import materialise
 
 _TIE, _SLOT, _TASK, _PLACE, _OFFSET = "__tie", "__slot", "__task", "__place", "__offset"
+SMALL = 100_000  # rows that one task may number
 _PLACE_BITS = 33  # monotonically_increasing_id keeps the row number of a task in its low 33 bits
 
 
@@ -45,9 +46,17 @@ def with_positions(df: DataFrame, order_by: list[Column | str], name: str = "pos
     )
 
 
-def surrogate_keys(df: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """Distinct tuples of `columns` numbered 1..n in their natural order, key column first."""
-    numbered = with_positions(df.select(*columns).distinct(), columns, name)
+def surrogate_keys(df: DataFrame, columns: list[str], name: str, small: int = SMALL) -> DataFrame:
+    """Distinct tuples of `columns` numbered 1..n in their natural order, key column first.
+
+    The tuples are written and counted; up to `small` of them are numbered by
+    one task, more of them task by task.
+    """
+    tuples = materialise(df.select(*columns).distinct(), "tuples")
+    if tuples.count() > small:
+        numbered = with_positions(tuples, columns, name)
+    else:
+        numbered = tuples.withColumn(name, F.row_number().over(Window.orderBy(*columns)).cast("long"))
     return numbered.select(name, *columns)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_LEVELS = 1000
-MAX_HISTOGRAM = 1_000_000
+SMALL = 200_000  # values that one task may sort
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None, by_value: bool = False) -> DataFrame:
@@ -67,48 +67,56 @@ def cross_table(df: DataFrame, rows: str, columns: str, levels: list | None = No
     return pairs.groupBy(rows).pivot(columns, levels).agg(F.sum("n")).na.fill(0)
 
 
-def exact_median(df: DataFrame, column: str, max_histogram: int = MAX_HISTOGRAM) -> DataFrame:
+def exact_median(df: DataFrame, column: str, small: int = SMALL) -> DataFrame:
     """One row `median`: the exact median, as the mean of the two middle values.
 
-    Values are counted per task first, so equal values never meet row by row.
-    When the column has more distinct values than one task should hold, the
-    search narrows to a band that provably brackets the middle.
+    Up to `small` values go to one task. Beyond that the search narrows to a
+    band of values that provably holds the middle, scanning the column a few
+    times without shuffling it.
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    histogram = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    size = histogram.agg(F.count(F.lit(1)).alias("d"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
-    if size["d"] <= max_histogram:
-        return histogram.agg(F.percentile("v", F.lit(0.5), F.col("n")).alias("median"))
-    middle = [_value_at_rank(histogram, rank, size["n"], max_histogram)
-              for rank in sorted({(size["n"] - 1) // 2, size["n"] // 2})]
+    n = values.count()
+    if n <= small:
+        return values.agg(F.median("v").alias("median"))
+    middle = _values_at_ranks(values, sorted({(n - 1) // 2, n // 2}), n, small)
     return df.sparkSession.range(1).select(F.lit(sum(middle) / len(middle)).alias("median"))
 
 
-def _value_at_rank(histogram: DataFrame, rank: int, total: int, max_histogram: int) -> float:
-    """The value of a 0-based rank in a (v, n) table.
+def _values_at_ranks(values: DataFrame, ranks: list[int], n: int, small: int) -> list[float]:
+    """The values of neighbouring 0-based ranks among `n` values.
 
-    Each round cuts the band to the part that holds the rank according to exact
-    counts, so an unlucky guess costs a round and never the result.
+    A sketch guesses a band and exact counts decide whether it holds the ranks,
+    so an unlucky guess costs a round and never the result.
     """
-    band, below, inside, distinct = histogram, 0, total, None
-    while distinct is None or distinct > max_histogram:
-        guess = (rank - below) / inside
-        around = [max(guess - 0.02, 0.0), min(guess + 0.02, 1.0)]
-        low, high = band.agg(F.percentile_approx("v", around, 10_000).alias("q")).first()["q"]
-        cut = band.agg(
-            F.coalesce(F.sum(F.when(F.col("v") < low, F.col("n"))), F.lit(0)).alias("under"),
-            F.coalesce(F.sum(F.when(F.col("v") <= high, F.col("n"))), F.lit(0)).alias("upto"),
-        ).first()
-        if rank < below + cut["under"]:
-            band = band.filter(F.col("v") < low)
-        elif rank >= below + cut["upto"]:
-            band, below = band.filter(F.col("v") > high), below + cut["upto"]
+    total, band, below = n, values, 0
+    while n > small:
+        guess = [(r - below) / n for r in ranks]
+        low, high = band.agg(F.percentile_approx(
+            "v", [max(min(guess) - 0.02, 0.0), min(max(guess) + 0.02, 1.0)], 10_000)).first()[0]
+        under, upto = band.agg(F.count_if(F.col("v") < low), F.count_if(F.col("v") <= high)).first()
+        if below + under <= ranks[0] and ranks[-1] < below + upto:
+            if low == high:
+                return [low] * len(ranks)
+            band, below, left = band.filter(F.col("v").between(low, high)), below + under, upto - under
+        elif len(ranks) > 1:
+            return [v for r in ranks for v in _values_at_ranks(values, [r], total, small)]
+        elif ranks[0] < below + under:
+            band, left = band.filter(F.col("v") < low), under
         else:
-            band, below = band.filter(F.col("v").between(low, high)), below + cut["under"]
-        size = band.agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("n")).first()
-        distinct, inside = size["d"], size["n"]
-    fraction = (rank - below) / max(inside - 1, 1)
-    return band.agg(F.percentile("v", F.lit(fraction), F.col("n"))).first()[0]
+            band, below, left = band.filter(F.col("v") > high), below + upto, n - upto
+        if left > n / 2:
+            # a frequent value keeps the band large: counting its values is cheap if they are few
+            histogram = band.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+            if histogram.count() <= small:
+                return _percentiles(histogram, "n", ranks, below, left)
+        n = left
+    return _percentiles(band.withColumn("n", F.lit(1)), "n", ranks, below, n)
+
+
+def _percentiles(values: DataFrame, weight: str, ranks: list[int], below: int, n: int) -> list[float]:
+    fractions = [F.lit((r - below) / max(n - 1, 1)) for r in ranks]
+    row = values.agg(*[F.percentile("v", f, F.col(weight).cast("long")) for f in fractions]).first()
+    return list(row)
 
 
 def summary(df: DataFrame, distinct: list[str], counted: list[str], range_column: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import revenue_sum
 from tidemark.session import materialise
 
 CALENDAR = ["year", "quarter", "month"]
@@ -38,12 +39,8 @@ def star_join(fact: DataFrame, product: DataFrame | None = None, store: DataFram
     return fact
 
 
-def _revenue() -> Column:
-    return F.sum("revenue")
-
-
-def _shown(total: Column) -> Column:
-    return F.round(total, 2).cast("double")
+def _shown(sales: DataFrame) -> Column:
+    return F.round(revenue_sum(sales), 2).cast("double").alias("revenue")
 
 
 def _sales_count(df: DataFrame) -> Column:
@@ -53,13 +50,13 @@ def _sales_count(df: DataFrame) -> Column:
 def grain(sales: DataFrame, attributes: list[str]) -> DataFrame:
     """Sales summed per combination of attributes; every cube query gives the same result on it."""
     return sales.groupBy(*attributes).agg(
-        _revenue().alias("revenue"), F.sum("quantity").alias("quantity"), _sales_count(sales).alias("txns")
+        revenue_sum(sales).alias("revenue"), F.sum("quantity").alias("quantity"), _sales_count(sales).alias("txns")
     )
 
 
 def revenue_by_category_month(sales: DataFrame) -> DataFrame:
     return (
-        sales.groupBy("category_name", "month").agg(_shown(_revenue()).alias("revenue"))
+        sales.groupBy("category_name", "month").agg(_shown(sales))
         .orderBy(F.desc("revenue"), "category_name", "month")
     )
 
@@ -67,7 +64,7 @@ def revenue_by_category_month(sales: DataFrame) -> DataFrame:
 def top_article_types(sales: DataFrame, n: int = 10) -> DataFrame:
     return (
         sales.groupBy("article_type_name")
-        .agg(F.sum("quantity").cast("long").alias("units_sold"), _shown(_revenue()).alias("revenue"))
+        .agg(F.sum("quantity").cast("long").alias("units_sold"), _shown(sales))
         .orderBy(F.desc("revenue"), "article_type_name").limit(n)
     )
 
@@ -75,19 +72,19 @@ def top_article_types(sales: DataFrame, n: int = 10) -> DataFrame:
 def revenue_by_region(sales: DataFrame) -> DataFrame:
     return (
         sales.groupBy("region")
-        .agg(_shown(_revenue()).alias("revenue"), _sales_count(sales).alias("transactions"))
+        .agg(_shown(sales), _sales_count(sales).alias("transactions"))
         .orderBy(F.desc("revenue"), "region")
     )
 
 
 def quarterly_trend(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("year", "quarter").agg(_shown(_revenue()).alias("revenue")).orderBy("year", "quarter")
+    return sales.groupBy("year", "quarter").agg(_shown(sales)).orderBy("year", "quarter")
 
 
 def gender_by_category(sales: DataFrame) -> DataFrame:
     return (
         sales.groupBy("gender", "category_name")
-        .agg(_sales_count(sales).alias("txns"), _shown(_revenue()).alias("revenue"))
+        .agg(_sales_count(sales).alias("txns"), _shown(sales))
         .orderBy("gender", F.desc("revenue"), "category_name")
     )
 
@@ -100,10 +97,10 @@ def revenue_cube(sales: DataFrame) -> DataFrame:
     NULL in the data.
     """
     axes = ["category_name", "region", "quarter"]
-    groups = sales.groupBy(*axes).agg(_revenue().alias("revenue"), _sales_count(sales).alias("txns"))
+    groups = sales.groupBy(*axes).agg(revenue_sum(sales).alias("revenue"), _sales_count(sales).alias("txns"))
     return (
         groups.cube(*axes)
-        .agg(_shown(_revenue()).alias("revenue"), F.sum("txns").alias("txns"),
+        .agg(_shown(groups), F.sum("txns").alias("txns"),
              F.grouping_id().cast("int").alias("level"))
         .orderBy(F.desc_nulls_last("revenue"), "level", *axes)
     )

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import money_sum, quarter_start, safe_ratio
+from tidemark.functions import quarter_start, revenue_sum, safe_ratio
+from tidemark.functions.numeric import MONEY_TOTAL
 
 
 def core_measures(fact: DataFrame) -> DataFrame:
@@ -17,7 +18,7 @@ def core_measures(fact: DataFrame) -> DataFrame:
     Orders are counted per order first, which also sums their lines early.
     """
     per_order = fact.groupBy("order_id").agg(
-        F.sum("revenue").alias("revenue"), F.sum("quantity").alias("quantity"), F.count(F.lit(1)).alias("n")
+        revenue_sum(fact).alias("revenue"), F.sum("quantity").alias("quantity"), F.count(F.lit(1)).alias("n")
     )
     totals = per_order.agg(
         F.sum("revenue").cast("double").alias("total_revenue"),
@@ -43,7 +44,7 @@ def key_counts(columns: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 def totals_by(fact: DataFrame, column: str) -> DataFrame:
-    return fact.groupBy(column).agg(money_sum("revenue").alias("revenue"))
+    return fact.groupBy(column).agg(revenue_sum(fact).cast("double").alias("revenue"))
 
 
 def revenue_rank(totals: DataFrame, measure: str = "revenue") -> DataFrame:
@@ -62,7 +63,7 @@ def revenue_share(totals: DataFrame, measure: str = "revenue") -> DataFrame:
 
 def year_to_date(fact: DataFrame, date: str = "order_date") -> DataFrame:
     """Running revenue within the year, per day that has sales."""
-    daily = fact.groupBy(date).agg(F.sum("revenue").alias("day_revenue"))
+    daily = fact.groupBy(date).agg(revenue_sum(fact).alias("day_revenue"))
     year = Window.partitionBy(F.year(date)).orderBy(date).rowsBetween(Window.unboundedPreceding, 0)
     return daily.select(
         date, F.col("day_revenue").cast("double").alias("day_revenue"),
@@ -76,9 +77,8 @@ def quarter_over_quarter(fact: DataFrame, date: str = "order_date") -> DataFrame
     Each total is sent to its own quarter and to the next one, so one grouping
     pairs them and a missing quarter is not skipped over.
     """
-    totals = fact.groupBy(quarter_start(F.col(date)).alias("q")).agg(F.sum("revenue").alias("r"))
-    none = F.lit(None).cast("decimal(38,2)")
-    value = F.col("r").cast("decimal(38,2)")
+    totals = fact.groupBy(quarter_start(F.col(date)).alias("q")).agg(revenue_sum(fact).alias("r"))
+    value, none = F.col("r"), F.lit(None).cast(MONEY_TOTAL)
     paired = totals.select(F.inline(F.array(
         F.struct(F.col("q").alias("quarter_start"), value.alias("now"), none.alias("before")),
         F.struct(F.add_months("q", 3).alias("quarter_start"), none.alias("now"), value.alias("before")),
@@ -96,7 +96,7 @@ def quarter_over_quarter(fact: DataFrame, date: str = "order_date") -> DataFrame
 
 def same_period_last_year(fact: DataFrame, date: str = "order_date") -> DataFrame:
     """Revenue per day and of the same day a year earlier (29 February looks at the 28th)."""
-    daily = fact.groupBy(date).agg(money_sum("revenue").alias("revenue"))
+    daily = fact.groupBy(date).agg(revenue_sum(fact).cast("double").alias("revenue"))
     earlier = daily.select(F.col(date).alias("__day"), F.col("revenue").alias("revenue_last_year"))
     return daily.join(earlier, F.add_months(date, -12) == F.col("__day"), "left").drop("__day")
 

@@ -12,10 +12,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import calendar_columns
+from tidemark.functions import calendar_columns, cents, from_cents
 from tidemark.functions.dates import date_key
 from tidemark.functions.numeric import MONEY
 from tidemark.operators.ids import surrogate_keys, with_positions
+from tidemark.session import materialise
 
 
 @dataclass(frozen=True)
@@ -29,18 +30,20 @@ class NormalForm:
 def normalise(catalog: DataFrame) -> NormalForm:
     """Look-up tables with ids in natural order, and products that refer to them.
 
-    A sub-category is identified by its name within its master category.
+    A sub-category is identified by its name within its master category. The
+    catalogue is read once for its distinct names and once for the products.
     """
-    categories = surrogate_keys(
-        catalog.select(F.col("masterCategory").alias("category_name")).na.drop(), ["category_name"], "category_id"
-    )
-    pairs = catalog.select(
-        F.col("masterCategory").alias("category_name"), F.col("subCategory").alias("sub_category_name")
-    ).na.drop()
-    subs = surrogate_keys(pairs, ["category_name", "sub_category_name"], "sub_category_id")
-    articles = surrogate_keys(
-        catalog.select(F.col("articleType").alias("article_type_name")).na.drop(), ["article_type_name"], "article_type_id"
-    )
+    names = materialise(catalog.select(
+        F.col("masterCategory").alias("category_name"), F.col("subCategory").alias("sub_category_name"),
+        F.col("articleType").alias("article_type_name"),
+    ).distinct(), "names")
+
+    def keyed(columns: list[str], key: str) -> DataFrame:
+        return surrogate_keys(names.select(*columns).na.drop(), columns, key)
+
+    categories = keyed(["category_name"], "category_id")
+    subs = keyed(["category_name", "sub_category_name"], "sub_category_id")
+    articles = keyed(["article_type_name"], "article_type_id")
     products = (
         catalog.withColumnsRenamed({"masterCategory": "category_name", "subCategory": "sub_category_name",
                                     "articleType": "article_type_name"})
@@ -86,10 +89,8 @@ def dim_time(orders: DataFrame, date: str = "order_date", consecutive: bool = Fa
 
 
 def sales_lines(items: DataFrame) -> DataFrame:
-    """Order lines with exact revenue."""
-    return items.withColumn("unit_price", F.col("unit_price").cast(MONEY)).withColumn(
-        "revenue", (F.col("quantity").cast("decimal(10,0)") * F.col("unit_price")).cast("decimal(28,2)")
-    )
+    """Order lines with their revenue in whole cents."""
+    return items.withColumn("revenue_cents", cents(F.col("quantity") * F.col("unit_price")))
 
 
 def fact_sales(items: DataFrame, orders: DataFrame, time: DataFrame | None = None) -> DataFrame:
@@ -103,7 +104,8 @@ def fact_sales(items: DataFrame, orders: DataFrame, time: DataFrame | None = Non
     else:
         joined = joined.join(time.select("time_id", "order_date"), "order_date")
     return joined.select("order_item_id", "order_id", "product_id", "customer_id", "store_id", "time_id",
-                         "quantity", "unit_price", "revenue")
+                         "quantity", F.col("unit_price").cast(MONEY).alias("unit_price"),
+                         from_cents("revenue_cents").alias("revenue"))
 
 
 def snowflake_product(tables: NormalForm) -> DataFrame:

@@ -183,10 +183,10 @@ class PublishedTable:
         """
         state = self.state()
         batch = materialise(batch, "merge-batch")
-        repeated = repeated_rows(batch, self.key)
+        per_key = batch.groupBy(*self.key).agg(F.count(F.lit(1)).alias("n"))
+        repeated, touched = per_key.agg(F.sum(F.col("n") - 1), F.collect_set(self.bucket_of())).first()
         if repeated:
             raise PublishRejected(f"{self.root}: {repeated} repeated keys in the batch")
-        touched = [r[0] for r in batch.select(self.bucket_of().alias("b")).distinct().collect()]
         keep = [p for p in state["parts"] if p["bucket"] not in set(touched)]
         kept_rows = self._read_parts(keep, batch.schema).count() if keep else 0
         old = self.read(touched) if state["version"] else self.spark.createDataFrame([], batch.schema)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedupe import latest_per_key
+from tidemark.session import materialise
 from tidemark.sinks.published import PublishedTable
 
 EVENT_TIME = ["event_ts", "event_id"]
@@ -34,7 +35,11 @@ class ChangeTable:
         self.folded = PublishedTable(spark, f"{root}/folded")
 
     def apply(self, events: DataFrame, batch_id: int = 0) -> dict:
-        """Append unseen events of one micro-batch; returns applied and skipped counts."""
+        """Append unseen events of one micro-batch; returns applied and skipped counts.
+
+        The batch is written once, so its records are decoded once.
+        """
+        events = materialise(events, "micro-batch")
         span = events.agg(
             F.count(F.lit(1)).alias("n"), F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi")
         ).first()
