@@ -5,6 +5,7 @@ import pytest
 from conftest import CATALOG, catalog_row
 from pyspark.sql import functions as F
 
+from tidemark.operators.ids import ranked
 from tidemark.plans import cube, etl, measures, star, steps
 
 
@@ -109,6 +110,13 @@ def test_rank_share_and_top(spark, rows):
     assert rows(measures.revenue_share(totals), "name", "share") == [("a", 0.25), ("b", 0.25), ("c", 0.05), ("d", 0.45)]
 
 
+@pytest.mark.parametrize("small", [100, 1])
+def test_ranks_are_the_same_in_one_task_and_distributed(spark, rows, small):
+    totals = spark.createDataFrame([("a", 5.0), ("b", 5.0), ("c", 1.0), ("d", 9.0), ("e", None), ("f", None)], "name string, revenue double")
+    assert rows(ranked(totals, "revenue", "r", small=small), "name", "r") == [
+        ("a", 2), ("b", 2), ("c", 4), ("d", 1), ("e", 5), ("f", 5)]
+
+
 @pytest.fixture(scope="module")
 def daily(spark):
     days = [(date(2023, 3, 1), "10"), (date(2024, 2, 28), "1"), (date(2024, 2, 29), "2"), (date(2024, 3, 1), "4"),

@@ -60,6 +60,20 @@ def surrogate_keys(df: DataFrame, columns: list[str], name: str, small: int = SM
     return numbered.select(name, *columns)
 
 
+def ranked(df: DataFrame, by: str, name: str, small: int = SMALL) -> DataFrame:
+    """Rank by a column, greatest first, equal values sharing the rank and leaving a gap after it.
+
+    Up to `small` rows are ranked by one task. Beyond that a rank is the first
+    position of its value, found with a grouped minimum.
+    """
+    df = materialise(df, "ranked")
+    if df.count() <= small:
+        return df.withColumn(name, F.rank().over(Window.orderBy(F.desc_nulls_last(by))).cast("int"))
+    first = with_positions(df.select(by), [F.desc_nulls_last(by)], name).groupBy(by).agg(F.min(name).cast("int").alias(name))
+    first = materialise(first.withColumnRenamed(by, "__by"), "ranks")
+    return df.join(first, F.col(by).eqNullSafe(F.col("__by"))).drop("__by")
+
+
 def append_with_new_ids(existing: DataFrame, incoming: DataFrame, id_column: str,
                         order_by: list[Column | str]) -> DataFrame:
     """`existing` plus `incoming`, whose ids are replaced by max(id)+1, +2, … in the given order."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import quarter_start, revenue_sum, safe_ratio
 from tidemark.functions.numeric import MONEY_TOTAL
+from tidemark.operators.ids import ranked
 
 
 def core_measures(fact: DataFrame) -> DataFrame:
@@ -49,7 +50,7 @@ def totals_by(fact: DataFrame, column: str) -> DataFrame:
 
 def revenue_rank(totals: DataFrame, measure: str = "revenue") -> DataFrame:
     """Rank by the measure, highest first, with gaps after ties. Input: one row per category."""
-    return totals.withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc(measure))).cast("int"))
+    return ranked(totals, measure, "revenue_rank")
 
 
 def top_row(totals: DataFrame, name: str, measure: str = "revenue") -> DataFrame:

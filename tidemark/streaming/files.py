@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.clean import CatalogRules, clean_catalog
 from tidemark.operators.quality import BatchRules, split_batch
+from tidemark.session import materialise
 from tidemark.sinks.published import PublishedTable
 
 
@@ -33,6 +34,7 @@ def ingest_new_files(spark: SparkSession, folder: str, schema: T.StructType, tab
     def take(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():
             return
+        df = materialise(df, "new-files")
         # the mark belongs to this checkpoint: a new one counts its batches from 0 again
         mark = f"batch:{spark.read.json(f'{checkpoint}/metadata').first()['id']}"
         good, bad = split_batch(df, order_by, checks or BatchRules())

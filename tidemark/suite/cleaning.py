@@ -70,12 +70,14 @@ def standardise_text(spark, sf):
     return clean.standardise_text(orders, ["o_orderpriority", "not_a_column"])
 
 
-@query("dedupe_keep_first", """SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+@query("dedupe_keep_first", """SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
   ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) = 1""")
 def dedupe_keep_first(spark, sf):
     order = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
              "l_returnflag", "l_linestatus"]
-    return dedupe.first_per_key(inputs.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], order)
+    first = dedupe.first_per_key(inputs.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], order)
+    return inputs.with_day(first, "l_shipdate")
 
 
 @query("dedupe_per_file", """SELECT doc_id, source AS source_file, n_chars FROM documents
@@ -101,24 +103,26 @@ def distinct_tuples(spark, sf):
     return dedupe.distinct_tuples(inputs.table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus", "l_linenumber"])
 
 
-@query("lookup_map", """SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate, coalesce(s_name, 'none') AS store_name
+@query("lookup_map", """SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, coalesce(s_name, 'none') AS store_name
 FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey AND s_acctbal >= 0""")
 def lookup_map(spark, sf):
-    lines = inputs.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
+    lines = inputs.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
     known = inputs.table(spark, sf, "supplier").filter("s_acctbal >= 0")
     return lookup.map_values(lines, "l_suppkey", known, "s_suppkey", "s_name", "store_name", default=F.lit("none"))
 
 
-@query("semi_affected_keys", """SELECT * FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
+@query("semi_affected_keys", """SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders
+WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
 def semi_affected_keys(spark, sf):
     returned = inputs.table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
-    return lookup.keep_keys(inputs.table(spark, sf, "orders"), returned, "o_orderkey")
+    return inputs.with_day(lookup.keep_keys(inputs.table(spark, sf, "orders"), returned, "o_orderkey"), "o_orderdate")
 
 
-@query("anti_unprocessed", """SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
+@query("anti_unprocessed", """SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders
+WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
 def anti_unprocessed(spark, sf):
     shipped = inputs.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
-    return lookup.drop_keys(inputs.table(spark, sf, "orders"), shipped, "o_orderkey")
+    return inputs.with_day(lookup.drop_keys(inputs.table(spark, sf, "orders"), shipped, "o_orderkey"), "o_orderdate")
 
 
 @query("delete_by_key", """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
@@ -159,12 +163,12 @@ def add_missing_columns(spark, sf):
     return combine.add_missing_columns(stores, {"s_name": F.lit("?"), "rating": F.lit(0.0), "catalog_year": F.lit(2020)})
 
 
-@query("union_batches", """SELECT l_orderkey AS order_id, l_shipdate AS happened FROM lineitem
-UNION ALL SELECT o_orderkey, o_orderdate FROM orders""")
+@query("union_batches", """SELECT l_orderkey AS order_id, CAST(l_shipdate AS DATE) AS happened FROM lineitem
+UNION ALL SELECT o_orderkey, CAST(o_orderdate AS DATE) FROM orders""")
 def union_batches(spark, sf):
     shipped = inputs.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("order_id"), F.col("l_shipdate").alias("happened"))
     ordered = inputs.table(spark, sf, "orders").select(F.col("o_orderdate").alias("happened"), F.col("o_orderkey").alias("order_id"))
-    return combine.union_all([shipped, ordered])
+    return inputs.with_day(combine.union_all([shipped, ordered]), "happened")
 
 
 @query("set_difference", """SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R'
@@ -181,14 +185,15 @@ def surrogate_keys(spark, sf):
     return ids.surrogate_keys(inputs.table(spark, sf, "customer"), ["c_mktsegment", "c_nationkey"], "segment_id")
 
 
-@query("append_new_ids", """SELECT o_orderkey AS id, o_orderdate AS happened FROM orders UNION ALL
+@query("append_new_ids", """SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS happened FROM orders UNION ALL
 SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey),
-  l_shipdate FROM lineitem""")
+  CAST(l_shipdate AS DATE) FROM lineitem""")
 def append_new_ids(spark, sf):
     have = inputs.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("happened"))
     new = inputs.table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("id"), F.col("l_shipdate").alias("happened"), "l_linenumber", "l_partkey", "l_suppkey")
-    return ids.append_with_new_ids(have, new, "id", ["happened", "id", "l_linenumber", "l_partkey", "l_suppkey"])
+    all_rows = ids.append_with_new_ids(have, new, "id", ["happened", "id", "l_linenumber", "l_partkey", "l_suppkey"])
+    return inputs.with_day(all_rows, "happened")
 
 
 @query("seeded_sample", "SELECT * EXCLUDE (ts) FROM events ORDER BY md5(concat_ws(':', 7, event_id)), event_id LIMIT 500")
@@ -196,6 +201,6 @@ def seeded_sample(spark, sf):
     return sampling.sample_rows(inputs.table(spark, sf, "events"), ["event_id"], 500, seed=7).drop("ts")
 
 
-@query("last_rows", "SELECT * FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 10")
+@query("last_rows", """SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 10""")
 def last_rows(spark, sf):
-    return combine.last_rows(inputs.table(spark, sf, "orders"), ["o_orderdate", "o_orderkey"], 10)
+    return inputs.with_day(combine.last_rows(inputs.table(spark, sf, "orders"), ["o_orderdate", "o_orderkey"], 10), "o_orderdate")

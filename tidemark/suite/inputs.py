@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_day(df: DataFrame, column: str) -> DataFrame:
+    """Results show the day of a date that is stored as a timestamp."""
+    return df.withColumn(column, F.col(column).cast("date"))
+
+
 GENDER = (
     "CASE WHEN p_retailprice < 920 THEN 'Men' WHEN p_retailprice < 940 THEN 'Women' "
     "WHEN p_retailprice < 960 THEN 'Unisex' WHEN p_retailprice < 980 THEN 'Boys' ELSE 'Girls' END"

@@ -121,9 +121,11 @@ def listing_page(spark, sf):
     return listing.list_page(rows, "id", limit=20, offset=10, masterCategory="PROMO", gender="Men")
 
 
-@query("listing_after", "SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderkey > 500 ORDER BY o_orderkey LIMIT 100")
+@query("listing_after", """SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders
+WHERE o_orderstatus = 'F' AND o_orderkey > 500 ORDER BY o_orderkey LIMIT 100""")
 def listing_after(spark, sf):
-    return listing.list_after(inputs.table(spark, sf, "orders"), "o_orderkey", 500, o_orderstatus="F")
+    page = listing.list_after(inputs.table(spark, sf, "orders"), "o_orderkey", 500, o_orderstatus="F")
+    return inputs.with_day(page, "o_orderdate")
 
 
 @query("point_lookup", """SELECT o_custkey AS c_custkey, c_name, c_name IS NOT NULL AS found

@@ -43,11 +43,11 @@ def _changes(spark, sf):
     return cdc.diff_snapshots(*_snapshots(spark, sf), "o_orderkey")
 
 
-@query("cdc_row_hash", """SELECT l_orderkey, l_linenumber, l_shipdate,
+@query("cdc_row_hash", """SELECT l_orderkey, l_linenumber, l_partkey,
   md5(concat_ws('|', l_returnflag, l_linestatus, l_partkey, l_linenumber)) AS row_hash FROM lineitem""")
 def cdc_row_hash(spark, sf):
     lines = inputs.table(spark, sf, "lineitem")
-    return lines.select("l_orderkey", "l_linenumber", "l_shipdate",
+    return lines.select("l_orderkey", "l_linenumber", "l_partkey",
                         row_hash(["l_returnflag", "l_linestatus", "l_partkey", "l_linenumber"]).alias("row_hash"))
 
 
