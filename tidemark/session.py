@@ -21,13 +21,25 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "tidemark", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings the library relies on; `extra` uses `_` for `.`."""
+def shuffle_partitions(input_bytes: int, per_task: int = 512 << 20, at_least: int = 200) -> int:
+    """Reduce tasks for a job that shuffles about `input_bytes`; adaptive execution joins small ones."""
+    return max(at_least, -(-input_bytes // per_task))
+
+
+def build_session(app_name: str = "tidemark", master: str | None = None, input_bytes: int | None = None,
+                  **extra: str) -> SparkSession:
+    """A session with the settings the library relies on; `extra` uses `_` for `.`.
+
+    `input_bytes` sizes the shuffles of the application, so that one reduce task
+    fits in an executor's memory.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
     for key, value in extra.items():
         builder = builder.config(key.replace("_", "."), value)
     return builder.getOrCreate()
@@ -53,9 +65,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/tidemark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables, at its end when no DataFrame needs them any more."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
