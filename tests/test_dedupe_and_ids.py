@@ -15,6 +15,11 @@ def test_dedupe_inside_a_file_keeps_keys_shared_by_files(spark, rows):
     assert rows(dedupe.first_per_key_in_file(df, ["id"], ["line"])) == [("a", 1, 1), ("b", 1, 3)]
 
 
+def test_content_key_tells_values_apart(spark):
+    df = spark.createDataFrame([("a", "b"), ("a", None), (None, "a"), ("", "a"), ("a,b", None), ("a", "b")], "x string, y string")
+    assert df.select(dedupe.content_key(["x", "y"]).alias("k")).distinct().count() == 5
+
+
 def test_duplicate_count_takes_nulls_as_one_group(spark):
     df = spark.createDataFrame([(1,), (1,), (1,), (None,), (None,), (2,)], "k int")
     assert dedupe.duplicate_count(df, ["k"]).first()[0] == 3

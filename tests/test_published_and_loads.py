@@ -105,6 +105,17 @@ def test_incremental_load_steps(spark, tmp_path, start):
     assert table.read().count() == 5
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "date", "timestamp_ntz", "decimal(10,2)", "string"])
+def test_incremental_load_by_other_types(spark, tmp_path, kind):
+    table = PublishedTable(spark, f"{tmp_path}/t")
+    texts = ["1.25", "2.5", "3"] if kind.startswith("decimal") else ["2024-01-01 10:00:00.5", "2024-01-02 10:00:00", "2024-01-03"]
+    texts = [t.split()[0] for t in texts] if kind == "date" else texts
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast(kind).alias("m"))
+    assert loads.load_incremental(table, rows.orderBy("m").limit(2), "m")["rows_written"] == 2
+    assert loads.load_incremental(table, rows, "m")["rows_written"] == 1
+    assert loads.load_incremental(table, rows, "m")["rows_written"] == 0
+
+
 def test_load_and_verify(spark, tmp_path):
     assert loads.load_and_verify(PublishedTable(spark, f"{tmp_path}/t"), products(spark, 77)) == {
         "rows_loaded": 77, "rows_verified": 77, "match": True}

@@ -1,5 +1,6 @@
 import json
 import random
+from datetime import datetime
 
 import pytest
 from conftest import CATALOG, catalog_row
@@ -109,7 +110,7 @@ def test_compaction_forgets_old_deletes_and_squashes_the_log(spark, tmp_path):
     table.apply(frame(event("b", "DELETE", 2, 100), event("c", "INSERT", 3, 50)))
     table.tidy()
     assert len(table.log.state()["parts"]) == 1
-    table.compact(forget_deletes_before=F.lit("2024-01-01 00:01:00").cast("timestamp"))
+    table.compact(forget_deletes_before=datetime(2024, 1, 1, 0, 1))
     assert sorted(r["product_id"] for r in table.folded.read().collect()) == [2, 3]
     assert table.apply(frame(event("b", "DELETE", 2, 100))) == {"batch_id": 0, "applied": 0, "duplicate_skipped": 1}
 

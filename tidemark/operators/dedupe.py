@@ -30,6 +30,15 @@ def first_per_key_in_file(df: DataFrame, keys: list[str], order_by: list[Column
     return first_per_key(df, [file_column, *keys], order_by)
 
 
+def content_key(columns: list[str]) -> Column:
+    """SHA-256 of the columns: a short key for wide values.
+
+    Keying on it sends 64 characters per row through the shuffle and the sorts
+    instead of whole texts. NULL differs from every text.
+    """
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+
 def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
     """One row: number of rows beyond the first of each key."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import merge
 from tidemark.operators.dedupe import latest_per_key
@@ -26,14 +27,17 @@ def load_incremental(table: PublishedTable, df: DataFrame, mark_column: str) ->
     No mark yet means every row is new. The filter reaches the source scan.
     """
     started = time.monotonic()
+    kind = df.schema[mark_column].dataType
     previous = table.state()["marks"].get(mark_column)
-    new = df if previous is None else df.filter(F.col(mark_column) > previous)
-    top = new.agg(F.max(mark_column)).first()[0]
+    new = df if previous is None else df.filter(F.col(mark_column) > F.lit(previous).cast(kind))
+    # marks are kept as whole numbers or as text that Spark reads back in the same time zone
+    top = F.max(mark_column) if isinstance(kind, T.IntegralType) else F.max(mark_column).cast("string")
+    top = new.agg(top).first()[0]
     result = {"strategy": "incremental_load", "prev_watermark": previous, "rows_written": 0}
     if top is not None:
         # bounded above as well: rows that arrive in between wait for the next load
-        written = table.append(new.filter(F.col(mark_column) <= top), {mark_column: top})
-        result["rows_written"] = written["rows_written"]
+        bounded = new.filter(F.col(mark_column) <= F.lit(top).cast(kind))
+        result["rows_written"] = table.append(bounded, {mark_column: top})["rows_written"]
     return {**result, "seconds": round(time.monotonic() - started, 4)}
 
 

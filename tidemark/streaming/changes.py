@@ -9,6 +9,8 @@ update may still arrive.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,11 +30,11 @@ class ChangeTable:
     """
 
     def __init__(self, spark: SparkSession, root: str, key: str = "product_id",
-                 version: list[str] | None = None):
+                 version: list[str] | None = None, buckets: int = 32):
         self.spark, self.key = spark, key
         self.version = version or EVENT_TIME
         self.log = PublishedTable(spark, f"{root}/log", time_column="event_ts")
-        self.folded = PublishedTable(spark, f"{root}/folded")
+        self.folded = PublishedTable(spark, f"{root}/folded", key=[key], buckets=buckets)
 
     def apply(self, events: DataFrame, batch_id: int = 0) -> dict:
         """Append unseen events of one micro-batch; returns applied and skipped counts.
@@ -54,10 +56,13 @@ class ChangeTable:
         written = self.log.append(fresh.select(*events.columns))["rows_written"]
         return {"batch_id": batch_id, "applied": written, "duplicate_skipped": span["n"] - written}
 
+    def _unfolded(self) -> DataFrame:
+        return self.log.read(since=self.folded.state()["marks"].get("log_version", 0))
+
     def _newest(self) -> DataFrame:
-        folded = self.folded.state()
-        parts = self.log.read(since=folded["marks"].get("log_version", 0))
-        rows = parts if folded["version"] == 0 else self.folded.read().unionByName(parts)
+        rows = self._unfolded()
+        if self.folded.exists():
+            rows = rows.unionByName(self.folded.read())
         return latest_per_key(rows, [self.key], self.version)
 
     def current(self) -> DataFrame:
@@ -68,13 +73,21 @@ class ChangeTable:
         return alive.select(self.key, *payload, *others, F.col("event_type").alias("last_event_type"),
                             F.col("event_ts").alias("last_updated"))
 
-    def compact(self, forget_deletes_before=None) -> dict:
-        """Write the fold; delete markers older than the given time may go once no older event can arrive."""
+    def compact(self, forget_deletes_before: datetime | None = None) -> dict:
+        """Fold new log rows into the buckets of their keys; other buckets stay as they are.
+
+        Delete markers older than the given time are left out of the rewritten
+        buckets, which is safe once no older event can arrive.
+        """
+        def fold(old: DataFrame, new: DataFrame) -> DataFrame:
+            newest = latest_per_key(old.unionByName(new), [self.key], self.version)
+            if forget_deletes_before is None:
+                return newest
+            return newest.filter((F.col("event_type") != "DELETE") | (F.col("event_ts") >= forget_deletes_before))
+
         version = self.log.state()["version"]
-        newest = self._newest()
-        if forget_deletes_before is not None:
-            newest = newest.filter((F.col("event_type") != "DELETE") | (F.col("event_ts") >= forget_deletes_before))
-        return self.folded.replace(newest, {"log_version": version})
+        new = latest_per_key(self._unfolded(), [self.key], self.version)
+        return self.folded.merge(new, fold, {"log_version": version})
 
     def tidy(self, small: int = 1_000_000) -> None:
         """Join the small parts that short micro-batches leave in the log."""

@@ -83,8 +83,9 @@ def dedupe_keep_first(spark, sf):
 @query("dedupe_per_file", """SELECT doc_id, source AS source_file, n_chars FROM documents
 QUALIFY row_number() OVER (PARTITION BY source, text ORDER BY doc_id) = 1""")
 def dedupe_per_file(spark, sf):
-    documents = inputs.table(spark, sf, "documents").withColumnRenamed("source", "source_file")
-    return dedupe.first_per_key_in_file(documents, ["text"], ["doc_id"]).select("doc_id", "source_file", "n_chars")
+    documents = inputs.table(spark, sf, "documents").select(
+        "doc_id", F.col("source").alias("source_file"), "n_chars", dedupe.content_key(["text"]).alias("content"))
+    return dedupe.first_per_key_in_file(documents, ["content"], ["doc_id"]).drop("content")
 
 
 @query("duplicate_count", """SELECT CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) AS duplicate_count
