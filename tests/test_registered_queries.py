@@ -3,8 +3,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import compare
+from tidemark.suite import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.oracle
@@ -18,9 +19,9 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
-    outcome = compare(spark, con, name, queries()[name], oracle_sql().get(name), SF)
+    outcome = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF)
     assert outcome.startswith("ok") and "TYPES" not in outcome, outcome
 
 
