@@ -1,4 +1,4 @@
 """Importing this module registers the queries of the subpackage."""
 
-from tidemark.llm import packing, pieces, search, sharding  # noqa: F401
+from tidemark.llm import packing, pieces, search, sharding, simhash  # noqa: F401
 from tidemark.llm.registry import ORACLES, QUERIES  # noqa: F401
