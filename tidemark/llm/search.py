@@ -156,8 +156,8 @@ def top_k(vectors: DataFrame, is_query: str = "vec_id % 100 = 0", k: int = 10, s
 
     if not order:
         return spark_empty(vectors)
-    first = materialise(search(queries.withColumn("block", F.lit(order[0])).withColumn("bound", F.lit(None).cast("long"))),
-                        "first-found").drop("rank")
+    every = materialise(queries.withColumn("block", F.lit(order[0])).withColumn("bound", F.lit(None).cast("long")), "first-queries")
+    first = materialise(search(every), "first-found").drop("rank")
     bounds = first.groupBy(F.col("query_id").alias("vec_id")).agg(
         F.when(F.count("*") >= k, F.min("score")).alias("bound"))
     bounded = queries.join(bounds, "vec_id", "left").select("vec_id", "v", "length", "part", "bound")

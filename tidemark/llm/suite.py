@@ -1,4 +1,4 @@
 """Importing this module registers the queries of the subpackage."""
 
-from tidemark.llm import packing, pieces, quality, search, sharding, simhash, toxicity  # noqa: F401
+from tidemark.llm import lines, packing, pieces, quality, search, sharding, simhash, toxicity  # noqa: F401
 from tidemark.llm.registry import ORACLES, QUERIES  # noqa: F401
