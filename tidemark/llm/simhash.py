@@ -23,14 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, documents
+from tidemark.llm.common import Scratch, components, documents
 from tidemark.llm.registry import query
-from tidemark.session import materialise
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 SEED = 42
 #: Levels that one round of joins goes down.
-STEP = 4
+STEP = 2
 #: Fingerprints in the two subtrees that one task traverses.
 TASK_KEYS = 32_768
 #: Products of sizes up to which two nodes are compared leaf by leaf, and comparisons or node pairs at once.
@@ -205,7 +204,7 @@ def trie_links(keys: DataFrame, budget: int, bits: int = 64, limit: int | None =
     (long) and, if `limit` is given, `prints` (array<long>): a link then also
     needs at most `limit` differing bits there. Trees are joined each with itself.
     """
-    node_key = F.col("key")
+    node_key, scratch = F.col("key"), Scratch(keys.sparkSession)
 
     def prefix(level: int):
         return F.shiftrightunsigned(node_key, 64 - level) if level else F.lit(0).cast("long")
@@ -216,7 +215,7 @@ def trie_links(keys: DataFrame, budget: int, bits: int = 64, limit: int | None =
     level, jobs = 0, []
     live = nodes(0).select("tree", F.col("u"), F.col("u").alias("v"), F.lit(0).alias("differ"), F.col("n").alias("nu"), F.col("n").alias("nv"))
     while True:
-        live = materialise(live, "trie-level")
+        live = scratch.save(f"trie-level-{level}", live)
         load = F.when(F.col("u") == F.col("v"), F.col("nu")).otherwise(F.col("nu") + F.col("nv"))
         small = (load <= task_keys) | F.lit(level >= bits)
         jobs.append(live.filter(small).select("tree", F.lit(level).alias("level"), "u", "v"))
@@ -225,14 +224,14 @@ def trie_links(keys: DataFrame, budget: int, bits: int = 64, limit: int | None =
             break
         step = min(STEP, bits - level)
         level += step
-        children = materialise(nodes(level), "trie-nodes")
+        children = scratch.save("trie-nodes", nodes(level))
         cu = children.select("tree", F.shiftrightunsigned("u", step).alias("u"), F.col("u").alias("cu"), F.col("n").alias("nu"))
         cv = children.select("tree", F.shiftrightunsigned("u", step).alias("v"), F.col("u").alias("cv"), F.col("n").alias("nv"))
         live = (live.select("tree", "u", "v", "differ").join(cu, ["tree", "u"]).join(cv, ["tree", "v"]).filter("cu <= cv")
                 .withColumn("differ", F.bit_count(F.col("cu").bitwiseXOR(F.col("cv"))))
                 .filter(F.col("differ") <= budget)
                 .select("tree", F.col("cu").alias("u"), F.col("cv").alias("v"), "differ", "nu", "nv"))
-    work = materialise(_union(jobs), "trie-jobs")
+    work = scratch.save("trie-jobs", _union(jobs))
     levels = [r[0] for r in work.select("level").distinct().collect()]  # at most bits / STEP
     sides = []
     for at in levels:
@@ -275,20 +274,62 @@ def simhash_classes(docs: DataFrame, width: int = 3, budget: int = 3, task_keys:
     smallest doc_id of the component (NULL ids do not count). Repeated rows come
     as often as they are there. Other columns are not used.
     """
-    prints = materialise(fingerprints(docs, ["doc_id"], width).select("doc_id", F.col("prints")[0].alias("print")), "prints")
-    keys = materialise(prints.groupBy("print").agg(F.min("doc_id").alias("first")), "keys")
+    scratch = Scratch(docs.sparkSession)
+    prints = scratch.save("prints", fingerprints(docs, ["doc_id"], width).select("doc_id", F.col("prints")[0].alias("print")))
+    keys = scratch.save("keys", prints.groupBy("print").agg(F.min("doc_id").alias("first")))
     links = trie_links(keys.select(F.lit(0).alias("tree"), F.col("print").alias("key"), F.col("print").alias("node")),
                        budget, task_keys=task_keys)
-    joined = materialise(components(links, "simhash"), "simhash-components")
-    member = materialise(
-        keys.join(joined.select(F.col("node").alias("print"), "component"), "print", "left")
-        .select("print", "first", F.coalesce("component", "print").alias("component")), "members")
-    first = materialise(member.groupBy("component").agg(F.min("first").alias("component_id")), "firsts")
-    classes = materialise(member.join(first, "component").select("print", "component_id"), "classes")
+    joined = components(links, "simhash")
+    member = scratch.save("members", keys.join(joined.select(F.col("node").alias("print"), "component"), "print", "left")
+                          .select("print", "first", F.coalesce("component", "print").alias("component")))
+    first = scratch.save("firsts", member.groupBy("component").agg(F.min("first").alias("component_id")))
+    classes = scratch.save("classes", member.join(first, "component").select("print", "component_id"))
     return prints.join(classes, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: Near-duplicates by shingle similarity: five words, 320 bits, ten tries of 32 bits each.
+NEAR_WIDTH, NEAR_SEEDS, NEAR_LIMIT, NEAR_TASK_KEYS = 5, (42, 43, 44, 45, 46), 58, 131_072
+
+
+def without_near_duplicates(docs: DataFrame, width: int = NEAR_WIDTH, seeds: tuple[int, ...] = NEAR_SEEDS, budget: int = 3,
+                            limit: int = NEAR_LIMIT, task_keys: int = NEAR_TASK_KEYS) -> DataFrame:
+    """`docs` with one document of each group of near-duplicates: the least by doc_id (a NULL id first) and text.
+
+    Shingles of `width` words are similar to 0.8 or more where `limit` or fewer of
+    the 64 bits per seed differ: two documents of Jaccard similarity J differ in
+    acos(2 J / (1 + J)) / pi of them on average, 48 of 320 at 0.8 (the limit leaves
+    one and a half standard deviations, unrelated documents differ in 160). So many
+    differing bits are far beyond the budget of a trie, so the bits are dealt over
+    tries of 32 bits: a pair is found if it keeps to the budget in any of them, and
+    counts if it keeps to the limit over all.
+
+    All columns stay, whatever their names. NULL, empty and blank texts are one
+    group; of rows that repeat each other one stays.
+    """
+    scratch = Scratch(docs.sparkSession)
+    identity = ["__id", "__mark"]  # without NULLs, so that joining and grouping share one shuffle
+    named = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).withColumn(
+        "__mark", F.xxhash64(F.col("doc_id").isNull(), "text"))
+    prints = scratch.save("near-prints", fingerprints(named, ["doc_id", *identity], width, seeds))
+    keys = scratch.save("near-keys", prints.groupBy("prints").agg(F.count("*").alias("n"))
+                        .withColumn("node", F.monotonically_increasing_id()))
+    tries = F.array(*[F.struct(F.lit(2 * i + half).alias("tree"), (
+        F.shiftleft(F.col("prints")[i], 32) if half else F.shiftleft(F.shiftrightunsigned(F.col("prints")[i], 32), 32)).alias("key"))
+        for i in range(len(seeds)) for half in (0, 1)])
+    keyed = scratch.save("near-tries", keys.withColumn("trie", F.explode(tries)).select("trie.tree", "trie.key", "node", "prints"))
+    joined = components(trie_links(keyed, budget, 32, limit, task_keys), "near")
+    classes = scratch.save("near-classes", keys.join(joined, "node", "left").select(
+        "prints", F.coalesce("component", "node").alias("component")))
+    scratch.drop("near-tries", "near-keys")
+    kept = prints.join(classes, "prints").groupBy("component").agg(
+        F.min(F.struct("doc_id", *identity)).alias("kept")).select("kept.__id", "kept.__mark")
+    kept = scratch.save("near-kept", kept)
+    scratch.drop("near-prints", "near-classes")
+    # the join brings equal rows together, so repeated ones go without another shuffle
+    return named.join(kept, identity, "left_semi").dropDuplicates(identity).drop(*identity)
+
+
 @query("op3_simhash_near_dedup")
 def op3_simhash_near_dedup(spark, sf_dir):
     return simhash_classes(documents(spark, sf_dir))

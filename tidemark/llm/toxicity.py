@@ -181,24 +181,29 @@ class ToxicityModel:
     weights: dict[str, float]
     bias: float
 
+    def scorer(self):
+        """A function from text to score that keeps tables of the words it has met."""
+        reader, weights, bias, known = Reader(self.chars), self.weights, self.bias, {}
+
+        def score(text: str) -> float:
+            if len(known) > CACHE:
+                known.clear()
+            hits: set[str] = set()
+            for word in set(reader.words(text)):
+                if (own := known.get(word)) is None:
+                    own = known[word] = tuple(g for g in grams(word) if g in weights)
+                hits.update(own)
+            z = bias + sum(weights[g] for g in sorted(hits))
+            return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
+
+        return score
+
     def score(self, docs: DataFrame) -> DataFrame:
         """(doc_id, score, predicted) of every row; a NULL or empty text has the score of no evidence."""
-        chars, weights, bias = self.chars, self.weights, self.bias
-
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            reader, known = Reader(chars), {}
+            score = self.scorer()
             for batch in batches:
-                scores = []
-                for text in batch.column(1):
-                    if len(known) > CACHE:
-                        known.clear()
-                    hits: set[str] = set()
-                    for word in set(reader.words((text.as_py() or b"").decode(errors="replace"))):
-                        if (own := known.get(word)) is None:
-                            own = known[word] = tuple(g for g in grams(word) if g in weights)
-                        hits.update(own)
-                    z = bias + sum(weights[g] for g in sorted(hits))
-                    scores.append(1 / (1 + math.exp(-max(-500.0, min(500.0, z)))))
+                scores = [score((t.as_py() or b"").decode(errors="replace")) for t in batch.column(1)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())],
                     names=["doc_id", "score", "predicted"])
@@ -206,6 +211,17 @@ class ToxicityModel:
         rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
         return rows.mapInArrow(each, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
 
+    def clean(self, docs: DataFrame) -> DataFrame:
+        """The rows of `docs` that are not toxic, all columns as they are."""
+        at = docs.columns.index("text")
+
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            score = self.scorer()
+            for batch in batches:
+                yield batch.filter(pa.array([score(t.as_py() or "") < 0.5 for t in batch.column(at)], pa.bool_()))
+
+        return docs.mapInArrow(each, docs.schema)
+
 
 def held_out(doc_id: str = "doc_id"):
     """One fifth of the documents, by the checksum of the id as text (a NULL id counts as empty)."""
