@@ -108,7 +108,7 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
 def self_labelled() -> Column:
     """1 or 0 for findings that label themselves, else NULL."""
     known = F.col("value").rlike(KNOWN)
-    secret = (known | (F.col("assigned") == 1)) & (F.col("harmless_near") == 0) & (F.col("digits") > 0)
+    secret = (known | ((F.col("assigned") == 1) & (F.col("digits") > 0))) & (F.col("harmless_near") == 0)
     harmless = (F.col("digits") == 1) | (F.col("covered") >= 0.3) | ((F.col("digits") == 0) & (F.col("assigned") == 0))
     return F.when(secret, 1.0).when(harmless, 0.0)
 
