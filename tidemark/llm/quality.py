@@ -41,7 +41,8 @@ BINS = 1000  # shares are counted in thousandths
 #: A limit is base + slope / sqrt(number of words).
 CLASS_LIMIT, WORD_LIMIT = (0.12, 0.5), (0.24, 2.3)
 MIN_WORDS, N_COMMON = 50, 100
-CACHE = 200_000
+#: Distinct words that a task holds for a language before it passes counts on, or forgets what it has looked up.
+FLUSH, CACHE = 30_000, 50_000
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 BASE = {"n_words": pa.int64(), "word_chars": pa.int64(), "n_symbols": pa.int64(), "n_dup_lines": pa.int64(),
         "n_repeat_words": pa.int64(), "base_failed": pa.bool_()}
@@ -138,7 +139,7 @@ def references(docs: DataFrame, languages: tuple[str, ...] = LANGUAGES, n_common
                 for i, share in enumerate((BINS * classes / classes.sum()).astype(int).tolist()):
                     found[lang, 1 + i][str(share)] += 1
                 found[lang, 0].update(words)
-                if len(found[lang, 0]) > CACHE:
+                if len(found[lang, 0]) > FLUSH:
                     yield flush()
         yield flush()
 
