@@ -69,12 +69,11 @@ def test_standardise_skips_absent_columns(spark, rows):
 
 @pytest.mark.parametrize("values", [[3], [1, 2], [5, 1, 3], list(range(100)), [1] * 50 + list(range(49)), [7] * 30,
                                     [1, 1, 1, 9, 9, 9], [0.5, 2.5, 2.5, 10.0]])
-@pytest.mark.parametrize("limit", [1_000_000, 3])
-def test_exact_median_in_one_task_and_by_narrowing(spark, values, limit):
+def test_exact_median(spark, values):
     import statistics
 
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
-    assert exact_median(df, "v", small=limit).first()[0] == statistics.median(values)
+    assert exact_median(df, "v").first()[0] == statistics.median(values)
 
 
 def test_median_of_nothing_is_null(spark):

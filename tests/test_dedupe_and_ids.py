@@ -55,8 +55,17 @@ def test_positions_descending_and_of_nothing(spark):
 
 def test_surrogate_keys_follow_the_natural_order(spark, rows):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("c",)], "v string")
-    for small in (100, 0):
-        assert rows(ids.surrogate_keys(df, ["v"], "k", small)) == [(1, "a"), (2, "b"), (3, "c")]
+    assert rows(ids.surrogate_keys(df, ["v"], "k")) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_positions_meet_their_offsets_without_a_shuffle(spark, plan):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        text = plan(ids.with_positions(spark.range(20000, numPartitions=8), ["id"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
 
 
 def test_append_with_new_ids_discards_incoming_ids(spark, rows):
@@ -92,7 +101,7 @@ def test_sample_is_exact_and_repeatable(spark, rows):
     assert rows(a) == rows(b) and a.count() == 50
     assert rows(sampling.sample_rows(df, ["id"], 50, seed=4)) != rows(a)
     assert sampling.sample_rows(df.limit(7), ["id"], 50).count() == 7
-    # a small sample of many rows is the same with and without the bound on the digest
+    # a smaller sample is part of a larger one
     few = sampling.sample_rows(df, ["id"], 3, seed=3)
     assert set(rows(few)) <= set(rows(a)) and few.count() == 3
     assert 0 < sampling.sample_fraction(df, 0.1).count() < 250

@@ -66,6 +66,18 @@ def test_split_names_every_reason(spark, rows):
                        (1, ("null:productDisplayName", "range:year", "duplicate:id")), (2, ("range:year",))]
 
 
+def test_a_rejected_first_row_does_not_take_a_good_one_with_it(spark, rows):
+    df = batch(spark, catalog_row(1, name=None), catalog_row(1), catalog_row(1, name="Again")).withColumn("line", F.monotonically_increasing_id())
+    ok, bad = quality.split_batch(df.coalesce(1), ["line"])
+    assert rows(ok, "id", "productDisplayName") == [(1, "Blue Shirt")]
+    assert sorted(r["reject_reasons"] for r in bad.collect()) == [["duplicate:id"], ["null:productDisplayName"]]
+
+
+def test_an_absent_column_is_a_reason(spark, good):
+    _, bad = quality.split_batch(good.drop("year", "masterCategory"), ["productDisplayName"])
+    assert bad.count() == 50 and bad.first()["reject_reasons"] == ["missing:masterCategory", "missing:year"]
+
+
 def test_staging_keeps_a_rejected_batch(spark, good, tmp_path):
     staged, report = quality.stage_and_validate(good, "b1", str(tmp_path))
     assert staged.count() == 50 and report["batch_id"] == "b1"

@@ -82,19 +82,25 @@ def pages_of(total, fail_at):
     return reader
 
 
-@pytest.mark.parametrize("total, fail_at, kept, errors", [(23, None, 23, 0), (20, None, 20, 0), (0, None, 0, 0), (23, 1, 5, 1), (23, 0, 0, 1)])
-def test_pages_up_to_the_first_failure(spark, total, fail_at, kept, errors):
-    fetched = paged.fetch_pages(spark, pages_of(total, fail_at), page_size=5, max_pages=8)
-    schema = T.StructType(SIMPLE.fields[:2])
-    got = paged.contiguous_rows(fetched, schema)
-    assert sorted(r["id"] for r in got.collect()) == list(range(kept))
-    problems = paged.page_errors(fetched).collect()
+@pytest.mark.parametrize("total, fail_at, kept, errors", [
+    (23, None, 23, 0), (20, None, 20, 0), (0, None, 0, 0), (23, 1, 5, 1), (23, 0, 0, 1), (900, None, 900, 0), (900, 150, 750, 1)])
+def test_pages_up_to_the_end_or_the_first_failure(spark, total, fail_at, kept, errors):
+    got = paged.read_pages(spark, pages_of(total, fail_at), T.StructType(SIMPLE.fields[:2]), page_size=5, wave=8)
+    assert sorted(r["id"] for r in got.rows.collect()) == list(range(kept))
+    problems = got.errors.collect()
     assert len(problems) == errors and all("TimeoutError" in p["error"] for p in problems)
+    assert got.complete == (errors == 0)
+    if errors:
+        with pytest.raises(RuntimeError, match="TimeoutError"):
+            got.require_complete()
+    else:
+        assert got.require_complete().count() == kept
 
 
-def test_more_pages_than_allowed_are_not_read(spark):
-    reader = lambda offset, limit: [{"id": offset}]
-    assert paged.fetch_pages(spark, reader, page_size=1, max_pages=3).count() == 3
+def test_stored_pages_up_to_the_first_gap(spark, rows):
+    df = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c"), (3, "d")], "page long, v string")
+    assert rows(paged.contiguous_pages(df), "v") == [("a",), ("b",), ("c",)]
+    assert rows(paged.contiguous_pages(df.filter("page > 0"))) == []
 
 
 def test_http_pages_ask_for_offset_and_limit(monkeypatch):
@@ -111,6 +117,7 @@ def test_fallback_names_the_source_that_answered(spark, tmp_path):
     df, mode = fallback.read_with_fallback([absent, ("fallback", lambda: spark.range(3))])
     assert mode == "fallback" and df.select("mode").distinct().first()[0] == "fallback"
     assert fallback.read_with_fallback([("live", lambda: spark.range(1)), absent])[1] == "live"
+    assert fallback.read_with_fallback([("live", lambda: spark.range(0)), ("stored", lambda: spark.range(1))])[1] == "stored"
     with pytest.raises(RuntimeError, match="live"):
         fallback.read_with_fallback([absent])
 

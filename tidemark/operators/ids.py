@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tidemark.session import materialise
 
 _TIE, _SLOT, _TASK, _PLACE, _OFFSET = "__tie", "__slot", "__task", "__place", "__offset"
-SMALL = 100_000  # rows that one task may number
 _PLACE_BITS = 33  # monotonically_increasing_id keeps the row number of a task in its low 33 bits
 
 
@@ -41,34 +40,24 @@ def with_positions(df: DataFrame, order_by: list[Column | str], name: str = "pos
     per_task = fixed.groupBy(_TASK).agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_task.select(_TASK, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_OFFSET))
+    # written, so that their size is known and the rows are not shuffled to meet them
+    offsets = materialise(offsets, "offsets")
     return fixed.join(offsets, _TASK).select(
         *columns, (F.col(_OFFSET) + F.col(_PLACE) + 1).cast("long").alias(name)
     )
 
 
-def surrogate_keys(df: DataFrame, columns: list[str], name: str, small: int = SMALL) -> DataFrame:
-    """Distinct tuples of `columns` numbered 1..n in their natural order, key column first.
-
-    The tuples are written and counted; up to `small` of them are numbered by
-    one task, more of them task by task.
-    """
-    tuples = materialise(df.select(*columns).distinct(), "tuples")
-    if tuples.count() > small:
-        numbered = with_positions(tuples, columns, name)
-    else:
-        numbered = tuples.withColumn(name, F.row_number().over(Window.orderBy(*columns)).cast("long"))
-    return numbered.select(name, *columns)
+def surrogate_keys(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """Distinct tuples of `columns` numbered 1..n in their natural order, key column first."""
+    return with_positions(df.select(*columns).distinct(), columns, name).select(name, *columns)
 
 
-def ranked(df: DataFrame, by: str, name: str, small: int = SMALL) -> DataFrame:
+def ranked(df: DataFrame, by: str, name: str) -> DataFrame:
     """Rank by a column, greatest first, equal values sharing the rank and leaving a gap after it.
 
-    Up to `small` rows are ranked by one task. Beyond that a rank is the first
-    position of its value, found with a grouped minimum.
+    A rank is the first position of its value, found with a grouped minimum.
     """
     df = materialise(df, "ranked")
-    if df.count() <= small:
-        return df.withColumn(name, F.rank().over(Window.orderBy(F.desc_nulls_last(by))).cast("int"))
     first = with_positions(df.select(by), [F.desc_nulls_last(by)], name).groupBy(by).agg(F.min(name).cast("int").alias(name))
     first = materialise(first.withColumnRenamed(by, "__by"), "ranks")
     return df.join(first, F.col(by).eqNullSafe(F.col("__by"))).drop("__by")

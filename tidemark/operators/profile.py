@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_LEVELS = 1000
-SMALL = 200_000  # values that one task may sort
+from tidemark.session import materialise
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None, by_value: bool = False) -> DataFrame:
@@ -34,8 +33,14 @@ def null_counts(df: DataFrame, columns: list[str] | None = None, only_present: b
 
 
 def distinct_count(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
-    count = F.approx_count_distinct if approximate else F.countDistinct
-    return df.agg(*[count(F.col(c)).alias(c) for c in columns])
+    """One row with the number of distinct non-NULL values of each column.
+
+    Exact counts take each column's own distinct set, so no row is copied once per column.
+    """
+    if approximate:
+        return df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in columns])
+    counts = [df.select(c).distinct().agg(F.count(c)) for c in columns]
+    return df.sparkSession.range(1).select(*[n.scalar().alias(c) for c, n in zip(columns, counts)])
 
 
 def value_range(df: DataFrame, column: str) -> DataFrame:
@@ -46,108 +51,84 @@ def conditional_counts(df: DataFrame, conditions: dict[str, Column]) -> DataFram
     return df.agg(*[F.count_if(c).alias(name) for name, c in conditions.items()])
 
 
-def levels_of(df: DataFrame, column: str, limit: int = MAX_LEVELS) -> list:
+def levels_of(df: DataFrame, column: str) -> list:
     """Sorted distinct non-NULL values of a column that is about to become columns.
 
-    A schema cannot grow without bound, so more than `limit` levels is an
-    error; keep such a column in rows (`value_counts`, `frequency_encode`).
+    All of them come to the driver, as they become names in the schema. Give the
+    levels where they are known; a column of any width belongs in rows
+    (`cross_counts`, `value_counts`, `frequency_encode`).
     """
-    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{column} has more than {limit} levels; encode it in rows instead of columns")
-    return sorted(r[0] for r in found)
+    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
+
+
+def cross_counts(df: DataFrame, rows: str, columns: str) -> DataFrame:
+    """Counts of every pair (row value, column value) that occurs, in rows."""
+    present = df.filter(F.col(rows).isNotNull() & F.col(columns).isNotNull())
+    return present.groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n"))
 
 
 def cross_table(df: DataFrame, rows: str, columns: str, levels: list | None = None) -> DataFrame:
-    """Counts of every (row value, column value), 0 where the pair does not occur."""
+    """Counts of every (row value, column value), 0 where the pair does not occur, one column per level."""
     levels = levels_of(df, columns) if levels is None else levels
-    present = df.filter(F.col(rows).isNotNull() & F.col(columns).isNotNull())
     # counting pairs first leaves one row per pair for the pivot
-    pairs = present.groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n"))
+    pairs = cross_counts(df, rows, columns)
     return pairs.groupBy(rows).pivot(columns, levels).agg(F.sum("n")).na.fill(0)
 
 
-def exact_median(df: DataFrame, column: str, small: int = SMALL) -> DataFrame:
+def exact_median(df: DataFrame, column: str) -> DataFrame:
     """One row `median`: the exact median, as the mean of the two middle values.
 
-    Up to `small` values go to one task. Beyond that the search narrows to a
-    band of values that provably holds the middle, scanning the column a few
-    times without shuffling it.
+    Values are counted, the counts range-partitioned, and the tasks' totals tell
+    which one or two tasks hold the middle; only their counts are then summed up in
+    order. The values are taken by position.
     """
+    spark = df.sparkSession
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    n = values.count()
-    if n <= small:
-        return values.agg(F.median("v").alias("median"))
-    middle = _values_at_ranks(values, sorted({(n - 1) // 2, n // 2}), n, small)
-    return df.sparkSession.range(1).select(F.lit(sum(middle) / len(middle)).alias("median"))
-
-
-def _values_at_ranks(values: DataFrame, ranks: list[int], n: int, small: int) -> list[float]:
-    """The values of neighbouring 0-based ranks among `n` values.
-
-    A sketch guesses a band and exact counts decide whether it holds the ranks,
-    so an unlucky guess costs a round and never the result.
-    """
-    total, band, below = n, values, 0
-    while n > small:
-        guess = [(r - below) / n for r in ranks]
-        low, high = band.agg(F.percentile_approx(
-            "v", [max(min(guess) - 0.02, 0.0), min(max(guess) + 0.02, 1.0)], 10_000)).first()[0]
-        under, upto = band.agg(F.count_if(F.col("v") < low), F.count_if(F.col("v") <= high)).first()
-        if below + under <= ranks[0] and ranks[-1] < below + upto:
-            if low == high:
-                return [low] * len(ranks)
-            band, below, left = band.filter(F.col("v").between(low, high)), below + under, upto - under
-        elif len(ranks) > 1:
-            return [v for r in ranks for v in _values_at_ranks(values, [r], total, small)]
-        elif ranks[0] < below + under:
-            band, left = band.filter(F.col("v") < low), under
-        else:
-            band, below, left = band.filter(F.col("v") > high), below + upto, n - upto
-        if left > n / 2:
-            # a frequent value keeps the band large: counting its values is cheap if they are few
-            histogram = band.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-            if histogram.count() <= small:
-                return _percentiles(histogram, "n", ranks, below, left)
-        n = left
-    return _percentiles(band.withColumn("n", F.lit(1)), "n", ranks, below, n)
-
-
-def _percentiles(values: DataFrame, weight: str, ranks: list[int], below: int, n: int) -> list[float]:
-    fractions = [F.lit((r - below) / max(n - 1, 1)) for r in ranks]
-    row = values.agg(*[F.percentile("v", f, F.col(weight).cast("long")) for f in fractions]).first()
-    return list(row)
+    counts = materialise(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    ranged = materialise(counts.repartitionByRange("v").withColumn("task", F.spark_partition_id()), "value-ranges")
+    # one row per task of the range partitioning
+    tasks = sorted(ranged.groupBy("task").agg(F.min("v"), F.sum("n")).collect(), key=lambda r: r[1])
+    total = sum(r[2] for r in tasks)
+    if not total:
+        return spark.range(1).select(F.lit(None).cast("double").alias("median"))
+    below, found = 0, []
+    for task, _, n in tasks:
+        wanted = [r - below for r in sorted({(total - 1) // 2, total // 2}) if below <= r < below + n]
+        if wanted:
+            upto = F.sum("n").over(Window.partitionBy("task").orderBy("v"))
+            running = ranged.filter(F.col("task") == task).withColumn("upto", upto)
+            found += running.filter(reduce(Column.__or__, [
+                (F.col("upto") > r) & (F.col("upto") - F.col("n") <= r) for r in wanted])).select("v", "n", "upto").collect()
+        below += n
+    # at most two values; the same one twice if it covers both places
+    middle = [r["v"] for r in found]
+    return spark.range(1).select(F.lit(sum(middle) / len(middle)).alias("median"))
 
 
 def summary(df: DataFrame, distinct: list[str], counted: list[str], range_column: str) -> DataFrame:
     """One row: total, distinct counts, value-count maps and the range of one column.
 
-    Maps hold one entry per value, so `counted` columns go through `levels_of`
-    first; wide columns belong in `value_counts`.
+    A map has an entry for every value, so columns of any width belong in `summary_rows`.
     """
-    total = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.countDistinct(c).alias(f"unique_{c}") for c in distinct],
-        F.min(range_column).alias(f"min_{range_column}"),
-        F.max(range_column).alias(f"max_{range_column}"),
-    )
+    total = df.agg(F.count(F.lit(1)).alias("total"), F.min(range_column).alias(f"min_{range_column}"),
+                   F.max(range_column).alias(f"max_{range_column}"))
+    unique = {f"unique_{c}": df.select(c).distinct().agg(F.count(c)).scalar() for c in distinct}
     maps = {}
     for c in counted:
-        levels = levels_of(df, c)
-        pairs = df.agg(*[F.count_if(F.col(c) == v).alias(f"l{i}") for i, v in enumerate(levels)])
-        entries = [x for i, v in enumerate(levels) for x in (F.lit(v), F.col(f"l{i}"))]
-        maps[f"{c}_counts"] = pairs.select(F.create_map(*entries)).scalar()
-    return total.withColumns(maps)
+        counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
+        maps[f"{c}_counts"] = counts.agg(F.map_from_entries(F.collect_list(F.struct(c, "n")))).scalar()
+    return total.withColumns(unique | maps)
 
 
 def summary_rows(df: DataFrame, distinct: list[str], counted: list[str], range_column: str) -> DataFrame:
     """The same summary in rows (metric, value, n) for columns of any width."""
     single = df.agg(
         F.count(F.lit(1)).alias("total"),
-        *[F.countDistinct(c).alias(f"unique_{c}") for c in distinct],
         F.min(range_column).cast("long").alias(f"min_{range_column}"),
         F.max(range_column).cast("long").alias(f"max_{range_column}"),
     )
+    unique = {f"unique_{c}": df.select(c).distinct().agg(F.count(c)).scalar() for c in distinct}
+    single = single.withColumns(unique)
     frames = [single.unpivot([], single.columns, "metric", "n").select("metric", F.lit(None).cast("string").alias("value"), "n")]
     for c in counted:
         counts = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("value"))

@@ -97,27 +97,34 @@ def _all_zero(columns: list[str], complete: bool):
 def with_reject_reasons(df: DataFrame, order_by: list[str], rules: BatchRules | None = None) -> DataFrame:
     """Every row with `reject_reasons`; an empty array means the row is good.
 
-    Only keys that occur more than once are joined back, and a row counts as a
-    repeat when an earlier row (by `order_by`, unique within a key) has its key.
+    A row repeats its key when an earlier row of the key (by `order_by`, unique
+    within a key) stays: the first row without another reason, or the first row of
+    a key that has none. Only keys that occur more than once are joined back. A
+    checked column that is absent is a reason for every row.
     """
     rules = rules or BatchRules()
-    number = F.col(rules.numeric).try_cast("double")
+    absent = missing_columns(df, [*rules.mandatory, rules.numeric])
+    reasons = [*[F.when(F.col(c).isNull(), F.lit(f"null:{c}")) for c in rules.mandatory if c not in absent],
+               *[F.lit(f"missing:{c}") for c in absent]]
+    if rules.numeric not in absent:
+        number = F.col(rules.numeric).try_cast("double")
+        reasons += [
+            F.when(F.col(rules.numeric).isNotNull() & number.isNull(), F.lit(f"not_numeric:{rules.numeric}")),
+            F.when(~F.coalesce(number.between(*rules.valid_range), F.lit(False)), F.lit(f"range:{rules.numeric}")),
+        ]
+    own = F.array_compact(F.array(*reasons))
+    if rules.key not in df.columns:
+        return df.withColumn("reject_reasons", own)
     rank = F.struct(*order_by)
     repeated = materialise(
         df.groupBy(F.col(rules.key).alias("__key"))
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(rank).alias("__first"))
-        .filter(F.col("__n") > 1)
-        .drop("__n"),
+        .agg(F.count(F.lit(1)).alias("__n"), F.min(F.when(F.size(own) == 0, rank)).alias("__good"), F.min(rank).alias("__any"))
+        .filter(F.col("__n") > 1).select("__key", F.coalesce("__good", "__any").alias("__first")),
         "repeated-keys",
     )
-    reasons = [
-        *[F.when(F.col(c).isNull(), F.lit(f"null:{c}")) for c in rules.mandatory],
-        F.when(F.col(rules.numeric).isNotNull() & number.isNull(), F.lit(f"not_numeric:{rules.numeric}")),
-        F.when(~F.coalesce(number.between(*rules.valid_range), F.lit(False)), F.lit(f"range:{rules.numeric}")),
-        F.when(F.col("__first").isNotNull() & (rank > F.col("__first")), F.lit(f"duplicate:{rules.key}")),
-    ]
+    again = F.when(F.col("__first").isNotNull() & (rank > F.col("__first")), F.array(F.lit(f"duplicate:{rules.key}")))
     joined = df.join(repeated, F.col(rules.key).eqNullSafe(F.col("__key")), "left")
-    return joined.withColumn("reject_reasons", F.array_compact(F.array(*reasons))).drop("__key", "__first")
+    return joined.withColumn("reject_reasons", F.concat(own, F.coalesce(again, F.array().cast("array<string>")))).drop("__key", "__first")
 
 
 def split_batch(df: DataFrame, order_by: list[str], rules: BatchRules | None = None) -> tuple[DataFrame, DataFrame]:

@@ -10,17 +10,11 @@ def sample_rows(df: DataFrame, keys: list[str], n: int, seed: int = 42) -> DataF
     """Exactly min(n, rows) rows, chosen by a seeded digest of the key.
 
     The choice depends on keys and seed only, not on partitioning, so a lost
-    task recomputes the same rows. On a large table a bound on the digest first
-    lets about n rows through; should fewer than n pass, all rows are ordered.
+    task recomputes the same rows. Every task keeps its n smallest digests, and
+    only these are ordered together.
     """
     digest = "__digest"
     marked = df.withColumn(digest, F.md5(F.concat_ws(":", F.lit(seed), *keys)))
-    total = df.count()
-    if total > 100 * n:
-        bound = int((n + 6 * n**0.5 + 10) / total * 16**16)
-        candidates = marked.filter(F.col(digest) < f"{bound:016x}")
-        if candidates.count() >= n:
-            marked = candidates
     return marked.orderBy(digest, *keys).limit(n).drop(digest)
 
 

@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 from tidemark.functions import event_digest
 
 
-def encode_events(df: DataFrame, key: str, payload: list[str], event_type: Column | str = "INSERT",
-                  event_ts: Column | None = None) -> DataFrame:
+def encode_events(df: DataFrame, key: str, payload: list[str], event_type: Column | str,
+                  event_ts: Column) -> DataFrame:
     """(key, value) records: value is the JSON envelope of one change.
 
     The event id depends on key, type, time and payload, so encoding the same
-    change again gives the same id and consumers can drop the repeat.
+    change again gives the same id and consumers can drop the repeat. The time is
+    that of the change; a time of encoding would make every repeat a new event.
     """
     kind = F.lit(event_type) if isinstance(event_type, str) else event_type
-    when = F.current_timestamp() if event_ts is None else event_ts
     stamped = df.withColumns({
         "__type": kind,
-        "__ts": F.date_format(when.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"),
+        "__ts": F.date_format(event_ts.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"),
     })
     envelope = F.struct(
         event_digest([key, "__type", "__ts", *payload]).alias("event_id"),

@@ -18,7 +18,8 @@ def read_with_fallback(sources: list[tuple[str, Callable[[], DataFrame]]], tag:
     for name, load in sources:
         try:
             df = load()
-            df.limit(1).collect()
+            if not df.limit(1).collect():
+                raise LookupError("no rows")
             return df.withColumn(tag, F.lit(name)), name
         except Exception as problem:
             failures.append(f"{name}: {type(problem).__name__}")

@@ -1,8 +1,7 @@
 """Paginated collections, read page by page in parallel tasks.
 
 A page reader is any picklable callable `(offset, limit) -> list[dict]`. A page
-that cannot be read gives one error row instead of failing the job, and the
-caller keeps the pages before the first error or empty page.
+that cannot be read gives one error row instead of failing the job.
 """
 
 from __future__ import annotations
@@ -12,6 +11,8 @@ import sys
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -35,28 +36,54 @@ class HttpPages:
             return json.load(answer)
 
 
-class FilePages:
-    """Pages stored as files `<folder>/page=<number>/*.json` of JSON lines."""
+@dataclass(frozen=True)
+class PagedRead:
+    """Rows before the first page that could not be read, that page's errors, and whether the end was reached."""
 
-    def __init__(self, folder: str):
-        self.folder = folder
+    rows: DataFrame
+    errors: DataFrame
+    complete: bool
 
-    def __call__(self, offset: int, limit: int) -> list[dict]:
-        from pyarrow import fs
+    def require_complete(self) -> DataFrame:
+        if not self.complete:
+            raise RuntimeError(f"the collection was not read to its end: {self.errors.limit(5).collect()}")
+        return self.rows
 
-        system, base = fs.FileSystem.from_uri(self.folder)
-        page = fs.FileSelector(f"{base}/page={offset // limit}", allow_not_found=True)
-        rows = []
-        for info in system.get_file_info(page):
-            if info.base_name.endswith(".json"):
-                with system.open_input_stream(info.path) as f:
-                    rows += [json.loads(line) for line in f.read().decode("utf-8").splitlines()]
-        return rows
 
+def read_pages(spark: SparkSession, reader: PageReader, schema: T.StructType, page_size: int = 500,
+               wave: int | None = None) -> PagedRead:
+    """All rows of a paged collection, up to its first empty page.
 
-def fetch_pages(spark: SparkSession, reader: PageReader, page_size: int = 500, max_pages: int = 100,
+    Pages are read in waves, each twice as long as the one before, until a wave
+    meets an empty or a failed page. After a failure the rows before it are kept
+    and the result is marked as incomplete.
+    """
+    first, pages = 0, wave or 4 * spark.sparkContext.defaultParallelism
+    waves: list[DataFrame] = []
+    while True:
+        waves.append(fetch_pages(spark, reader, page_size, first, pages))
+        stop = waves[-1].filter(F.col("error").isNotNull()).orderBy("page").select("page", "error").first()
+        if stop is not None:
+            break
+        first, pages = first + pages, 2 * pages
+    fetched = reduce(DataFrame.unionByName, waves)
+    kept = fetched.filter(F.col("row").isNotNull() & (F.col("page") < stop["page"]))
+    return PagedRead(kept.select(F.from_json("row", schema).alias("r")).select("r.*"),
+                     fetched.filter(F.col("error").isNotNull() & (F.col("error") != "empty")).select("page", "error"),
+                     stop["error"] == "empty")
+
+
+def contiguous_pages(rows: DataFrame, page: str = "page") -> DataFrame:
+    """Rows of stored pages 0, 1, 2 … before the first page that is not there."""
+    pages = materialise(rows.select(page).distinct(), "page-numbers")
+    following = pages.select((F.col(page) + 1).alias(page)).unionByName(rows.sparkSession.sql(f"SELECT 0L AS {page}"))
+    gap = following.join(pages, page, "left_anti").agg(F.min(page))
+    return rows.filter(F.col(page) < gap.scalar())
+
+
+def fetch_pages(spark: SparkSession, reader: PageReader, page_size: int, first: int, pages: int,
                 tasks: int | None = None) -> DataFrame:
-    """(page, row, error) for every row of every page, plus one row per failed or empty page.
+    """(page, row, error) for every row of `pages` pages, plus one row per failed or empty page.
 
     Pages are dealt out to `tasks` tasks (by default four per core); each task
     holds one page at a time.
@@ -82,18 +109,7 @@ def fetch_pages(spark: SparkSession, reader: PageReader, page_size: int = 500, m
 
     # readers of this module travel with the job, so workers need not have the package installed
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    tasks = min(max_pages, tasks or 4 * spark.sparkContext.defaultParallelism)
-    fetched = spark.range(0, max_pages, 1, tasks).mapInPandas(read, out)
+    tasks = min(pages, tasks or 4 * spark.sparkContext.defaultParallelism)
+    fetched = spark.range(first, first + pages, 1, tasks).mapInPandas(read, out)
     # a remote page may answer differently when a task is repeated, so the answers are kept
     return materialise(fetched, "pages")
-
-
-def page_errors(fetched: DataFrame) -> DataFrame:
-    return fetched.filter(F.col("error").isNotNull() & (F.col("error") != "empty")).select("page", "error")
-
-
-def contiguous_rows(fetched: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows of the pages before the first failed or empty page, as columns."""
-    first_stop = fetched.filter(F.col("error").isNotNull()).agg(F.min("page"))
-    kept = fetched.filter(F.col("row").isNotNull() & (F.col("page") < F.coalesce(first_stop.scalar(), F.lit(2**62))))
-    return kept.select(F.from_json("row", schema).alias("r")).select("r.*")

@@ -48,6 +48,12 @@ def crosstab(spark, sf):
     return profile.cross_table(lines, "l_shipmonth", "l_returnflag")
 
 
+@query("profile_crosstab_long", "SELECT l_partkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY 1, 2")
+def crosstab_long(spark, sf):
+    """Any number of levels on both sides."""
+    return profile.cross_counts(inputs.table(spark, sf, "lineitem"), "l_partkey", "l_returnflag")
+
+
 @query("profile_summary", f"""WITH {CATALOG_SQL}
 SELECT 'total' AS metric, CAST(NULL AS VARCHAR) AS value, count(*) AS n FROM catalog UNION ALL
 SELECT 'unique_articleType', NULL, count(DISTINCT articleType) FROM catalog UNION ALL
@@ -64,11 +70,12 @@ def summary(spark, sf):
 
 @query("profile_summary_maps", """SELECT count(*) AS total, count(DISTINCT user_id) AS unique_user_id,
   min(value) AS min_value, max(value) AS max_value,
-  CAST(count_if(event_type = 'click') AS BIGINT) AS clicks, CAST(count_if(event_type = 'view') AS BIGINT) AS views FROM events""")
+  (SELECT string_agg(event_type || '=' || n, ',' ORDER BY event_type) FROM (SELECT event_type, count(*) AS n FROM events
+    WHERE event_type IS NOT NULL GROUP BY 1)) AS counts FROM events""")
 def summary_maps(spark, sf):
     row = profile.summary(inputs.table(spark, sf, "events"), ["user_id"], ["event_type"], "value")
-    return row.select("total", "unique_user_id", "min_value", "max_value",
-                      F.col("event_type_counts")["click"].alias("clicks"), F.col("event_type_counts")["view"].alias("views"))
+    entries = F.array_sort(F.transform(F.map_entries("event_type_counts"), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    return row.select("total", "unique_user_id", "min_value", "max_value", F.array_join(entries, ",").alias("counts"))
 
 
 @query("profile_null_counts", f"""WITH {CATALOG_SQL}

@@ -65,15 +65,14 @@ def scan_documents_json(spark, sf):
 
 @query("scan_pages", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def scan_pages(spark, sf):
-    """A collection stored in pages of 1000 rows, read until the first empty page."""
+    """A collection stored in some hundred and fifty pages, read up to the first page that is not there."""
     rows = inputs.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    size = 1000
-    pages = rows.agg(F.floor(F.max("o_orderkey") / size) + 1).first()[0]
+    size = rows.agg(F.max("o_orderkey")).first()[0] // 150 + 1
     path = scratch_path(spark, "pages")
     page = F.floor(F.col("o_orderkey") / size)
     rows.withColumn("page", page).repartition("page").write.partitionBy("page").json(path)
-    fetched = paged.fetch_pages(spark, paged.FilePages(path), size, pages + 1, tasks=8)
-    return paged.contiguous_rows(fetched, rows.schema)
+    stored = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("page", T.LongType())])).json(path)
+    return paged.contiguous_pages(stored).drop("page")
 
 
 @query("scan_with_fallback", "SELECT o_orderkey, o_orderstatus, 'fallback' AS mode FROM orders")
