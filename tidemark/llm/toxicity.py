@@ -101,7 +101,7 @@ class Reader:
         self.code = {c: i + 1 for i, c in enumerate(LETTERS)}
 
     def words(self, text: str | None) -> list[str]:
-        """The restored words of a text, in lower case."""
+        """The restored words of a text, in lower case; those of equal tokens once."""
         if not text:
             return []
         if len(self.readings) > CACHE:
@@ -110,7 +110,7 @@ class Reader:
         out: list[str] = []
         for spaced in SPACED.findall(text):
             out += self.read(re.sub(r"[ .\-_*]", "", spaced))
-        for token in text.split():
+        for token in dict.fromkeys(text.split()):
             found = self.readings.get(token)
             if found is None:
                 found = self.readings[token] = self.read(token)
@@ -182,18 +182,20 @@ class ToxicityModel:
     bias: float
 
     def scorer(self):
-        """A function from text to score that keeps tables of the words it has met."""
-        reader, weights, bias, known = Reader(self.chars), self.weights, self.bias, {}
+        """A function from text to score: one pass of an automaton over the restored words finds all n-grams."""
+        import ahocorasick
+
+        reader, automaton = Reader(self.chars), ahocorasick.Automaton()
+        for gram, weight in self.weights.items():
+            # words stand between single spaces, which are their ends
+            automaton.add_word(gram.replace("^", " ").replace("$", " "), (gram, weight))
+        if self.weights:
+            automaton.make_automaton()
 
         def score(text: str) -> float:
-            if len(known) > CACHE:
-                known.clear()
-            hits: set[str] = set()
-            for word in set(reader.words(text)):
-                if (own := known.get(word)) is None:
-                    own = known[word] = tuple(g for g in grams(word) if g in weights)
-                hits.update(own)
-            z = bias + sum(weights[g] for g in sorted(hits))
+            words = " ".join(["", *(w[:LONGEST] for w in reader.words(text)), ""])
+            hits = dict(found for _, found in automaton.iter(words)) if self.weights else {}
+            z = self.bias + sum(hits[g] for g in sorted(hits))
             return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
         return score
