@@ -133,17 +133,20 @@ def maximal_repeats(left: list[bytes], right: list[bytes], length: int) -> Itera
 
 
 def spans_of(members: list[dict], length: int) -> Iterator[tuple[dict, int, int]]:
-    """(member, start, end) of the repeats of one anchor's members: `block`, its `start`, and the `lead` before the anchor."""
+    """(member, start, end) of what repeats cover in one anchor's members: `block`, its `start`, and the `lead` before the anchor.
+
+    All repeats of a member contain its anchor, so together they cover one run of bytes.
+    """
     left = [m["block"][:m["lead"]][::-1] for m in members]
     right = [m["block"][m["lead"]:] for m in members]
-    best: dict[int, set[tuple[int, int]]] = {}
+    reach: dict[int, tuple[int, int]] = {}
     for before, after, occurrences in maximal_repeats(left, right, length):
         for i in occurrences:
-            best.setdefault(i, set()).add((before, after))
-    for i, found in best.items():
-        for before, after in found:
-            at = members[i]["start"] + members[i]["lead"]
-            yield members[i], at - before, at + after
+            b, a = reach.get(i, (0, 0))
+            reach[i] = max(b, before), max(a, after)
+    for i, (before, after) in reach.items():
+        at = members[i]["start"] + members[i]["lead"]
+        yield members[i], at - before, at + after
 
 
 # --- distributed -----------------------------------------------------------------------------------------------------
