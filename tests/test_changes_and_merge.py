@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, merge
 from tidemark.sinks.published import PublishedTable
-from tidemark.sinks.snapshots import track_changes
+from tidemark.sinks.snapshots import change_log_of, track_changes
 
 ROW = "product_id long, articleType string, baseColour string, usage string, stock_qty int"
 
@@ -31,6 +31,28 @@ def test_changes_between_snapshots(spark, tmp_path, previous, current, expected)
     assert table.read().count() == len(current)
 
 
+def test_changes_survive_a_failure_before_the_snapshot_moves(spark, tmp_path, rows, monkeypatch):
+    table = PublishedTable(spark, f"{tmp_path}/snapshot")
+    track_changes(table, stock(spark, (1, 10)), "product_id")
+    replace = PublishedTable.replace
+    monkeypatch.setattr(PublishedTable, "replace", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        track_changes(table, stock(spark, (1, 99), (2, 5)), "product_id")
+    monkeypatch.setattr(PublishedTable, "replace", replace)
+    changes, _ = track_changes(table, stock(spark, (1, 99), (2, 5)), "product_id")
+    assert rows(changes) == [(1, "UPDATE"), (2, "INSERT")]
+    log = change_log_of(table).read()
+    assert rows(log, "product_id", "op", "snapshot_version") == [(1, "INSERT", 0), (1, "UPDATE", 1), (2, "INSERT", 1)]
+
+
+def test_null_keys_do_not_multiply(spark, rows):
+    batch = spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string")
+    once = merge.upsert(batch.limit(0), batch, ["k"])
+    assert rows(merge.upsert(once, batch, ["k"])) == rows(batch)
+    gone = spark.createDataFrame([(None, "DELETE", "n")], "k int, op string, v string")
+    assert rows(cdc.apply_changes(batch, gone, "k")) == [(1, "a")]
+
+
 def test_snapshot_takes_the_last_row_of_a_repeated_key(spark):
     df = stock(spark, (1, 5), (1, 7)).withColumn("line", F.col("stock_qty"))
     one = cdc.snapshot(df, "product_id", last_by=["line"]).collect()

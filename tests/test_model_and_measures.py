@@ -155,8 +155,8 @@ def test_prepared_batch(spark, rows):
 
 def test_merged_sources_fill_gaps_with_zero(spark, rows):
     catalog = spark.createDataFrame([catalog_row(1, article="t-shirts"), catalog_row(2, category="Footwear")], CATALOG)
-    inventory = etl.derive_inventory(catalog.filter("id = 1"))
-    reviews = etl.derive_reviews(catalog.filter("id = 2"))
+    inventory = spark.sql("SELECT 1L AS id, 2 AS stock_qty, current_timestamp() AS updated_at")
+    reviews = spark.sql("SELECT 2L AS product_id, 1.4D AS rating, 2 AS review_count")
     merged = etl.merge_sources(catalog, inventory, reviews)
     assert len(merged.columns) == 14
     assert rows(merged, "product_id", "articleType", "stock_qty", "rating", "review_count") == [

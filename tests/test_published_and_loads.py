@@ -1,11 +1,10 @@
 import json
-from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.sinks import files, loads
-from tidemark.sinks.published import Constraints, PublishedTable, PublishRejected
+from tidemark.sinks.published import ConcurrentPublish, Constraints, PublishedTable, PublishRejected
 
 
 def names(spark, *pairs):
@@ -75,7 +74,7 @@ def test_a_merge_rewrites_only_touched_buckets(spark, tmp_path, rows):
     done = loads.load_upsert(table, names(spark, (5, "new")), "run-2")
     after = {p["bucket"]: p["path"] for p in table.state()["parts"]}
     assert sum(before[b] != after[b] for b in before) == 1
-    assert done == {"run_id": "run-2", "row_count_before": 200, "row_count_after": 200, "net_new_rows": 0}
+    assert done == {"run_id": "run-2", "row_count_before": 200, "row_count_after": 200, "net_new_rows": 0, "rows_in_batch": 1}
     assert rows(table.read().filter("loaded_by_run = 'run-2'"), "id", "productDisplayName") == [(5, "new")]
 
 
@@ -121,22 +120,57 @@ def test_load_and_verify(spark, tmp_path):
         "rows_loaded": 77, "rows_verified": 77, "match": True}
 
 
-def test_time_span_opens_only_its_parts(spark, tmp_path, plan):
-    table = PublishedTable(spark, f"{tmp_path}/t", time_column="ts")
-    for day in (1, 2, 3):
-        table.append(spark.sql(f"SELECT {day} AS d, TIMESTAMP'2024-01-0{day} 10:00:00' AS ts"))
-    part = table.read(span=(datetime(2024, 1, 2), datetime(2024, 1, 2, 23)))
-    assert part.collect()[0]["d"] == 2 and len(part.inputFiles()) == 1
+def test_the_table_keeps_its_buckets_and_key(spark, tmp_path):
+    first = PublishedTable(spark, f"{tmp_path}/t", key=["id"], buckets=32)
+    loads.load_upsert(first, products(spark, 1000), "a")
+    other = PublishedTable(spark, f"{tmp_path}/t", key=["id"], buckets=4)
+    assert loads.load_upsert(other, products(spark, 300), "b")["net_new_rows"] == 0
+    assert other.buckets == 32 and first.read().count() == 1000
+    assert first.read().select("id").distinct().count() == 1000
+    with pytest.raises(ValueError, match="key"):
+        PublishedTable(spark, f"{tmp_path}/t", key=["productDisplayName"]).read()
 
 
-def test_squash_joins_small_parts_only(spark, tmp_path):
+def test_null_keys_are_rejected(spark, tmp_path):
+    table = PublishedTable(spark, f"{tmp_path}/t", key=["id"], buckets=4)
+    with pytest.raises(PublishRejected, match="NULL"):
+        loads.load_upsert(table, names(spark, (1, "a"), (None, "b")), "r")
+    assert not table.exists()
+
+
+def test_of_two_writers_one_fails(spark, tmp_path, monkeypatch, rows):
+    table, other = (PublishedTable(spark, f"{tmp_path}/t") for _ in range(2))
+    table.replace(names(spark, (1, "a")))
+    write = PublishedTable._write
+
+    def interrupted(self, df, version):
+        parts = write(self, df, version)
+        monkeypatch.setattr(PublishedTable, "_write", write)
+        other.append(names(spark, (2, "b")))
+        return parts
+
+    monkeypatch.setattr(PublishedTable, "_write", interrupted)
+    with pytest.raises(ConcurrentPublish):
+        table.append(names(spark, (3, "c")))
+    assert rows(table.read()) == [(1, "a"), (2, "b")]
+    table.append(names(spark, (3, "c")))
+    assert table.read().count() == 3
+
+
+def test_vacuum_keeps_the_current_version(spark, tmp_path, rows):
     table = PublishedTable(spark, f"{tmp_path}/t")
-    table.append(products(spark, 100))
     for i in range(3):
-        table.append(names(spark, (1000 + i, "x")))
-    table.squash(small=50)
-    assert sorted(p["rows"] for p in table.state()["parts"]) == [3, 100]
-    assert table.read().count() == 103 and table.squash(small=50) is None
+        table.replace(names(spark, (i, "x")))
+    assert table.vacuum() == 0
+    assert table.vacuum(keep_seconds=-1) == 4  # two folders and two versions
+    assert rows(table.read()) == [(2, "x")] and table.state()["version"] == 3
+    table.append(names(spark, (9, "y")))
+    assert table.read().count() == 2
+
+
+def test_a_batch_is_logged_with_its_own_size(spark, tmp_path):
+    table = PublishedTable(spark, f"{tmp_path}/t", key=["id"], buckets=4)
+    assert [loads.load_upsert(table, products(spark, n), "r")["rows_in_batch"] for n in (50, 20)] == [50, 20]
 
 
 def test_rebuild_range_leaves_other_partitions(spark, tmp_path, rows):
@@ -161,5 +195,6 @@ def test_files_and_run_log(spark, tmp_path, rows):
     (written,) = (tmp_path / "report").glob("*.json")
     assert json.loads(written.read_text()) == {"n": 1, "m": {"k": 2}}
     loads.log_run(spark, f"{tmp_path}/log", "r1", 5)
-    loads.log_run(spark, f"{tmp_path}/log", "r2", 6)
-    assert rows(spark.read.parquet(f"{tmp_path}/log"), "run_id", "rows_upserted") == [("r1", 5), ("r2", 6)]
+    loads.log_run(spark, f"{tmp_path}/log", "2", 6)
+    loads.log_run(spark, f"{tmp_path}/log", "r1", 7)
+    assert rows(loads.read_run_log(spark, f"{tmp_path}/log"), "run_id", "rows_upserted") == [("2", 6), ("r1", 7)]

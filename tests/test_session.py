@@ -24,6 +24,8 @@ class Session:
 def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(Session("yarn"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Session("local-cluster[2,1,1024]"))
     local = Session("local[2]")
     assert session.shared_folder(local) == session.shared_folder(local)
 
@@ -36,6 +38,16 @@ def test_a_written_table_is_read_back_whole_and_can_be_dropped(spark, monkeypatc
     assert session.drop_scratch(spark) and not list((tmp_path / "tidemark").iterdir())
 
 
+def test_a_temporary_table_goes_with_its_block(spark):
+    with session.temporary(spark.range(3), "t") as df:
+        assert df.count() == 3
+        path = df.inputFiles()[0]
+    from pathlib import Path
+
+    assert not Path(path.removeprefix("file://")).exists()
+
+
 def test_shuffles_grow_with_the_input():
     assert session.shuffle_partitions(1) == 200
+    assert session.shuffle_partitions(session.DEFAULT_INPUT_BYTES) == 4096
     assert session.shuffle_partitions(100 * 10**12) == 186265

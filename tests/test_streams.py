@@ -103,16 +103,35 @@ def test_arrival_order(spark, tmp_path, rows):
         assert table.current().first()["v"] == expected
 
 
-def test_compaction_forgets_old_deletes_and_squashes_the_log(spark, tmp_path):
+def changes(spark, *events):
+    return good_events(decode_events(spark.createDataFrame([(json.dumps(e),) for e in events], "value string")))
+
+
+def test_compaction_forgets_old_deletes_and_nothing_revives(spark, tmp_path):
     table = ChangeTable(spark, f"{tmp_path}/table")
-    frame = lambda *events: good_events(decode_events(spark.createDataFrame([(json.dumps(e),) for e in events], "value string")))
-    table.apply(frame(event("a", "DELETE", 1, 1)))
-    table.apply(frame(event("b", "DELETE", 2, 100), event("c", "INSERT", 3, 50)))
-    table.tidy()
-    assert len(table.log.state()["parts"]) == 1
+    table.apply(changes(spark, event("z", "INSERT", 1, 0), event("a", "DELETE", 1, 1)))
+    table.apply(changes(spark, event("b", "DELETE", 2, 100), event("c", "INSERT", 3, 50)))
     table.compact(forget_deletes_before=datetime(2024, 1, 1, 0, 1))
     assert sorted(r["product_id"] for r in table.folded.read().collect()) == [2, 3]
-    assert table.apply(frame(event("b", "DELETE", 2, 100))) == {"batch_id": 0, "applied": 0, "duplicate_skipped": 1}
+    assert table.apply(changes(spark, event("b", "DELETE", 2, 100), event("z", "INSERT", 1, 0))) == {
+        "batch_id": 0, "applied": 0, "duplicate_skipped": 2}
+    assert [r[0] for r in now(table)] == [3]
+    table.compact()
+    assert [r[0] for r in now(table)] == [3]
+
+
+def test_a_repeat_is_known_by_its_id_alone(spark, tmp_path):
+    table = ChangeTable(spark, f"{tmp_path}/table")
+    table.apply(changes(spark, event("a", "INSERT", 1, 1)))
+    assert table.apply(changes(spark, event("a", "INSERT", 1, 5000)))["applied"] == 0
+
+
+def test_folded_rows_are_read_without_a_window(spark, tmp_path, plan):
+    table = ChangeTable(spark, f"{tmp_path}/table")
+    table.apply(changes(spark, event("a", "INSERT", 1, 1)))
+    assert "Window" in plan(table.current())
+    table.compact()
+    assert "Window" not in plan(table.current())
 
 
 histories = st.lists(st.tuples(st.integers(1, 3), st.sampled_from(["INSERT", "UPDATE", "DELETE"])), min_size=1, max_size=8)
@@ -152,17 +171,18 @@ def test_new_files_are_taken_once_and_together(spark, tmp_path):
     incoming = tmp_path / "incoming"
     incoming.mkdir()
     schema = spark.createDataFrame([], CATALOG).schema
-    table, quarantine = PublishedTable(spark, f"{tmp_path}/t"), PublishedTable(spark, f"{tmp_path}/q")
+    table, quarantine = PublishedTable(spark, f"{tmp_path}/t", key=["id"], buckets=4), PublishedTable(spark, f"{tmp_path}/q")
     run = lambda: ingest_new_files(spark, str(incoming), schema, table, f"{tmp_path}/c", quarantine, ["productDisplayName"])
     write_catalog(incoming / "one.csv", catalog_row(1, " A "), catalog_row(2, None))
     write_catalog(incoming / "two.csv", catalog_row(3, colour=None))
     (incoming / "notes.txt").write_text("ignored")
     assert [(d["published"], d["quarantined"]) for d in run()] == [(2, 1)]
     assert run() == []
-    write_catalog(incoming / "three.csv", catalog_row(4), catalog_row(5, year=1900))
-    assert [(d["published"], d["quarantined"]) for d in run()] == [(1, 1)]
+    write_catalog(incoming / "three.csv", catalog_row(4, year=None), catalog_row(5, year=1900), catalog_row(1, "New"), catalog_row(6))
+    assert [(d["published"], d["quarantined"]) for d in run()] == [(3, 1)]
     got = sorted((r["id"], r["productDisplayName"], r["baseColour"], r["source_file"]) for r in table.read().collect())
-    assert got == [(1, "A", "Blue", "one.csv"), (3, "Blue Shirt", "Unknown", "two.csv"), (4, "Blue Shirt", "Blue", "three.csv")]
+    assert got == [(1, "New", "Blue", "three.csv"), (3, "Blue Shirt", "Unknown", "two.csv"), (4, "Blue Shirt", "Blue", "three.csv"),
+                   (6, "Blue Shirt", "Blue", "three.csv")]
     assert sorted((r["id"], r["reject_reasons"]) for r in quarantine.read().collect()) == [
         (2, ["null:productDisplayName"]), (5, ["range:year"])]
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import row_hash
 from tidemark.operators.dedupe import first_per_key, latest_per_key
+from tidemark.operators.merge import without_keys
 
 # The columns whose content makes a tracked row differ.
 TRACKED_COLUMNS = ["articleType", "baseColour", "usage", "stock_qty"]
@@ -55,13 +56,13 @@ def change_samples(changes: DataFrame, key: str, n: int = 5) -> DataFrame:
 
 def apply_changes(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Target after deletes and upserts; `changes` has unique keys, `op` and the target's columns."""
-    kept = target.join(changes.select(key), key, "left_anti")
+    kept = without_keys(target, changes, [key])
     written = changes.filter(F.col("op") != "DELETE").select(*target.columns)
     return kept.unionByName(written)
 
 
-def change_log(changes: DataFrame, applied_at: Column | None = None, by: str = "op") -> DataFrame:
-    """Applied changes with the time of application, for appending to a log table."""
+def change_log(changes: DataFrame, applied_at: Column | None = None) -> DataFrame:
+    """Applied changes with the time of application, as `track_changes` appends them to its log."""
     return changes.withColumn("applied_at", F.current_timestamp() if applied_at is None else applied_at)
 
 

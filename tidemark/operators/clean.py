@@ -63,8 +63,13 @@ class CatalogRules:
 
 
 def _repair_rows(df: DataFrame, rules: CatalogRules) -> DataFrame:
-    named = drop_null_rows(df, rules.required)
-    filled = fill_constants(named, {c: rules.unknown_text for c in rules.unknown})
+    return repair(drop_null_rows(df, rules.required), rules)
+
+
+def repair(df: DataFrame, rules: CatalogRules | None = None) -> DataFrame:
+    """Gaps filled and texts stripped in all rows; none is dropped."""
+    rules = rules or CatalogRules()
+    filled = fill_constants(df, {c: rules.unknown_text for c in rules.unknown})
     return strip_columns(fill_median(filled, rules.median), rules.texts)
 
 

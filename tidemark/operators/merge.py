@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedupe import latest_per_key
 
 
+def without_keys(target: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of `target` whose key is not in `other`; NULL keys are equal to each other."""
+    mine = other.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return target.join(mine, same, "left_anti")
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], last_by: list[str] | None = None) -> DataFrame:
-    """Rows of `batch` replace or extend `target`.
+    """Rows of `batch` replace or extend `target`; NULL keys are equal to each other.
 
     A written batch has a known size: Spark broadcasts a small one, so the
     target streams through without a shuffle, and sort-merge joins a large one.
     """
     if last_by is not None:
         batch = latest_per_key(batch, keys, last_by)
-    kept = target.join(batch.select(*keys), keys, "left_anti")
+    kept = without_keys(target, batch, keys)
     return kept.unionByName(batch.select(*target.columns))
 
 

@@ -6,7 +6,7 @@ and readers see complete tables only.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +19,12 @@ from tidemark.sinks.published import Constraints, PublishedTable
 from tidemark.sinks.snapshots import track_changes
 
 
+STAR_TABLES = ["fact_sales", "dim_product", "dim_customer", "dim_store", "dim_time", "snowflake_dim_category",
+               "snowflake_dim_subcategory", "snowflake_dim_article_type", "snowflake_dim_product"]
+NORMAL_TABLES = ["normal_products", "normal_categories", "normal_sub_categories", "normal_article_types",
+                 "normal_customers", "normal_stores", "normal_orders", "normal_order_items"]
+
+
 @dataclass(frozen=True)
 class Sources:
     """Inputs of a build. `order_by` decides which of several rows of a product is the first.
@@ -84,8 +90,16 @@ class Warehouse:
 
     def model(self, s: Sources) -> int:
         tables = star.normalise(self.read("products"))
-        self._publish("products_normal", tables.products)
-        tables = replace(tables, products=self.read("products_normal"))
+        normal = {
+            "normal_products": tables.products, "normal_categories": tables.master_categories,
+            "normal_sub_categories": tables.sub_categories, "normal_article_types": tables.article_types,
+            "normal_customers": s.customers, "normal_stores": s.stores, "normal_orders": s.sales_orders,
+            "normal_order_items": s.sales_items,
+        }
+        for name, df in normal.items():
+            self._publish(name, df)
+        tables = star.NormalForm(self.read("normal_categories"), self.read("normal_sub_categories"),
+                                 self.read("normal_article_types"), self.read("normal_products"))
         named = {
             "dim_product": star.dim_product(tables), "dim_customer": s.customers, "dim_store": s.stores,
             "dim_time": star.dim_time(s.sales_orders), **star.snowflake_tables(tables),
@@ -101,9 +115,7 @@ class Warehouse:
         return len(results)
 
     def export(self) -> int:
-        names = ["fact_sales", "dim_product", "dim_customer", "dim_store", "dim_time", "snowflake_dim_category",
-                 "snowflake_dim_subcategory", "snowflake_dim_article_type", "snowflake_dim_product"]
-        return len(files.export_tables({n: self.read(n) for n in names}, f"{self.root}/export"))
+        return len(files.export_tables({n: self.read(n) for n in STAR_TABLES + NORMAL_TABLES}, f"{self.root}/export"))
 
     def validate(self, run_id: str) -> int:
         _, report = quality.stage_and_validate(self.read("catalog"), run_id, f"{self.root}/staging")
@@ -112,7 +124,7 @@ class Warehouse:
     def upsert(self, run_id: str) -> int:
         table = self.table("products_resilient", key=["id"], buckets=self.buckets)
         done = loads.load_upsert(table, self.read("catalog"), run_id)
-        loads.log_run(self.spark, f"{self.root}/run_log", run_id, done["row_count_after"])
+        loads.log_run(self.spark, f"{self.root}/run_log", run_id, done["rows_in_batch"])
         return done["net_new_rows"]
 
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +25,10 @@ SETTINGS = {
 }
 
 
+#: Input that an application is sized for when nothing is said: 4096 reduce tasks.
+DEFAULT_INPUT_BYTES = 2 << 40
+
+
 def shuffle_partitions(input_bytes: int, per_task: int = 512 << 20, at_least: int = 200) -> int:
     """Reduce tasks for a job that shuffles about `input_bytes`; adaptive execution joins small ones."""
     return max(at_least, -(-input_bytes // per_task))
@@ -31,15 +39,15 @@ def build_session(app_name: str = "tidemark", master: str | None = None, input_b
     """A session with the settings the library relies on; `extra` uses `_` for `.`.
 
     `input_bytes` sizes the shuffles of the application, so that one reduce task
-    fits in an executor's memory.
+    fits in an executor's memory. Adaptive execution joins small reduce tasks and
+    adds none, so an unknown input counts as a large one.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
-    if input_bytes is not None:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
+    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes or DEFAULT_INPUT_BYTES)))
     for key, value in extra.items():
         builder = builder.config(key.replace("_", "."), value)
     return builder.getOrCreate()
@@ -52,16 +60,17 @@ def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared scratch folder, named by `spark.checkpoint.dir`.
 
     A machine-local folder is used only when the setting is absent and the
-    whole application runs in one local JVM.
+    whole application runs in one local JVM; it goes when the application ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+        folder = _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return _local_folders[context.applicationId]
 
 
@@ -76,8 +85,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def drop_scratch(spark: SparkSession) -> bool:
     """Delete this application's intermediate tables, at its end when no DataFrame needs them any more."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    return root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+    return drop_path(spark, _scratch_root(spark))
+
+
+def drop_path(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def temporary(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """`df` written to the shared folder, for as long as the block runs."""
+    path = scratch_path(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        drop_path(df.sparkSession, path)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -1,26 +1,28 @@
 """Tables whose new content becomes visible in one step.
 
 A write goes to a new folder, its constraints are checked on the files just
-written, and only then a small pointer file is replaced. Readers follow the
-pointer, so a failed or half-finished job is never seen. A table takes one
-writer at a time.
+written, and only then a small file with the next version number is put in place,
+which fails if that version is there already. Readers take the highest version,
+so a failed or half-finished job is never seen, and of two writers that start from
+the same version one fails.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import materialise
+from tidemark.session import temporary
 
-POINTER = "CURRENT.json"
+COMMITS = "commits"
 BUCKET = "__bucket"
 
 
@@ -28,6 +30,10 @@ class PublishRejected(Exception):
     """The written rows break a constraint; the table keeps its earlier content."""
 
 
+class ConcurrentPublish(Exception):
+    """Another writer published in between; the table has its content."""
+
+
 @dataclass
 class Constraints:
     not_null: list[str] = field(default_factory=list)
@@ -44,18 +50,16 @@ class PublishedTable:
     """A Parquet table at `root`, replaced, appended to or merged into as a whole.
 
     With `key`, rows are spread over `buckets` folders by key hash, and a merge
-    rewrites only the buckets that the batch touches. With `time_column`, the
-    pointer keeps the time span of every appended part, so a reader of a span
-    opens no other part.
+    rewrites only the buckets that the batch touches. The table keeps the key and
+    the number of buckets of its first publish.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: list[str] | None = None, buckets: int = 32,
-                 constraints: Constraints | None = None, time_column: str | None = None):
+                 constraints: Constraints | None = None):
         self.spark, self.root, self.key, self.buckets = spark, root.rstrip("/"), key, buckets
         self.constraints = constraints or Constraints()
-        self.time_column = time_column
 
-    # pointer ---------------------------------------------------------------
+    # versions --------------------------------------------------------------
 
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
@@ -63,32 +67,63 @@ class PublishedTable:
     def _files(self, path):
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def state(self) -> dict:
-        """The pointer's content; an empty state before the first publish."""
-        path = self._path(POINTER)
+    def _names(self, folder: str) -> list:
+        path = self._path(folder)
         files = self._files(path)
-        if not files.exists(path):
-            return {"version": 0, "parts": [], "rows": 0, "schema": None, "marks": {}}
-        stream = files.open(path)
+        return list(files.listStatus(path)) if files.exists(path) else []
+
+    def _commits(self) -> list:
+        found = [s for s in self._names(COMMITS) if s.getPath().getName().startswith("v=")]
+        return sorted(found, key=lambda s: s.getPath().getName())
+
+    def state(self) -> dict:
+        """Content of the highest version; an empty state before the first publish."""
+        commits = self._commits()
+        if not commits:
+            return {"version": 0, "parts": [], "rows": 0, "schema": None, "marks": {}, "key": self.key, "buckets": self.buckets}
+        stream = self._files(commits[-1].getPath()).open(commits[-1].getPath())
         try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            state = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
+        if self.key is not None and state["key"] != self.key:
+            raise ValueError(f"{self.root} has the key {state['key']}, not {self.key}")
+        self.key, self.buckets = state["key"], state["buckets"]
+        return state
 
-    def _set_state(self, state: dict) -> None:
+    def _commit(self, state: dict) -> None:
+        """Put the state in place as its version, unless that version exists."""
         jvm = self.spark._jvm
-        target, draft = self._path(POINTER), self._path(f"{POINTER}.{uuid.uuid4().hex}")
+        target, draft = self._path(f"{COMMITS}/v={state['version']:012d}.json"), self._path(f"{COMMITS}/draft-{uuid.uuid4().hex}")
         out = self._files(target).create(draft, True)
         try:
             out.write(bytearray(json.dumps(state).encode("utf-8")))
         finally:
             out.close()
-        rename = jvm.org.apache.hadoop.fs.Options.Rename
-        options = self.spark.sparkContext._gateway.new_array(rename, 1)
-        options[0] = rename.OVERWRITE
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            target.toUri(), self.spark._jsc.hadoopConfiguration())
-        context.rename(draft, target, options)
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration())
+        try:
+            context.rename(draft, target, options)
+        except Py4JJavaError as problem:
+            self._files(draft).delete(draft, False)
+            if "FileAlreadyExists" in problem.java_exception.getClass().getName():
+                raise ConcurrentPublish(f"{self.root}: version {state['version']} was published by another writer") from None
+            raise
+
+    def vacuum(self, keep_seconds: int = 7 * 24 * 3600) -> int:
+        """Delete folders that the current version does not use, and older versions, after the given time.
+
+        The time must be longer than any reader or writer of the table runs. Returns the number of folders and files.
+        """
+        used = {p["path"].split("/")[1] for p in self.state()["parts"]}
+        before = (time.time() - keep_seconds) * 1000
+        old = [s for s in self._names("data") if s.getPath().getName() not in used]
+        old += self._commits()[:-1] + [s for s in self._names(COMMITS) if s.getPath().getName().startswith("draft-")]
+        old = [s.getPath() for s in old if s.getModificationTime() <= before]
+        for path in old:
+            self._files(path).delete(path, True)
+        return len(old)
 
     # reading ---------------------------------------------------------------
 
@@ -100,21 +135,18 @@ class PublishedTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{p['path']}" for p in parts])
 
-    def read(self, buckets: list[int] | None = None, since: int = 0,
-             span: tuple[datetime, datetime] | None = None) -> DataFrame:
-        """Current rows, optionally of some buckets, of versions after `since`, or of a time span."""
-        state = self.state()
+    def read(self, buckets: list[int] | None = None, since: int = 0) -> DataFrame:
+        """Current rows, optionally of some buckets or of versions after `since`."""
+        return self._read_state(self.state(), buckets, since)
+
+    def _read_state(self, state: dict, buckets: list[int] | None = None, since: int = 0) -> DataFrame:
         if state["schema"] is None:
             raise FileNotFoundError(f"nothing has been published at {self.root}")
         parts = [p for p in state["parts"] if p["version"] > since]
         if buckets is not None:
             wanted = set(buckets)
             parts = [p for p in parts if p["bucket"] in wanted]
-        if span is not None:
-            low, high = (_micros(t) for t in span)
-            parts = [p for p in parts if p["low"] <= high and p["high"] >= low]
-        rows = self._read_parts(parts, T.StructType.fromJson(state["schema"]))
-        return rows if span is None else rows.filter(F.col(self.time_column).between(*span))
+        return self._read_parts(parts, T.StructType.fromJson(state["schema"]))
 
     # writing ---------------------------------------------------------------
 
@@ -134,75 +166,73 @@ class PublishedTable:
         return [{"path": f"{folder}/{n}", "bucket": int(n.split("=")[1]), "version": version}
                 for n in sorted(names) if n.startswith(BUCKET)]
 
-    def _publish(self, df: DataFrame, keep: list[dict], kept_rows: int, marks: dict | None,
-                 unique_over_all: bool = False) -> dict:
-        state = self.state()
+    def _publish(self, state: dict, df: DataFrame, keep: list[dict], marks: dict | None) -> dict:
+        """Write `df` next to the kept parts and publish both as the version after `state`."""
         version = state["version"] + 1
         parts = self._write(df, version)
         written = self._read_parts(parts, df.schema)
         # counted on the files: a count taken while writing may see a repeated task twice
-        facts = {"rows": F.count(F.lit(1))}
-        facts.update({f"null:{c}": F.count_if(F.col(c).isNull()) for c in self.constraints.not_null})
-        if self.time_column:
-            facts["low"] = F.unix_micros(F.min(self.time_column))
-            facts["high"] = F.unix_micros(F.max(self.time_column))
-        found = written.agg(*[v.alias(k) for k, v in facts.items()]).first().asDict()
-        broken = {k: n for k, n in found.items() if k.startswith("null:") and n}
-        if self.constraints.unique and not broken:
-            scope = written.unionByName(self._read_parts(keep, df.schema)) if unique_over_all else written
-            repeated = repeated_rows(scope, self.constraints.unique)
+        nulls = {f"null:{c}": F.count_if(F.col(c).isNull()) for c in self.constraints.not_null}
+        facts = [F.count(F.lit(1)).alias("rows"), *[n.alias(k) for k, n in nulls.items()]]
+        if self.key is None:
+            found = written.agg(*facts).first().asDict()
+            parts[0]["rows"] = found["rows"]
+        else:
+            # one row for each bucket
+            per_bucket = [r.asDict() for r in written.groupBy(self.bucket_of().alias("bucket")).agg(*facts).collect()]
+            found = {k: sum(r[k] for r in per_bucket) for k in ("rows", *nulls)}
+            rows = {r["bucket"]: r["rows"] for r in per_bucket}
+            for p in parts:
+                p["rows"] = rows[p["bucket"]]
+        broken = {k: found[k] for k in nulls if found[k]}
+        unique = self.constraints.unique
+        if unique and not broken:
+            repeated = repeated_rows(written, unique)
+            if keep and not repeated:
+                # kept rows are unique already, so only the new keys are looked up among them
+                kept = self._read_parts(keep, df.schema).select(*unique)
+                repeated = kept.join(written.select(*unique), unique, "left_semi").count()
             if repeated:
-                broken[f"duplicate:{','.join(self.constraints.unique)}"] = repeated
+                broken[f"duplicate:{','.join(unique)}"] = repeated
         if broken:
             raise PublishRejected(f"{self.root}: {broken}")
-        if self.key is None:
-            parts[0].update({k: found[k] for k in ("rows", "low", "high") if k in found})
+        parts = keep + (parts if found["rows"] else [])
         new = {
             "version": version,
-            "parts": keep + (parts if found["rows"] else []),
-            "rows": kept_rows + found["rows"],
+            "parts": parts,
+            "rows": sum(p["rows"] for p in parts),
             "schema": df.schema.jsonValue(),
             "marks": {**state["marks"], **(marks or {})},
+            "key": self.key,
+            "buckets": self.buckets,
         }
-        self._set_state(new)
+        self._commit(new)
         return {"version": version, "rows_written": found["rows"], "rows_total": new["rows"]}
 
     def replace(self, df: DataFrame, marks: dict | None = None) -> dict:
-        return self._publish(df, [], 0, marks)
+        return self._publish(self.state(), df, [], marks)
 
     def append(self, df: DataFrame, marks: dict | None = None) -> dict:
         state = self.state()
-        return self._publish(df, state["parts"], state["rows"], marks, unique_over_all=True)
+        return self._publish(state, df, state["parts"], marks)
 
     def merge(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame],
               marks: dict | None = None) -> dict:
         """Replace the touched buckets by `combine(rows of those buckets, batch)`.
 
-        The batch is written once and must have unique keys. At most `buckets`
-        integers come to the driver.
+        The batch is written once and must have unique keys without NULLs. At most
+        `buckets` integers come to the driver.
         """
         state = self.state()
-        batch = materialise(batch, "merge-batch")
-        per_key = batch.groupBy(*self.key).agg(F.count(F.lit(1)).alias("n"))
-        repeated, touched = per_key.agg(F.sum(F.col("n") - 1), F.collect_set(self.bucket_of())).first()
-        if repeated:
-            raise PublishRejected(f"{self.root}: {repeated} repeated keys in the batch")
-        keep = [p for p in state["parts"] if p["bucket"] not in set(touched)]
-        kept_rows = self._read_parts(keep, batch.schema).count() if keep else 0
-        old = self.read(touched) if state["version"] else self.spark.createDataFrame([], batch.schema)
-        return self._publish(combine(old, batch), keep, kept_rows, marks)
-
-    def squash(self, small: int) -> dict | None:
-        """Join appended parts of fewer than `small` rows into one; large parts are not touched."""
-        state = self.state()
-        parts = [p for p in state["parts"] if p.get("rows", small) < small]
-        if len(parts) < 2:
-            return None
-        rows = self._read_parts(parts, T.StructType.fromJson(state["schema"]))
-        keep = [p for p in state["parts"] if p not in parts]
-        return self._publish(rows, keep, state["rows"] - sum(p["rows"] for p in parts), None)
-
-
-def _micros(moment: datetime) -> int:
-    """The driver reads timestamps in its own zone; so does `timestamp()`."""
-    return int(moment.timestamp()) * 1_000_000 + moment.microsecond
+        with temporary(batch, "merge-batch") as rows:
+            per_key = rows.groupBy(*self.key).agg(F.count(F.lit(1)).alias("n"))
+            missing = F.lit(False)
+            for c in self.key:
+                missing = missing | F.col(c).isNull()
+            n, keys, null_keys, touched = per_key.agg(
+                F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.count_if(missing), F.collect_set(self.bucket_of())).first()
+            if null_keys or n > keys:
+                raise PublishRejected(f"{self.root}: {n - keys} repeated keys and {null_keys} keys with NULL in the batch")
+            keep = [p for p in state["parts"] if p["bucket"] not in set(touched)]
+            old = self._read_state(state, touched) if state["version"] else self.spark.createDataFrame([], rows.schema)
+            return {**self._publish(state, combine(old, rows), keep, marks), "rows_in_batch": n}

@@ -4,20 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from pyspark.sql import functions as F
+
 from tidemark.operators import cdc
-from tidemark.session import materialise
+from tidemark.session import temporary
 from tidemark.sinks.published import PublishedTable
 
 
+def change_log_of(table: PublishedTable) -> PublishedTable:
+    """The log of all changes that `track_changes` found for a snapshot table."""
+    return PublishedTable(table.spark, f"{table.root}-changes")
+
+
 def track_changes(table: PublishedTable, current: DataFrame, key: str, columns: list[str] | None = None,
                   last_by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(changes, counts) since the snapshot in `table`, which then becomes the current one.
 
-    The changes are written before the snapshot moves, so a failure in between
-    repeats the comparison instead of losing it.
+    The changes are appended to the published log before the snapshot moves. The
+    log remembers which version of the snapshot they belong to: a run that failed
+    in between finds its changes there and only moves the snapshot.
     """
-    now = materialise(cdc.snapshot(current, key, columns, last_by), "snapshot")
-    before = table.read() if table.exists() else now.limit(0)
-    changes = materialise(cdc.diff_snapshots(before, now, key), "changes")
-    table.replace(now)
-    return changes, cdc.change_counts(changes, now)
+    log, version = change_log_of(table), table.state()["version"]
+    with temporary(cdc.snapshot(current, key, columns, last_by), "snapshot") as now:
+        if log.state()["marks"].get("snapshot_version", -1) < version:
+            before = table.read() if table.exists() else now.limit(0)
+            found = cdc.change_log(cdc.diff_snapshots(before, now, key)).withColumn("snapshot_version", F.lit(version))
+            log.append(found, {"snapshot_version": version})
+        table.replace(now)
+    changes = log.read().filter(F.col("snapshot_version") == version).select(key, "op")
+    return changes, cdc.change_counts(changes, table.read())

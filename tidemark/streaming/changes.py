@@ -1,10 +1,11 @@
 """Applying a stream of change events exactly once.
 
-Every micro-batch appends the events it has not seen to a published log in one
-step, so a repeated batch finds its own events there and adds nothing. The table of current rows is the newest event of every key, which does not
-depend on the order or number of deliveries. `compact` writes that fold down so
-that reading stays cheap; deletes stay in it as markers, because an older
-update may still arrive.
+Every micro-batch appends the events whose id is not in the published log, in one
+step, so a repeated batch finds its own events there and adds nothing. The table
+of current rows is the newest event of every key, which does not depend on the
+order or number of deliveries. `compact` writes that fold down so that reading
+stays cheap; deletes stay in it as markers, because an older update may still
+arrive.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedupe import latest_per_key
-from tidemark.session import materialise
+from tidemark.session import temporary
 from tidemark.sinks.published import PublishedTable
 
 EVENT_TIME = ["event_ts", "event_id"]
@@ -33,35 +34,36 @@ class ChangeTable:
                  version: list[str] | None = None, buckets: int = 32):
         self.spark, self.key = spark, key
         self.version = version or EVENT_TIME
-        self.log = PublishedTable(spark, f"{root}/log", time_column="event_ts")
+        self.log = PublishedTable(spark, f"{root}/log")
         self.folded = PublishedTable(spark, f"{root}/folded", key=[key], buckets=buckets)
 
     def apply(self, events: DataFrame, batch_id: int = 0) -> dict:
         """Append unseen events of one micro-batch; returns applied and skipped counts.
 
-        The batch is written once, so its records are decoded once.
+        The batch is written once, so its records are decoded once. Of the log only
+        the ids are read; the id alone tells a repeat, whatever its time says.
         """
-        events = materialise(events, "micro-batch")
-        span = events.agg(
-            F.count(F.lit(1)).alias("n"), F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi")
-        ).first()
-        if span["n"] == 0:
-            return {"batch_id": batch_id, "applied": 0, "duplicate_skipped": 0}
-        # one row per event id and task crosses the shuffle, however often an event is redelivered
-        fresh = events.dropDuplicates(["event_id"])
-        if self.log.exists():
-            # a redelivered event has its old time, so only that stretch of the log is read
-            seen = self.log.read(span=(span["lo"], span["hi"]))
-            fresh = fresh.join(seen.select("event_id"), "event_id", "left_anti")
-        written = self.log.append(fresh.select(*events.columns))["rows_written"]
-        return {"batch_id": batch_id, "applied": written, "duplicate_skipped": span["n"] - written}
+        with temporary(events, "micro-batch") as batch:
+            n = batch.count()
+            if n == 0:
+                return {"batch_id": batch_id, "applied": 0, "duplicate_skipped": 0}
+            # one row per event id and task crosses the shuffle, however often an event is redelivered
+            fresh = batch.dropDuplicates(["event_id"])
+            if self.log.exists():
+                fresh = fresh.join(self.log.read().select("event_id"), "event_id", "left_anti")
+            written = self.log.append(fresh.select(*batch.columns))["rows_written"]
+        return {"batch_id": batch_id, "applied": written, "duplicate_skipped": n - written}
 
     def _unfolded(self) -> DataFrame:
         return self.log.read(since=self.folded.state()["marks"].get("log_version", 0))
 
     def _newest(self) -> DataFrame:
+        """The newest event of every key; what is folded already is taken as it is."""
+        folded = self.folded.state()
+        if folded["version"] and folded["marks"]["log_version"] == self.log.state()["version"]:
+            return self.folded.read()
         rows = self._unfolded()
-        if self.folded.exists():
+        if folded["version"]:
             rows = rows.unionByName(self.folded.read())
         return latest_per_key(rows, [self.key], self.version)
 
@@ -89,10 +91,6 @@ class ChangeTable:
         new = latest_per_key(self._unfolded(), [self.key], self.version)
         return self.folded.merge(new, fold, {"log_version": version})
 
-    def tidy(self, small: int = 1_000_000) -> None:
-        """Join the small parts that short micro-batches leave in the log."""
-        self.log.squash(small)
-
     def change_log(self) -> DataFrame:
         return self.log.read()
 

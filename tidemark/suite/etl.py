@@ -7,25 +7,19 @@ from pyspark.sql import functions as F
 from tidemark.plans import etl
 from tidemark.suite import inputs
 from tidemark.suite.cleaning import TITLE_SQL
-from tidemark.suite.inputs import CATALOG_SQL
+from tidemark.suite.inputs import CATALOG_SQL, SOURCES_SQL
 from tidemark.suite.registry import query
 
-# Reviews exist for products with a name, as in a store where only some are reviewed.
-_MERGED = f"""{CATALOG_SQL},
+_MERGED = f"""{CATALOG_SQL}, {SOURCES_SQL},
 merged AS (SELECT c.id AS product_id, gender, masterCategory, subCategory, {TITLE_SQL.format('trim(articleType)')} AS articleType,
   {TITLE_SQL.format('trim(baseColour)')} AS baseColour, season, year, {TITLE_SQL.format('trim(usage)')} AS usage,
   productDisplayName, coalesce(i.stock_qty, 0) AS stock_qty, coalesce(r.rating, 0.0) AS rating,
   coalesce(r.review_count, 0) AS review_count
-FROM catalog c LEFT JOIN (SELECT id, CAST(id % 50 + 1 AS INTEGER) AS stock_qty FROM catalog WHERE year IS NOT NULL) i ON c.id = i.id
-LEFT JOIN (SELECT id, ((id * 7) % 50) / 10.0::DOUBLE AS rating, CAST(id % 200 AS INTEGER) AS review_count
-  FROM catalog WHERE productDisplayName IS NOT NULL) r ON c.id = r.id)"""
+FROM catalog c LEFT JOIN inventory i ON c.id = i.id LEFT JOIN reviews r ON c.id = r.product_id)"""
 
 
 def _merged(spark, sf):
-    catalog = inputs.catalog(spark, sf)
-    inventory = etl.derive_inventory(catalog.filter("year IS NOT NULL"))
-    reviews = etl.derive_reviews(catalog.filter("productDisplayName IS NOT NULL"))
-    return etl.merge_sources(catalog, inventory, reviews)
+    return etl.merge_sources(inputs.catalog(spark, sf), inputs.inventory(spark, sf), inputs.reviews(spark, sf))
 
 
 @query("etl_merge", f"WITH {_MERGED} SELECT * FROM merged")
@@ -36,8 +30,7 @@ def etl_merge(spark, sf):
 @query("etl_merge_without_reviews", f"""WITH {_MERGED}
 SELECT product_id, stock_qty, 0.0::DOUBLE AS rating, 0 AS review_count FROM merged""")
 def etl_merge_without_reviews(spark, sf):
-    catalog = inputs.catalog(spark, sf)
-    merged = etl.merge_sources(catalog, etl.derive_inventory(catalog.filter("year IS NOT NULL")))
+    merged = etl.merge_sources(inputs.catalog(spark, sf), inputs.inventory(spark, sf))
     return merged.select("product_id", "stock_qty", "rating", "review_count")
 
 

@@ -67,6 +67,24 @@ def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(again)
 
 
+# Stock of a part: what was ordered of it and not returned. Reviews: events of the user who has the part's number.
+SOURCES_SQL = """inventory AS (SELECT l_partkey AS id, CAST(sum(l_quantity) AS INTEGER) AS stock_qty FROM lineitem
+  WHERE l_returnflag = 'N' GROUP BY 1),
+reviews AS (SELECT user_id AS product_id, round(5.0 * CAST(count_if(event_type = 'purchase') AS DOUBLE) / count(*), 2) AS rating,
+  CAST(count(*) AS INTEGER) AS review_count FROM events GROUP BY 1)"""
+
+
+def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").filter("l_returnflag = 'N'").groupBy(F.col("l_partkey").alias("id")).agg(
+        F.sum("l_quantity").cast("int").alias("stock_qty"), F.max("l_shipdate").alias("updated_at"))
+
+
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rating = F.round(F.lit(5.0) * F.count_if(F.col("event_type") == "purchase") / F.count(F.lit(1)), 2)
+    return table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("product_id")).agg(
+        rating.alias("rating"), F.count(F.lit(1)).cast("int").alias("review_count"))
+
+
 # Cleaned catalogue in SQL: the checks that start from clean rows build on it.
 CLEAN_SQL = RAW_SQL + """,
 named AS (SELECT * FROM raw_catalog WHERE productDisplayName IS NOT NULL),

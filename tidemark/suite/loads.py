@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import clean, quality
+from tidemark.operators import clean, merge, quality
 from tidemark.session import scratch_path
 from tidemark.sinks import files, loads
 from tidemark.sinks.published import Constraints, PublishedTable
@@ -157,11 +157,34 @@ def report_round_trip(spark, sf):
 @query("run_log", """SELECT 'lineitem' AS run_id, count(*) AS rows_upserted FROM lineitem UNION ALL
 SELECT 'orders', count(*) FROM orders""")
 def run_log(spark, sf):
+    """The second run is repeated: its row is replaced."""
     path = scratch_path(spark, "run-log")
-    for name in ("lineitem", "orders"):
+    for name in ("lineitem", "orders", "orders"):
         done = loads.load_full(_new_table(spark, name), inputs.table(spark, sf, name))
         loads.log_run(spark, path, name, done["rows_written"])
-    return spark.read.schema("run_id string, rows_upserted long").parquet(path)
+    return loads.read_run_log(spark, path).drop("ran_at")
+
+
+@query("merge_other_buckets", """SELECT o_orderkey, o_orderstatus, o_orderpriority, o_custkey,
+  CASE WHEN o_orderpriority = '5-LOW' AND o_orderdate < TIMESTAMP '1996-01-01' THEN 'run-0' ELSE 'run-1' END AS loaded_by_run
+FROM (SELECT o_orderkey, o_orderpriority, o_custkey, o_orderdate,
+  CASE WHEN o_orderpriority = '5-LOW' AND o_orderdate < TIMESTAMP '1996-01-01' THEN 'O' ELSE o_orderstatus END AS o_orderstatus FROM orders)""")
+def merge_other_buckets(spark, sf):
+    """A writer that asks for another number of buckets works with those that the table has."""
+    path = scratch_path(spark, "rebucketed")
+    loads.load_upsert(PublishedTable(spark, path, key=["o_orderkey"], buckets=8), _before(spark, sf), "run-0")
+    table = PublishedTable(spark, path, key=["o_orderkey"], buckets=3)
+    loads.load_upsert(table, _after(spark, sf), "run-1")
+    return table.read()
+
+
+@query("upsert_null_keys", """SELECT CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_returnflag END AS flag, count(*) AS n
+FROM lineitem GROUP BY 1""")
+def upsert_null_keys(spark, sf):
+    """Upserting counts per flag twice, one flag being NULL, leaves one row per flag."""
+    flags = inputs.table(spark, sf, "lineitem").groupBy(F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("flag")).agg(
+        F.count(F.lit(1)).alias("n"))
+    return merge.upsert(merge.upsert(flags.limit(0), flags, ["flag"]), flags, ["flag"])
 
 
 @query("snapshot_tracking", """WITH b AS (SELECT count(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'),

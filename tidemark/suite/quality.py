@@ -32,26 +32,29 @@ def validate_missing_column(spark, sf):
                          "outlier_check_passed", "all_passed")
 
 
-@query("quarantine_rows", f"""WITH {RAW_SQL}
+# A row repeats its key when an earlier row stays: the first good one, or the first one if none is good.
+_JUDGED = f"""{RAW_SQL},
+judged AS (SELECT *, productDisplayName IS NOT NULL AND coalesce(year BETWEEN 1990 AND 2026, false) AS fine FROM raw_catalog),
+placed AS (SELECT *, coalesce(min(delivery) FILTER (fine) OVER (PARTITION BY id), min(delivery) OVER (PARTITION BY id)) AS first FROM judged)"""
+
+
+@query("quarantine_rows", f"""WITH {_JUDGED}
 SELECT id, delivery, concat_ws(',', CASE WHEN productDisplayName IS NULL THEN 'null:productDisplayName' END,
   CASE WHEN NOT coalesce(year BETWEEN 1990 AND 2026, false) THEN 'range:year' END,
-  CASE WHEN row_number() OVER (PARTITION BY id ORDER BY delivery) > 1 THEN 'duplicate:id' END) AS reasons
-FROM raw_catalog QUALIFY reasons <> ''""")
+  CASE WHEN delivery > first THEN 'duplicate:id' END) AS reasons
+FROM placed WHERE NOT fine OR delivery > first""")
 def quarantine_rows(spark, sf):
     _, bad = quality.split_batch(inputs.raw_catalog(spark, sf), ["delivery"])
     return bad.select("id", "delivery", F.array_join("reject_reasons", ",").alias("reasons"))
 
 
-@query("accepted_rows", f"""WITH {RAW_SQL}
-SELECT * FROM raw_catalog QUALIFY row_number() OVER (PARTITION BY id ORDER BY delivery) = 1
-  AND productDisplayName IS NOT NULL AND year BETWEEN 1990 AND 2026""")
+@query("accepted_rows", f"WITH {_JUDGED} SELECT * EXCLUDE (fine, first) FROM placed WHERE fine AND delivery = first")
 def accepted_rows(spark, sf):
     return quality.split_batch(inputs.raw_catalog(spark, sf), ["delivery"])[0]
 
 
-@query("stage_gate", f"""WITH {RAW_SQL}
-SELECT 'accepted' AS batch, true AS promoted, count(*) AS row_count FROM (SELECT 1 FROM raw_catalog
-  QUALIFY row_number() OVER (PARTITION BY id ORDER BY delivery) = 1 AND productDisplayName IS NOT NULL AND year BETWEEN 1990 AND 2026)
+@query("stage_gate", f"""WITH {_JUDGED}
+SELECT 'accepted' AS batch, true AS promoted, count(*) AS row_count FROM placed WHERE fine AND delivery = first
 UNION ALL SELECT 'raw', false, count(*) FROM raw_catalog""")
 def stage_gate(spark, sf):
     raw = inputs.raw_catalog(spark, sf)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +15,7 @@ from tidemark.sources.events import dead_letters, decode_events, good_events, st
 from tidemark.streaming.changes import ChangeTable, run_changes
 from tidemark.streaming.files import ingest_new_files
 from tidemark.suite import inputs
-from tidemark.suite.inputs import CHANGES_SQL, RAW_SQL
+from tidemark.suite.inputs import CHANGES_SQL, CLEAN_SQL
 from tidemark.suite.registry import query
 
 _PAYLOAD = ["value", "source_type"]
@@ -63,7 +65,8 @@ def stream_cdc_apply(spark, sf):
 
 
 @query("stream_replay_counts", """SELECT 'first run' AS step, count(*) AS applied, count(*) AS duplicate_skipped FROM events UNION ALL
-SELECT 'restart', 0, 0 UNION ALL SELECT 'replay', 0, 2 * count(*) FROM events""")
+SELECT 'restart', 0, 0 UNION ALL SELECT 'replay', 0, 2 * count(*) FROM events UNION ALL
+SELECT 'other times', 0, count(*) FROM events""")
 def stream_replay_counts(spark, sf):
     folder = _delivered_twice(spark, sf)
     table = ChangeTable(spark, scratch_path(spark, "changes"))
@@ -72,9 +75,27 @@ def stream_replay_counts(spark, sf):
     for step, place in (("first run", checkpoint), ("restart", checkpoint), ("replay", scratch_path(spark, "checkpoint"))):
         done = run_changes(_events(spark, folder), table, place)
         rows.append((step, sum(d["applied"] for d in done), sum(d["duplicate_skipped"] for d in done)))
+    # the same events come once more under another time
+    again = good_events(decode_events(_records(spark, sf), _SCHEMA)).drop("key").withColumn("event_ts", F.col("event_ts") + F.expr("INTERVAL 400 DAYS"))
+    done = table.apply(again)
+    rows.append(("other times", done["applied"], done["duplicate_skipped"]))
     return spark.createDataFrame(rows, "step string, applied long, duplicate_skipped long")
 
 
+@query("stream_forgotten_deletes", f"""WITH {CHANGES_SQL},
+newest AS (SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY event_ts DESC) = 1)
+SELECT product_id, event_type AS last_event_type FROM newest WHERE event_type <> 'DELETE'""")
+def stream_forgotten_deletes(spark, sf):
+    """Compacted, all old delete markers forgotten, the same events delivered again: no deleted row comes back."""
+    table = ChangeTable(spark, scratch_path(spark, "changes"))
+    events = good_events(decode_events(_records(spark, sf), _SCHEMA)).drop("key")
+    table.apply(events)
+    table.compact(forget_deletes_before=datetime(2100, 1, 1))
+    table.apply(events, 1)
+    table.compact()
+    return table.current().select("product_id", "last_event_type")
+
+
 @query("stream_change_counts", f"WITH {CHANGES_SQL} SELECT event_type, count(*) AS n FROM changes GROUP BY 1")
 def stream_change_counts(spark, sf):
     table = ChangeTable(spark, scratch_path(spark, "changes"))
@@ -83,10 +104,15 @@ def stream_change_counts(spark, sf):
 
 
 @query("event_encode_decode", f"""WITH {CHANGES_SQL} SELECT CAST(product_id AS VARCHAR) AS key, event_type, product_id, value, source_type,
-  strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f') AS event_ts FROM changes""")
+  strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f') AS event_ts, 1 AS same_id,
+  (SELECT count(*) FROM changes) AS ids FROM changes""")
 def event_encode_decode(spark, sf):
-    events = good_events(decode_events(_records(spark, sf), _SCHEMA))
-    return events.select("key", "event_type", "product_id", "payload.*", _micros("event_ts").alias("event_ts"))
+    """Encoded twice, every event has the same id both times and shares it with no other."""
+    twice = [good_events(decode_events(_records(spark, sf), _SCHEMA)) for _ in range(2)]
+    per_id = twice[0].unionByName(twice[1]).groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+    ids = per_id.agg(F.count_if(F.col("n") == 2))
+    events = twice[0].join(per_id, "event_id").withColumns({"same_id": (F.col("n") == 2).cast("int"), "ids": ids.scalar()})
+    return events.select("same_id", "ids", "key", "event_type", "product_id", "payload.*", _micros("event_ts").alias("event_ts"))
 
 
 @query("event_dead_letters", """SELECT CAST(count_if(event_type = 'view') AS BIGINT) AS undecodable, CAST(count_if(event_type <> 'view') AS BIGINT) AS decoded FROM events""")
@@ -112,16 +138,14 @@ def latest_event_per_key(spark, sf):
         "event_id", "user_id", "event_type", "value")
 
 
-@query("stream_new_files", f"""WITH {RAW_SQL},
-good AS (SELECT * FROM raw_catalog QUALIFY row_number() OVER (PARTITION BY id ORDER BY delivery) = 1
-  AND productDisplayName IS NOT NULL AND year BETWEEN 1990 AND 2026)
-SELECT id, gender, masterCategory, subCategory, articleType, trim(coalesce(baseColour, 'Unknown')) AS baseColour,
-  trim(coalesce(season, 'Unknown')) AS season, year, trim(coalesce(usage, 'Unknown')) AS usage,
-  trim(productDisplayName) AS productDisplayName, delivery FROM good""")
+@query("stream_new_files", f"WITH {CLEAN_SQL} SELECT * FROM clean")
 def stream_new_files(spark, sf):
+    """The same catalogue comes twice, in files of two names: every product is there once."""
     raw = inputs.raw_catalog(spark, sf)
     folder = scratch_path(spark, "incoming")
-    raw.repartition("id").write.option("header", True).csv(folder)
-    table, quarantine = (PublishedTable(spark, scratch_path(spark, n)) for n in ("catalog", "quarantine"))
-    ingest_new_files(spark, folder, raw.schema, table, scratch_path(spark, "checkpoint"), quarantine, ["delivery"])
+    table = PublishedTable(spark, scratch_path(spark, "catalog"), key=["id"], buckets=8)
+    quarantine, checkpoint = PublishedTable(spark, scratch_path(spark, "quarantine")), scratch_path(spark, "checkpoint")
+    for _ in range(2):
+        raw.repartition("id").write.mode("append").option("header", True).csv(folder)
+        ingest_new_files(spark, folder, raw.schema, table, checkpoint, quarantine, ["delivery"])
     return table.read().drop("source_file")

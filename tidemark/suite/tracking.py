@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import row_hash
 from tidemark.operators import cdc, merge
+from tidemark.session import scratch_path
+from tidemark.sinks.published import PublishedTable
+from tidemark.sinks.snapshots import change_log_of, track_changes
 from tidemark.suite import inputs
 from tidemark.suite.registry import query
 
@@ -82,9 +85,14 @@ def apply_changeset(spark, sf):
     return cdc.apply_changes(before, changes, "o_orderkey")
 
 
-@query("cdc_change_log", f"WITH {_CHANGES_SQL} SELECT op, count(*) AS n FROM changes GROUP BY 1")
+@query("cdc_change_log", f"""WITH {_CHANGES_SQL} SELECT o_orderkey, op, 1 AS snapshot_version FROM changes UNION ALL
+SELECT o_orderkey, 'INSERT', 0 FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'""")
 def cdc_change_log(spark, sf):
-    return cdc.counts_by_op(cdc.change_log(_changes(spark, sf)))
+    """The log that two comparisons have appended to."""
+    table = PublishedTable(spark, scratch_path(spark, "snapshot"))
+    for state in (_before, _after):
+        track_changes(table, state(spark, sf), "o_orderkey", _COLUMNS)
+    return change_log_of(table).read().select("o_orderkey", "op", F.col("snapshot_version").cast("int").alias("snapshot_version"))
 
 
 @query("upsert_batch", """SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '1999-01-01' THEN o_orderstatus ELSE 'O' END AS o_orderstatus,
