@@ -146,20 +146,21 @@ def test_line_classes_connect_similar_lines(spark, line_texts):
     distinct = {}
     for place, line in lines.items():
         union.join(place, distinct.setdefault(line, place))
-    texts = list(distinct)
+    texts, pairs = list(distinct), []
     for i, a in enumerate(texts):
         for b in texts[:i]:
             if similar(a, b) >= 0.8:
-                union.join(distinct[a], distinct[b])
+                pairs.append((distinct[a], distinct[b]))
+                union.join(*pairs[-1])
     got = {(r.doc_id, r.line_no): r for r in line_classes(documents(spark, line_texts, clash=True)).collect()}
     assert set(got) == set(lines)
-    wrong = 0
+    first = {place: (r.first_doc_id, r.first_line_no) for place, r in got.items()}
     for place, r in got.items():
-        assert r.kept == ((r.first_doc_id, r.first_line_no) == place)
-        # links are verified, so classes are never joined wrongly; banding may miss one
-        assert union.find((r.first_doc_id, r.first_line_no)) == union.find(place)
-        wrong += (r.first_doc_id, r.first_line_no) != union.find(place)
-    assert wrong <= 0.02 * len(got)
+        assert r.kept == (first[place] == place)
+        # links are verified, so classes are never joined wrongly
+        assert union.find(first[place]) == union.find(place)
+    # banding may miss a pair
+    assert len(pairs) > 100 and sum(first[a] == first[b] for a, b in pairs) >= 0.98 * len(pairs)
 
 
 def test_hot_band_is_compared_to_the_end(spark):
