@@ -28,6 +28,11 @@ def date_key(c: Column | str) -> Column:
     return F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)
 
 
+def days_between(first: Column | str, last: Column | str) -> Column:
+    """All days from the first to the last, as an array to explode."""
+    return F.sequence(_col(first), _col(last), F.expr("INTERVAL 1 DAY"))
+
+
 def calendar_columns(c: Column | str) -> list[Column]:
     c = _col(c)
     return [

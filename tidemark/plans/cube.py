@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import revenue_sum
 from tidemark.session import materialise
+from tidemark.sources.inventory import first_rows
 
 CALENDAR = ["year", "quarter", "month"]
 
@@ -123,6 +124,22 @@ def run_all(sales: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+#: What the results are sorted by when their first rows are shown.
+PREVIEW_ORDER = {
+    "revenue_by_category_month": ["category_name", "month"], "top_article_types": ["article_type_name"],
+    "revenue_by_region": ["region"], "quarterly_trend": ["year", "quarter"],
+    "gender_by_category": ["gender", "category_name"], "revenue_cube": ["level", "category_name", "region", "quarter"],
+}
+
+
+def previews(results: dict[str, DataFrame], n: int = 5) -> DataFrame:
+    """(table_name, position, row): the first n rows of each result, greatest revenue first."""
+    def order(name: str, df: DataFrame) -> list:
+        return [F.desc_nulls_last("revenue")] * ("revenue" in df.columns) + [c for c in PREVIEW_ORDER.get(name, df.columns) if c in df.columns]
+
+    return first_rows({name: (df, order(name, df)) for name, df in results.items()}, n)
+
+
 def result_sizes(results: dict[str, DataFrame]) -> DataFrame:
     """(query, row_count), one aggregate per result."""
     frames = [df.agg(F.lit(name).alias("query"), F.count(F.lit(1)).alias("row_count")) for name, df in results.items()]

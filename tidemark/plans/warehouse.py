@@ -59,8 +59,8 @@ class Warehouse:
     def _publish(self, name: str, df: DataFrame, **options) -> int:
         return self.table(name, **options).replace(df)["rows_written"]
 
-    def _report(self, name: str, df: DataFrame) -> None:
-        files.write_report(df, f"{self.root}/reports/{name}")
+    def _report(self, name: str, df: DataFrame, single: bool = True) -> None:
+        files.write_report(df, f"{self.root}/reports/{name}", single)
 
     def clean(self, s: Sources) -> int:
         self._report("cleaning", cleaning_report(s.catalog, s.order_by))
@@ -71,7 +71,7 @@ class Warehouse:
     def engineer(self) -> int:
         catalog = self.read("catalog")
         self._report("summary", profile.summary_rows(
-            catalog, ["articleType", "baseColour"], ["masterCategory", "gender", "usage"], "year"))
+            catalog, ["articleType", "baseColour"], ["masterCategory", "gender", "usage"], "year"), single=False)
         return self._publish("features", features.engineer_catalog(catalog))
 
     def merge(self, s: Sources) -> int:
@@ -112,6 +112,7 @@ class Warehouse:
         sales = cube.star_join(self.read("fact_sales"), self.read("dim_product"), self.read("dim_store"))
         results = cube.run_all(sales)
         files.export_tables(results, f"{self.root}/cube")
+        self._report("cube_previews", cube.previews(results))
         return len(results)
 
     def export(self) -> int:

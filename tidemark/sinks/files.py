@@ -13,9 +13,9 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """A report is one row (or a few): one JSON file."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+def write_report(report: DataFrame, path: str, single: bool = True) -> None:
+    """A report as JSON: one file for a row or a few, else as many as there are tasks."""
+    (report.coalesce(1) if single else report).write.mode("overwrite").json(path)
 
 
 def export_tables(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -39,5 +39,19 @@ def table_inventory(spark: SparkSession, name_contains: str | None = None) -> Da
     return reduce(DataFrame.unionByName, frames)
 
 
+def first_rows(tables: dict[str, tuple[DataFrame, list]], n: int = 5) -> DataFrame:
+    """(table_name, position, row): the first n rows of each table in the given order, as JSON objects.
+
+    Every task keeps n rows before any of them meet.
+    """
+    frames = []
+    for name, (df, order) in tables.items():
+        top = df.orderBy(*order).limit(n)
+        place = F.row_number().over(Window.orderBy(*order))
+        frames.append(top.select(F.lit(name).alias("table_name"), place.alias("position"),
+                                 F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("row")))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)

@@ -117,6 +117,17 @@ _TOTALS = f"""{SALES_SQL}, totals AS (SELECT article_type_name, CAST(sum(revenue
 FROM sales JOIN product USING (product_id) GROUP BY 1)"""
 
 
+@query("olap_previews", f"""WITH {SALES_SQL},
+r AS (SELECT region, CAST(sum(revenue) AS DOUBLE) AS revenue FROM sales JOIN store USING (store_id) GROUP BY 1)
+SELECT CAST(row_number() OVER (ORDER BY revenue DESC, region) AS INTEGER) AS position, region, revenue FROM r QUALIFY position <= 5""")
+def olap_previews(spark, sf):
+    """The first rows of a result, as the build reports them."""
+    result = cube.revenue_by_region(inputs.sales(spark, sf).join(inputs.store(spark, sf), "store_id"))
+    shown = cube.previews({"revenue_by_region": result})
+    return shown.select("position", F.get_json_object("row", "$.region").alias("region"),
+                        F.get_json_object("row", "$.revenue").cast("double").alias("revenue"))
+
+
 @query("measure_rank", f"""WITH {_TOTALS}
 SELECT *, CAST(rank() OVER (ORDER BY revenue DESC) AS INTEGER) AS revenue_rank FROM totals""")
 def measure_rank(spark, sf):

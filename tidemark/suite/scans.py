@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.dates import days_between
 from tidemark.session import scratch_path
 from tidemark.sources import delimited, documents, fallback, inventory, listing, paged
 from tidemark.sinks.files import create_views
@@ -112,6 +113,37 @@ def table_inventory(spark, sf):
     return inventory.table_inventory(spark, "STOCK_")
 
 
+@query("table_first_rows", """SELECT 'part' AS table_name, CAST(row_number() OVER (ORDER BY p_partkey) AS INTEGER) AS position, p_partkey AS key, p_name AS name
+FROM part QUALIFY position <= 5 UNION ALL
+SELECT 'customer', CAST(row_number() OVER (ORDER BY c_custkey) AS INTEGER) AS position, c_custkey, c_name FROM customer QUALIFY position <= 5""")
+def table_first_rows(spark, sf):
+    first = inventory.first_rows({"part": (inputs.table(spark, sf, "part"), ["p_partkey"]),
+                                  "customer": (inputs.table(spark, sf, "customer"), ["c_custkey"])})
+    def either(field):
+        return F.coalesce(F.get_json_object("row", f"$.p_{field}"), F.get_json_object("row", f"$.c_{field}"))
+    key = F.coalesce(F.get_json_object("row", "$.p_partkey"), F.get_json_object("row", "$.c_custkey")).cast("long")
+    return first.select("table_name", "position", key.alias("key"), either("name").alias("name"))
+
+
+@query("calendar_days", """WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)
+SELECT CAST(d AS DATE) AS day, CAST(d AS DATE) IN (SELECT day FROM days) AS has_orders
+FROM (SELECT unnest(generate_series((SELECT min(day) FROM days), (SELECT max(day) FROM days), INTERVAL 1 DAY)) AS d)""")
+def calendar_days(spark, sf):
+    """Every day between the first and the last order."""
+    days = inputs.table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("day")).distinct()
+    span = days.agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    every = span.select(F.explode(days_between("first", "last")).alias("day"))
+    return every.join(days.withColumn("has_orders", F.lit(True)), "day", "left").na.fill({"has_orders": False})
+
+
+@query("text_parts", """SELECT o_orderkey, substr(o_orderpriority, 1, 1) AS level, substr(o_orderpriority, 3) AS label,
+  printf('%08d/%s', o_orderkey, o_orderstatus) AS reference, right(o_orderpriority, 3) = 'LOW' AS is_low FROM orders""")
+def text_parts(spark, sf):
+    return inputs.table(spark, sf, "orders").select(
+        "o_orderkey", F.substring("o_orderpriority", 1, 1).alias("level"), F.expr("substring(o_orderpriority, 3)").alias("label"),
+        F.format_string("%08d/%s", "o_orderkey", "o_orderstatus").alias("reference"), F.col("o_orderpriority").endswith("LOW").alias("is_low"))
+
+
 @query("listing_page", f"""SELECT p_partkey AS id, p_type AS masterCategory, {GENDER} AS gender, p_name AS productDisplayName
 FROM part WHERE p_type = 'PROMO' AND {GENDER} = 'Men' ORDER BY p_partkey LIMIT 20 OFFSET 10""")
 def listing_page(spark, sf):
