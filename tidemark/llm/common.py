@@ -21,6 +21,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def let(value, use):
+    """`use` of a value that is computed once: an expression inside a lambda would be computed for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 class Scratch:
     """Intermediate tables of one operator in the shared folder, dropped when nothing needs them any more."""
 
