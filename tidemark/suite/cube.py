@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.clean import cleaning_report
 from tidemark.plans import cube, measures
-from tidemark.session import materialise
 from tidemark.suite import inputs
 from tidemark.suite.inputs import CLEAN_SQL, SALES_SQL
 from tidemark.suite.registry import query
@@ -42,10 +41,7 @@ def olap_cube(spark, sf):
 SELECT category_name, CAST(month(order_date) AS INTEGER) AS month, {_MONEY} AS revenue
 FROM dated JOIN product USING (product_id) GROUP BY 1, 2""")
 def olap_category_month(spark, sf):
-    """Joined with the time dimension, which is written first so that its size is known."""
-    time = materialise(inputs.time(spark, sf), "dim-time")
-    return cube.revenue_by_category_month(
-        cube.star_join(inputs.dated_sales(spark, sf), product=inputs.product(spark, sf), time=time))
+    return cube.revenue_by_category_month(cube.star_join(inputs.dated_sales(spark, sf), product=inputs.product(spark, sf)))
 
 
 @query("olap_top_articles", f"""WITH {SALES_SQL}
