@@ -163,6 +163,37 @@ def test_line_classes_connect_similar_lines(spark, line_texts):
     assert len(pairs) > 100 and sum(first[a] == first[b] for a, b in pairs) >= 0.98 * len(pairs)
 
 
+def edited(rng, line):
+    """`line` with a character appended, replaced at the end or replaced anywhere."""
+    kind = rng.randrange(3)
+    if kind == 0:
+        return line + "!"
+    at = len(line) - 1 if kind == 1 else rng.randrange(len(line))
+    return line[:at] + "#" + line[at + 1:]
+
+
+@pytest.mark.parametrize("kind,low,high,least", [("spaced", 10, 20, 1), ("spaced", 20, 40, 1), ("spaced", 40, 60, 1), ("spaced", 60, 80, 1),
+                                                 ("unspaced", 12, 90, 1), ("unspaced", 100, 400, 0.98), ("spaced", 100, 200, 0.98)])
+def test_recall_by_length_of_line(spark, kind, low, high, least):
+    rng = random.Random(low + high)
+    texts, pairs = [], []
+    while len(pairs) < 150:
+        line = prose(rng, 80)[:rng.randrange(low, high)].strip().lower()
+        if kind == "unspaced":
+            line = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in line)
+        other = edited(rng, line)
+        if other != line and similar(line, other) >= 0.8:
+            pairs.append((len(texts), len(texts) + 1))
+            texts += [line, other]
+    first = {r.doc_id: r.first_doc_id for r in line_classes(documents(spark, texts)).collect()}
+    assert sum(first[a] == first[b] for a, b in pairs) >= least * len(pairs)
+
+
+def test_short_lines_meet(spark):
+    texts = ["hello beautiful world", "hello beautiful world!", "abcdefghijk", "abcdefghijkl"]
+    assert [r.first_doc_id for r in line_classes(documents(spark, texts)).orderBy("doc_id").collect()] == [0, 0, 2, 2]
+
+
 def test_hot_band_is_compared_to_the_end(spark):
     # a long shared start gives all lines common bands; only some pairs are similar, and not to the first line
     rng = random.Random(9)

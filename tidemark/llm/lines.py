@@ -5,10 +5,16 @@ Lines are compared in lower case without white space at their ends, as sets of
 
 1. Equal lines are grouped; only distinct lines go on.
 2. Signature: the `size` smallest hashes of the line's anchored shingles, which
-   are those that start a word or every further eighth character of a long one.
-   The choice depends on the text alone, so similar lines draw alike; it takes a
-   fifth of the time that all shingles take. Bands are all runs of `rows`
+   are those that start a word and all that lie within a longer one (so text
+   without spaces has all of its shingles). The choice depends on the characters
+   next to it alone, so similar lines draw alike. Bands are all runs of `rows`
    neighbours in the signature, so that an insertion breaks few of them.
+   A line of under SHORT characters, or whose anchored shingles do not fill the
+   signature, has, besides, the runs of the sorted hashes of all its shingles as
+   bands. Two such lines always meet: of lines with s common shingles and b
+   others, s >= 4 b, the b others cut the s common ones into b + 1 runs at most,
+   so one has four neighbours, or three or two where the sets are as small as
+   FEW says.
 3. Lines in one band are candidates. The first line of the band is compared with
    all others; where that does not connect the whole band, fifteen further lines
    are compared with the members outside their component, and then all lines are.
@@ -31,6 +37,10 @@ from tidemark.llm.registry import query
 
 WIDTH, SIZE, ROWS, SIMILARITY = 8, 16, 4, 0.8
 BLANK = " \t\r\x0b\x0c"
+#: Lines of fewer characters have all shingles in their bands.
+SHORT = 100
+#: Lines with fewer shingles than this also have runs of this many neighbours (for a similarity of 0.8).
+FEW = {3: 16, 2: 6}
 MARK = "mark"  # with doc_id it names a document: rows that repeat id and text are one
 
 
@@ -48,25 +58,37 @@ def shingle_set(line: str, width: int):
 
 
 def anchored_hashes(line: str, width: int):
-    """Distinct hashes of the shingles that start a word or every `width`-th character inside a long one."""
-    anchored = F.regexp_extract_all(line, F.lit(rf"(?=(.{{1,{width}}}))\S{{1,{width}}}\s*"), F.lit(1))
+    """Distinct hashes of the shingles that start a word or lie within a longer one."""
+    anchored = F.regexp_extract_all(line, F.lit(rf"(?=(.{{1,{width}}}))(?:\S(?=\S{{{width}}})|\S{{1,{width}}}\s*)"), F.lit(1))
     return F.array_distinct(F.transform(anchored, lambda shingle: F.xxhash64(shingle)))
 
 
-def bands(hashes, size: int, rows: int):
-    """Hashes of all runs of `rows` neighbours in the signature, the `size` smallest hashes."""
-    def runs(signature):
-        starts = F.sequence(F.lit(1), F.greatest(F.size(signature) - rows + 1, F.lit(1)))
-        return F.transform(starts, lambda i: F.xxhash64(F.slice(signature, i, F.lit(rows))))
+def runs(signature, rows: int):
+    """Hashes of all runs of `rows` neighbours in the signature; a shorter one is one run."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(signature) - rows + 1, F.lit(1)))
+    return F.transform(starts, lambda i: F.xxhash64(F.slice(signature, i, F.lit(rows))))
 
-    return let(F.slice(F.sort_array(hashes), 1, size), runs)
+
+def bands(line: str, width: int, size: int, rows: int):
+    """Distinct hashes of the runs of the signature and, for a short line, of the sorted hashes of all shingles."""
+    none = F.array().cast("array<bigint>")
+
+    def whole(hashes):
+        fewer = [F.when(F.size(hashes) < below, runs(hashes, n)).otherwise(none) for n, below in FEW.items() if n < rows]
+        return F.concat(runs(hashes, rows), *fewer)
+
+    def both(anchored):
+        is_short = (F.char_length(line) < SHORT) | (F.size(anchored) < size)
+        short = F.when(is_short, let(F.sort_array(shingle_set(line, width)), whole)).otherwise(none)
+        return F.array_distinct(F.concat(let(F.slice(F.sort_array(anchored), 1, size), lambda x: runs(x, rows)), short))
+
+    return let(anchored_hashes(line, width), both)
 
 
 def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float) -> DataFrame:
     """(a, b) of line ids whose similarity reaches the threshold; enough of them to connect what all would."""
     scratch = Scratch(lines.sparkSession)
-    signed = scratch.save("line-signatures", lines.select("id", F.array_distinct(
-        bands(anchored_hashes("line", width), size, rows)).alias("bands")))
+    signed = scratch.save("line-signatures", lines.select("id", bands("line", width, size, rows).alias("bands")))
     banded = scratch.save("line-bands", signed.select("id", F.explode("bands").alias("band")))
     # bands with one line only end here; min and max are taken in the tasks first
     shared = scratch.save("line-shared", banded.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last"))
