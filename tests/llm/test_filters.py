@@ -228,6 +228,30 @@ def test_readings(spark):
     assert reader.words("the water.") == ["the", "water"] and reader.words(None) == [] and reader.words("4.0 (207)") == []
 
 
+def test_readings_of_long_and_masked_tokens(spark):
+    rng = random.Random(17)
+    corpus = [prose(rng, 200) + " " + " ".join(rng.choices([*BAD, "dumbass"], k=10)) for _ in range(30)]
+    reader = tox.Reader(tox.char_model(tox.char_counts(documents(spark, corpus))))
+    for token, word in {"1d107": "idiot", "i...d...i...o...t": "idiot", "dumba$$": "dumbass", "1d10t5": "idiots",
+                        "water!": "water", "idiot$$$": "idiot"}.items():
+        assert word in reader.words(token), token
+    letters = "these people are all water idiots".replace(" ", "") * 2
+    assert any("idiot" in w for w in reader.words(" ".join(letters))) and "idiots" in "".join(reader.words(letters[30:] + "-" + letters))
+    long = "water" * 12 + "1d10t"
+    assert any("idiot" in w for w in reader.words(long))
+    assert any("idiot" in w for w in reader.words("漢字" * 30 + "idiot"))
+    assert reader.words("$1,200.50 10:30 (207) +1-555-0100 50% <3 €20") == []
+    cut = reader.segments("waterpathetic")
+    assert "".join(cut) == "waterpathetic" and cut == ["water", "pathetic"]
+
+
+def test_toxic_end_of_a_long_word_is_scored():
+    chars = tox.char_model(np.zeros((tox.SYMBOLS,) * 3))
+    score = tox.ToxicityModel(chars, {"idiot": 5.0}, -2.0).scorer()
+    assert score("x " + " ".join("thesepeoplearenotmyfriendstheyaresuchidiots")) > 0.5
+    assert score("wateriswetandthepeoplewalkaroundinthemidiot") > 0.5 > score("water is wet")
+
+
 def test_viterbi_is_the_best_of_all_readings(spark):
     rng = random.Random(16)
     reader = tox.Reader(tox.char_model(tox.char_counts(documents(spark, [prose(rng, 300)]))))

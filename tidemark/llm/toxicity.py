@@ -5,7 +5,10 @@ between letters and repeat letters. Each suspicious token becomes a lattice of
 what its characters can stand for, and Viterbi search finds the reading that a
 character trigram model of the corpus and the channel together make likeliest.
 Tokens of letters only, without a letter three times in a row, are their own
-reading. The scorer sees the restored words only.
+reading; plain numbers have none. Where a token ends in signs that may be letters
+or punctuation, it is read both ways. Runs of spaced letters and readings that
+are longer than words are also cut into words by the same character model. The
+scorer sees the restored words only, at their whole length.
 
 Scorer: logistic regression (Spark ML) on the presence of character n-grams of
 restored words, chosen by how much more often they occur in toxic documents.
@@ -43,9 +46,12 @@ SEPARATORS = set(".-_*~'`,:;/\\^=​‌‍­")
 LOOK_COST, SEPARATOR_COST, REPEAT_COST, MASK_COST = -1.5, -0.5, -0.7, -3.0
 SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+(<€£])(?:[ .\-_*][^\W_\s]|[ .\-_*][@$!|+(<€£]){2,}(?!\S)")
 EDGE = re.compile(r"^[^\w@$!|+(<€£¡]+|[^\w]+$")
+#: As EDGE, but look-alikes at the end stay.
+OUTER_EDGE = re.compile(r"^[^\w@$!|+(<€£¡]+|[^\w@$!|+(<€£¡]+$")
+NUMBER = re.compile(r"[-+(<>=~#]*[$€£]?[-+]?\d[\d.,:;/\-+()=*^'’]*[%°$€£]?[).,:;!?]*")
 PLAIN = re.compile(r"[^\W\d_]+")
 THRICE = re.compile(r"(.)\1\1")
-#: Tokens longer than this are no words and are read as they are.
+#: Readings longer than this are no single words and are also cut into words.
 LONGEST = 40
 CACHE = 200_000
 GRAM_SIZES = (3, 4, 5, 6)
@@ -109,7 +115,8 @@ class Reader:
         text = text.lower()
         out: list[str] = []
         for spaced in SPACED.findall(text):
-            out += self.read(re.sub(r"[ .\-_*]", "", spaced))
+            for word in self.read(re.sub(r"[ .\-_*]", "", spaced)):
+                out += dict.fromkeys([word, *self.segments(word)])
         for token in dict.fromkeys(text.split()):
             found = self.readings.get(token)
             if found is None:
@@ -118,17 +125,62 @@ class Reader:
         return out
 
     def read(self, token: str) -> list[str]:
+        """The readings of a token, and the words in those that are longer than a word."""
+        out = self.readings_of(token)
+        return out + [part for word in out if len(word) > LONGEST for part in self.segments(word)]
+
+    def readings_of(self, token: str) -> list[str]:
         if token.isalpha() and not THRICE.search(token):
             return [token]
-        core = EDGE.sub("", token)
+        core, outer = EDGE.sub("", token), OUTER_EDGE.sub("", token)
+        if NUMBER.fullmatch(outer):
+            return []
         if core.isalpha() and not THRICE.search(core):
-            return [core]
-        plain = PLAIN.findall(core)
-        if not plain or len(core) > LONGEST or sum(map(len, plain)) * 3 < len(core):
-            return plain
-        best = self.viterbi(core)
-        # the plain parts stay as well: "black/white" is two words
-        return plain + [best] if best and best not in plain else plain
+            plain = [core]
+        else:
+            # the plain parts stay as well: "black/white" is two words
+            plain = PLAIN.findall(core)
+            self.add_reading(core, plain)
+        if outer != core:
+            self.add_reading(outer, plain)
+        return plain
+
+    def add_reading(self, core: str, found: list[str]) -> None:
+        if any(c.isalpha() or c in LOOKS for c in core):
+            best = self.viterbi(core)
+            if best and best not in found:
+                found.append(best)
+
+    def segments(self, word: str) -> list[str]:
+        """The likeliest cut of a run of letters into words."""
+        model, codes = self.model, [self.code.get(c, 0) for c in word]
+        # states: the letter before is the last of its word (True), or the word goes on
+        score = {False: float(model[0, 0, codes[0]]) if codes else 0.0}
+        cuts: list[dict[bool, bool]] = []
+        for i in range(1, len(codes)):
+            a, b, c = codes[i - 2] if i > 1 else 0, codes[i - 1], codes[i]
+            following: dict[bool, float] = {}
+            came: dict[bool, bool] = {}
+            # `began` says that the word began with the letter before, so nothing but a word end precedes it
+            for began, value in score.items():
+                before = 0 if began else a
+                on = value + float(model[before, b, c])
+                new = value + float(model[before, b, 0]) + float(model[b, 0, c])
+                for now, total in ((False, on), (True, new)):
+                    if now not in following or following[now] < total:
+                        following[now], came[now] = total, began
+            score = following
+            cuts.append(came)
+        ended = {began: value + float(model[0 if began or len(codes) < 2 else codes[-2], codes[-1], 0])
+                 for began, value in score.items()} if codes else {}
+        out, end = [], len(word)
+        state = max(ended, key=ended.get, default=False)
+        for i in range(len(word) - 1, 0, -1):
+            if state:
+                out.append(word[i:end])
+                end = i
+            state = cuts[i - 1][state]
+        return [word[:end], *reversed(out)] if word else []
 
     def options(self, token: str, i: int) -> list[tuple[str, float]]:
         """What character i can stand for ("" = nothing), with its cost."""
@@ -151,7 +203,7 @@ class Reader:
     def viterbi(self, token: str) -> str:
         """The likeliest reading: states are the last two letters."""
         model, code = self.model, self.code
-        states = {(0, 0): (0.0, "")}
+        states: dict = {(0, 0): (0.0, None)}  # a text is its last letter and the text before it
         for i in range(len(token)):
             following: dict = {}
             for letter, cost in self.options(token, i):
@@ -160,16 +212,25 @@ class Reader:
                     key, value = ((a, b), score + cost) if not letter else (
                         (b, symbol), score + cost + float(model[a, b, symbol]))
                     if key not in following or following[key][0] < value:
-                        following[key] = value, text + letter
+                        following[key] = value, (text, letter) if letter else text
             states = following or states
+        states = {key: (score, spelt(text)) for key, (score, text) in states.items()}
         # reading nothing is not free: compare per letter
         ended = ((score + float(model[a, b, 0])) / (len(text) + 1) for (a, b), (score, text) in states.items())
         return max(zip(ended, (text for _, text in states.values())), default=(0.0, ""))[1]
 
 
+def spelt(text: tuple | None) -> str:
+    letters = []
+    while text:
+        text, letter = text
+        letters.append(letter)
+    return "".join(reversed(letters))
+
+
 def grams(word: str) -> set[str]:
     """Character n-grams of a word with its ends marked."""
-    marked = f"^{word[:LONGEST]}$"
+    marked = f"^{word}$"
     return {marked[i:i + n] for n in GRAM_SIZES for i in range(len(marked) - n + 1)}
 
 
@@ -193,7 +254,7 @@ class ToxicityModel:
             automaton.make_automaton()
 
         def score(text: str) -> float:
-            words = " ".join(["", *(w[:LONGEST] for w in reader.words(text)), ""])
+            words = " ".join(["", *reader.words(text), ""])
             hits = dict(found for _, found in automaton.iter(words)) if self.weights else {}
             z = self.bias + sum(hits[g] for g in sorted(hits))
             return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
