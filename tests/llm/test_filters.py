@@ -208,6 +208,18 @@ def test_disguised_words_are_found_and_clean_texts_left_alone(spark, toxic_texts
     assert {r.doc_id for r in kept.collect()} == {i for i, r in rows.items() if not r.predicted}
 
 
+def test_every_telling_ngram_has_a_weight(spark):
+    rng = random.Random(18)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(100)]
+    # a toxic document has one word of 100, each in 25 of them
+    texts = [prose(rng, 15) + (f" {vocabulary[i // 2 % 100]}" if i % 2 else "") for i in range(5000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5000)], "doc_id long, toxic int")
+    model = tox.train(documents(spark, texts), labels)
+    assert all(f"^{w[:5]}" in model.weights and w[2:8] in model.weights for w in vocabulary)
+    score = model.scorer()
+    assert all(score(f"{prose(rng, 15)} {w}") >= 0.5 for w in vocabulary)
+
+
 def test_held_out_labels_do_not_matter(spark, toxic_texts):
     texts, toxic = toxic_texts
     df = documents(spark, texts[:200])

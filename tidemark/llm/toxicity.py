@@ -11,7 +11,8 @@ are longer than words are also cut into words by the same character model. The
 scorer sees the restored words only, at their whole length.
 
 Scorer: logistic regression (Spark ML) on the presence of character n-grams of
-restored words, chosen by how much more often they occur in toxic documents.
+restored words: all that occur more often in toxic documents by a z score over
+MIN_Z, and in at least MIN_TOXIC of them.
 Labels are learnt from at most `max_labelled` documents (by hash of the id)
 outside the held-out fifth; trigram counts are taken over all documents.
 """
@@ -55,7 +56,7 @@ THRICE = re.compile(r"(.)\1\1")
 LONGEST = 40
 CACHE = 200_000
 GRAM_SIZES = (3, 4, 5, 6)
-MAX_LABELLED, MAX_GRAMS, MIN_TOXIC = 20_000, 2_000, 5
+MAX_LABELLED, MIN_TOXIC, MIN_Z = 20_000, 5, 3
 FOLDS = 5
 
 
@@ -291,11 +292,11 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % FOLDS == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_grams: int = MAX_GRAMS) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> ToxicityModel:
     """Character model over all `docs`; scorer from (doc_id, toxic) rows outside the held-out fifth.
 
     At most `max_labelled` labelled documents are learnt from, those of the lowest
-    hash of their id. Rows without label or text are no examples. Without examples
+    hash of their id, which bounds the n-grams too. Rows without label or text are no examples. Without examples
     of both kinds the score is the share of toxic ones (0 without any).
     """
     chars = char_model(char_counts(docs))
@@ -330,7 +331,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     z = F.expr(f"(a / {n1} - b / {n0}) / sqrt((a + b + 1) / {n1 + n0} * (1 / {n1} + 1 / {n0}))")
     chosen = (examples.mapInArrow(count, "gram string, toxic int, n long").groupBy("gram")
               .agg(F.sum(F.expr("if(toxic = 1, n, 0)")).alias("a"), F.sum(F.expr("if(toxic = 0, n, 0)")).alias("b"))
-              .filter(F.col("a") >= MIN_TOXIC).withColumn("z", z).filter("z > 3").orderBy(F.desc("z"), "gram").limit(max_grams))
+              .filter(F.col("a") >= MIN_TOXIC).withColumn("z", z).filter(F.col("z") > MIN_Z).orderBy(F.desc("z"), "gram"))
     vocabulary = [r.gram for r in chosen.collect()]
     if not vocabulary:
         return ToxicityModel(chars, {}, math.log((n1 + 1) / (n0 + 1)))
