@@ -100,6 +100,24 @@ def test_near_duplicates_of_five_word_shingles(spark):
     assert kept.columns == documents(spark, [], clash=True).columns
 
 
+def test_near_duplicates_are_those_of_exact_similarity(spark):
+    # pairs on both sides of 0.8: the second copy of a text has its last words replaced
+    rng = random.Random(21)
+    texts, want = [], {}
+    for i in range(120):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(204)]
+        tail = rng.choice([18, 21, 24, 30, 36, 42])
+        other = words[:204 - tail] + [f"v{rng.randrange(10**6)}" for _ in range(tail)]
+        x, y = ({tuple(w[k:k + 5]) for k in range(200)} for w in (words, other))
+        want[i] = len(x & y) / len(x | y) >= 0.8
+        texts += [" ".join(words), " ".join(other)]
+    kept = {r.doc_id for r in without_near_duplicates(documents(spark, texts)).collect()}
+    assert 20 < sum(want.values()) < 100
+    # documents below the threshold all stay; of those above, candidates may miss one
+    assert all(2 * i + 1 in kept for i in want if not want[i]) and all(2 * i in kept for i in want)
+    assert sum(2 * i + 1 not in kept for i in want if want[i]) >= 0.98 * sum(want.values())
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(1, "x y z", "", "", 5)] * 3 + [(None, None, "", "", None), (None, "", "", "", 0), (2, " ", "", "", 1), (5, "other text", "", "", 1)]
     kept = without_near_duplicates(spark.createDataFrame(rows, DOCS)).collect()

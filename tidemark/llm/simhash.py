@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, components, documents
+from tidemark.llm.common import Scratch, components, documents, let
 from tidemark.llm.registry import query
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -60,11 +60,16 @@ def fingerprint(parts: list[bytes], seeds: tuple[int, ...] = (SEED,)) -> list[in
     return out
 
 
-def fingerprints(docs: DataFrame, id_columns: list[str], width: int, seeds: tuple[int, ...] = (SEED,)) -> DataFrame:
-    """id_columns and `prints`, an array with 64 bits as a long for each seed; zeros for a text without words."""
+def fingerprints(docs: DataFrame, id_columns: list[str], width: int, seeds: tuple[int, ...] = (SEED,),
+                 distinct: bool = False) -> DataFrame:
+    """id_columns and `prints`, an array with 64 bits as a long for each seed; zeros for a text without words.
+
+    With `distinct` a shingle counts once, however often it is there.
+    """
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(shingles(t.as_py(), width), seeds) for t in batch.column(batch.num_columns - 1)]
+            parts = (shingles(t.as_py(), width) for t in batch.column(batch.num_columns - 1))
+            found = [fingerprint(list(dict.fromkeys(p)) if distinct else p, seeds) for p in parts]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.list_(pa.int64()))], names=[*id_columns, "prints"])
 
     rows = docs.select(*id_columns, F.col("text").cast("binary").alias("text"))
@@ -77,11 +82,15 @@ def fingerprints(docs: DataFrame, id_columns: list[str], width: int, seeds: tupl
 class Forest:
     """Union-find over positions that remembers the links it needed."""
 
-    def __init__(self, n: int):
-        self.parent = list(range(n))
-        self.component = np.arange(n)
+    def __init__(self, n: int, labels: np.ndarray | None = None):
+        parent = np.arange(n)
+        if labels is not None and n:  # positions of one label are connected from the start
+            _, first, which = np.unique(labels, return_index=True, return_inverse=True)
+            parent = first[which]
+        self.parent = parent.tolist()
+        self.component = parent
         self.links: list[tuple[int, int]] = []
-        self.uniform = np.arange(n)
+        self.uniform = np.concatenate([[0], np.cumsum(parent[1:] != parent[:-1])])
 
     def find(self, i: int) -> int:
         parent = self.parent
@@ -119,7 +128,7 @@ def ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n - lo, n)
 
 
-def compare(keys, alo, ahi, blo, bhi, budget, full, limit, forest) -> None:
+def compare(keys, alo, ahi, blo, bhi, budget, full, limit, forest, every=False) -> None:
     """Compare the leaves of node pairs one by one."""
     work = np.cumsum((ahi - alo) * (bhi - blo))
     at = 0
@@ -143,19 +152,24 @@ def compare(keys, alo, ahi, blo, bhi, budget, full, limit, forest) -> None:
                 i, j = i[open_], j[open_]
                 near = np.bitwise_count(full[i] ^ full[j]).sum(axis=1) <= limit
                 i, j = i[near], j[near]
-            forest.add(i, j)
+            if every:
+                forest.links += zip(i.tolist(), j.tolist())
+            else:
+                forest.add(i, j)
             begin = end
 
 
 def traverse(keys: np.ndarray, split: int, budget: int, depth: int, bits: int, full: np.ndarray | None = None,
-             limit: int = 0) -> list[tuple[int, int]]:
+             limit: int = 0, labels: np.ndarray | None = None, every: bool = False) -> list[tuple[int, int]]:
     """Links of a spanning forest between keys at most `budget` bits apart (and `full` rows at most `limit`).
 
     `keys` are the sorted keys of subtree u, then (from `split`) those of subtree
-    v; without v (split = 0 or the end) pairs inside u are looked for.
+    v; without v (split = 0 or the end) pairs inside u are looked for. Keys of one
+    label are connected from the start; with `every` (and `full`) all links
+    between different labels are given instead of a forest.
     """
     n = len(keys)
-    forest = Forest(n)
+    forest = Forest(n, labels)
     own = split in (0, n)
     pairs = (0, n, 0, n) if own else (0, split, split, n)
     stack = [(depth, *(np.array([x]) for x in pairs))]
@@ -169,7 +183,7 @@ def traverse(keys: np.ndarray, split: int, budget: int, depth: int, bits: int, f
         alo, ahi, blo, bhi = alo[live], ahi[live], blo[live], bhi[live]
         small = ((ahi - alo) * (bhi - blo) <= LEAF) | (d >= bits)
         if small.any():
-            compare(keys, alo[small], ahi[small], blo[small], bhi[small], budget, full, limit, forest)
+            compare(keys, alo[small], ahi[small], blo[small], bhi[small], budget, full, limit, forest, every)
             alo, ahi, blo, bhi = alo[~small], ahi[~small], blo[~small], bhi[~small]
         if not len(alo):
             continue
@@ -197,12 +211,15 @@ def cut(keys, lo, hi, above, bit, first, past) -> np.ndarray:
 
 # --- upper levels as joins -------------------------------------------------------------------------------------------
 
-def trie_links(keys: DataFrame, budget: int, bits: int = 64, limit: int | None = None, task_keys: int = TASK_KEYS) -> DataFrame:
+def trie_links(keys: DataFrame, budget: int, bits: int = 64, limit: int | None = None, task_keys: int = TASK_KEYS,
+               every: bool = False) -> DataFrame:
     """(a, b): links that connect the same nodes as all links do.
 
     `keys` has `tree` (int), `key` (long, its `bits` upper bits used), `node`
     (long) and, if `limit` is given, `prints` (array<long>): a link then also
     needs at most `limit` differing bits there. Trees are joined each with itself.
+    With `every`, `keys` also has `label` (long), and all links between nodes of
+    different labels are given, maybe more than once.
     """
     node_key, scratch = F.col("key"), Scratch(keys.sparkSession)
 
@@ -252,7 +269,7 @@ def trie_links(keys: DataFrame, budget: int, bits: int = 64, limit: int | None =
         split = 0 if u == v else int(np.searchsorted(key >> np.uint64(64 - at), np.uint64(v)))
         full = None if limit is None else np.array(rows["prints"].tolist(), dtype=np.int64).astype(np.uint64)
         node = rows["node"].to_numpy()
-        links = traverse(key, split, budget, at, bits, full, limit or 0)
+        links = traverse(key, split, budget, at, bits, full, limit or 0, rows["label"].to_numpy() if every else None, every)
         pairs = np.array(links, dtype=np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": node[pairs[:, 0]], "b": node[pairs[:, 1]]})
 
@@ -289,20 +306,37 @@ def simhash_classes(docs: DataFrame, width: int = 3, budget: int = 3, task_keys:
 
 
 #: Near-duplicates by shingle similarity: five words, 320 bits, ten tries of 32 bits each.
-NEAR_WIDTH, NEAR_SEEDS, NEAR_LIMIT, NEAR_TASK_KEYS = 5, (42, 43, 44, 45, 46), 58, 131_072
+NEAR_WIDTH, NEAR_SEEDS, NEAR_LIMIT, NEAR_TASK_KEYS, NEAR_SIMILARITY = 5, (42, 43, 44, 45, 46), 80, 131_072, 0.8
+#: Differing bits (of 320, and of 32 in a trie) of the pairs that are compared first.
+CLOSE_LIMIT, CLOSE_BUDGET = 40, 3
 
 
-def without_near_duplicates(docs: DataFrame, width: int = NEAR_WIDTH, seeds: tuple[int, ...] = NEAR_SEEDS, budget: int = 3,
-                            limit: int = NEAR_LIMIT, task_keys: int = NEAR_TASK_KEYS) -> DataFrame:
+def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
+    """(node, n, shingles) of (node, text): the distinct 64-bit hashes of the shingles, and their number."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            found = [list({xxhash.xxh64_intdigest(s, SEED) - (1 << 63) for s in shingles(t.as_py(), width)}) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, found), pa.int32()), pa.array(found, pa.list_(pa.int64()))],
+                                             names=["node", "n", "shingles"])
+
+    rows = texts.select("node", F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(each, "node long, n int, shingles array<long>")
+
+
+def without_near_duplicates(docs: DataFrame, width: int = NEAR_WIDTH, seeds: tuple[int, ...] = NEAR_SEEDS, budget: int = 4,
+                            limit: int = NEAR_LIMIT, task_keys: int = NEAR_TASK_KEYS, similarity: float = NEAR_SIMILARITY) -> DataFrame:
     """`docs` with one document of each group of near-duplicates: the least by doc_id (a NULL id first) and text.
 
-    Shingles of `width` words are similar to 0.8 or more where `limit` or fewer of
-    the 64 bits per seed differ: two documents of Jaccard similarity J differ in
-    acos(2 J / (1 + J)) / pi of them on average, 48 of 320 at 0.8 (the limit leaves
-    one and a half standard deviations, unrelated documents differ in 160). So many
-    differing bits are far beyond the budget of a trie, so the bits are dealt over
-    tries of 32 bits: a pair is found if it keeps to the budget in any of them, and
-    counts if it keeps to the limit over all.
+    Two documents link if the Jaccard similarity of their sets of `width`-word
+    shingles is `similarity` or more, which is computed for every pair that the
+    fingerprints bring together. Documents of similarity J differ in
+    acos(2 J / (1 + J)) / pi of the bits on average, 48 of 320 at 0.8 (unrelated
+    ones in 160). So many bits are far beyond the budget of a trie, so the bits are
+    dealt over tries of 32 bits: a pair is a candidate if it keeps to the budget in
+    any of them, and to the limit over all. First a forest of the closest pairs is
+    compared; then all candidates that this has not connected.
 
     All columns stay, whatever their names. NULL, empty and blank texts are one
     group; of rows that repeat each other one stays.
@@ -311,17 +345,46 @@ def without_near_duplicates(docs: DataFrame, width: int = NEAR_WIDTH, seeds: tup
     identity = ["__id", "__mark"]  # without NULLs, so that joining and grouping share one shuffle
     named = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).withColumn(
         "__mark", F.xxhash64(F.col("doc_id").isNull(), "text"))
-    prints = scratch.save("near-prints", fingerprints(named, ["doc_id", *identity], width, seeds))
-    keys = scratch.save("near-keys", prints.groupBy("prints").agg(F.count("*").alias("n"))
+    prints = scratch.save("near-prints", fingerprints(named, ["doc_id", *identity], width, seeds, distinct=True))
+    keys = scratch.save("near-keys", prints.groupBy("prints").agg(F.min(F.struct(*identity)).alias("shown"))
                         .withColumn("node", F.monotonically_increasing_id()))
     tries = F.array(*[F.struct(F.lit(2 * i + half).alias("tree"), (
         F.shiftleft(F.col("prints")[i], 32) if half else F.shiftleft(F.shiftrightunsigned(F.col("prints")[i], 32), 32)).alias("key"))
         for i in range(len(seeds)) for half in (0, 1)])
-    keyed = scratch.save("near-tries", keys.withColumn("trie", F.explode(tries)).select("trie.tree", "trie.key", "node", "prints"))
-    joined = components(trie_links(keyed, budget, 32, limit, task_keys), "near")
+
+    def tried(labelled: DataFrame) -> DataFrame:
+        more = [c for c in labelled.columns if c == "label"]
+        return scratch.save("near-tries", labelled.withColumn("trie", F.explode(tries)).select(
+            "trie.tree", "trie.key", "node", "prints", *more))
+
+    def verified(found: DataFrame, name: str) -> DataFrame:
+        """The candidate links whose documents are similar."""
+        pairs = scratch.save("near-pairs", found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        shown = keys.join(nodes, "node").select("node", "shown.*")
+        texts = named.select(*identity, "text").join(shown, identity).dropDuplicates(["node"])
+        sets = scratch.save("near-sets", shingle_sets(texts, width))
+        # pairs carry their sets, so they go in as many turns as it takes for a turn to carry few more sets than there are
+        turns = max(1, -(-pairs.count() // (2 * sets.count() + 1)))
+        links = []
+        for turn in range(turns):
+            some = pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(turns)) == turn) if turns > 1 else pairs
+            both = (some.join(sets.toDF("a", "na", "x"), "a").join(sets.toDF("b", "nb", "y"), "b")
+                    .filter(F.least("na", "nb") >= similarity * F.greatest("na", "nb")))
+            common = let(F.size(F.array_intersect("x", "y")), lambda n: n / (F.col("na") + F.col("nb") - n))
+            links.append(scratch.save(f"near-links-{name}-{turn}", both.filter(common >= similarity).select("a", "b")))
+        scratch.drop("near-pairs", "near-sets")
+        return _union(links)
+
+    close = verified(trie_links(tried(keys.select("prints", "node")), CLOSE_BUDGET, 32, CLOSE_LIMIT, task_keys), "close")
+    labels = scratch.save("near-labels", components(close, "close"))
+    labelled = keys.select("prints", "node").join(labels, "node", "left").select(
+        "prints", "node", F.coalesce("component", "node").alias("label"))
+    rest = verified(trie_links(tried(labelled), budget, 32, limit, task_keys, every=True), "rest")
+    joined = components(close.unionByName(rest), "near")
     classes = scratch.save("near-classes", keys.join(joined, "node", "left").select(
         "prints", F.coalesce("component", "node").alias("component")))
-    scratch.drop("near-tries", "near-keys")
+    scratch.drop("near-tries", "near-keys", "near-labels")
     kept = prints.join(classes, "prints").groupBy("component").agg(
         F.min(F.struct("doc_id", *identity)).alias("kept")).select("kept.__id", "kept.__mark")
     kept = scratch.save("near-kept", kept)
