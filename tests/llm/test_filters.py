@@ -148,6 +148,19 @@ def test_forest_learns_from_given_findings(spark, secret_texts):
     assert verdicts[3] and not verdicts[1]
 
 
+def test_a_hot_finding_does_not_fill_the_sample(spark, secret_texts):
+    texts, _ = secret_texts
+    rng = random.Random(19)
+    findings = [("".join(rng.choices("0123456789", k=16)), "card ", " paid", "src", 1) for _ in range(10)]
+    findings += [("".join(rng.choices("0123456789abcdef", k=40)), "commit ", " merged", "src", 0) for _ in range(10)]
+    schema = "value string, before string, after string, path string, label int"
+    lowest = spark.createDataFrame(findings, schema).selectExpr("*", "xxhash64(value, before, after) AS h").orderBy("h").first()
+    hot = [tuple(lowest)[:5]] * 40
+    rows = sec.scan(documents(spark, texts), spark.createDataFrame(findings + hot, schema), max_findings=20).collect()
+    verdicts = {r.doc_id % 6: r.is_secret for r in rows if r.length in (16, 40)}
+    assert verdicts[3] and not verdicts[1]
+
+
 def test_secrets_of_empty_tables(spark):
     assert sec.scan(documents(spark, [])).collect() == []
     assert sec.redact(documents(spark, [None, ""])).count() == 2

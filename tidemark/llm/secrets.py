@@ -118,7 +118,8 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, path: str = "source
     """(doc_id, mark, at, start, length, sha256, rule, score, is_secret): one row per candidate.
 
     `findings` are labelled examples: value, before, after, path (strings) and label
-    (0 or 1); at most `max_findings` are learnt from, those of the lowest hash. With
+    (0 or 1); at most `max_findings` are learnt from, repeats left out, those of the
+    lowest hash: half of each label, or more where the other has fewer. With
     examples of one kind only, a candidate is a secret if its format or the name it is
     assigned to says so. NULL and empty texts have no candidates; rows that repeat id
     and text give the same rows again; positions count characters from 0.
@@ -131,8 +132,16 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, path: str = "source
     else:
         examples = with_features(findings.select("value", "before", "after", "path", F.col("label").cast("double").alias("label")), words)
     order = F.xxhash64("value", "before", "after")
-    examples = examples.filter("label IS NOT NULL").select("label", *FEATURES, order.alias("order")).orderBy("order").limit(max_findings)
-    examples = scratch.save("secret-examples", examples)
+    # copies count once, so that a hot finding does not fill the sample
+    examples = scratch.save("secret-labelled", examples.filter("label IS NOT NULL").select("label", *FEATURES, order.alias("order")).distinct())
+    sizes = {r.label: r["count"] for r in examples.groupBy("label").count().collect()}
+
+    def sample(label: float) -> DataFrame:
+        room = max(max_findings // 2, max_findings - sizes.get(1.0 - label, 0))
+        return examples.filter(F.col("label") == label).orderBy("order", *FEATURES).limit(room)
+
+    examples = scratch.save("secret-examples", sample(1.0).unionByName(sample(0.0)))
+    scratch.drop("secret-labelled")
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     rule = F.when(F.col("value").rlike(KNOWN), "known format").when(F.col("assigned") == 1, "assigned to a name").otherwise("opaque run")
     if examples.select("label").distinct().count() == 2:
