@@ -1,12 +1,14 @@
 import hashlib
 import random
+from heapq import heappop
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from helpers import documents, odd_texts, prose
 
-from tidemark.llm.bytepairs import BytePairs, RankQueue, Splitter, class_differences, decoded, default_pattern, encoded, read_ranks
+from tidemark.llm.bytepairs import BytePairs, Known, RankQueue, Splitter, class_differences, decoded, default_pattern, encoded, read_ranks
 from tidemark.llm.registry import QUERIES
 
 NEWER = "\U00010ee7\u0558\ua7ce\U00012550"  # letters and numbers of later versions of Unicode
@@ -17,51 +19,68 @@ def library():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(), special_tokens={})
 
 
-def encode(text):
-    model, split = BytePairs(read_ranks()), Splitter(default_pattern(), class_differences(default_pattern()))
-    return [i for piece in split(text) for i in model.encode_piece(piece.encode())]
+@pytest.fixture(scope="module")
+def encode():
+    """Ids of texts whose pre-tokens go through one queue."""
+    split, model = Splitter(default_pattern(), class_differences(default_pattern())), BytePairs(read_ranks())
+
+    def ids(*texts):
+        return [np.frombuffer(found, np.int32).tolist() for found in Known(model).encode([split(text) for text in texts])]
+
+    return ids
 
 
 def test_queue_gives_least_rank_then_leftmost_place():
-    rng, queue, pushed = random.Random(4), RankQueue(50_256), []
-    taken = []
-    for step in range(4_000):
-        if rng.random() < 0.6 or not pushed:
-            item = (rng.choice([rng.randrange(50_256), rng.randrange(40)]), rng.randrange(1_000_000))
-            pushed.append(item)
-            queue.push(*item)
+    rng, queue, waiting = random.Random(4), RankQueue(50_256), []
+
+    def pop():
+        rank = queue.least()
+        if rank < 0:
+            return None
+        place = heappop(queue.buckets[rank])
+        if not queue.buckets[rank]:
+            queue.close(rank)
+        return rank, place
+
+    for _ in range(4_000):
+        if rng.random() < 0.6 or not waiting:
+            waiting.append((rng.choice([rng.randrange(50_256), rng.randrange(40)]), rng.randrange(1_000_000)))
+            queue.push(*waiting[-1])
         else:
-            pushed.sort()
-            taken.append(pushed.pop(0))
-            assert queue.pop() == taken[-1], step
-    assert [queue.pop() for _ in range(len(pushed))] == sorted(pushed) and queue.pop() is None
-    assert RankQueue(1).pop() is None
+            waiting.sort()
+            assert pop() == waiting.pop(0)
+    assert [pop() for _ in range(len(waiting))] == sorted(waiting)
+    assert pop() is None and queue.top == 0 and not any(queue.words)
+    assert RankQueue(1).least() == -1
 
 
-def test_random_texts_equal_the_library(library):
+def test_random_texts_equal_the_library(library, encode):
     rng = random.Random(1)
     letters = list("aaab t'sREé漢😀 \n\t\u00a0\u3000١5!.-_") + ["  ", "the", "ing", "'ll", *NEWER]
-    model, split = BytePairs(read_ranks()), Splitter(default_pattern(), class_differences(default_pattern()))
-    for _ in range(6_000):
-        text = "".join(rng.choices(letters, k=rng.randint(0, 40)))
-        ids = [i for piece in split(text) for i in model.encode_piece(piece.encode())]
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(6_000)]
+    for text, ids in zip(texts, encode(*texts), strict=True):
         assert ids == library.encode_ordinary(text), repr(text)
-        assert model.decode(ids) == text.encode()
 
 
-def test_every_code_point_is_cut_as_by_the_library(library):
-    model, split = BytePairs(read_ranks()), Splitter(default_pattern(), class_differences(default_pattern()))
-    for first in range(0, 0x110000, 64):
-        text = "".join(f"a{chr(c)}a {chr(c)}1{chr(c)}  x" for c in range(first, first + 64) if not 0xD800 <= c < 0xE000)
-        assert [i for piece in split(text) for i in model.encode_piece(piece.encode())] == library.encode_ordinary(text), hex(first)
+def test_pre_tokens_do_not_touch_each_other(library):
+    rng, model = random.Random(3), BytePairs(read_ranks())
+    pieces = ["".join(rng.choices("aabcn", k=rng.randint(1, 9))).encode() for _ in range(500)]
+    together = [ids.tolist() for ids in model.encode_pieces(pieces)]
+    assert together == [model.encode_pieces([piece])[0].tolist() for piece in pieces]
+    assert together == [library.encode_ordinary(piece.decode()) for piece in pieces]
+    assert model.encode_pieces([]) == []
+
+
+def test_every_code_point_is_cut_as_by_the_library(library, encode):
+    texts = ["".join(f"a{chr(c)}a {chr(c)}1{chr(c)}  x" for c in range(first, first + 64) if not 0xD800 <= c < 0xE000)
+             for first in range(0, 0x110000, 64)]
+    assert encode(*texts) == [library.encode_ordinary(text) for text in texts]
 
 
 @pytest.mark.parametrize("text", ["a" * 40_000, " " * 30_000, "ab" * 20_000, "漢字" * 9_000, "-=" * 15_000 + "x", "\n" * 20_001])
-def test_very_long_pre_tokens(library, text):
-    assert encode(text) == library.encode_ordinary(text)
-    rng = random.Random(len(text))
-    text = "".join(rng.choices("etaoinshrdlu", k=60_000))
-    assert encode(text) == library.encode_ordinary(text)
+def test_very_long_pre_tokens(library, encode, text):
+    mixed = "".join(random.Random(len(text)).choices("etaoinshrdlu", k=60_000))
+    assert encode(text, mixed) == [library.encode_ordinary(text), library.encode_ordinary(mixed)]
 
 
 def test_rows_equal_the_library(spark, library):

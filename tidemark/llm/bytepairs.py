@@ -6,15 +6,17 @@ bytes together are a token, the one of least rank goes first, ties from the left
 
 The pairs wait in a queue made of one bucket per rank, which holds places in the
 linked list of parts, and of a bitmap of the ranks whose buckets are not empty.
-The bitmap is a hierarchy: a bit of an upper word says that the word below it is
+The bitmap is a hierarchy: a bit of the upper word says that the word below it is
 not zero, so the next rank is found by one find-first-set a level. A merge changes
 two neighbouring pairs; their old entries stay and are skipped when they come up,
 because the place no longer has that rank. A pre-token of n bytes takes O(n)
 entries whatever its length, so runs of hundreds of thousands of bytes need no
 other path.
 
-There is no shuffle. A task keeps the ids of the short pre-tokens that it has met
-(`KEPT` at most, then it starts again), which bounds memory and changes no result.
+There is no shuffle. The new pre-tokens of a batch of rows go through one queue
+together, each with a stop behind it. A task keeps the ids of the pre-tokens that
+it has met, and starts again when it has more than `KEPT` of them, which bounds
+memory and changes no result; long ones are not kept.
 """
 
 from __future__ import annotations
@@ -33,10 +35,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import documents
 from tidemark.llm.registry import query
 
-KEPT = 300_000        # pre-tokens whose ids a task keeps
-KEPT_BYTES = 64       # the longest of them
+KEPT = 400_000        # pre-tokens (and pairs) that a task keeps
+KEPT_LENGTH = 64      # characters of the longest of them
 ROWS = 256            # rows of an Arrow batch that are worked on together
-WORD_BITS = 64        # width of a word of the bitmap
+WORD_SHIFT = 8        # the bitmap has words of 2 ** WORD_SHIFT ranks
+WORD_BITS = 1 << WORD_SHIFT
 
 
 def default_ranks() -> str:
@@ -61,122 +64,133 @@ def read_ranks(path: str | None = None) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Places by rank: the least rank first, within a rank the leftmost place."""
+    """Places by rank. After use it is empty again and can be used again."""
 
     def __init__(self, n_ranks: int):
-        self.buckets: dict[int, list[int]] = {}
-        self.levels: list[dict[int, int]] = [{}]
-        words = -(-n_ranks // WORD_BITS)
-        while words > 1:
-            self.levels.append({})
-            words = -(-words // WORD_BITS)
+        self.buckets: list[list[int]] = [[] for _ in range(n_ranks)]  # heaps, so the leftmost place comes first
+        self.words = [0] * ((n_ranks >> WORD_SHIFT) + 1)  # bit r of word w: bucket w * WORD_BITS + r has entries
+        self.top = 0                                      # bit w: word w is not zero
 
     def push(self, rank: int, place: int) -> None:
-        bucket = self.buckets.get(rank)
+        bucket = self.buckets[rank]
         if bucket:
             heappush(bucket, place)
-            return
-        self.buckets[rank] = [place]
-        at = rank
-        for level in self.levels:
-            at, bit = divmod(at, WORD_BITS)
-            word = level.get(at, 0)
-            level[at] = word | 1 << bit
-            if word:
-                return  # the levels above know of this word
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.levels[-1].get(0):
-            return None
-        rank = 0
-        for level in reversed(self.levels):
-            word = level[rank]
-            rank = rank * WORD_BITS + (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        place = heappop(bucket)
-        if not bucket:
-            at = rank
-            for level in self.levels:
-                at, bit = divmod(at, WORD_BITS)
-                level[at] &= ~(1 << bit)
-                if level[at]:
-                    break
-        return rank, place
+        else:
+            bucket.append(place)
+            word = rank >> WORD_SHIFT
+            self.words[word] |= 1 << (rank & WORD_BITS - 1)
+            self.top |= 1 << word
+
+    def least(self) -> int:
+        """The least rank with entries, -1 if there is none."""
+        if not self.top:
+            return -1
+        word = (self.top & -self.top).bit_length() - 1
+        bits = self.words[word]
+        return (word << WORD_SHIFT) + (bits & -bits).bit_length() - 1
+
+    def close(self, rank: int) -> None:
+        """The bucket of this rank has become empty."""
+        word = rank >> WORD_SHIFT
+        self.words[word] &= ~(1 << (rank & WORD_BITS - 1))
+        if not self.words[word]:
+            self.top &= ~(1 << word)
+
+
+class Pairs(dict):
+    """Rank of two neighbouring parts (left << 32 | right) together, -1 if they are no token; filled on demand."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.ranks = ranks
+        self.tokens = {rank: token for token, rank in ranks.items()}
+
+    def __missing__(self, key: int) -> int:
+        if len(self) >= KEPT:
+            self.clear()
+        left, right = self.tokens.get(key >> 32), self.tokens.get(key & 0xFFFFFFFF)
+        rank = self[key] = self.ranks.get(left + right, -1) if left and right else -1
+        return rank
 
 
 class BytePairs:
     """Encoder and decoder of one vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
+        self.ranks, self.pairs = ranks, Pairs(ranks)
+        self.tokens = self.pairs.tokens
         self.first = [ranks[bytes([b])] for b in range(256)]
-        self.n_ranks = max(ranks.values()) + 1
-        self.pairs: dict[tuple[int, int], int] = {}
-
-    def pair(self, left: int, right: int) -> int:
-        """Rank of two neighbouring parts together, -1 if they are no token."""
-        rank = self.pairs.get((left, right))
-        if rank is None:
-            if len(self.pairs) > KEPT:
-                self.pairs.clear()
-            rank = self.pairs[left, right] = self.ranks.get(self.tokens[left] + self.tokens[right], -1)
-        return rank
-
-    def encode_piece(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        whole = self.ranks.get(piece)
-        return [whole] if whole is not None else self.merge(piece)
-
-    def merge(self, piece: bytes) -> list[int]:
-        size = len(piece)
-        part = [self.first[b] for b in piece]
-        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-        waiting = [-1] * size  # rank of the pair that starts at a place
-        queue = RankQueue(self.n_ranks)
-        for at in range(size - 1):
-            rank = waiting[at] = self.pair(part[at], part[at + 1])
+        self.stop = max(ranks.values()) + 1  # stands behind every pre-token, and is part of no token
+        self.queue = RankQueue(self.stop)
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of each pre-token."""
+        split = [piece for piece in pieces if piece not in self.ranks]
+        merged = iter(self.merge(split))
+        return [np.array([self.ranks[p]], np.int32) if p in self.ranks else next(merged) for p in pieces]
+
+    def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Merge pre-tokens through one queue, in which the order within each is the same as alone."""
+        stop, pairs, queue = self.stop, self.pairs, self.queue
+        push, buckets = queue.push, queue.buckets
+        part: list[int] = []
+        for piece in pieces:
+            part.extend(map(self.first.__getitem__, piece))
+            part.append(stop)
+        # before the first place comes the last one, a stop
+        after, before = list(range(1, len(part) + 1)), list(range(-1, len(part) - 1))
+        waiting = [pairs[left << 32 | right] for left, right in zip(part, part[1:])]  # rank of the pair from a place on
+        waiting.append(-1)
+        for at, rank in enumerate(waiting):
             if rank >= 0:
-                queue.push(rank, at)
-        while (found := queue.pop()) is not None:
-            rank, at = found
-            if waiting[at] != rank:
-                continue  # stale: the pair has grown or is gone
-            gone = after[at]
-            part[at], waiting[gone], part[gone] = rank, -1, -1
-            then = after[at] = after[gone]
-            if then < size:
+                push(rank, at)
+        while (rank := queue.least()) >= 0:
+            bucket = buckets[rank]
+            while bucket:
+                at = heappop(bucket)
+                if waiting[at] != rank:
+                    continue  # stale: the pair has grown or is gone
+                gone, left = after[at], before[at]
+                then = after[at] = after[gone]
                 before[then] = at
-                new = waiting[at] = self.pair(rank, part[then])
-                if new >= 0:
-                    queue.push(new, at)
-            else:
-                waiting[at] = -1
-            left = before[at]
-            if left >= 0:
-                new = waiting[left] = self.pair(part[left], rank)
-                if new >= 0:
-                    queue.push(new, left)
-        return [p for p in part if p >= 0]
+                part[at], part[gone], waiting[gone] = rank, -1, -1
+                right_rank = waiting[at] = pairs[rank << 32 | part[then]]
+                if right_rank >= 0:
+                    push(right_rank, at)
+                left_rank = waiting[left] = pairs[part[left] << 32 | rank]
+                if left_rank >= 0:
+                    push(left_rank, left)
+                if 0 <= right_rank < rank or 0 <= left_rank < rank:
+                    break  # a lower rank has come up
+            if not bucket:
+                queue.close(rank)
+        ids = np.array(part, np.int32)
+        ids = ids[ids >= 0]
+        ends = np.flatnonzero(ids == stop)
+        return [ids[start:end] for start, end in zip([0, *(ends[:-1] + 1).tolist()], ends.tolist())] if pieces else []
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-class Known(dict):
-    """Ids of the pre-tokens met so far, filled on demand."""
+class Known:
+    """Ids of the pre-tokens met so far, as bytes of 32-bit integers."""
 
     def __init__(self, model: BytePairs):
-        super().__init__()
-        self.model = model
-
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.model.encode_piece(piece.encode())
-        if len(piece) <= KEPT_BYTES:
-            if len(self) >= KEPT:
-                self.clear()
-            self[piece] = ids
-        return ids
+        self.model, self.ids = model, {}
+
+    def encode(self, texts: list[list[str]]) -> list[bytes]:
+        """Ids of texts, which are cut into pre-tokens; those that are new go through the queue together."""
+        new = list(set().union(*texts).difference(self.ids))
+        found = self.model.encode_pieces([piece.encode() for piece in new])
+        self.ids.update((piece, ids.tobytes()) for piece, ids in zip(new, found))
+        out = [b"".join(map(self.ids.__getitem__, pieces)) for pieces in texts]
+        for piece in new:
+            if len(piece) > KEPT_LENGTH:
+                del self.ids[piece]
+        if len(self.ids) > KEPT:
+            self.ids = {}
+        return out
 
 
 def class_differences(pattern: str) -> dict[str, str]:
@@ -205,16 +219,15 @@ class Splitter:
 
     def __init__(self, pattern: str, differences: dict[str, str]):
         self.plain = self.exact = regex.compile(pattern)
-        self.newer = None
+        self.newer = frozenset("".join(differences.values()))
         if differences:
             for name, only in differences.items():
                 pattern = pattern.replace(name, f"[{name}--[{only}]]")
             self.exact = regex.compile(f"(?V1){pattern}")
-            self.newer = regex.compile(f"[{''.join(differences.values())}]")
 
     def __call__(self, text: str) -> list[str]:
-        exact = self.newer is not None and not text.isascii() and self.newer.search(text)
-        return (self.exact if exact else self.plain).findall(text)
+        plain = text.isascii() or self.newer.isdisjoint(text)
+        return (self.plain if plain else self.exact).findall(text)
 
 
 def encoded(docs: DataFrame, ranks_path: str | None = None, pattern: str | None = None,
@@ -232,11 +245,10 @@ def encoded(docs: DataFrame, ranks_path: str | None = None, pattern: str | None
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                found = [list(chain.from_iterable(map(known.__getitem__, split(text)))) if text else []
-                         for text in batch.column(1).to_pylist()]
-                ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-                ids = np.fromiter(chain.from_iterable(found), np.int32, int(ends[-1]))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, ids)], names=[id_column, "ids"])
+                found = known.encode([split(text) if text else [] for text in batch.column(1).to_pylist()])
+                ends = np.cumsum([0, *map(len, found)]) // np.int32().nbytes
+                ids = pa.ListArray.from_arrays(ends.astype(np.int32), np.frombuffer(b"".join(found), np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_column, "ids"])
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, "text").mapInArrow(encode, f"{id_column} {kind}, ids array<int>")
