@@ -204,18 +204,18 @@ def with_inertia(found: Clustering) -> DataFrame:
 def _oracle() -> str:
     """The same by comparing every vector with every centroid, one table expression a round."""
     distance = "CAST(list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)"
-    nearest = (f"SELECT vec_id, v, cluster, distance FROM (SELECT v.vec_id, v.v, c.cluster, {distance} AS distance FROM v, {{}} c) "
-               "QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1")
-    steps = [f"""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    nearest = (f"SELECT vec_id, v, cluster, distance FROM (SELECT v.line, v.vec_id, v.v, c.cluster, {distance} AS distance FROM v, {{}} c) "
+               "QUALIFY row_number() OVER (PARTITION BY line ORDER BY distance, cluster) = 1")
+    steps = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS line, vec_id, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings WHERE len(embedding) = {WIDTH} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
-             f"""c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY mark) - 1 AS INTEGER) AS cluster, v FROM
-  (SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS mark, v FROM v ORDER BY mark LIMIT {CLUSTERS}))"""]
+             f"""c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY mark, v) - 1 AS INTEGER) AS cluster, v FROM
+  (SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS mark, v FROM v ORDER BY mark, v LIMIT {CLUSTERS}))"""]
     for n in range(ROUNDS):
         steps += [f"a{n} AS MATERIALIZED ({nearest.format(f'c{n}')})",
-                  f"""m{n} AS MATERIALIZED (SELECT cluster, list(mean ORDER BY at) AS v FROM (
-  SELECT cluster, at, CAST((s - (((s % n) + n) % n)) // n AS BIGINT) AS mean FROM (
-    SELECT cluster, at, sum(x) AS s, count(*) AS n FROM (
-      SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS at FROM a{n}) GROUP BY cluster, at)) GROUP BY cluster)""",
+                  f"""m{n} AS MATERIALIZED (SELECT cluster, list(mean ORDER BY place) AS v FROM (
+  SELECT cluster, place, CAST((s - (((s % n) + n) % n)) // n AS BIGINT) AS mean FROM (
+    SELECT cluster, place, sum(x) AS s, count(*) AS n FROM (
+      SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM a{n}) GROUP BY cluster, place)) GROUP BY cluster)""",
                   f"c{n + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{n} c LEFT JOIN m{n} m USING (cluster))"]
     last = f"c{ROUNDS}"
     return f"""WITH {', '.join(steps)}, f AS MATERIALIZED ({nearest.format(last)})
