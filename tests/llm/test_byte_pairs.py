@@ -19,13 +19,17 @@ def library():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(), special_tokens={})
 
 
+def numbers(ids):
+    return np.frombuffer(ids, np.int32).tolist()
+
+
 @pytest.fixture(scope="module")
 def encode():
     """Ids of texts whose pre-tokens go through one queue."""
     split, model = Splitter(default_pattern(), class_differences(default_pattern())), BytePairs(read_ranks())
 
     def ids(*texts):
-        return [np.frombuffer(found, np.int32).tolist() for found in Known(model).encode([split(text) for text in texts])]
+        return [numbers(found) for found in Known(model).encode([split(text) for text in texts])]
 
     return ids
 
@@ -51,6 +55,8 @@ def test_queue_gives_least_rank_then_leftmost_place():
             assert pop() == waiting.pop(0)
     assert [pop() for _ in range(len(waiting))] == sorted(waiting)
     assert pop() is None and queue.top == 0 and not any(queue.words)
+    queue.fill(np.array([3, -1, 700, 3, -1]))
+    assert [pop() for _ in range(4)] == [(3, 0), (3, 3), (700, 2), None]
     assert RankQueue(1).least() == -1
 
 
@@ -65,8 +71,8 @@ def test_random_texts_equal_the_library(library, encode):
 def test_pre_tokens_do_not_touch_each_other(library):
     rng, model = random.Random(3), BytePairs(read_ranks())
     pieces = ["".join(rng.choices("aabcn", k=rng.randint(1, 9))).encode() for _ in range(500)]
-    together = [ids.tolist() for ids in model.encode_pieces(pieces)]
-    assert together == [model.encode_pieces([piece])[0].tolist() for piece in pieces]
+    together = [numbers(ids) for ids in model.encode_pieces(pieces)]
+    assert together == [numbers(model.encode_pieces([piece])[0]) for piece in pieces]
     assert together == [library.encode_ordinary(piece.decode()) for piece in pieces]
     assert model.encode_pieces([]) == []
 

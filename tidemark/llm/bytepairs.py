@@ -13,7 +13,7 @@ because the place no longer has that rank. A pre-token of n bytes takes O(n)
 entries whatever its length, so runs of hundreds of thousands of bytes need no
 other path.
 
-There is no shuffle. The new pre-tokens of a batch of rows go through one queue
+There is no shuffle. New pre-tokens of a batch of rows go through one queue
 together, each with a stop behind it. A task keeps the ids of the pre-tokens that
 it has met, and starts again when it has more than `KEPT` of them, which bounds
 memory and changes no result; long ones are not kept.
@@ -22,6 +22,7 @@ memory and changes no result; long ones are not kept.
 from __future__ import annotations
 
 import base64
+import sys
 from collections.abc import Iterator
 from heapq import heappop, heappush
 from itertools import chain
@@ -37,6 +38,7 @@ from tidemark.llm.registry import query
 
 KEPT = 400_000        # pre-tokens (and pairs) that a task keeps
 KEPT_LENGTH = 64      # characters of the longest of them
+TOGETHER = 1_000      # pre-tokens that share a queue
 ROWS = 256            # rows of an Arrow batch that are worked on together
 WORD_SHIFT = 8        # the bitmap has words of 2 ** WORD_SHIFT ranks
 WORD_BITS = 1 << WORD_SHIFT
@@ -71,15 +73,27 @@ class RankQueue:
         self.words = [0] * ((n_ranks >> WORD_SHIFT) + 1)  # bit r of word w: bucket w * WORD_BITS + r has entries
         self.top = 0                                      # bit w: word w is not zero
 
+    def fill(self, ranks: np.ndarray) -> None:
+        """Put every place in, by the rank it has; -1 for none. The queue is empty before."""
+        order = np.argsort(ranks, kind="stable")
+        order = order[np.searchsorted(ranks[order], 0):]
+        found, starts = np.unique(ranks[order], return_index=True)
+        for rank, places in zip(found.tolist(), np.split(order, starts[1:])):
+            self.buckets[rank] = places.tolist()  # rising, so it is a heap
+            self._mark(rank)
+
+    def _mark(self, rank: int) -> None:
+        word = rank >> WORD_SHIFT
+        self.words[word] |= 1 << (rank & WORD_BITS - 1)
+        self.top |= 1 << word
+
     def push(self, rank: int, place: int) -> None:
         bucket = self.buckets[rank]
         if bucket:
             heappush(bucket, place)
         else:
             bucket.append(place)
-            word = rank >> WORD_SHIFT
-            self.words[word] |= 1 << (rank & WORD_BITS - 1)
-            self.top |= 1 << word
+            self._mark(rank)
 
     def least(self) -> int:
         """The least rank with entries, -1 if there is none."""
@@ -119,31 +133,37 @@ class BytePairs:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.pairs = ranks, Pairs(ranks)
         self.tokens = self.pairs.tokens
-        self.first = [ranks[bytes([b])] for b in range(256)]
         self.stop = max(ranks.values()) + 1  # stands behind every pre-token, and is part of no token
         self.queue = RankQueue(self.stop)
-
-    def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of each pre-token."""
-        split = [piece for piece in pieces if piece not in self.ranks]
-        merged = iter(self.merge(split))
-        return [np.array([self.ranks[p]], np.int32) if p in self.ranks else next(merged) for p in pieces]
-
-    def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
+        # parts and pairs of single bytes; byte 256 is the stop
+        self.first = np.array([*(ranks[bytes([b])] for b in range(256)), self.stop])
+        self.first_pairs = np.full((257, 257), -1)
+        for token, rank in ranks.items():
+            if len(token) == 2:
+                self.first_pairs[token[0], token[1]] = rank
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each pre-token, as bytes of 32-bit integers."""
+        whole = [self.ranks.get(piece) for piece in pieces]
+        split = [piece for piece, rank in zip(pieces, whole) if rank is None]
+        merged = chain.from_iterable(self.merge(split[at:at + TOGETHER]) for at in range(0, len(split), TOGETHER))
+        return [next(merged) if rank is None else rank.to_bytes(4, sys.byteorder) for rank in whole]
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Merge pre-tokens through one queue, in which the order within each is the same as alone."""
+        if not pieces:
+            return []
         stop, pairs, queue = self.stop, self.pairs, self.queue
         push, buckets = queue.push, queue.buckets
-        part: list[int] = []
-        for piece in pieces:
-            part.extend(map(self.first.__getitem__, piece))
-            part.append(stop)
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        codes = np.full(int(lengths.sum()) + len(pieces), 256)
+        codes[np.arange(len(codes) - len(pieces)) + np.repeat(np.arange(len(pieces)), lengths)] = np.frombuffer(b"".join(pieces), np.uint8)
+        part: list[int] = self.first[codes].tolist()
+        ranks = np.append(self.first_pairs[codes[:-1], codes[1:]], -1)
+        queue.fill(ranks)
+        waiting: list[int] = ranks.tolist()  # rank of the pair from a place on
         # before the first place comes the last one, a stop
         after, before = list(range(1, len(part) + 1)), list(range(-1, len(part) - 1))
-        waiting = [pairs[left << 32 | right] for left, right in zip(part, part[1:])]  # rank of the pair from a place on
-        waiting.append(-1)
-        for at, rank in enumerate(waiting):
-            if rank >= 0:
-                push(rank, at)
         while (rank := queue.least()) >= 0:
             bucket = buckets[rank]
             while bucket:
@@ -167,7 +187,8 @@ class BytePairs:
         ids = np.array(part, np.int32)
         ids = ids[ids >= 0]
         ends = np.flatnonzero(ids == stop)
-        return [ids[start:end] for start, end in zip([0, *(ends[:-1] + 1).tolist()], ends.tolist())] if pieces else []
+        data, width = ids.tobytes(), ids.itemsize
+        return [data[start:end] for start, end in zip([0, *((ends[:-1] + 1) * width).tolist()], (ends * width).tolist())]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -182,8 +203,7 @@ class Known:
     def encode(self, texts: list[list[str]]) -> list[bytes]:
         """Ids of texts, which are cut into pre-tokens; those that are new go through the queue together."""
         new = list(set().union(*texts).difference(self.ids))
-        found = self.model.encode_pieces([piece.encode() for piece in new])
-        self.ids.update((piece, ids.tobytes()) for piece, ids in zip(new, found))
+        self.ids.update(zip(new, self.model.encode_pieces([piece.encode() for piece in new])))
         out = [b"".join(map(self.ids.__getitem__, pieces)) for pieces in texts]
         for piece in new:
             if len(piece) > KEPT_LENGTH:
