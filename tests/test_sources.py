@@ -1,5 +1,7 @@
+import random
 import struct
 import zlib
+from contextlib import contextmanager
 
 import pytest
 from conftest import CATALOG, catalog_row
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources import delimited, documents, fallback, images, inventory, jdbc, listing, paged
+from tidemark.sources.quoted import ends_inside
 from tidemark.sources.events import dead_letters, decode_events, good_events
 from tidemark.sinks.events import encode_events
 
@@ -38,6 +41,61 @@ def test_ragged_lines(spark, tmp_path, rows):
     assert df.count() == 7 and sorted(r[0] for r in df.select("id").collect()) == [1, 4, 5, 6, 7, 8, 10]
 
 
+BROKEN = ('id,name,year\r\n1,"two\nlines, ""here""",5\n2,5" wide,6\n3,"opens ""\n\n, again""",7\n4,"x"y",8\n'
+          '5,"a\nb",9,too,"many\nfields"\n\n6,"' + "long, quoted ""text"" \n" * 40 + '",10\n7,plain,11\n8,"\n",\n9,é"\n10,"never closed\n1')
+
+
+@contextmanager
+def splits_of(spark, size):
+    """Files are read in splits of so many bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(name) for name in names]
+    try:
+        for name in names:
+            spark.conf.set(name, str(size))
+        yield
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("size", [40, 150, 500, 10_000])
+def test_quoted_line_breaks_whatever_the_splits(spark, tmp_path, rows, size):
+    (tmp_path / "q.csv").write_text(BROKEN, newline="")
+    (tmp_path / "r.csv").write_text(RAGGED)
+    with splits_of(spark, size):
+        df = delimited.read_lenient(spark, str(tmp_path / "q.csv"), SIMPLE, na_texts=[])
+        assert rows(df) == sorted([
+            (1, 'two\nlines, "here"', 5), (2, '5" wide', 6), (3, 'opens "\n\n, again"', 7), (4, '"x"y"', 8),
+            (6, "long, quoted text \n" * 40, 10), (7, "plain", 11), (8, "\n", None), (9, 'é"', None), (10, "never closed\n1", None)], key=repr)
+        both = delimited.read_lenient(spark, str(tmp_path), SIMPLE, na_texts=[])
+        assert both.count() == 9 + 7
+        assert size > 150 or df.rdd.getNumPartitions() > 5
+
+
+def test_quotes_open_and_close_as_by_a_reader_of_one_line_after_the_other():
+    rng = random.Random(6)
+
+    def plain(text, state):
+        """Character by character: at the start of a field, in a plain one, in quotes, at a quote inside them."""
+        for c in text:
+            if state == "quoted":
+                state = "quote" if c == '"' else "quoted"
+            elif c == ",":
+                state = "start"
+            elif c == '"' and state in ("start", "quote"):
+                state = "quoted"
+            else:
+                state = "plain"
+        return state == "quoted"
+
+    for _ in range(20_000):
+        line = "".join(rng.choices('",a""', k=rng.randint(0, 9)))
+        assert ends_inside(line, False) == plain(line, "start"), line
+        assert ends_inside(line, True) == plain(line, "quoted"), line
+    assert not ends_inside('"' + 'a""' * 50_000 + '"', False) and ends_inside("," * 50_000 + '"', False)
+
+
 def test_typed_file_with_quoted_line_breaks(spark, tmp_path, rows):
     (tmp_path / "t.csv").write_text('id,name,year\n1,"two\nlines ""here""",5\n2,b,6\n')
     df = delimited.read_typed(spark, str(tmp_path / "t.csv"), SIMPLE, columns=["id", "name"], multi_line=True)

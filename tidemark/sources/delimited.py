@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import na_to_null, strip
 from tidemark.operators.dedupe import first_per_key_in_file
+from tidemark.sources.quoted import FIELD, read_records
 
 
 def read_typed(spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None,
@@ -23,21 +24,20 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType, columns: li
 
 
 def read_lenient(spark: SparkSession, path: str, schema: T.StructType,
-                 na_texts: list[str] | None = None) -> DataFrame:
-    """Files with ragged lines: too many fields drop the line, too few are padded with NULL.
-
-    Works on lines, so the decision does not depend on which columns a query
-    reads. Quoted line breaks are not supported. Texts that mean "missing"
-    become NULL and values that do not fit their type do too.
+                 na_texts: list[str] | None = None, quoted_breaks: bool = True) -> DataFrame:
+    """Files with ragged records: too many fields drop the record, too few are padded with NULL.
+
+    Works on whole records, so the decision does not depend on which columns a
+    query reads. Records may go on over line breaks inside quotes; files are split
+    all the same (`quoted.read_records`, which reads them once more to find where
+    splits begin). `quoted_breaks=False` saves that where no field has any. Texts
+    that mean "missing" become NULL and values that do not fit their type do too. A field with
+    text behind its closing quote is kept as it stands.
     """
     header = ",".join(schema.fieldNames())
-    outside_quotes = F.regexp_replace("value", '"(?:[^"]|"")*"', "")
-    separators = F.length(outside_quotes) - F.length(F.regexp_replace(outside_quotes, ",", ""))
-    lines = (
-        spark.read.text(path)
-        .filter((F.col("value") != "") & (F.col("value") != header))
-        .filter(separators <= len(schema) - 1)
-    )
+    records = read_records(spark, path) if quoted_breaks else spark.read.text(path)
+    lines = records.filter((F.col("value") != "") & (F.col("value") != header)).filter(
+        F.regexp_count("value", F.lit(FIELD)) <= len(schema))
     texts = ", ".join(f"`{n}` STRING" for n in schema.fieldNames())
     parsed = lines.select(F.from_csv("value", texts, {"escape": '"'}).alias("r"))
     return parsed.select(*[

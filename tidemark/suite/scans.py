@@ -30,7 +30,19 @@ def scan_csv_ragged(spark, sf):
     path = scratch_path(spark, "ragged")
     lines.write.text(path)
     schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string"
-    return delimited.read_lenient(spark, path, T.StructType.fromDDL(schema))
+    return delimited.read_lenient(spark, path, T.StructType.fromDDL(schema), quoted_breaks=False)
+
+
+@query("scan_csv_quoted_breaks", """SELECT doc_id, nullif(text, '') AS text, CASE WHEN doc_id % 5 <> 0 THEN lang END AS lang
+FROM documents WHERE doc_id % 7 <> 0""")
+def scan_csv_quoted_breaks(spark, sf):
+    """Whole texts with their line breaks and quotes in quoted fields; some records have a field too many, some one too few."""
+    text = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    fields = F.concat_ws(",", "doc_id", F.coalesce(text, F.lit("")), F.when(F.col("doc_id") % 5 != 0, F.coalesce("lang", F.lit(""))),
+                         F.when(F.col("doc_id") % 7 == 0, F.lit("more,\"and\nmore\"")))
+    path = scratch_path(spark, "quoted")
+    inputs.table(spark, sf, "documents").select(fields).write.text(path)
+    return delimited.read_lenient(spark, path, T.StructType.fromDDL("doc_id long, text string, lang string"), na_texts=[])
 
 
 @query("scan_folder", f"""WITH {CLEAN_SQL}
