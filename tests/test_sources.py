@@ -1,3 +1,4 @@
+import json
 import random
 import struct
 import zlib
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources import delimited, documents, fallback, images, inventory, jdbc, listing, paged
+from tidemark.sources.collections import change, cut
 from tidemark.sources.quoted import ends_inside
 from tidemark.sources.events import dead_letters, decode_events, good_events
 from tidemark.sinks.events import encode_events
@@ -59,7 +61,7 @@ def splits_of(spark, size):
             spark.conf.set(name, value)
 
 
-@pytest.mark.parametrize("size", [40, 150, 500, 10_000])
+@pytest.mark.parametrize("size", [60, 300, 10_000])
 def test_quoted_line_breaks_whatever_the_splits(spark, tmp_path, rows, size):
     (tmp_path / "q.csv").write_text(BROKEN, newline="")
     (tmp_path / "r.csv").write_text(RAGGED)
@@ -131,6 +133,49 @@ def test_document_collection(spark, tmp_path, rows):
     assert rows(documents.read_document_lines(spark, str(tmp_path / "lines.json"))) == [(5, None, 2.5, None)]
 
 
+NESTED = {"other": {"1": {"product_id": 100}}, "_default": {
+    str(i): {"product_id": i, "product_name": name, "rating": i / 2, "more": {"a": [{}, {"b": "}"}], "c": {"d": {}}}}
+    for i, name in enumerate(["x", '{"', '"}', "\\\\", '\\\\"}', "}" * 60, "{" * 60, None, "é\\n", ""])},
+    "empty": {}, 'last "{': {"1": {"product_id": 101}, "2": {}}}
+
+
+@pytest.mark.parametrize("size", [60, 250, 100_000])
+@pytest.mark.parametrize("indent", [None, 2])
+def test_one_object_is_cut_anywhere(spark, tmp_path, rows, size, indent):
+    (tmp_path / "db.json").write_text(json.dumps(NESTED, indent=indent))
+    expected = [(d["product_id"], d["product_name"], d["rating"], None) for d in NESTED["_default"].values()]
+    with splits_of(spark, size):
+        read = documents.read_objects(spark, str(tmp_path), "_default")
+        assert size > 250 or read.rdd.getNumPartitions() > 3
+        assert rows(documents.read_collection(spark, str(tmp_path))) == sorted(expected, key=repr)
+        if size in (60, 100_000):
+            assert rows(documents.read_collection(spark, str(tmp_path), table='last "{'), "product_id") == [(101,), (None,)]
+            assert documents.read_collection(spark, str(tmp_path), table="empty").count() == 0
+            (tmp_path / "more.json").write_text('{"_default": {"1": {"product_id": 7}}}\n{"_default": {"1": {"product_id": 8}}}\n{"_default": {"2": {"pr')
+            assert documents.read_collection(spark, str(tmp_path)).count() == len(expected) + 2
+
+
+def test_cut_equals_a_json_parser_from_any_state():
+    rng = random.Random(3)
+    for _ in range(400):
+        docs = {f"k{i}": {"v": "".join(rng.choices('{}",\\ a', k=rng.randint(0, 6))), "n": {"m": [{}] * rng.randint(0, 2)}}
+                for i in range(rng.randint(0, 5))}
+        pieces = json.dumps({"a": docs, "b": {"z": {}}}).removesuffix("}").split("}")
+        state = (False, 0)
+        found = []
+        for piece in pieces:  # every piece is a split of its own
+            found += cut(iter([piece]), *state)
+            in_string, by = change(piece, state[0])
+            state = (in_string, state[1] + by)
+        text, texts = [], []
+        for part, tail, closed, _ in found:
+            text = [part] if tail else [*text, part]
+            if closed:
+                texts.append("}".join(text))
+        got = [json.loads("{" + t.lstrip(", ") + "}") for t in texts]
+        assert got == [{k: d} for k, d in docs.items()] + [{"z": {}}]
+
+
 def pages_of(total, fail_at):
     def reader(offset, limit):
         if fail_at is not None and offset == fail_at * limit:

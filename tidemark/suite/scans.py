@@ -73,7 +73,24 @@ def scan_documents_json(spark, sf):
     )
     path = scratch_path(spark, "documents")
     grouped.select("_default").write.json(path)
-    return documents.read_collection(spark, path, multi_line=False)
+    return documents.read_collection(spark, path, one_per_line=True)
+
+
+@query("scan_documents_one_object", "SELECT c_custkey AS product_id, c_name AS product_name, c_acctbal AS rating, c_nationkey AS review_count FROM customer")
+def scan_documents_one_object(spark, sf):
+    """One file with one object on one line: two collections, of which one is asked for."""
+    customers = inputs.table(spark, sf, "customer")
+    document = F.to_json(F.struct(F.col("c_custkey").alias("product_id"), F.col("c_name").alias("product_name"),
+                                  F.col("c_acctbal").alias("rating"), F.col("c_nationkey").alias("review_count"),
+                                  F.struct(F.lit('{"no": "document"}').alias("quoted")).alias("more")))
+    # pieces of the object in the order of the file, and no line ends between them
+    members = customers.select(F.col("c_custkey").alias("at"), F.concat_ws(
+        "", F.when(F.col("c_custkey") == customers.agg(F.min("c_custkey")).scalar(), F.lit('{"other": {"1": {"product_id": 0}}, "_default": {'))
+        .otherwise(F.lit(", ")), F.lit('"'), "c_custkey", F.lit('": '), document,
+        F.when(F.col("c_custkey") == customers.agg(F.max("c_custkey")).scalar(), F.lit("}}"))).alias("value"))
+    path = scratch_path(spark, "object")
+    members.coalesce(1).sortWithinPartitions("at").select("value").write.option("lineSep", " ").text(path)
+    return documents.read_collection(spark, path)
 
 
 @query("scan_pages", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
