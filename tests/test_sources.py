@@ -1,5 +1,6 @@
 import json
 import random
+import shutil
 import struct
 import zlib
 from contextlib import contextmanager
@@ -201,9 +202,31 @@ def test_pages_up_to_the_end_or_the_first_failure(spark, total, fail_at, kept, e
 
 
 def test_stored_pages_up_to_the_first_gap(spark, rows):
-    df = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c"), (3, "d")], "page long, v string")
-    assert rows(paged.contiguous_pages(df), "v") == [("a",), ("b",), ("c",)]
-    assert rows(paged.contiguous_pages(df.filter("page > 0"))) == []
+    df = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c"), (3, "d")], "page int, v string")
+    got = paged.contiguous_pages(df)
+    assert rows(got.rows, "v") == [("a",), ("b",), ("c",)] and not got.complete and rows(got.errors) == [(2, "missing")]
+    with pytest.raises(RuntimeError, match="missing"):
+        got.require_complete()
+    whole = paged.contiguous_pages(df.filter("page < 2"))
+    assert whole.complete and whole.require_complete().count() == 3 and whole.errors.count() == 0
+    assert not paged.contiguous_pages(df.filter("page > 0")).complete
+    assert paged.contiguous_pages(df.filter("page > 9")).complete
+
+
+def test_kept_answers_are_read_one_partition_a_page(spark, tmp_path, rows):
+    answers = spark.createDataFrame([(p, json.dumps([{"id": 3 * p + i, "name": "é"} for i in range(3)])) for p in range(4)] + [(4, "[]")],
+                                    "page int, value string")
+    answers.write.partitionBy("page").text(str(tmp_path / "kept"))
+    reader = paged.StoredPages(str(tmp_path / "kept"))
+    got = paged.read_pages(spark, reader, T.StructType(SIMPLE.fields[:2]), page_size=3, wave=2)
+    assert got.complete and rows(got.rows) == sorted([(i, "é") for i in range(12)], key=repr)
+    spark.dataSource.register(paged.page_source(reader, 3, "kept_pages"))
+    read = spark.read.format("kept_pages").options(first=1, pages=2).load()
+    assert read.rdd.getNumPartitions() == 2 and rows(read.select("page").distinct()) == [(1,), (2,)]
+    shutil.rmtree(tmp_path / "kept" / "page=1")
+    got = paged.read_pages(spark, reader, T.StructType(SIMPLE.fields[:2]), page_size=3, wave=2)
+    assert not got.complete and rows(got.rows, "id") == [(0,), (1,), (2,)]
+    assert [(e.page, "FileNotFoundError" in e.error) for e in got.errors.collect()] == [(1, True)]
 
 
 def test_http_pages_ask_for_offset_and_limit(monkeypatch):

@@ -10,6 +10,7 @@ import json
 import sys
 import urllib.parse
 import urllib.request
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -18,6 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidemark.session import materialise
 
@@ -36,6 +38,29 @@ class HttpPages:
             return json.load(answer)
 
 
+class StoredPages:
+    """Answers of a paged collection that were kept: texts of JSON arrays in the folders page=0, page=1, … of a path.
+
+    As with the collection itself, an empty array is the end; a folder that is not
+    there is a page that cannot be read. The path is one that pyarrow's file
+    systems open (local and shared folders, HDFS, object stores).
+    """
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __call__(self, offset: int, limit: int) -> list[dict]:
+        from pyarrow import fs
+
+        files, root = fs.FileSystem.from_uri(self.path)
+        rows: list[dict] = []
+        for info in files.get_file_info(fs.FileSelector(f"{root}/page={offset // limit}")):
+            if info.base_name.startswith("part-"):
+                with files.open_input_stream(info.path) as stream:
+                    rows += json.loads(stream.read() or b"[]")
+        return rows
+
+
 @dataclass(frozen=True)
 class PagedRead:
     """Rows before the first page that could not be read, that page's errors, and whether the end was reached."""
@@ -69,47 +94,63 @@ def read_pages(spark: SparkSession, reader: PageReader, schema: T.StructType, pa
     fetched = reduce(DataFrame.unionByName, waves)
     kept = fetched.filter(F.col("row").isNotNull() & (F.col("page") < stop["page"]))
     return PagedRead(kept.select(F.from_json("row", schema).alias("r")).select("r.*"),
-                     fetched.filter(F.col("error").isNotNull() & (F.col("error") != "empty")).select("page", "error"),
+                     fetched.filter((F.col("page") <= stop["page"]) & (F.col("error") != "empty")).select("page", "error"),
                      stop["error"] == "empty")
 
 
-def contiguous_pages(rows: DataFrame, page: str = "page") -> DataFrame:
-    """Rows of stored pages 0, 1, 2 … before the first page that is not there."""
-    pages = materialise(rows.select(page).distinct(), "page-numbers")
-    following = pages.select((F.col(page) + 1).alias(page)).unionByName(rows.sparkSession.sql(f"SELECT 0L AS {page}"))
-    gap = following.join(pages, page, "left_anti").agg(F.min(page))
-    return rows.filter(F.col(page) < gap.scalar())
+def contiguous_pages(rows: DataFrame, page: str = "page") -> PagedRead:
+    """Rows of stored pages 0, 1, 2 … before the first page that is not there; incomplete if later ones are."""
+    pages = materialise(rows.select(F.col(page).cast("long").alias("page")).distinct(), "page-numbers")
+    following = pages.select((F.col("page") + 1).alias("page")).unionByName(rows.sparkSession.sql("SELECT 0L AS page"))
+    gap = following.join(pages, "page", "left_anti").agg(F.min("page")).first()[0]
+    complete = pages.filter(F.col("page") > gap).isEmpty()
+    errors = rows.sparkSession.createDataFrame([] if complete else [(gap, "missing")], "page long, error string")
+    return PagedRead(rows.filter(F.col(page) < gap), errors, complete)
 
 
-def fetch_pages(spark: SparkSession, reader: PageReader, page_size: int, first: int, pages: int,
-                tasks: int | None = None) -> DataFrame:
-    """(page, row, error) for every row of `pages` pages, plus one row per failed or empty page.
+def page_source(reader: PageReader, page_size: int, name: str) -> type[DataSource]:
+    """A data source of the columns page, row (JSON) and error, with one partition for each page.
 
-    Pages are dealt out to `tasks` tasks (by default four per core); each task
-    holds one page at a time.
+    Its options are `first`, the number of the first page, and `pages`, how many.
+    An empty page and one that cannot be read give one row each, with an error.
     """
-    out = T.StructType([
-        T.StructField("page", T.LongType()),
-        T.StructField("row", T.StringType()),
-        T.StructField("error", T.StringType()),
-    ])
-
-    def read(batches) -> Iterator:
-        import pandas as pd
-
-        for batch in batches:
-            for page in batch["id"]:
-                try:
-                    rows = [json.dumps(r) for r in reader(int(page) * page_size, page_size)]
-                    error = None if rows else "empty"
-                except Exception as problem:  # any failure of the remote side becomes data
-                    rows, error = [], f"{type(problem).__name__}: {problem}"
-                texts = rows or [None]
-                yield pd.DataFrame({"page": page, "row": texts, "error": error}).astype({"row": object, "error": object})
+    class Reader(DataSourceReader):
+        def __init__(self, first: int, pages: int):
+            self.first, self.pages = first, pages
+
+        def partitions(self) -> list[InputPartition]:
+            return [InputPartition(page) for page in range(self.first, self.first + self.pages)]
+
+        def read(self, partition: InputPartition) -> Iterator[tuple]:
+            page = partition.value
+            try:
+                rows = [json.dumps(row) for row in reader(page * page_size, page_size)]
+                error = None if rows else "empty"
+            except Exception as problem:  # any failure of the remote side becomes data
+                rows, error = [], f"{type(problem).__name__}: {problem}"
+            for row in rows or [None]:
+                yield page, row, error
+
+    class Pages(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return name
+
+        def schema(self) -> str:
+            return "page long, row string, error string"
+
+        def reader(self, schema: T.StructType) -> DataSourceReader:
+            return Reader(int(self.options.get("first", 0)), int(self.options["pages"]))
+
+    return Pages
+
 
+def fetch_pages(spark: SparkSession, reader: PageReader, page_size: int, first: int, pages: int) -> DataFrame:
+    """(page, row, error) for every row of `pages` pages, plus one row per failed or empty page."""
     # readers of this module travel with the job, so workers need not have the package installed
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    tasks = min(pages, tasks or 4 * spark.sparkContext.defaultParallelism)
-    fetched = spark.range(first, first + pages, 1, tasks).mapInPandas(read, out)
+    source = page_source(reader, page_size, f"pages_{uuid.uuid4().hex}")
+    spark.dataSource.register(source)
+    fetched = spark.read.format(source.name()).options(first=first, pages=pages).load()
     # a remote page may answer differently when a task is repeated, so the answers are kept
     return materialise(fetched, "pages")

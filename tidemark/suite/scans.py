@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.dates import days_between
-from tidemark.session import scratch_path
+from tidemark.operators.ids import with_positions
+from tidemark.session import drop_path, scratch_path
 from tidemark.sources import delimited, documents, fallback, inventory, listing, paged
 from tidemark.sinks.files import create_views
 from tidemark.suite import inputs
@@ -93,16 +94,36 @@ def scan_documents_one_object(spark, sf):
     return documents.read_collection(spark, path)
 
 
+def stored_pages(spark, sf, size):
+    """Orders as the kept answers of a paged collection of `size` rows a page; behind the last page comes an empty one."""
+    rows = with_positions(inputs.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"),
+                          ["o_orderkey"], "place")
+    row = F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    # a page has `size` rows at most
+    pages = rows.groupBy(F.floor((F.col("place") - 1) / size).alias("page")).agg(F.to_json(F.collect_list(row)).alias("value"))
+    end = rows.agg(F.ceil(F.count(F.lit(1)) / size).alias("page")).withColumn("value", F.lit("[]"))
+    path = scratch_path(spark, "pages")
+    pages.unionByName(end).write.partitionBy("page").text(path)
+    return paged.StoredPages(path), T.StructType.fromDDL("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double")
+
+
 @query("scan_pages", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def scan_pages(spark, sf):
-    """A collection stored in some hundred and fifty pages, read up to the first page that is not there."""
-    rows = inputs.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    size = rows.agg(F.max("o_orderkey")).first()[0] // 150 + 1
-    path = scratch_path(spark, "pages")
-    page = F.floor(F.col("o_orderkey") / size)
-    rows.withColumn("page", page).repartition("page").write.partitionBy("page").json(path)
-    stored = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("page", T.LongType())])).json(path)
-    return paged.contiguous_pages(stored).drop("page")
+    """A collection read page by page up to its empty page."""
+    reader, schema = stored_pages(spark, sf, 500)
+    return paged.read_pages(spark, reader, schema, 500).require_complete()
+
+
+@query("scan_pages_failing", """WITH placed AS (SELECT *, (row_number() OVER (ORDER BY o_orderkey) - 1) // 300 AS page FROM orders)
+SELECT o_orderkey, CAST(NULL AS BIGINT) AS failed_page, false AS complete FROM placed WHERE page < 4 UNION ALL SELECT NULL, 4, false""")
+def scan_pages_failing(spark, sf):
+    """The fifth page is gone: what comes before it is kept, the page is named and the result is not complete."""
+    reader, schema = stored_pages(spark, sf, 300)
+    drop_path(spark, f"{reader.path}/page=4")
+    got = paged.read_pages(spark, reader, schema, 300)
+    return got.rows.select("o_orderkey", F.lit(None).cast("long").alias("failed_page")).unionByName(
+        got.errors.select(F.lit(None).cast("long").alias("o_orderkey"), F.col("page").alias("failed_page"))
+    ).withColumn("complete", F.lit(got.complete))
 
 
 @query("scan_with_fallback", "SELECT o_orderkey, o_orderstatus, 'fallback' AS mode FROM orders")
