@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, merge
 from tidemark.sinks.published import PublishedTable
-from tidemark.sinks.snapshots import change_log_of, track_changes
+from tidemark.sinks.snapshots import change_log_of, differing, track_changes, track_changes_by_digest
 
 ROW = "product_id long, articleType string, baseColour string, usage string, stock_qty int"
 
@@ -123,3 +125,37 @@ def test_a_bad_key_without_truth_stays_bad(spark):
     fixed = merge.backfill(target, bad, truth, "id", ["baseColour"])
     assert sorted(map(tuple, fixed.collect())) == [(1, "Red", True), (2, "BAD", False), (3, None, False)]
     assert not merge.backfill_report(target, fixed, bad).first()["backfill_successful"]
+
+
+def test_digests_find_the_buckets_that_changed(spark, tmp_path, rows, monkeypatch):
+    table = PublishedTable(spark, f"{tmp_path}/snapshot", key=["id"], buckets=50)
+    first = spark.range(2_000).select("id", F.format_string("v%d", "id").alias("v"), F.lit("same").alias("w"))
+    changes, counts = track_changes_by_digest(table, first, "id", ["v", "w"])
+    assert changes.count() == 2_000 and counts.first().asDict()["inserted_count"] == 2_000
+    read, asked = table.read, []
+    monkeypatch.setattr(table, "read", lambda buckets=None, since=0: asked.append(buckets) or read(buckets, since))
+    # nothing changed, then one row
+    for df, expected, n in ((first.repartition(7), [], 0), (first.withColumn("v", F.when(F.col("id") == 77, "x").otherwise(F.col("v"))), [(77, "UPDATE")], 1)):
+        asked.clear()
+        files = set(read().inputFiles())
+        changes, _ = track_changes_by_digest(table, df, "id", ["v", "w"])
+        assert rows(changes) == expected and len(asked[0]) == n
+        assert len(files & set(read().inputFiles())) == len(files) - n  # the others keep their files
+    # inserts, updates and deletes at once equal a comparison of all rows
+    last = first.filter("id % 3 <> 0").withColumn("v", F.when(F.col("id") % 5 == 0, "y").otherwise(F.col("v"))).unionByName(
+        spark.range(5_000, 5_020).select("id", F.lit("z").alias("v"), F.lit("same").alias("w")))
+    before = read()
+    expected = rows(cdc.diff_snapshots(before, cdc.snapshot(last, "id", ["v", "w"]), "id"))
+    changes, counts = track_changes_by_digest(table, last, "id", ["v", "w"])
+    assert rows(changes) == expected and counts.first()["total_tracked"] == last.count()
+    with pytest.raises(ValueError):
+        track_changes_by_digest(PublishedTable(spark, f"{tmp_path}/other"), first, "id", ["v"])
+
+
+def test_differing_buckets_by_tree():
+    rng = random.Random(5)
+    for buckets in (1, 2, 15, 16, 17, 300):
+        before = {str(b): "a" for b in range(buckets) if rng.random() < 0.9}
+        after = {b: ("c" if rng.random() < 0.1 else d) for b, d in before.items() if rng.random() < 0.95}
+        assert differing(before, after, buckets) == [b for b in range(buckets) if before.get(str(b)) != after.get(str(b))]
+        assert differing(before, before, buckets) == []

@@ -1,10 +1,11 @@
 import json
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.sinks import files, loads
-from tidemark.sinks.published import ConcurrentPublish, Constraints, PublishedTable, PublishRejected
+from tidemark.sinks.published import ConcurrentPublish, Constraints, PublishedTable, PublishRejected, RangedTable
 
 
 def names(spark, *pairs):
@@ -198,3 +199,72 @@ def test_files_and_run_log(spark, tmp_path, rows):
     loads.log_run(spark, f"{tmp_path}/log", "2", 6)
     loads.log_run(spark, f"{tmp_path}/log", "r1", 7)
     assert rows(loads.read_run_log(spark, f"{tmp_path}/log"), "run_id", "rows_upserted") == [("2", 6), ("r1", 7)]
+
+
+def dated(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "day string, v int").withColumn("day", F.col("day").cast("date"))
+
+
+def test_ranges_are_swapped_in_one_version(spark, tmp_path):
+    table = RangedTable(spark, f"{tmp_path}/t", "day", "month")
+    table.replace(dated(spark, ("2024-01-31", 1), ("2024-02-01", 2), ("2024-02-29", 3), ("2024-03-01", 4)))
+    content = lambda: sorted(tuple(r) for r in table.read().select(F.col("day").cast("string"), "v").collect())
+    before, files_before = content(), sorted(table.read().inputFiles())
+    february = (date(2024, 2, 1), date(2024, 2, 29))
+    bad = [
+        dated(spark, ("2024-02-10", 9), ("2024-03-01", 9)),                                     # a row of another range
+        dated(spark, ("2024-02-10", 9), (None, 9)),                                             # a row without a date
+        dated(spark, ("2024-02-10", 9), ("2024-02-11", 8)).withColumn("v", F.expr("IF(v = 8, raise_error('broken'), v)")),
+    ]
+    for df in bad:
+        with pytest.raises(Exception):
+            table.swap(df, *february)
+        assert content() == before and sorted(table.read().inputFiles()) == files_before and table.state()["version"] == 1
+    done = table.swap(dated(spark, ("2024-02-10", 9)), *february)
+    assert done["ranges_replaced"] == 1 and done["version"] == 2
+    assert content() == [("2024-01-31", 1), ("2024-02-10", 9), ("2024-03-01", 4)]
+    # the other ranges keep their files, and a read of some days opens those of their ranges only
+    assert len(set(files_before) & set(table.read().inputFiles())) == 2
+    assert {f.split("__bucket=")[1].split("/")[0] for f in table.between(date(2024, 2, 1), date(2024, 3, 1)).inputFiles()} == {"202402", "202403"}
+    assert table.between(date(2024, 1, 1), date(2024, 1, 30)).count() == 0
+    table.swap(dated(spark), date(2024, 1, 1), date(2024, 2, 29))
+    assert content() == [("2024-03-01", 4)]
+
+
+def test_two_replays_that_start_from_the_same_version(spark, tmp_path, monkeypatch):
+    table, other = (RangedTable(spark, f"{tmp_path}/t", "day", "year") for _ in range(2))
+    table.replace(dated(spark, ("2023-05-01", 1), ("2024-05-01", 2)))
+    state = other.state()
+    monkeypatch.setattr(other, "state", lambda: state)
+    table.swap(dated(spark, ("2023-06-01", 3)), date(2023, 1, 1), date(2023, 12, 31))
+    with pytest.raises(ConcurrentPublish):
+        other.swap(dated(spark, ("2024-06-01", 4)), date(2024, 1, 1), date(2024, 12, 31))
+    assert sorted(r.v for r in table.read().collect()) == [2, 3]
+
+
+def test_joined_parts_keep_rows_and_versions(spark, tmp_path, rows):
+    table = PublishedTable(spark, f"{tmp_path}/t", key=["id"], buckets=2)
+    for i in range(9):
+        table.append(names(spark, *[(10 * i + j, f"n{i}") for j in range(4)]))
+    before, late = rows(table.read()), rows(table.read(since=6))
+    early = [p for p in table.state()["parts"] if p["version"] <= 6]
+    kept = len(table.state()["parts"]) - len(early)
+    assert table.compact(at_least=5, up_to=6) == len(early) > 9
+    assert rows(table.read()) == before and rows(table.read(since=6)) == late and rows(table.read(since=5)) != late
+    assert len(table.state()["parts"]) == 2 + kept and table.compact(at_least=5, up_to=6) == 0
+    # large parts stay when a few small ones have come
+    big = PublishedTable(spark, f"{tmp_path}/big")
+    big.append(products(spark, 1_000))
+    for i in range(4):
+        big.append(names(spark, (5_000 + i, "x")))
+    assert big.compact(at_least=4) == 4 and sorted(p["rows"] for p in big.state()["parts"]) == [4, 1_000]
+
+
+def test_buckets_that_are_not_named_cannot_be_written(spark, tmp_path):
+    table = PublishedTable(spark, f"{tmp_path}/t", key=["id"], buckets=4)
+    table.replace(products(spark, 40))
+    one = table.read([1])
+    with pytest.raises(PublishRejected, match="outside"):
+        table.replace_buckets(products(spark, 40), [1])
+    assert table.replace_buckets(one.withColumn("productDisplayName", F.lit("new")), [1])["rows_total"] == 40
+    assert {r[0] for r in table.read([1]).select("productDisplayName").distinct().collect()} == {"new"}

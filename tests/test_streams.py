@@ -189,3 +189,28 @@ def test_new_files_are_taken_once_and_together(spark, tmp_path):
 
 def test_event_schema_has_the_product_payload():
     assert [f.name for f in EVENT_SCHEMA["payload"].dataType] == ["articleType", "baseColour", "season", "usage", "productDisplayName"]
+
+
+def test_ids_are_looked_up_in_their_buckets(spark, tmp_path):
+    table = ChangeTable(spark, f"{tmp_path}/table", id_buckets=32)
+    table.apply(changes(spark, *[event(f"e{i}", "INSERT", i, i) for i in range(300)]))
+    batch = changes(spark, event("e7", "UPDATE", 7, 400), event("new", "INSERT", 8, 401))
+    buckets = {f.split("__bucket=")[1].split("/")[0] for f in table.known_ids(batch).inputFiles()}
+    assert 1 <= len(buckets) <= 2 < len({p["bucket"] for p in table.log.state()["parts"]})
+    assert table.known_ids(batch).count() < 60
+    assert table.apply(batch, 1) == {"batch_id": 1, "applied": 1, "duplicate_skipped": 1}
+    # a table that is opened with another number keeps its own
+    assert ChangeTable(spark, f"{tmp_path}/table", id_buckets=4).apply(batch, 2)["applied"] == 0
+
+
+def test_log_parts_are_joined_and_repeats_still_known(spark, tmp_path, plan):
+    table = ChangeTable(spark, f"{tmp_path}/table", buckets=2, id_buckets=1)
+    for i in range(10):
+        table.apply(changes(spark, event(f"e{i}", "UPDATE", i % 3, i, f"c{i}")), i)
+    expected = now(table)
+    table.compact()
+    assert len(table.log.state()["parts"]) == 1 and now(table) == expected
+    assert "Window" not in plan(table.current())
+    assert table.apply(changes(spark, event("e4", "UPDATE", 1, 900, "late")), 11)["applied"] == 0
+    table.apply(changes(spark, event("f", "UPDATE", 1, 950, "new")), 12)
+    assert (1, "new", "UPDATE") in now(table) and table.change_log().count() == 11

@@ -14,6 +14,7 @@ import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import date
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -166,10 +167,17 @@ class PublishedTable:
         return [{"path": f"{folder}/{n}", "bucket": int(n.split("=")[1]), "version": version}
                 for n in sorted(names) if n.startswith(BUCKET)]
 
-    def _publish(self, state: dict, df: DataFrame, keep: list[dict], marks: dict | None) -> dict:
-        """Write `df` next to the kept parts and publish both as the version after `state`."""
+    def _publish(self, state: dict, df: DataFrame, keep: list[dict], marks: dict | None, part_version: int | None = None,
+                 allowed: Callable[[int], bool] | None = None) -> dict:
+        """Write `df` next to the kept parts and publish both as the version after `state`.
+
+        Rewritten rows keep a `part_version` of before. Rows in buckets that are not `allowed` reject all.
+        """
         version = state["version"] + 1
-        parts = self._write(df, version)
+        parts = self._write(df, part_version or version)
+        strange = [p["bucket"] for p in parts if allowed is not None and not allowed(p["bucket"])]
+        if strange:
+            raise PublishRejected(f"{self.root}: rows outside the buckets to replace, in {strange[:5]}")
         written = self._read_parts(parts, df.schema)
         # counted on the files: a count taken while writing may see a repeated task twice
         nulls = {f"null:{c}": F.count_if(F.col(c).isNull()) for c in self.constraints.not_null}
@@ -216,6 +224,38 @@ class PublishedTable:
         state = self.state()
         return self._publish(state, df, state["parts"], marks)
 
+    def replace_buckets(self, df: DataFrame, buckets: list[int], marks: dict | None = None) -> dict:
+        """Put the rows of `df` in the place of all rows of these buckets; others keep their files."""
+        state, replaced = self.state(), set(buckets)
+        return self._publish(state, df, [p for p in state["parts"] if p["bucket"] not in replaced], marks, allowed=replaced.__contains__)
+
+    def compact(self, at_least: int = 8, up_to: int | None = None) -> int:
+        """Join small parts of a bucket when there are that many, leaving its rows as they are; returns the parts joined.
+
+        Parts are taken from the smallest on, as long as the next is at most twice
+        as large as those before together, so a row is rewritten a logarithmic number
+        of times. `up_to` leaves parts of later versions alone.
+        """
+        state, joined = self.state(), []
+        by_bucket: dict = {}
+        for part in state["parts"]:
+            if up_to is None or part["version"] <= up_to:
+                by_bucket.setdefault(part["bucket"], []).append(part)
+        for parts in by_bucket.values():
+            small, rows = [], 0
+            for part in sorted(parts, key=lambda p: p["rows"]):
+                if small and part["rows"] > 2 * rows:
+                    break
+                small.append(part)
+                rows += part["rows"]
+            if len(small) >= at_least:
+                joined += small
+        if joined:
+            paths = {p["path"] for p in joined}
+            self._publish(state, self._read_parts(joined, T.StructType.fromJson(state["schema"])),
+                          [p for p in state["parts"] if p["path"] not in paths], None, max(p["version"] for p in joined))
+        return len(joined)
+
     def merge(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame],
               marks: dict | None = None) -> dict:
         """Replace the touched buckets by `combine(rows of those buckets, batch)`.
@@ -236,3 +276,45 @@ class PublishedTable:
             keep = [p for p in state["parts"] if p["bucket"] not in set(touched)]
             old = self._read_state(state, touched) if state["version"] else self.spark.createDataFrame([], rows.schema)
             return {**self._publish(state, combine(old, rows), keep, marks), "rows_in_batch": n}
+
+
+class RangedTable(PublishedTable):
+    """A published table cut by ranges of a date: a replay swaps the ranges it covers in one version.
+
+    `unit` is year, month or day. Rows without a date are rejected.
+    """
+
+    _DIGITS = {"year": 4, "month": 6, "day": 8}
+
+    def __init__(self, spark: SparkSession, root: str, column: str, unit: str = "month", constraints: Constraints | None = None):
+        constraints = constraints or Constraints()
+        super().__init__(spark, root, [column], unit, Constraints([*{column: None, **dict.fromkeys(constraints.not_null)}], constraints.unique))
+
+    def bucket_of(self) -> Column:
+        """Number of a row's range, such as 202405."""
+        return F.coalesce(self._number(F.date_format(self.key[0], "yyyyMMdd")), F.lit(0))
+
+    def _number(self, day: Column) -> Column:
+        return F.left(day, F.lit(self._DIGITS[self.buckets])).cast("int")
+
+    def _ranges(self, first: date, last: date) -> tuple[int, int]:
+        return tuple(int(day.strftime("%Y%m%d")[:self._DIGITS[self.buckets]]) for day in (first, last))
+
+    def swap(self, df: DataFrame, first: date, last: date, marks: dict | None = None) -> dict:
+        """Put `df` in the place of all rows of the ranges from `first` to `last`, in one version.
+
+        `df` has the whole content of these ranges; rows outside them reject all. If
+        anything fails, every range stays as it is.
+        """
+        state = self.state()
+        low, high = self._ranges(first, last)
+        keep = [p for p in state["parts"] if not low <= p["bucket"] <= high]
+        return {**self._publish(state, df, keep, marks, allowed=lambda b: low <= b <= high),
+                "ranges_replaced": len({p["bucket"] for p in state["parts"]} - {p["bucket"] for p in keep})}
+
+    def between(self, first: date, last: date) -> DataFrame:
+        """Rows of these days, read from the folders of their ranges."""
+        state = self.state()
+        low, high = self._ranges(first, last)
+        rows = self._read_state(state, [p["bucket"] for p in state["parts"] if low <= p["bucket"] <= high])
+        return rows.filter(F.col(self.key[0]).cast("date").between(F.lit(first), F.lit(last)))

@@ -1,7 +1,9 @@
 """Applying a stream of change events exactly once.
 
 Every micro-batch appends the events whose id is not in the published log, in one
-step, so a repeated batch finds its own events there and adds nothing. The table
+step, so a repeated batch finds its own events there and adds nothing. The log is
+cut into buckets by a hash of the id, and a batch looks its ids up in the buckets
+that they fall in, not in the whole log. The table
 of current rows is the newest event of every key, which does not depend on the
 order or number of deliveries. `compact` writes that fold down so that reading
 stays cheap; deletes stay in it as markers, because an older update may still
@@ -27,21 +29,22 @@ class ChangeTable:
 
     `version` orders the events of a key. Event time with the id as tie-breaker
     is the default; an arrival order (such as the broker offset) can be given
-    instead.
+    instead. With `id_buckets` well over the ids of a batch, a batch reads about as
+    many buckets of the log as it has ids; with fewer it reads them all.
     """
 
     def __init__(self, spark: SparkSession, root: str, key: str = "product_id",
-                 version: list[str] | None = None, buckets: int = 32):
+                 version: list[str] | None = None, buckets: int = 32, id_buckets: int = 32):
         self.spark, self.key = spark, key
         self.version = version or EVENT_TIME
-        self.log = PublishedTable(spark, f"{root}/log")
+        self.log = PublishedTable(spark, f"{root}/log", key=["event_id"], buckets=id_buckets)
         self.folded = PublishedTable(spark, f"{root}/folded", key=[key], buckets=buckets)
 
     def apply(self, events: DataFrame, batch_id: int = 0) -> dict:
         """Append unseen events of one micro-batch; returns applied and skipped counts.
 
         The batch is written once, so its records are decoded once. Of the log only
-        the ids are read; the id alone tells a repeat, whatever its time says.
+        the ids of some buckets are read; the id alone tells a repeat, whatever its time says.
         """
         with temporary(events, "micro-batch") as batch:
             n = batch.count()
@@ -50,17 +53,23 @@ class ChangeTable:
             # one row per event id and task crosses the shuffle, however often an event is redelivered
             fresh = batch.dropDuplicates(["event_id"])
             if self.log.exists():
-                fresh = fresh.join(self.log.read().select("event_id"), "event_id", "left_anti")
+                fresh = fresh.join(self.known_ids(batch), "event_id", "left_anti")
             written = self.log.append(fresh.select(*batch.columns))["rows_written"]
         return {"batch_id": batch_id, "applied": written, "duplicate_skipped": n - written}
 
+    def known_ids(self, events: DataFrame) -> DataFrame:
+        """Ids in the buckets of the log that the ids of `events` fall in."""
+        version = self.log.state()["version"]  # the log's own number of buckets holds
+        touched = [r[0] for r in events.select(self.log.bucket_of()).distinct().collect()]  # at most as many as there are buckets
+        return self.log.read(touched).select("event_id") if version else events.limit(0).select("event_id")
+
     def _unfolded(self) -> DataFrame:
         return self.log.read(since=self.folded.state()["marks"].get("log_version", 0))
 
     def _newest(self) -> DataFrame:
         """The newest event of every key; what is folded already is taken as it is."""
         folded = self.folded.state()
-        if folded["version"] and folded["marks"]["log_version"] == self.log.state()["version"]:
+        if folded["version"] and all(p["version"] <= folded["marks"]["log_version"] for p in self.log.state()["parts"]):
             return self.folded.read()
         rows = self._unfolded()
         if folded["version"]:
@@ -79,7 +88,8 @@ class ChangeTable:
         """Fold new log rows into the buckets of their keys; other buckets stay as they are.
 
         Delete markers older than the given time are left out of the rewritten
-        buckets, which is safe once no older event can arrive.
+        buckets, which is safe once no older event can arrive. Small parts of the log
+        that are folded are joined, so that its list of parts stays short.
         """
         def fold(old: DataFrame, new: DataFrame) -> DataFrame:
             newest = latest_per_key(old.unionByName(new), [self.key], self.version)
@@ -89,7 +99,9 @@ class ChangeTable:
 
         version = self.log.state()["version"]
         new = latest_per_key(self._unfolded(), [self.key], self.version)
-        return self.folded.merge(new, fold, {"log_version": version})
+        done = self.folded.merge(new, fold, {"log_version": version})
+        self.log.compact(up_to=version)
+        return done
 
     def change_log(self) -> DataFrame:
         return self.log.read()

@@ -12,7 +12,7 @@ from tidemark.session import scratch_path
 from tidemark.sinks.events import encode_events, publish_to_folder
 from tidemark.sinks.published import PublishedTable
 from tidemark.sources.events import dead_letters, decode_events, good_events, stream_from_folder
-from tidemark.streaming.changes import ChangeTable, run_changes
+from tidemark.streaming.changes import ChangeTable, drop_repeats, run_changes
 from tidemark.streaming.files import ingest_new_files
 from tidemark.suite import inputs
 from tidemark.suite.inputs import CHANGES_SQL, CLEAN_SQL
@@ -64,6 +64,18 @@ def stream_cdc_apply(spark, sf):
     return table.current().withColumn("last_updated", _micros("last_updated"))
 
 
+@query("stream_bounded_dedup", f"WITH {CHANGES_SQL} SELECT product_id, value, source_type, strftime(event_ts, '%Y-%m-%d %H:%M:%S.%f') AS event_ts FROM changes")
+def stream_bounded_dedup(spark, sf):
+    """Every record comes twice, in different micro-batches; the state of seen ids lets the first one through."""
+    events = _events(spark, _delivered_twice(spark, sf), max_files=4)
+    # the records are in no order of time, so the delay covers all of it
+    once, out = drop_repeats(events, "20000 days"), scratch_path(spark, "once")
+    query = (once.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "checkpoint"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.schema(once.schema).parquet(out).select("product_id", "payload.*", _micros("event_ts").alias("event_ts"))
+
+
 @query("stream_replay_counts", """SELECT 'first run' AS step, count(*) AS applied, count(*) AS duplicate_skipped FROM events UNION ALL
 SELECT 'restart', 0, 0 UNION ALL SELECT 'replay', 0, 2 * count(*) FROM events UNION ALL
 SELECT 'other times', 0, count(*) FROM events""")

@@ -12,7 +12,7 @@ from tidemark.functions import row_hash
 from tidemark.operators import cdc, merge
 from tidemark.session import scratch_path
 from tidemark.sinks.published import PublishedTable
-from tidemark.sinks.snapshots import change_log_of, track_changes
+from tidemark.sinks.snapshots import change_log_of, track_changes, track_changes_by_digest
 from tidemark.suite import inputs
 from tidemark.suite.registry import query
 
@@ -64,6 +64,15 @@ def cdc_changes(spark, sf):
     return _changes(spark, sf)
 
 
+@query("cdc_changes_by_digest", f"WITH {_CHANGES_SQL} SELECT * FROM changes")
+def cdc_changes_by_digest(spark, sf):
+    """The changes of the second of two snapshots, found through the digests that the first has left."""
+    table = PublishedTable(spark, scratch_path(spark, "snapshot"), key=["o_orderkey"], buckets=64)
+    for state in (_before, _after):
+        changes, _ = track_changes_by_digest(table, state(spark, sf), "o_orderkey", _COLUMNS)
+    return changes
+
+
 @query("cdc_counts", f"""WITH {_CHANGES_SQL}
 SELECT CAST(count_if(op = 'INSERT') AS BIGINT) AS inserted_count, CAST(count_if(op = 'UPDATE') AS BIGINT) AS updated_count,
   CAST(count_if(op = 'DELETE') AS BIGINT) AS deleted_count, (SELECT count(*) FROM after) AS total_tracked FROM changes""")
