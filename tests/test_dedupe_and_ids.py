@@ -1,3 +1,5 @@
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import dedupe, ids, lookup, sampling
@@ -105,3 +107,18 @@ def test_sample_is_exact_and_repeatable(spark, rows):
     few = sampling.sample_rows(df, ["id"], 3, seed=3)
     assert set(rows(few)) <= set(rows(a)) and few.count() == 3
     assert 0 < sampling.sample_fraction(df, 0.1).count() < 250
+
+
+def test_sample_with_replacement_is_exact_and_repeatable(spark, rows):
+    df = spark.range(40).select("id", (F.col("id") * 2).alias("v"))
+    a, b = (sampling.sample_with_replacement(df.repartition(n), ["id"], 500, seed=3) for n in (2, 9))
+    assert rows(a, "draw", "id", "v") == rows(b, "draw", "id", "v")
+    drawn = a.collect()
+    assert sorted(r.draw for r in drawn) == list(range(1, 501)) and all(r.v == 2 * r.id for r in drawn)
+    counts = Counter(r.id for r in drawn)
+    assert set(counts) == set(range(40)) and max(counts.values()) < 35  # 12.5 each on average
+    few = sampling.sample_with_replacement(df, ["id"], 5, seed=3)
+    assert set(rows(few, "draw", "id")) <= set(rows(a, "draw", "id")) and few.count() == 5
+    assert rows(sampling.sample_with_replacement(df, ["id"], 500, seed=4), "draw", "id") != rows(a, "draw", "id")
+    assert sampling.sample_with_replacement(df.limit(0), ["id"], 5).count() == 0
+    assert sampling.sample_with_replacement(df.limit(1), ["id"], 5).count() == 5

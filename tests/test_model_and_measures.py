@@ -5,8 +5,10 @@ import pytest
 from conftest import CATALOG, catalog_row
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import date_key
 from tidemark.operators.ids import ranked
 from tidemark.plans import cube, etl, measures, star, steps
+from tidemark.session import materialise
 
 
 @pytest.fixture(scope="module")
@@ -171,3 +173,16 @@ def test_steps_stop_at_the_first_failure(spark):
     report = steps.run_steps(spark, [("a", lambda: ran.append("a")), ("b", lambda: 1 / 0), ("c", lambda: ran.append("c"))])
     assert [(r["step"], r["status"]) for r in report.collect()] == [("a", "OK"), ("b", "FAILED"), ("c", "SKIPPED")]
     assert ran == ["a"]
+
+
+def test_a_quarter_reads_the_months_it_has(spark, tmp_path, plan):
+    fact = spark.range(3_000).select(F.col("id").alias("order_id"), date_key(F.date_add(F.lit("1997-01-01").cast("date"), (F.col("id") % 700).cast("int"))).alias("time_id"))
+    star.write_by_month(fact, f"{tmp_path}/fact")
+    orders = spark.range(700).select(F.date_add(F.lit("1997-01-01").cast("date"), F.col("id").cast("int")).alias("order_date"))
+    time = materialise(star.dim_time(orders), "time")
+    stored = spark.read.parquet(f"{tmp_path}/fact")
+    quarter = star.sales_of_days(stored, time.filter("year = 1997 AND quarter = 2"))
+    assert "dynamicpruning" in plan(quarter).lower()
+    assert quarter.count() == fact.filter("time_id BETWEEN 19970401 AND 19970630").count() > 0
+    assert star.sales_of_days(stored, time).count() == 3_000
+    assert "time_id" in quarter.columns and "month_id" not in quarter.columns

@@ -76,3 +76,27 @@ def test_frequency_of_null_is_null(spark, rows):
 def test_one_hot_of_null_is_false(spark, rows):
     df = spark.createDataFrame([("a",), (None,)], "c string")
     assert rows(features.one_hot(df, "c")) == [("a", True), (None, False)]
+
+
+def test_sparse_vectors_of_a_wide_column(spark, rows, plan):
+    df = spark.range(30_000).select("id", F.when(F.col("id") % 10 != 3, F.format_string("level %05d", F.col("id") % 12_000)).alias("c"), F.lit("x").alias("level"))
+    found = features.one_hot_sparse(df, "c", "v")
+    levels = sorted({f"level {i % 12_000:05d}" for i in range(30_000) if i % 10 != 3})
+    assert found.size == len(levels) > 10_000 and found.rows.columns == ["id", "c", "level", "v"]
+    assert [r.level for r in found.levels.orderBy("index").collect()] == levels
+    place = {level: i for i, level in enumerate(levels)}
+    entries = features.vector_entries(found.rows, "v", ["id"]).collect()
+    assert len(entries) == 27_000 and all(r.value == 1.0 and r["index"] == place[f"level {r.id % 12_000:05d}"] for r in entries)
+    none = found.rows.filter("c IS NULL").first()["v"]
+    assert none.size == found.size and none.numNonzeros() == 0
+    nothing = features.one_hot_sparse(df.filter("c IS NULL"), "c", "v")
+    assert nothing.size == 0 and nothing.rows.count() == 3_000
+
+
+def test_more_levels_than_can_be_columns_are_an_error(spark):
+    wide = spark.range(10_001).select("id", F.col("id").alias("c"))
+    with pytest.raises(ValueError, match="c has more than"):
+        profile.levels_of(wide, "c")
+    with pytest.raises(Exception, match="c has more than"):
+        profile.summary(wide, ["c"], ["c"], "id").collect()
+    assert profile.summary_rows(wide, ["c"], ["c"], "id").filter("metric = 'c'").count() == 10_001

@@ -14,7 +14,9 @@ from tidemark.sources import delimited, documents, fallback, images, inventory,
 from tidemark.sources.collections import change, cut
 from tidemark.sources.quoted import ends_inside
 from tidemark.sources.events import dead_letters, decode_events, good_events
+from tidemark.session import materialise
 from tidemark.sinks.events import encode_events
+from tidemark.sinks.published import PublishedTable
 
 SIMPLE = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("year", T.IntegerType())])
 
@@ -315,3 +317,30 @@ def test_bad_records_become_dead_letters(spark):
              '{"event_id": "2", "event_type": "DELETE", "product_id": 1, "event_ts": "2024-01-01T00:00:00Z"}']
     decoded = decode_events(spark.createDataFrame([(t,) for t in texts], "value string"))
     assert good_events(decoded).count() == 1 and dead_letters(decoded).count() == 6
+
+
+def test_deep_pages_read_the_keys_between_two_borders(spark, rows, plan):
+    df = spark.range(0, 3_000, 3).withColumn("v", F.col("id") % 7).repartition(5)
+    borders = materialise(listing.page_borders(df, "id", 100), "borders")
+    assert rows(borders) == sorted([(1 + 100 * i, 300 * i) for i in range(10)], key=repr)
+    for limit, offset in ((20, 0), (20, 95), (100, 100), (1, 199), (250, 310), (50, 980), (5, 1_000), (5, 5_000), (0, 10)):
+        page = listing.page_between_borders(df, borders, "id", limit, offset)
+        assert [tuple(r) for r in page.collect()] == [tuple(r) for r in listing.list_page(df, "id", limit, offset).collect()]
+    path = f"{materialise(df, 'stored').inputFiles()[0].rsplit('/', 1)[0]}"
+    stored = spark.read.parquet(path)
+    assert "GreaterThanOrEqual(id,2700)" in plan(listing.page_between_borders(stored, borders, "id", 20, 950))
+    assert "LessThan(id,600)" in plan(listing.page_between_borders(stored, borders, "id", 20, 120))
+    assert listing.page_between_borders(df.limit(0), borders.limit(0), "id").count() == 0
+
+
+def test_look_up_reads_the_buckets_of_the_keys(spark, tmp_path, rows):
+    table = PublishedTable(spark, f"{tmp_path}/t", key=["id"], buckets=40)
+    keys = spark.createDataFrame([(7,), (100_000,), (None,)], "id long")
+    with pytest.raises(FileNotFoundError):
+        listing.find_published(table, keys)
+    table.replace(spark.range(2_000).withColumn("v", F.col("id") * 2))
+    found = listing.find_published(table, keys)
+    assert rows(found) == sorted([(7, 14, True), (100_000, None, False), (None, None, False)], key=repr)
+    buckets = {f.split("__bucket=")[1].split("/")[0] for f in found.inputFiles() if "__bucket" in f}
+    assert 1 <= len(buckets) <= 3
+    assert rows(found) == rows(listing.find_keys(table.read(), keys, "id"))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import chain
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import word_count
+from tidemark.operators.ids import surrogate_keys
 from tidemark.operators.profile import levels_of
 from tidemark.session import materialise
 
@@ -21,11 +24,45 @@ def ordinal_code(column: str, codes: dict[str, int], unknown: int = -1) -> Colum
 
 
 def one_hot(df: DataFrame, column: str, levels: list | None = None) -> DataFrame:
-    """One boolean column `<column>_<level>` per level; NULL rows are false everywhere."""
+    """One boolean column `<column>_<level>` per level; NULL rows are false everywhere. Wide columns: `one_hot_sparse`."""
     levels = levels_of(df, column) if levels is None else levels
     return df.select("*", *[F.coalesce(F.col(column) == v, F.lit(False)).alias(f"{column}_{v}") for v in levels])
 
 
+@dataclass(frozen=True)
+class SparseEncoding:
+    """`rows` with the vector column, and the `levels` (index, level) behind its places."""
+
+    rows: DataFrame
+    levels: DataFrame
+    size: int
+
+
+def one_hot_sparse(df: DataFrame, column: str, output: str) -> SparseEncoding:
+    """One-hot vectors of a column of any width.
+
+    Levels are numbered 0, 1, … in their natural order by a distributed sort, so
+    only their number comes to the driver. `output` is a sparse vector of that
+    size, as Spark's learning algorithms take it; a NULL has no place set.
+    """
+    levels = materialise(surrogate_keys(df.select(F.col(column).alias("level")).na.drop(), ["level"], "index")
+                         .withColumn("index", F.col("index") - 1), "levels")
+    size = levels.count()
+    # NULL goes to the place behind the last one, which the encoder drops
+    index = F.coalesce(F.col("__at"), F.lit(size)).cast("double").alias("__index")
+    placed = df.join(levels.toDF("__at", "__level"), F.col(column) == F.col("__level"), "left").select(*df.columns, index)
+    last = df.sparkSession.range(1).select(F.lit(float(size)).alias("__index"))
+    encoder = OneHotEncoder(inputCol="__index", outputCol=output, dropLast=True).fit(last)
+    return SparseEncoding(encoder.transform(placed).drop("__index"), levels, size)
+
+
+def vector_entries(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
+    """(keep…, index, value): one row for every place that is set in a sparse vector."""
+    parts = F.unwrap_udt(column)
+    entries = F.arrays_zip(parts["indices"].alias("index"), parts["values"].alias("value"))
+    return df.select(*keep, F.inline(entries)).toDF(*keep, "index", "value")
+
+
 def frequency_encode(df: DataFrame, column: str, output: str) -> DataFrame:
     """Each row gets its value's share of all non-NULL rows.
 

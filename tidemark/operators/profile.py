@@ -51,14 +51,21 @@ def conditional_counts(df: DataFrame, conditions: dict[str, Column]) -> DataFram
     return df.agg(*[F.count_if(c).alias(name) for name, c in conditions.items()])
 
 
-def levels_of(df: DataFrame, column: str) -> list:
+#: Levels that may become columns or entries of one map.
+MOST_LEVELS = 10_000
+
+
+def levels_of(df: DataFrame, column: str, at_most: int = MOST_LEVELS) -> list:
     """Sorted distinct non-NULL values of a column that is about to become columns.
 
-    All of them come to the driver, as they become names in the schema. Give the
-    levels where they are known; a column of any width belongs in rows
-    (`cross_counts`, `value_counts`, `frequency_encode`).
+    They come to the driver, as they become names in the schema; more than
+    `at_most` are an error. A column of any width belongs in rows (`cross_counts`,
+    `summary_rows`, `frequency_encode`) or sparse vectors (`one_hot_sparse`).
     """
-    return sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().collect())
+    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(at_most + 1).collect()
+    if len(found) > at_most:
+        raise ValueError(f"{column} has more than {at_most} levels")
+    return sorted(r[0] for r in found)
 
 
 def cross_counts(df: DataFrame, rows: str, columns: str) -> DataFrame:
@@ -108,7 +115,8 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
 def summary(df: DataFrame, distinct: list[str], counted: list[str], range_column: str) -> DataFrame:
     """One row: total, distinct counts, value-count maps and the range of one column.
 
-    A map has an entry for every value, so columns of any width belong in `summary_rows`.
+    A map has an entry for every value, and more than `MOST_LEVELS` are an error:
+    columns of any width belong in `summary_rows`.
     """
     total = df.agg(F.count(F.lit(1)).alias("total"), F.min(range_column).alias(f"min_{range_column}"),
                    F.max(range_column).alias(f"max_{range_column}"))
@@ -116,7 +124,9 @@ def summary(df: DataFrame, distinct: list[str], counted: list[str], range_column
     maps = {}
     for c in counted:
         counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        maps[f"{c}_counts"] = counts.agg(F.map_from_entries(F.collect_list(F.struct(c, "n")))).scalar()
+        entries = F.collect_list(F.struct(c, "n"))
+        maps[f"{c}_counts"] = counts.limit(MOST_LEVELS + 1).agg(F.map_from_entries(F.when(F.size(entries) <= MOST_LEVELS, entries).otherwise(
+            F.raise_error(F.lit(f"{c} has more than {MOST_LEVELS} values"))))).scalar()
     return total.withColumns(unique | maps)
 
 

@@ -108,6 +108,22 @@ def fact_sales(items: DataFrame, orders: DataFrame, time: DataFrame | None = Non
                          from_cents("revenue_cents").alias("revenue"))
 
 
+def write_by_month(fact: DataFrame, path: str) -> None:
+    """Facts in one folder a month; large months are split over tasks and files."""
+    month = F.floor(F.col("time_id") / 100).cast("int")
+    fact.withColumn("month_id", month).hint("rebalance", F.col("month_id")).write.partitionBy("month_id").parquet(path)
+
+
+def sales_of_days(fact: DataFrame, days: DataFrame) -> DataFrame:
+    """Facts written by month, of some rows of the time dimension.
+
+    The month is part of the join, so Spark reads the folders of the months that
+    `days` turns out to hold and no others.
+    """
+    days = days.withColumn("month_id", F.floor(F.col("time_id") / 100).cast("int"))
+    return fact.join(days, ["month_id", "time_id"]).drop("month_id")
+
+
 def snowflake_product(tables: NormalForm) -> DataFrame:
     return tables.products.select("product_id", "product_name", "gender", "base_colour", "season", "usage",
                                   "master_category_id", "sub_category_id", "article_type_id")

@@ -197,6 +197,15 @@ def append_new_ids(spark, sf):
     return inputs.with_day(all_rows, "happened")
 
 
+@query("sample_with_replacement", """WITH placed AS (SELECT *, row_number() OVER (ORDER BY event_id) AS place FROM events),
+draws AS (SELECT i AS draw, CAST('0x' || substr(md5('7:' || i), 1, 15) AS BIGINT) % (SELECT count(*) FROM events) + 1 AS place
+  FROM range(1, 3001) t(i))
+SELECT draw, event_id, user_id, event_type, value FROM draws JOIN placed USING (place)""")
+def sample_with_replacement(spark, sf):
+    events = inputs.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    return sampling.sample_with_replacement(events, ["event_id"], 3_000, seed=7)
+
+
 @query("seeded_sample", "SELECT * EXCLUDE (ts) FROM events ORDER BY md5(concat_ws(':', 7, event_id)), event_id LIMIT 500")
 def seeded_sample(spark, sf):
     return sampling.sample_rows(inputs.table(spark, sf, "events"), ["event_id"], 500, seed=7).drop("ts")

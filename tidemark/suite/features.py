@@ -44,6 +44,15 @@ def one_hot(spark, sf):
     return features.one_hot(inputs.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"), "l_returnflag")
 
 
+@query("one_hot_sparse", """SELECT l_orderkey, l_linenumber, CAST(dense_rank() OVER (ORDER BY l_orderkey) - 1 AS INTEGER) AS index, 1.0::DOUBLE AS value,
+  (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS size FROM lineitem""")
+def one_hot_sparse(spark, sf):
+    """As many levels as there are orders."""
+    lines = inputs.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    encoded = features.one_hot_sparse(lines, "l_orderkey", "order")
+    return features.vector_entries(encoded.rows, "order", ["l_orderkey", "l_linenumber"]).withColumn("size", F.lit(encoded.size).cast("long"))
+
+
 @query("ordinal_encode", f"WITH {CATALOG_SQL} SELECT id, season, {_SEASON} AS season_code FROM catalog")
 def ordinal_encode(spark, sf):
     return inputs.catalog(spark, sf).select(

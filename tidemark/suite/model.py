@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.clean import clean_catalog
 from tidemark.operators.ids import with_positions
 from tidemark.plans import star
+from tidemark.session import scratch_path
 from tidemark.suite import inputs
 from tidemark.suite.inputs import CLEAN_SQL
 from tidemark.suite.registry import query
@@ -104,3 +105,14 @@ def fact_sales(spark, sf):
     numbered = with_positions(lines, ["order_id", "l_linenumber", "product_id", "store_id", "quantity", "unit_price"], "order_item_id")
     fact = star.fact_sales(numbered, inputs.orders(spark, sf))
     return fact.withColumns({c: F.col(c).cast("double") for c in ("unit_price", "revenue")})
+
+
+@query("fact_one_quarter", """SELECT l_suppkey AS store_id, month(o_orderdate)::INTEGER AS month, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderdate >= TIMESTAMP '1997-04-01' AND o_orderdate < TIMESTAMP '1997-07-01' GROUP BY 1, 2""")
+def fact_one_quarter(spark, sf):
+    """Facts are kept by month; the quarter is a condition on the time dimension only."""
+    path = scratch_path(spark, "fact-by-month")
+    star.write_by_month(inputs.dated_sales(spark, sf).select("order_id", "store_id", "time_id", "quantity"), path)
+    days = inputs.time(spark, sf).filter("year = 1997 AND quarter = 2").select("time_id", "month")
+    return star.sales_of_days(spark.read.parquet(path), days).groupBy("store_id", "month").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("quantity").cast("long").alias("quantity"))

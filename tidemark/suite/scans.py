@@ -7,9 +7,10 @@ from pyspark.sql import types as T
 
 from tidemark.functions.dates import days_between
 from tidemark.operators.ids import with_positions
-from tidemark.session import drop_path, scratch_path
+from tidemark.session import drop_path, materialise, scratch_path
 from tidemark.sources import delimited, documents, fallback, inventory, listing, paged
 from tidemark.sinks.files import create_views
+from tidemark.sinks.published import PublishedTable
 from tidemark.suite import inputs
 from tidemark.suite.inputs import CLEAN_SQL, GENDER
 from tidemark.suite.registry import query
@@ -215,3 +216,21 @@ def point_lookup(spark, sf):
     keys = inputs.table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
     solvent = inputs.table(spark, sf, "customer").filter("c_acctbal >= 0").select("c_custkey", "c_name")
     return listing.find_keys(solvent, keys, "c_custkey")
+
+
+@query("listing_deep_page", """SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders ORDER BY o_orderkey
+LIMIT 50 OFFSET (SELECT count(*) - 75 FROM orders)""")
+def listing_deep_page(spark, sf):
+    """A page near the end, through the borders of pages that were noted before."""
+    orders = inputs.table(spark, sf, "orders")
+    borders = materialise(listing.page_borders(orders, "o_orderkey", 1_000), "borders")
+    return inputs.with_day(listing.page_between_borders(orders, borders, "o_orderkey", 50, orders.count() - 75), "o_orderdate")
+
+
+@query("point_lookup_published", """SELECT c_custkey, c_name, c_name IS NOT NULL AS found
+FROM (SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_orderstatus = 'P') LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) USING (c_custkey)""")
+def point_lookup_published(spark, sf):
+    table = PublishedTable(spark, scratch_path(spark, "customers"), key=["c_custkey"], buckets=64)
+    table.replace(inputs.table(spark, sf, "customer").filter("c_acctbal >= 0").select("c_custkey", "c_name"))
+    wanted = inputs.table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    return listing.find_published(table, wanted)
