@@ -1,6 +1,7 @@
 import pytest
 
 from tidemark import session
+from tidemark.session import run_together
 
 
 def test_intermediate_tables_go_to_the_configured_folder(spark):
@@ -51,3 +52,11 @@ def test_shuffles_grow_with_the_input():
     assert session.shuffle_partitions(1) == 200
     assert session.shuffle_partitions(session.DEFAULT_INPUT_BYTES) == 4096
     assert session.shuffle_partitions(100 * 10**12) == 186265
+
+
+def test_independent_jobs_run_together(spark):
+    found = run_together(spark, {n: (lambda n=n: spark.range(n).count()) for n in (3, 5, 9)})
+    assert found == {3: 3, 5: 5, 9: 9}
+    with pytest.raises(ZeroDivisionError):
+        run_together(spark, {"good": lambda: 1, "bad": lambda: 1 // 0})
+    assert run_together(spark, {}) == {}

@@ -7,6 +7,7 @@ and readers see complete tables only.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,7 @@ from tidemark.operators import features, profile, quality
 from tidemark.operators.clean import clean_catalog, cleaning_report
 from tidemark.plans import cube, etl, star
 from tidemark.plans.steps import run_steps
+from tidemark.session import run_together
 from tidemark.sinks import files, loads
 from tidemark.sinks.published import Constraints, PublishedTable
 from tidemark.sinks.snapshots import track_changes
@@ -59,6 +61,9 @@ class Warehouse:
     def _publish(self, name: str, df: DataFrame, **options) -> int:
         return self.table(name, **options).replace(df)["rows_written"]
 
+    def _publish_all(self, tables: dict[str, DataFrame]) -> dict[str, int]:
+        return run_together(self.spark, {name: partial(self._publish, name, df) for name, df in tables.items()})
+
     def _report(self, name: str, df: DataFrame, single: bool = True) -> None:
         files.write_report(df, f"{self.root}/reports/{name}", single)
 
@@ -96,17 +101,14 @@ class Warehouse:
             "normal_customers": s.customers, "normal_stores": s.stores, "normal_orders": s.sales_orders,
             "normal_order_items": s.sales_items,
         }
-        for name, df in normal.items():
-            self._publish(name, df)
+        self._publish_all(normal)
         tables = star.NormalForm(self.read("normal_categories"), self.read("normal_sub_categories"),
                                  self.read("normal_article_types"), self.read("normal_products"))
         named = {
             "dim_product": star.dim_product(tables), "dim_customer": s.customers, "dim_store": s.stores,
             "dim_time": star.dim_time(s.sales_orders), **star.snowflake_tables(tables),
         }
-        for name, df in named.items():
-            self._publish(name, df)
-        return self._publish("fact_sales", star.fact_sales(s.sales_items, s.sales_orders))
+        return self._publish_all({**named, "fact_sales": star.fact_sales(s.sales_items, s.sales_orders)})["fact_sales"]
 
     def analyse(self) -> int:
         sales = cube.star_join(self.read("fact_sales"), self.read("dim_product"), self.read("dim_store"))

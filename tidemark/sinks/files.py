@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.session import run_together
+
 
 # Quotes are doubled inside quoted fields and blanks are kept, as other programs expect.
 CSV_OPTIONS = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -20,10 +24,10 @@ def write_report(report: DataFrame, path: str, single: bool = True) -> None:
 
 def export_tables(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
     """Write every table as delimited text under `folder`; returns the paths."""
-    paths = {}
-    for name, df in tables.items():
-        paths[name] = f"{folder}/{name}"
-        write_csv(df, paths[name])
+    paths = {name: f"{folder}/{name}" for name in tables}
+    if tables:
+        spark = next(iter(tables.values())).sparkSession
+        run_together(spark, {name: partial(write_csv, df, paths[name]) for name, df in tables.items()})
     return paths
 
 
