@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import documents
@@ -68,9 +68,9 @@ def class_counts(counts: np.ndarray) -> np.ndarray:
 def repeated_words(words: list[bytes]) -> int:
     """Words inside a window of three that is found again in the text."""
     windows = list(zip(words, words[1:], words[2:]))
-    counts = Counter(windows)
-    if len(counts) == len(windows):
+    if len(set(windows)) == len(windows):
         return 0
+    counts = Counter(windows)
     covered = past = 0
     for i, window in enumerate(windows):
         if counts[window] > 1:
@@ -93,6 +93,16 @@ def base_counts(text: bytes, words: list[bytes], counts: np.ndarray) -> dict:
             "base_failed": n < 50 or 100 * again > 50 * n}
 
 
+def fails_base(words: list[bytes]) -> bool:
+    """`base_failed` alone: the repeated words are counted only where they could be enough."""
+    n = len(words)
+    if n < 50:
+        return True
+    # a repeat makes two windows at most repeated ones, and so six words
+    repeats = n - 2 - len(set(zip(words, words[1:], words[2:])))
+    return 12 * repeats > n and 100 * repeated_words(words) > 50 * n
+
+
 def plain(word: bytes) -> str:
     """Lower case without punctuation at the ends; nothing if no letter or digit is left."""
     return EDGE.sub("", word.decode(errors="replace").lower())
@@ -131,11 +141,11 @@ def references(docs: DataFrame, languages: tuple[str, ...] = LANGUAGES, n_common
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py() or b""
-                words, counts = text.split(), byte_counts(text)
-                if base_counts(text, words, counts)["base_failed"]:
+                words = text.split()
+                if fails_base(words):
                     continue
                 lang = lang if lang in languages else EVERY
-                classes = class_counts(counts)
+                classes = class_counts(byte_counts(text))
                 for i, share in enumerate((BINS * classes / classes.sum()).astype(int).tolist()):
                     found[lang, 1 + i][str(share)] += 1
                 found[lang, 0].update(words)
@@ -146,18 +156,17 @@ def references(docs: DataFrame, languages: tuple[str, ...] = LANGUAGES, n_common
     schema = "lang string, kind int, key string, n long"
     counted = docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(count, schema)
     counted = materialise(counted.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "reference-counts")
-    per_language = counted.filter(F.col("lang") != EVERY)
-    every = counted.groupBy(F.lit(EVERY).alias("lang"), "kind", "key").agg(F.sum("n").alias("n"))
-    totals = per_language.unionByName(every)
-    words = totals.filter("kind = 0 AND key <> ''")
-    common = words.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "key")))
     out: dict = {}
-    for lang, n in words.groupBy("lang").agg(F.sum("n")).collect():
-        out[lang] = [np.zeros(N_CLASSES), {}, [n]]
-    for lang, key, n, at in common.filter(F.col("at") <= n_common).select("lang", "key", "n", "at").orderBy("lang", "at").collect():
-        out[lang][1][key] = at - 1
-        out[lang][2].insert(at - 1, n)
-        out[lang][2][-1] -= n
+    for lang in dict.fromkeys((*languages, EVERY)):
+        of_lang = counted.filter(F.lit(True) if lang == EVERY else F.col("lang") == lang).filter("kind = 0 AND key <> ''")
+        of_lang = of_lang.groupBy("key").agg(F.sum("n").alias("n"))
+        total = of_lang.agg(F.sum("n")).first()[0]
+        if total is not None:
+            # every task keeps its `n_common` most frequent words
+            first = of_lang.orderBy(F.desc("n"), "key").limit(n_common).collect()
+            out[lang] = [np.zeros(N_CLASSES), {r.key: i for i, r in enumerate(first)}, [*(r.n for r in first), total - sum(r.n for r in first)]]
+    totals = counted.filter(F.col("lang") != EVERY).unionByName(
+        counted.groupBy(F.lit(EVERY).alias("lang"), "kind", "key").agg(F.sum("n").alias("n")))
     shares = defaultdict(list)
     for lang, kind, key, n in totals.filter("kind > 0").collect():
         shares[lang, kind - 1].append((int(key), n))
