@@ -299,3 +299,17 @@ def test_maximal_repeats_come_with_all_occurrences():
     assert found == {(2, 4, (0, 1, 2)), (2, 5, (0, 2))}
     assert common(b"abc", b"abd") == 2 and common(b"", b"a") == 0 and common(b"ab", b"ab") == 2
     assert sorted(intervals([2, 1, 1], 4)) == [(1, 0, 4), (2, 0, 2)]
+
+
+def test_passages_of_very_many_repeated_rows(spark):
+    rng = random.Random(12)
+    text, other = prose(rng, 300), prose(rng, 120)
+    part = text[100:500]
+    one = documents(spark, [text, f"{other}{part}", prose(rng, 100), "short"])
+    repeated = one.filter("doc_id = 0").crossJoin(spark.range(20_000)).drop("id").unionByName(one).unionByName(one.filter("doc_id = 3"))
+    found = {}
+    for r in removal_digests(repeated).collect():
+        found.setdefault(r.doc_id, Counter())[r.n_bytes, r.n_removed, r.n_spans] += 1
+    assert found[0] == {(len(text), len(text), 1): 20_001}
+    assert found[1] == {(len(other) + 400, 400, 1): 1}
+    assert all(removed == 0 for _, removed, _ in found[2]) and found[3] == {(5, 0, 0): 2}

@@ -296,9 +296,16 @@ def with_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int
     others are covered whole if they have `length` bytes. Other columns are not used.
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    spans = repeated_spans(rows, length, gram, hot).select(F.col("doc_id").alias("s_id"), F.col("mark").alias("s_mark"), "spans")
-    return rows.join(spans, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("mark") == F.col("s_mark")), "left").select(
-        "doc_id", "text", "spans")
+    # of rows that repeat id and text one takes part, so that the work does not grow with the square of their number
+    again = Scratch(docs.sparkSession).save("repeated-rows", rows.groupBy(*KEY).count().filter("count > 1").select(
+        F.col("doc_id").alias("r_id"), F.col("mark").alias("r_mark")))
+    repeats = F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("mark") == F.col("r_mark"))
+    single = rows.join(again, repeats, "left_anti").unionByName(rows.join(again, repeats, "left_semi").dropDuplicates(KEY))
+    spans = repeated_spans(single, length, gram, hot).select(F.col("doc_id").alias("s_id"), F.col("mark").alias("s_mark"), "spans")
+    found = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("mark") == F.col("s_mark")), "left").join(again, repeats, "left")
+    whole = F.col("r_mark").isNotNull() & (F.length("text") >= length)
+    return found.select("doc_id", "text", F.when(whole, F.array(F.struct(
+        F.lit(0).cast("long").alias("start"), F.length("text").cast("long").alias("past")))).otherwise(F.col("spans")).alias("spans"))
 
 
 def removal_digests(docs: DataFrame, **parameters: int) -> DataFrame:
