@@ -22,7 +22,7 @@ def con():
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES if n != "pipeline"} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) and "pipeline" in queries()
 
 
