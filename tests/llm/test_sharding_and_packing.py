@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from helpers import DOCS, documents, odd_texts, prose, words_of
 
-from tidemark.llm.packing import best_fit, pack, pack_documents
+from tidemark.llm.packing import Remaining, best_fit, least_cost, pack, pack_documents
 from tidemark.llm.sharding import shard_documents, shard_rows, walk
 
 
@@ -101,3 +101,55 @@ def test_cheapest_opening_wins():
         for opening in (16, 32, 64):
             alone = best_fit(lengths, opening, (16, 32, 64))[2]
             assert cost <= sum(min(c for c in (16, 32, 64) if c >= u) + 4 for u in alone)
+
+
+def cheapest(lengths, capacities, overhead):
+    """Least cost over all partitions of a few pieces into bins."""
+    if not lengths:
+        return 0
+    first, rest = lengths[0], lengths[1:]
+    costs = []
+    for chosen in range(1 << len(rest)):
+        used = first + sum(n for i, n in enumerate(rest) if chosen >> i & 1)
+        if used <= capacities[-1]:
+            others = [n for i, n in enumerate(rest) if not chosen >> i & 1]
+            costs.append(min(c for c in capacities if c >= used) + overhead + cheapest(others, capacities, overhead))
+    return min(costs)
+
+
+def test_cost_is_near_the_optimum():
+    ratios = []
+    for seed in range(60):
+        rng = random.Random(seed)
+        lengths = sorted((rng.randint(1, 64) for _ in range(7)), reverse=True)
+        sizes = pack(lengths, (16, 32, 64), 4)[3]
+        ratios.append((sum(sizes) + 4 * len(sizes)) / cheapest(lengths, (16, 32, 64), 4))
+    assert min(ratios) >= 1 and max(ratios) <= 1.35 and sum(ratios) / len(ratios) <= 1.08
+
+
+def test_opening_takes_the_length_of_least_cost_per_token():
+    remaining = Remaining([30, 20, 10, 2])
+    remaining.take(30)
+    assert remaining.fill(34) == 32 and remaining.fill(1) == 0 and remaining.fill(12) == 12
+    # 30 and 2 fill 32 for 36; 30, 20, 10 and 2 take 62 of 64 for 68
+    assert least_cost(30, remaining, (32, 64), 4) == 64
+    assert least_cost(30, remaining, (32, 64), 0) == 32
+
+
+def test_lengths_are_mixed_where_that_is_cheaper():
+    # 40 pieces that fill the short length, and long ones that only pair in the long length
+    lengths = [50] * 20 + [14] * 20 + [31] * 41
+    lengths.sort(reverse=True)
+    bins, _, used, sizes = pack(lengths, (32, 64), 1)
+    alone = [best_fit(lengths, opening, (32, 64), 1)[2] for opening in (32, 64)]
+    assert len(set(sizes)) == 2 and sum(used) == sum(lengths)
+    assert sum(sizes) + len(sizes) <= min(sum((32 if u <= 32 else 64) + 1 for u in one) for one in alone)
+
+
+def test_many_repeated_rows_are_spread(spark):
+    text = "word " * 40
+    df = spark.range(20_000).selectExpr("cast(7 as long) AS doc_id", f"'{text}' AS text")
+    rows = pack_documents(df, (64, 256), shard_pieces=1000).collect()
+    by_shard = Counter(r.bin_id >> 32 for r in rows)
+    assert len(rows) == 20_000 and len(by_shard) == 20 and max(by_shard.values()) < 1300
+    assert len({(r.bin_id, r.bin_offset) for r in rows}) == 20_000

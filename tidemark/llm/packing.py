@@ -3,15 +3,17 @@
 Documents are cut into pieces of at most the largest length. Pieces are dealt by
 hash into shards of a bounded expected size, and each shard is packed in one
 task: longest piece first, into the open bin with the least room that is enough.
-If none has room, a bin is opened. Which length to open is decided jointly: the
-shard is packed once for every permitted opening length (a longer piece opens the
-shortest length that holds it), every bin is then downsized to the shortest
-length that holds its contents, and the packing of least total cost is kept.
+If none has room, a bin is opened. Its length is chosen then and there: for every
+permitted length that holds the piece, the bin is filled from the lengths still to
+come (longest that fits first), and the length of least cost per token is opened.
+At the end every bin is downsized to the shortest length that holds its contents.
+The shard is also packed with one opening length for all bins, once for each
+length, and the packing of least total cost is kept.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -29,15 +31,57 @@ CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 32
 #: Expected pieces in a shard: what one task holds.
 SHARD_PIECES = 20_000
+#: Repeated rows are numbered in blocks of this many, so that no array grows with their number.
+BLOCK = 10_000
 PLACED = ("doc_id long, piece int, start long, length long, bin_id long, bin_size long, bin_offset long, bin_used long")
 
 
-def best_fit(lengths: Sequence[int], opening: int, capacities: Sequence[int]) -> tuple[list[int], list[int], list[int]]:
-    """Bin of each piece, offset of each piece, used length of each bin; `lengths` fall."""
+class Remaining:
+    """Lengths still to come: those of a falling list behind the piece that is being placed."""
+
+    def __init__(self, lengths: Sequence[int]):
+        self.values, counts = np.unique(np.asarray(lengths, dtype=np.int64), return_counts=True)
+        self.values, self.counts = self.values.tolist(), counts.tolist()
+
+    def take(self, length: int) -> None:
+        """The next piece is placed; pieces come in falling order, so it is one of the largest value left."""
+        self.counts[-1] -= 1
+        if not self.counts[-1]:
+            self.values.pop()
+            self.counts.pop()
+
+    def fill(self, room: int) -> int:
+        """Tokens of the lengths that go into `room`, longest first."""
+        left, at = room, len(self.values)
+        while left > 0 and (at := bisect_right(self.values, left, 0, at) - 1) >= 0:
+            left -= min(self.counts[at], left // self.values[at]) * self.values[at]
+        return room - left
+
+
+def least_cost(length: int, remaining: Remaining, capacities: Sequence[int], overhead: int) -> int:
+    """The permitted length to open for a piece: least cost per token if filled from what remains; ties: the longest."""
+    best = None
+    for capacity in capacities[bisect_left(capacities, length):]:
+        used = length + remaining.fill(capacity - length)
+        rate = (capacities[bisect_left(capacities, used)] + overhead) / used
+        if best is None or rate <= best[0]:
+            best = rate, capacity
+    return best[1]
+
+
+def best_fit(lengths: Sequence[int], opening: int | None, capacities: Sequence[int],
+             overhead: int = OVERHEAD) -> tuple[list[int], list[int], list[int]]:
+    """Bin of each piece, offset of each piece, used length of each bin; `lengths` fall.
+
+    `opening` is the length of new bins, or None for the one of least cost at each opening.
+    """
+    remaining = Remaining(lengths) if opening is None else None
     rooms: list[int] = []  # distinct amounts of room of open bins, ascending
     open_bins: dict[int, list[int]] = {}
-    bins, offsets, used, size = [], [], [], []
+    bins, offsets, used = [], [], []
     for length in lengths:
+        if remaining:
+            remaining.take(length)
         at = bisect_left(rooms, length)
         if at < len(rooms):
             room = rooms[at]
@@ -47,10 +91,10 @@ def best_fit(lengths: Sequence[int], opening: int, capacities: Sequence[int]) ->
                 del open_bins[room]
                 rooms.pop(at)
         else:
-            room = max(opening, capacities[bisect_left(capacities, length)])
+            room = (least_cost(length, remaining, capacities, overhead) if remaining
+                    else max(opening, capacities[bisect_left(capacities, length)]))
             b = len(used)
             used.append(0)
-            size.append(room)
         bins.append(b)
         offsets.append(used[b])
         used[b] += length
@@ -63,10 +107,10 @@ def best_fit(lengths: Sequence[int], opening: int, capacities: Sequence[int]) ->
 
 
 def pack(lengths: Sequence[int], capacities: Sequence[int], overhead: int) -> tuple[list[int], list[int], list[int], list[int]]:
-    """The cheapest packing over all opening lengths: bins, offsets, used, downsized sizes."""
+    """The cheapest packing of those with a length chosen at each opening and with one length: bins, offsets, used, downsized sizes."""
     best = None
-    for opening in capacities:
-        bins, offsets, used = best_fit(lengths, opening, capacities)
+    for opening in (None, *capacities):
+        bins, offsets, used = best_fit(lengths, opening, capacities, overhead)
         sizes = [capacities[bisect_left(capacities, u)] for u in used]
         cost = sum(sizes) + overhead * len(sizes)
         if best is None or cost < best[0]:
@@ -78,8 +122,13 @@ def pack_pieces(pieces: DataFrame, capacities: Sequence[int] = CAPACITIES, overh
                 shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """Place (doc_id, piece, start, length) rows, 1 <= length <= max(capacities), in bins."""
     capacities = sorted(capacities)
-    pieces = materialise(pieces.select("doc_id", "piece", "start", "length", "salt"), "pieces")
-    shards = max(1, -(-pieces.count() // shard_pieces))
+    columns = ["doc_id", "piece", "start", "length", "salt"]
+    # rows that repeat everything are counted, numbered and dealt by their number too, so that they spread
+    counted = materialise(pieces.groupBy(columns).agg(F.count("*").alias("n")), "pieces")
+    shards = max(1, -(-(counted.agg(F.sum("n")).first()[0] or 0) // shard_pieces))
+    blocks = counted.withColumn("block", F.explode(F.expr(f"sequence(0L, (n - 1) div {BLOCK})")))
+    copies = blocks.withColumn("copy", F.explode(F.expr(f"sequence(block * {BLOCK}, least(n, (block + 1) * {BLOCK}) - 1)")))
+    pieces = copies.select(*columns[:-1], F.xxhash64("salt", "copy").alias("salt"))
 
     def pack_shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [b for b in batches if len(b)]
@@ -106,8 +155,8 @@ def pack_documents(docs: DataFrame, capacities: Sequence[int] = CAPACITIES, over
     `tokens` is an SQL expression for the number of tokens; by default the words of
     the text and an end mark, so a NULL or empty text takes one token. Every
     document is placed; one longer than the largest length comes in several pieces.
-    Rows are dealt by a hash of id and text, so copies spread; other columns are
-    not used, and an empty table gives an empty result.
+    Rows are dealt by a hash of id, text and, if rows repeat both, their number, so
+    copies spread; other columns are not used, and an empty table gives an empty result.
     """
     longest = max(capacities)
     count = F.expr(tokens) if tokens else F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)) + 1
