@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from helpers import DOCS, Union, documents, odd_texts, prose, words_of
 
-from tidemark.llm.common import components
+from tidemark.llm.common import Scratch, components
 from tidemark.llm.lines import line_classes, without_repeated_lines
 from tidemark.llm.passages import common, intervals, maximal_repeats, removal_digests, with_spans
 from tidemark.llm.simhash import simhash_classes, traverse, without_near_duplicates
@@ -313,3 +313,50 @@ def test_passages_of_very_many_repeated_rows(spark):
     assert found[0] == {(len(text), len(text), 1): 20_001}
     assert found[1] == {(len(other) + 400, 400, 1): 1}
     assert all(removed == 0 for _, removed, _ in found[2]) and found[3] == {(5, 0, 0): 2}
+
+
+def template_lines(n):
+    """Lines of one template with words of their own, 0.6 to 0.8 alike; every tenth has a near copy."""
+    rng = random.Random(5)
+    template = prose(rng, 24).split()
+    texts = []
+    for i in range(n):
+        words = list(template)
+        for at in rng.sample(range(24), 2):
+            words[at] = "".join(rng.choices("abdeghilmnoprstu", k=7))
+        texts.append(" ".join(words))
+        if i % 10 == 0:
+            texts.append(texts[-1] + ".")
+    return texts
+
+
+def test_pairs_of_a_template_grow_in_proportion(spark, monkeypatch):
+    seen = []
+    save = Scratch.save
+
+    def counted(self, name, df):
+        out = save(self, name, df)
+        if name == "line-pairs":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "save", counted)
+    totals = []
+    for n in (1_000, 5_000):
+        seen.clear()
+        texts = template_lines(n)
+        first = {r.doc_id: r.first_doc_id for r in line_classes(documents(spark, texts)).collect()}
+        assert all(first[i] == first[i - 1] for i in range(1, len(texts)) if texts[i] == texts[i - 1] + ".")
+        totals.append(sum(seen))
+    assert totals[1] <= 10 * totals[0], totals
+
+
+def test_template_components_equal_all_pairs(spark):
+    texts = template_lines(150)
+    union = Union(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if similar(texts[a], texts[b]) >= 0.8:
+                union.join(a, b)
+    first = {r.doc_id: r.first_doc_id for r in line_classes(documents(spark, texts)).collect()}
+    assert first == {i: union.find(i) for i in range(len(texts))}

@@ -16,10 +16,14 @@ Lines are compared in lower case without white space at their ends, as sets of
    so one has four neighbours, or three or two where the sets are as small as
    FEW says.
 3. Lines in one band are candidates. The first line of the band is compared with
-   all others; where that does not connect the whole band, fifteen further lines
-   are compared with the members outside their component, and then all lines are.
-   So every pair of a band is connected or has been compared. A pair of several
-   bands is looked at in one of them only.
+   all others; that connects most bands. Lines of bands that it does not connect
+   meet anew by rare shingles: with the shingles of each line ordered by the number
+   of such lines that have them, rarest first, two sets with similarity t share one
+   of the first n - ceil(t n) + 1, and its place in both bounds what they can have
+   in common. So copies of a template part by what is their own, and every similar
+   pair of a band is connected or is compared here. Of lines that share a rare
+   shingle, the first is compared with all others and then all of different
+   components with each other.
 4. Comparison is exact: the Jaccard similarity of the sets of all shingles (as 32
    bits of hash), which are computed once for each candidate.
 5. Union-find over the links; the first line of a component stays.
@@ -29,7 +33,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, components, documents, let
@@ -88,8 +92,7 @@ def bands(line: str, width: int, size: int, rows: int):
 def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float) -> DataFrame:
     """(a, b) of line ids whose similarity reaches the threshold; enough of them to connect what all would."""
     scratch = Scratch(lines.sparkSession)
-    signed = scratch.save("line-signatures", lines.select("id", bands("line", width, size, rows).alias("bands")))
-    banded = scratch.save("line-bands", signed.select("id", F.explode("bands").alias("band")))
+    banded = scratch.save("line-bands", lines.select("id", F.explode(bands("line", width, size, rows)).alias("band")))
     # bands with one line only end here; min and max are taken in the tasks first
     shared = scratch.save("line-shared", banded.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last"))
                           .filter("first < last"))
@@ -123,35 +126,50 @@ def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float)
                             .select("band", "id", F.coalesce("component", "id").alias("component")))
     scratch.drop("line-members", "line-labels")
     mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    place = Window.partitionBy("band").orderBy("id")
-    open_ = scratch.save("line-open-0", labelled.join(mixed.filter("low < high AND n > 2").select("band"), "band")
-                         .withColumn("at", F.row_number().over(place)).join(signed, "id"))
-    scratch.drop("line-signatures")
-    largest = open_.agg(F.max("at")).first()[0] or 0
-    done, step = 1, 0
-    while done < largest - 1:
-        step += 1
-        until = 16 if step == 1 else largest
-        lead = open_.filter((F.col("at") > done) & (F.col("at") <= until)).select(
-            "band", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("at").alias("from"), F.col("bands").alias("of_a"))
-        follow = open_.select("band", F.col("id").alias("b"), F.col("component").alias("cb"), "at", "bands")
-        # of the bands that two lines share, the least one has the pair, unless an earlier round took the leader there
-        shared = F.array_min(F.array_intersect("bands", "of_a")) == F.col("band") if step > 1 else F.lit(True)
-        pairs = follow.join(lead, "band").filter((F.col("from") < F.col("at")) & (F.col("ca") != F.col("cb")) & shared)
-        pairs = pairs.select("a", "b", "ca", "cb").distinct()
-        similar = compare(pairs, f"line-similar-{step}")
-        # components are joined by their smallest lines, so later rounds work on few links
+    mixed = scratch.save("line-mixed", mixed.filter("low < high AND n > 2").select("band"))
+    unconnected = scratch.save("line-unconnected", labelled.join(mixed, "band").select("id", "component").distinct())
+    scratch.drop("line-labelled", "line-mixed")
+    groups = scratch.save("line-groups-0", rare_groups(scratch, unconnected, sets, similarity))
+    scratch.drop("line-unconnected", "line-shingle-counts")
+    for step in (1, 2):
+        others = groups.select("shingle", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("after").alias("after_b"))
+        leaders = groups
+        if step == 1:
+            first = scratch.save("line-group-first", groups.groupBy("shingle").agg(F.min("id").alias("id")))
+            leaders = groups.join(first, ["shingle", "id"])
+        leaders = leaders.select("shingle", F.col("id").alias("a"), F.col("component").alias("ca"), "n", "after")
+        # shingles in common are at most this one and what follows it in the shorter rest
+        may_reach = (F.least("after", "after_b") + 1) * (1 + similarity) >= similarity * (F.col("n") + F.col("nb")) - 1e-6
+        pairs = others.join(leaders, "shingle").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & may_reach)
+        similar = compare(pairs.select("a", "b", "ca", "cb").distinct(), f"line-similar-{step}")
+        # components are joined by their smallest lines, so the next round works on few links
         joined = scratch.save(f"line-links-{step}", similar.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
         found.append(joined)
-        moved = components(joined, "lines").select(F.col("node").alias("component"), F.col("component").alias("moved"))
-        open_ = scratch.save(f"line-open-{step}", open_.join(moved, "component", "left").select(
-            "band", "id", F.coalesce("moved", "component").alias("component"), "at", "bands"))
-        scratch.drop(f"line-open-{step - 1}")
-        done = until
-    scratch.drop("line-sets", "line-labelled", "line-pairs", f"line-open-{step}")
+        if step == 1:
+            moved = components(joined, "lines").select(F.col("node").alias("component"), F.col("component").alias("moved"))
+            groups = scratch.save("line-groups-1", groups.join(moved, "component", "left").select(
+                "shingle", "id", F.coalesce("moved", "component").alias("component"), "n", "after"))
+            scratch.drop("line-groups-0", "line-group-first")
+    scratch.drop("line-sets", "line-pairs", "line-groups-1", "line-similar-1-0", "line-similar-2-0")
     return reduce(DataFrame.unionByName, found)
 
 
+def rare_groups(scratch: Scratch, lines: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(shingle, id, component, n, after): lines by those rare shingles that lines of other components have too.
+
+    `after` counts the shingles of the line that come later in the order. Any
+    order of the shingles gives the same links in the end; this one makes the groups small.
+    """
+    own = lines.join(sets, "id").select("id", "component", "n", F.explode("shingles").alias("shingle"))
+    counts = scratch.save("line-shingle-counts", own.groupBy("shingle").agg(
+        F.count("*").alias("lines"), (F.min("component") < F.max("component")).alias("mixed")))
+    ordered = own.join(counts, "shingle").groupBy("id", "component", "n").agg(
+        F.sort_array(F.collect_list(F.struct("lines", "shingle", "mixed"))).alias("order"))
+    prefix = F.slice("order", F.lit(1), (F.col("n") - F.ceil(F.col("n") * similarity - 1e-6) + 1).cast("int"))
+    return ordered.select("id", "component", "n", F.posexplode(prefix).alias("at", "of")).filter("of.mixed").select(
+        F.col("of.shingle").alias("shingle"), "id", "component", "n", (F.col("n") - F.col("at") - 1).alias("after"))
+
+
 def line_classes(docs: DataFrame, width: int = WIDTH, size: int = SIZE, rows: int = ROWS,
                  similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, mark, line_no, first_doc_id, first_mark, first_line_no, kept) of every line with a word.
