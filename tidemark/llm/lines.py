@@ -22,8 +22,8 @@ Lines are compared in lower case without white space at their ends, as sets of
    of the first n - ceil(t n) + 1, and its place in both bounds what they can have
    in common. So copies of a template part by what is their own, and every similar
    pair of a band is connected or is compared here. Of lines that share a rare
-   shingle, the first is compared with all others and then all of different
-   components with each other.
+   shingle, LEADERS are compared with all others, one after another, and then all
+   of different components with each other.
 4. Comparison is exact: the Jaccard similarity of the sets of all shingles (as 32
    bits of hash), which are computed once for each candidate.
 5. Union-find over the links; the first line of a component stays.
@@ -45,6 +45,8 @@ BLANK = " \t\r\x0b\x0c"
 SHORT = 100
 #: Lines with fewer shingles than this also have runs of this many neighbours (for a similarity of 0.8).
 FEW = {3: 16, 2: 6}
+#: Lines of a group that are compared with all others before all pairs of different components are; no effect on results.
+LEADERS = 3
 MARK = "mark"  # with doc_id it names a document: rows that repeat id and text are one
 
 
@@ -131,26 +133,27 @@ def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float)
     scratch.drop("line-labelled", "line-mixed")
     groups = scratch.save("line-groups-0", rare_groups(scratch, unconnected, sets, similarity))
     scratch.drop("line-unconnected", "line-shingle-counts")
-    for step in (1, 2):
+    for step in range(1, LEADERS + 2):
         others = groups.select("shingle", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("after").alias("after_b"))
         leaders = groups
-        if step == 1:
-            first = scratch.save("line-group-first", groups.groupBy("shingle").agg(F.min("id").alias("id")))
-            leaders = groups.join(first, ["shingle", "id"])
+        if step <= LEADERS:
+            leader = scratch.save("line-leaders", groups.groupBy("shingle").agg(F.min_by("id", F.xxhash64("id", F.lit(step))).alias("id")))
+            leaders = groups.join(leader, ["shingle", "id"])
         leaders = leaders.select("shingle", F.col("id").alias("a"), F.col("component").alias("ca"), "n", "after")
         # shingles in common are at most this one and what follows it in the shorter rest
         may_reach = (F.least("after", "after_b") + 1) * (1 + similarity) >= similarity * (F.col("n") + F.col("nb")) - 1e-6
-        pairs = others.join(leaders, "shingle").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & may_reach)
+        once = F.col("a") < F.col("b") if step > LEADERS else F.lit(True)
+        pairs = others.join(leaders, "shingle").filter(once & (F.col("ca") != F.col("cb")) & may_reach)
         similar = compare(pairs.select("a", "b", "ca", "cb").distinct(), f"line-similar-{step}")
         # components are joined by their smallest lines, so the next round works on few links
         joined = scratch.save(f"line-links-{step}", similar.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
         found.append(joined)
-        if step == 1:
+        if step <= LEADERS:
             moved = components(joined, "lines").select(F.col("node").alias("component"), F.col("component").alias("moved"))
-            groups = scratch.save("line-groups-1", groups.join(moved, "component", "left").select(
+            groups = scratch.save(f"line-groups-{step}", groups.join(moved, "component", "left").select(
                 "shingle", "id", F.coalesce("moved", "component").alias("component"), "n", "after"))
-            scratch.drop("line-groups-0", "line-group-first")
-    scratch.drop("line-sets", "line-pairs", "line-groups-1", "line-similar-1-0", "line-similar-2-0")
+            scratch.drop(f"line-groups-{step - 1}", "line-leaders")
+    scratch.drop("line-sets", "line-pairs", f"line-groups-{LEADERS}")
     return reduce(DataFrame.unionByName, found)
 
 
