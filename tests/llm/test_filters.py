@@ -161,6 +161,58 @@ def test_a_hot_finding_does_not_fill_the_sample(spark, secret_texts):
     assert verdicts[3] and not verdicts[1]
 
 
+def labelled_texts():
+    """Texts with one value each that the corpus rule cannot judge, and whether it is a secret."""
+    rng = random.Random(29)
+    texts, labels = [], []
+
+    def key(alphabet, size):
+        return "".join(rng.choices(alphabet, k=size))
+
+    hexes, base = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for i in range(30):
+        u = key(hexes, 32)
+        day = f"20{rng.randrange(10, 30)}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02}"
+        kinds = [
+            (f"request {u[:8]}-{u[8:12]}-{u[12:16]}-{u[16:20]}-{u[20:]} was", 0),
+            (f"id={u[:8]}-{u[8:12]}-{u[12:16]}-{u[16:20]}-{u[20:]} was", 0),
+            (f"in /var/lib/data/{key('abcdefghij', 8)}/{day}/part-{i:04} there", 0),
+            (f"path=/srv/{rng.choice(WORDS4)}/{rng.choice(WORDS4)}-{rng.choice(WORDS4)}/v{i}/index then", 0),
+            (f"sha256 {key(hexes, 64)} matches", 0), (f"checksum: {key(hexes, 32)} matches", 0),
+            (f"version release-{i}-{rng.randrange(20)}-3-build-{day.replace('-', '')} came", 0),
+            (f"with {rng.choice(WORDS4)}_{rng.choice(WORDS4)}_{rng.choice(WORDS4)}_{rng.randrange(10, 99)} here", 0),
+            (f"use {key(base, 32)} for it", 1), (f"x = {key(base, 40)} for it", 1), (f'secret: "{key(base, 24)}" end', 1),
+            (f"password={key(base + '!@#', 14)} end", 1), (f"api_key = {key(hexes, 32)} end", 1)]
+        for shown, label in kinds:
+            texts.append(f"{prose(rng, 30)} {shown} {prose(rng, 30)}")
+            labels.append(label)
+    return texts, labels
+
+
+def test_forest_judges_values_and_not_only_names(spark, secret_texts):
+    texts, labels = labelled_texts()
+    corpus = secret_texts[0]
+    rows = sec.scan(documents(spark, corpus + texts)).collect()
+    verdict = {i: False for i in range(len(texts))}
+    for r in rows:
+        if r.doc_id >= len(corpus):
+            verdict[r.doc_id - len(corpus)] |= r.is_secret
+    kinds = {}
+    for i, label in enumerate(labels):
+        kinds.setdefault((i % 13, label), []).append(verdict[i])
+    shares = {k: sum(v) / len(v) for k, v in kinds.items()}
+    right = sum(verdict[i] and label for i, label in enumerate(labels))
+    precision, recall = right / sum(verdict.values()), right / sum(labels)
+    print(f"precision {precision:.3f}, recall {recall:.3f}", shares)
+    assert precision >= 0.95 and recall >= 0.95, shares
+    assert shares[8, 1] >= 0.9, "bare keys, which no rule names"
+
+
+def test_repeated_rows_of_findings(spark):
+    rows = sec.scan(documents(spark, ["password=a1b2c3d4e5f6a7b8c9"]).union(documents(spark, ["password=a1b2c3d4e5f6a7b8c9"]))).collect()
+    assert len(rows) == 2 and rows[0] == rows[1] and rows[0].is_secret
+
+
 def test_secrets_of_empty_tables(spark):
     assert sec.scan(documents(spark, [])).collect() == []
     assert sec.redact(documents(spark, [None, ""])).count() == 2
