@@ -100,3 +100,9 @@ def test_more_levels_than_can_be_columns_are_an_error(spark):
     with pytest.raises(Exception, match="c has more than"):
         profile.summary(wide, ["c"], ["c"], "id").collect()
     assert profile.summary_rows(wide, ["c"], ["c"], "id").filter("metric = 'c'").count() == 10_001
+
+
+def test_a_sparse_column_names_no_places_on_the_driver(spark):
+    found = features.one_hot_sparse(spark.range(50_000), "id", "v")
+    assert len(found.rows.schema["v"].json()) < 1_000
+    assert spark.createDataFrame([], found.rows.schema).schema["v"].metadata["ml_attr"]["num_attrs"] == 50_000

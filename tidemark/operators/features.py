@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import chain
 
-from pyspark.ml.feature import OneHotEncoder
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import word_count
 from tidemark.operators.ids import surrogate_keys
@@ -43,17 +44,24 @@ def one_hot_sparse(df: DataFrame, column: str, output: str) -> SparseEncoding:
 
     Levels are numbered 0, 1, … in their natural order by a distributed sort, so
     only their number comes to the driver. `output` is a sparse vector of that
-    size, as Spark's learning algorithms take it; a NULL has no place set.
+    size, as Spark's learning algorithms take it; a NULL has no place set. The
+    column's metadata has its size, but no name for each place (Spark's encoder
+    makes one, which takes the driver's memory): names are in `levels`.
     """
     levels = materialise(surrogate_keys(df.select(F.col(column).alias("level")).na.drop(), ["level"], "index")
                          .withColumn("index", F.col("index") - 1), "levels")
     size = levels.count()
-    # NULL goes to the place behind the last one, which the encoder drops
-    index = F.coalesce(F.col("__at"), F.lit(size)).cast("double").alias("__index")
-    placed = df.join(levels.toDF("__at", "__level"), F.col(column) == F.col("__level"), "left").select(*df.columns, index)
-    last = df.sparkSession.range(1).select(F.lit(float(size)).alias("__index"))
-    encoder = OneHotEncoder(inputCol="__index", outputCol=output, dropLast=True).fit(last)
-    return SparseEncoding(encoder.transform(placed).drop("__index"), levels, size)
+    at = F.col("__at").cast("string")
+    placed = df.join(levels.toDF("__at", "__level"), F.col(column) == F.col("__level"), "left").select(
+        *df.columns, _unit_vector(at, size).alias(output, metadata={"ml_attr": {"num_attrs": size}}))
+    return SparseEncoding(placed, levels, size)
+
+
+def _unit_vector(at: Column, size: int) -> Column:
+    """Sparse vector with a one at the place `at` (as text), or nowhere if it is NULL; read from JSON, which has a form for it."""
+    places = F.coalesce(F.concat(F.lit("["), at, F.lit('],"values":[1.0]')), F.lit('[],"values":[]'))
+    text = F.concat(F.lit(f'{{"v":{{"type":0,"size":{size},"indices":'), places, F.lit("}}"))
+    return F.from_json(text, T.StructType([T.StructField("v", VectorUDT())]))["v"]
 
 
 def vector_entries(df: DataFrame, column: str, keep: list[str]) -> DataFrame:
