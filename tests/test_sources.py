@@ -231,6 +231,16 @@ def test_kept_answers_are_read_one_partition_a_page(spark, tmp_path, rows):
     assert [(e.page, "FileNotFoundError" in e.error) for e in got.errors.collect()] == [(1, True)]
 
 
+def test_many_pages_share_a_partition(spark, rows):
+    pages = 40 * spark.sparkContext.defaultParallelism
+    got = paged.fetch_pages(spark, pages_of(5 * pages - 7, 9), 5, 3, pages)
+    assert rows(got.select("page").distinct()) == [(p,) for p in sorted(range(3, 3 + pages), key=lambda p: repr((p,)))]
+    assert sorted(r[0] for r in got.filter("row IS NULL").select("page").collect()) == [9, *range(pages - 1, pages + 3)]
+    spark.dataSource.register(paged.page_source(pages_of(100, None), 5, "shared_partitions"))
+    read = spark.read.format("shared_partitions").options(first=2, pages=10, at_once=4).load()
+    assert read.rdd.getNumPartitions() == 3 and sorted({r.page for r in read.collect()}) == list(range(2, 12))
+
+
 def test_http_pages_ask_for_offset_and_limit(monkeypatch):
     import io
 

@@ -25,6 +25,9 @@ from tidemark.session import materialise
 
 PageReader = Callable[[int, int], list[dict]]
 
+#: Pages that one task reads one after the other, where there are enough pages for all cores.
+TASK_PAGES = 64
+
 
 class HttpPages:
     """Pages of a JSON collection read by `limit` and `offset` parameters."""
@@ -109,20 +112,26 @@ def contiguous_pages(rows: DataFrame, page: str = "page") -> PagedRead:
 
 
 def page_source(reader: PageReader, page_size: int, name: str) -> type[DataSource]:
-    """A data source of the columns page, row (JSON) and error, with one partition for each page.
+    """A data source of the columns page, row (JSON) and error, with one partition for each page or for some in a row.
 
-    Its options are `first`, the number of the first page, and `pages`, how many.
-    An empty page and one that cannot be read give one row each, with an error.
+    Its options are `first`, the number of the first page, `pages`, how many, and
+    `at_once`, how many a partition has (1). An empty page and one that cannot be
+    read give one row each, with an error.
     """
     class Reader(DataSourceReader):
-        def __init__(self, first: int, pages: int):
-            self.first, self.pages = first, pages
+        def __init__(self, first: int, pages: int, at_once: int):
+            self.pages, self.at_once = range(first, first + pages), at_once
 
         def partitions(self) -> list[InputPartition]:
-            return [InputPartition(page) for page in range(self.first, self.first + self.pages)]
+            starts = range(0, len(self.pages), self.at_once)
+            return [InputPartition((self.pages[at], len(self.pages[at:at + self.at_once]))) for at in starts]
 
         def read(self, partition: InputPartition) -> Iterator[tuple]:
-            page = partition.value
+            first, pages = partition.value
+            for page in range(first, first + pages):
+                yield from self.read_page(page)
+
+        def read_page(self, page: int) -> Iterator[tuple]:
             try:
                 rows = [json.dumps(row) for row in reader(page * page_size, page_size)]
                 error = None if rows else "empty"
@@ -140,7 +149,7 @@ def page_source(reader: PageReader, page_size: int, name: str) -> type[DataSourc
             return "page long, row string, error string"
 
         def reader(self, schema: T.StructType) -> DataSourceReader:
-            return Reader(int(self.options.get("first", 0)), int(self.options["pages"]))
+            return Reader(int(self.options.get("first", 0)), int(self.options["pages"]), int(self.options.get("at_once", 1)))
 
     return Pages
 
@@ -151,6 +160,8 @@ def fetch_pages(spark: SparkSession, reader: PageReader, page_size: int, first:
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     source = page_source(reader, page_size, f"pages_{uuid.uuid4().hex}")
     spark.dataSource.register(source)
-    fetched = spark.read.format(source.name()).options(first=first, pages=pages).load()
+    # starting a task takes longer than reading a stored page
+    at_once = min(TASK_PAGES, -(-pages // (4 * spark.sparkContext.defaultParallelism)))
+    fetched = spark.read.format(source.name()).options(first=first, pages=pages, at_once=at_once).load()
     # a remote page may answer differently when a task is repeated, so the answers are kept
     return materialise(fetched, "pages")
