@@ -367,3 +367,11 @@ def test_toxicity_without_examples(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert tox.toxicity(documents(spark, []), none).collect() == []
     assert [r.predicted for r in tox.toxicity(documents(spark, ["a b", None]), none).collect()] == [0, 0]
+
+
+def test_words_of_a_corpus_are_few_literals_of_a_plan(spark):
+    words = [f"word{i}" for i in range(500)]
+    df = sec.built(documents(spark, ["a"]), words, 64)
+    assert df._jdf.queryExecution().analyzed().toJSON().count("expressions.Literal") < 5_000
+    rows = df.collect()
+    assert len(rows) == 64 and all(any(w in r.before.split() for w in words) for r in rows)

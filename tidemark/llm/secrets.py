@@ -23,6 +23,7 @@ three kinds of examples:
 
 from __future__ import annotations
 
+import json
 from math import log2
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -81,7 +82,8 @@ class Language:
     def improbable(self, text: Column) -> Column:
         """Mean bits of the pairs of letters in `text`; the mean of all pairs where it has none."""
         pairs = F.regexp_extract_all(F.lower(text), F.lit("(?=([a-z]{2}))"), F.lit(1))
-        cost = F.array(*[F.lit(x) for x in self.bits])
+        # read from one text: an array of literals has an object on the driver for each value, in every use and every phase of a plan
+        cost = F.from_json(F.lit(json.dumps(self.bits)), "array<double>")
         at = lambda pair: (F.ascii(pair) - 97) * 26 + F.ascii(F.substring(pair, 2, 1)) - 97
         total = let(pairs, lambda x: F.aggregate(x, F.lit(0.0), lambda a, pair: a + F.get(cost, at(pair))) / F.nullif(F.size(x), F.lit(0)))
         return F.coalesce(total, F.lit(sum(self.bits) / len(self.bits)))
@@ -172,7 +174,7 @@ def bare(found: DataFrame) -> DataFrame:
 
 def built(docs: DataFrame, vocabulary: list[str], n: int) -> DataFrame:
     """(value, before, after, path, label): n examples of all kinds, from words of the corpus and hashes of their numbers."""
-    words = F.array(*[F.lit(w) for w in vocabulary])
+    words = F.split(F.lit(" ".join(vocabulary)), " ")  # one literal, for the driver's memory
 
     def draw(k: int, below: int) -> Column:
         return F.pmod(F.xxhash64("id", F.lit(k)), F.lit(below)).cast("int")
