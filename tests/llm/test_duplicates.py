@@ -7,6 +7,7 @@ import pytest
 import xxhash
 from helpers import DOCS, Union, documents, odd_texts, prose, words_of
 
+from tidemark.llm import simhash
 from tidemark.llm.common import Scratch, components
 from tidemark.llm.lines import line_classes, without_repeated_lines
 from tidemark.llm.passages import common, intervals, maximal_repeats, removal_digests, with_spans
@@ -360,3 +361,29 @@ def test_template_components_equal_all_pairs(spark):
                 union.join(a, b)
     first = {r.doc_id: r.first_doc_id for r in line_classes(documents(spark, texts)).collect()}
     assert first == {i: union.find(i) for i in range(len(texts))}
+
+
+@pytest.mark.parametrize("bits, budget", [(64, 3), (32, 4)])
+def test_a_large_trie_keeps_the_copies_of_a_key_bounded(spark, monkeypatch, bits, budget):
+    rng, upper = random.Random(5), 64 - bits
+    near = lambda x: x ^ sum(1 << b for b in rng.sample(range(upper, 64), rng.randint(1, budget + 1)))
+    some = [rng.getrandbits(bits) << upper for _ in range(300)]
+    found = sorted({*some, *(near(x) for x in some for _ in range(2)), *(rng.getrandbits(bits) << upper for _ in range(1_500))})
+    signed = [x - (1 << 64) if x >> 63 else x for x in found]
+    keys = spark.createDataFrame([(7, x, i) for i, x in enumerate(signed)], "tree int, key long, node long")
+    joined, union = [], simhash._union
+    monkeypatch.setattr(simhash, "_union", lambda frames: joined.append(union(frames)) or joined[-1])
+    links = simhash.trie_links(keys, budget, bits, task_keys=100).collect()
+    assert joined[-1].count() <= (budget + 1) * len(found)
+    parent = list(range(len(found)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        assert (found[a] ^ found[b]).bit_count() <= budget
+        parent[root(a)] = root(b)
+    pairs = [(i, j) for i in range(len(found)) for j in range(i) if (found[i] ^ found[j]).bit_count() <= budget]
+    assert len(pairs) > 200 and all(root(i) == root(j) for i, j in pairs)

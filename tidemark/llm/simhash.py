@@ -8,6 +8,13 @@ both nodes of a pair together hold few enough fingerprints for one task; each
 such pair of subtrees is then traversed in one task, in numpy, level by level
 over all live node pairs at once.
 
+Every level that the joins go down multiplies the pairs that a node is in, up to
+all nodes within the budget. So a large trie is joined in `budget` + 1 turns, each
+with another block of the bits turned to the front: two fingerprints within the
+budget agree in one block at least, and there only pairs of equal nodes go down.
+A fingerprint is then in as many subtrees as there are turns, until a whole block
+is used up, however many fingerprints there are.
+
 A task gives back a spanning forest of the links that it found: the connected
 fingerprints are the same, and copies of copies do not make all their pairs. A
 subtree pair whose fingerprints are all connected already is pruned as well.
@@ -16,6 +23,7 @@ subtree pair whose fingerprints are all connected already is pruned as well.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -211,21 +219,48 @@ def cut(keys, lo, hi, above, bit, first, past) -> np.ndarray:
 
 # --- upper levels as joins -------------------------------------------------------------------------------------------
 
+def turned(keys: DataFrame, bits: int, blocks: int) -> DataFrame:
+    """`keys` once for each block of their bits, as trees of their own, with that block turned to the front."""
+    upper = -1 << (64 - bits)
+
+    def turn(by: int):
+        if by == 0:
+            return F.col("key")
+        return F.shiftleft("key", by).bitwiseOR(F.shiftrightunsigned("key", bits - by)).bitwiseAND(F.lit(upper).cast("long"))
+
+    each = F.array(*[F.struct((F.col("tree") * blocks + i).cast("int").alias("tree"), turn(i * (bits // blocks)).alias("key"))
+                     for i in range(blocks)])
+    others = [c for c in keys.columns if c not in ("tree", "key")]
+    return keys.select(F.explode(each).alias("__turn"), *others).select("__turn.tree", "__turn.key", *others)
+
+
 def trie_links(keys: DataFrame, budget: int, bits: int = 64, limit: int | None = None, task_keys: int = TASK_KEYS,
                every: bool = False) -> DataFrame:
     """(a, b): links that connect the same nodes as all links do.
 
     `keys` has `tree` (int), `key` (long, its `bits` upper bits used), `node`
     (long) and, if `limit` is given, `prints` (array<long>): a link then also
-    needs at most `limit` differing bits there. Trees are joined each with itself.
+    needs at most `limit` differing bits there. Trees are joined each with itself,
+    large ones in turns; links that several turns find come more than once.
     With `every`, `keys` also has `label` (long), and all links between nodes of
     different labels are given, maybe more than once.
     """
     node_key, scratch = F.col("key"), Scratch(keys.sparkSession)
+    largest = keys.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    # levels until two nodes together are small, and the pairs that a node is in there
+    depth = STEP * -(-max(0, 2 * largest // task_keys).bit_length() // STEP) if largest > task_keys else 0
+    blocks, exact = budget + 1, 0
+    if depth and bits // blocks >= STEP and blocks <= sum(comb(min(depth, bits), i) for i in range(blocks)):
+        keys, exact = turned(keys, bits, blocks), bits // blocks
 
     def prefix(level: int):
         return F.shiftrightunsigned(node_key, 64 - level) if level else F.lit(0).cast("long")
 
+    def agreeing(level: int):
+        """Are two nodes the same as far as the block in front goes?"""
+        beyond = max(0, level - exact)
+        return F.shiftrightunsigned("cu", beyond) == F.shiftrightunsigned("cv", beyond) if exact else F.lit(True)
+
     def nodes(level: int) -> DataFrame:
         return keys.groupBy("tree", prefix(level).alias("u")).agg(F.count("*").alias("n"))
 
@@ -246,7 +281,7 @@ def trie_links(keys: DataFrame, budget: int, bits: int = 64, limit: int | None =
         cv = children.select("tree", F.shiftrightunsigned("u", step).alias("v"), F.col("u").alias("cv"), F.col("n").alias("nv"))
         live = (live.select("tree", "u", "v", "differ").join(cu, ["tree", "u"]).join(cv, ["tree", "v"]).filter("cu <= cv")
                 .withColumn("differ", F.bit_count(F.col("cu").bitwiseXOR(F.col("cv"))))
-                .filter(F.col("differ") <= budget)
+                .filter((F.col("differ") <= budget) & agreeing(level))
                 .select("tree", F.col("cu").alias("u"), F.col("cv").alias("v"), "differ", "nu", "nv"))
     work = scratch.save("trie-jobs", _union(jobs))
     levels = [r[0] for r in work.select("level").distinct().collect()]  # at most bits / STEP
