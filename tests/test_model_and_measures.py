@@ -6,9 +6,10 @@ from conftest import CATALOG, catalog_row
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import date_key
-from tidemark.operators.ids import ranked
+from tidemark.operators.ids import ranked, with_positions
 from tidemark.plans import cube, etl, measures, star, steps
 from tidemark.session import materialise
+from tidemark.sinks.published import PublishedTable
 
 
 @pytest.fixture(scope="module")
@@ -186,3 +187,23 @@ def test_a_quarter_reads_the_months_it_has(spark, tmp_path, plan):
     assert quarter.count() == fact.filter("time_id BETWEEN 19970401 AND 19970630").count() > 0
     assert star.sales_of_days(stored, time).count() == 3_000
     assert "time_id" in quarter.columns and "month_id" not in quarter.columns
+
+
+def test_lines_are_shuffled_without_their_revenue(spark, plan):
+    items = spark.range(1_000).selectExpr("id AS order_item_id", "id % 100 AS order_id", "id AS product_id", "1L AS store_id",
+                                          "CAST(id % 7 AS DOUBLE) AS quantity", "1.25 * id AS unit_price")
+    orders = spark.range(100).selectExpr("id AS order_id", "id AS customer_id", "DATE'2024-05-01' AS order_date")
+    fact = star.fact_sales(items.hint("merge"), orders)
+    shuffles = plan(fact).split("SortMergeJoin")[1].count("AS revenue_cents")
+    assert "SortMergeJoin" in plan(fact) and shuffles == 0
+    assert {r.time_id for r in fact.select("time_id").collect()} == {20240501} and fact.count() == 1_000
+
+
+def test_published_tables_and_positions_are_written_small(spark, tmp_path):
+    table = PublishedTable(spark, str(tmp_path / "small"))
+    table.replace(spark.range(1_000))
+    keyed = PublishedTable(spark, str(tmp_path / "keyed"), key=["id"], buckets=4)
+    keyed.replace(spark.range(1_000))
+    files = [f for t in (table.read(), keyed.read(), with_positions(spark.range(1_000), ["id"])) for f in t.inputFiles()]
+    assert sum(f.endswith(".zstd.parquet") for f in files) >= 6
+    assert table.read().count() == keyed.read().count() == 1_000

@@ -32,7 +32,7 @@ def with_positions(df: DataFrame, order_by: list[Column | str], name: str = "pos
         .drop(_TIE)
     )
     fixed = (
-        materialise(ranged, "positions")
+        materialise(ranged, "positions", "zstd")  # all rows, and maybe wide ones
         .withColumn(_TASK, F.shiftright(_SLOT, _PLACE_BITS))
         .withColumn(_PLACE, F.col(_SLOT).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)))
     )

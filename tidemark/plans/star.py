@@ -96,9 +96,10 @@ def sales_lines(items: DataFrame) -> DataFrame:
 def fact_sales(items: DataFrame, orders: DataFrame, time: DataFrame | None = None) -> DataFrame:
     """Order lines with the keys of their order and its day.
 
-    `time` is needed only for consecutive time ids.
+    `time` is needed only for consecutive time ids. Revenue follows after the join,
+    so that it is not shuffled with the lines.
     """
-    joined = sales_lines(items).join(orders, "order_id")
+    joined = sales_lines(items.join(orders, "order_id"))
     if time is None:
         joined = joined.withColumn("time_id", date_key("order_date"))
     else:

@@ -108,7 +108,8 @@ class Warehouse:
             "dim_product": star.dim_product(tables), "dim_customer": s.customers, "dim_store": s.stores,
             "dim_time": star.dim_time(s.sales_orders), **star.snowflake_tables(tables),
         }
-        return self._publish_all({**named, "fact_sales": star.fact_sales(s.sales_items, s.sales_orders)})["fact_sales"]
+        fact = star.fact_sales(self.read("normal_order_items"), s.sales_orders)
+        return self._publish_all({**named, "fact_sales": fact})["fact_sales"]
 
     def analyse(self) -> int:
         sales = cube.star_join(self.read("fact_sales"), self.read("dim_product"), self.read("dim_store"))

@@ -106,14 +106,14 @@ def temporary(df: DataFrame, name: str) -> Iterator[DataFrame]:
         drop_path(df.sparkSession, path)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     The written table survives executor loss, so values assigned by a
     non-deterministic plan (row positions, samples) stay fixed afterwards.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", compression) if compression else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

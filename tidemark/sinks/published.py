@@ -25,6 +25,8 @@ from tidemark.session import temporary
 
 COMMITS = "commits"
 BUCKET = "__bucket"
+#: Tables are written once and read often.
+COMPRESSION = "zstd"
 
 
 class PublishRejected(Exception):
@@ -157,11 +159,11 @@ class PublishedTable:
     def _write(self, df: DataFrame, version: int) -> list[dict]:
         folder = f"data/v={version}-{uuid.uuid4().hex[:8]}"
         if self.key is None:
-            df.write.parquet(f"{self.root}/{folder}")
+            df.write.option("compression", COMPRESSION).parquet(f"{self.root}/{folder}")
             return [{"path": folder, "bucket": None, "version": version}]
         # rebalance splits a bucket that is too large for one task and joins small ones
         placed = df.withColumn(BUCKET, self.bucket_of()).hint("rebalance", F.col(BUCKET))
-        placed.write.partitionBy(BUCKET).parquet(f"{self.root}/{folder}")
+        placed.write.option("compression", COMPRESSION).partitionBy(BUCKET).parquet(f"{self.root}/{folder}")
         base = self._path(folder)
         names = [s.getPath().getName() for s in self._files(base).listStatus(base) if s.isDirectory()]
         return [{"path": f"{folder}/{n}", "bucket": int(n.split("=")[1]), "version": version}
