@@ -9,7 +9,7 @@ from helpers import DOCS, Union, documents, odd_texts, prose, words_of
 
 from tidemark.llm import simhash
 from tidemark.llm.common import Scratch, components
-from tidemark.llm.lines import line_classes, without_repeated_lines
+from tidemark.llm.lines import line_classes, links, lower_labels, rare_groups, without_repeated_lines
 from tidemark.llm.passages import common, intervals, maximal_repeats, removal_digests, with_spans
 from tidemark.llm.simhash import simhash_classes, traverse, without_near_duplicates
 
@@ -363,6 +363,39 @@ def test_template_components_equal_all_pairs(spark):
     assert first == {i: union.find(i) for i in range(len(texts))}
 
 
+def test_rounds_of_linking_add_few_tables(spark, monkeypatch):
+    # plans stay in the driver's memory: a union-find in every round made 10 of these tables
+    seen, save = [], Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, name, df: seen.append(name) or save(self, name, df))
+    texts = template_lines(60)
+    lines = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, line string")
+    assert links(lines, 8, 16, 4, 0.8).count() >= 6
+    assert sum(name.startswith("lines-") for name in seen) <= 5, seen
+
+
+def test_lower_labels_stay_within_a_component_and_join_stars(spark):
+    rng = random.Random(3)
+    pairs = [(rng.randrange(40), rng.randrange(40)) for _ in range(25)]
+    stars = [(100 + 10 * s, 100 + 10 * s + rng.choice([-1, 1]) * i) for s in range(5) for i in range(1, 5)]
+    union = Union(range(200))
+    for pair in pairs + stars:
+        union.join(*pair)
+    moved = {r.component: r.moved for r in lower_labels(spark.createDataFrame(pairs + stars, "a long, b long")).collect()}
+    assert set(moved) == {x for pair in pairs + stars for x in pair}
+    assert all(union.find(x) == union.find(y) and y <= x for x, y in moved.items())
+    assert all(moved[x] == union.find(x) for pair in stars for x in pair)
+
+
+def test_shingles_of_one_component_make_no_groups(spark):
+    sets = spark.createDataFrame([(0, [1, 2, 3, 4, 5], 5), (1, [1, 2, 3, 4, -6], 5), (2, [-6, 7, 8, 9, 10], 5), (3, [7, 8, 9, 10, -6, 11], 6)],
+                                 "id long, shingles array<int>, n int")
+    lines = spark.createDataFrame([(0, 0), (1, 0), (2, 2), (3, 3)], "id long, component long")
+    scratch = Scratch(spark)
+    found = [tuple(r) for r in rare_groups(scratch, lines, sets, 0.8).select("id", "shingle", "after").collect()]
+    # line 1 shares one of its five shingles with other components, so it can be like none of them
+    assert {i for i, _, _ in found} == {2, 3} and sorted(a for i, _, a in found if i == 2) == [3, 4]
+
+
 @pytest.mark.parametrize("bits, budget", [(64, 3), (32, 4)])
 def test_a_large_trie_keeps_the_copies_of_a_key_bounded(spark, monkeypatch, bits, budget):
     rng, upper = random.Random(5), 64 - bits

@@ -47,6 +47,8 @@ SHORT = 100
 FEW = {3: 16, 2: 6}
 #: Lines of a group that are compared with all others before all pairs of different components are; no effect on results.
 LEADERS = 3
+#: Parts of the bands that meet one after another, which bounds what their shuffles take on disk; no effect on results.
+TURNS = 2
 MARK = "mark"  # with doc_id it names a document: rows that repeat id and text are one
 
 
@@ -95,11 +97,15 @@ def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float)
     """(a, b) of line ids whose similarity reaches the threshold; enough of them to connect what all would."""
     scratch = Scratch(lines.sparkSession)
     banded = scratch.save("line-bands", lines.select("id", F.explode(bands("line", width, size, rows)).alias("band")))
-    # bands with one line only end here; min and max are taken in the tasks first
-    shared = scratch.save("line-shared", banded.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-                          .filter("first < last"))
-    members = scratch.save("line-members", banded.join(shared.select("band", "first"), "band"))
+    members = []
+    for turn in range(TURNS):
+        some = banded.filter(F.pmod("band", F.lit(TURNS)) == turn)
+        # bands with one line only end here; a line has a band once, so it is enough to move the bands and their counts
+        shared = scratch.save("line-shared", some.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band"))
+        members.append(scratch.save(f"line-members-{turn}", some.join(shared, "band")))
+    members = reduce(DataFrame.unionByName, members)
     scratch.drop("line-bands", "line-shared")
+    firsts = members.groupBy("band").agg(F.min("id").alias("first"))
     sets = scratch.save("line-sets", lines.select("id", "line").join(members.select("id").distinct(), "id")
                         .select("id", shingle_set("line", width).alias("shingles")).withColumn("n", F.size("shingles")))
     n_sets = sets.count()
@@ -122,11 +128,12 @@ def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float)
             found.append(scratch.save(f"{name}-{turn}", both.filter(jaccard >= similarity).select(*pairs.columns)))
         return reduce(DataFrame.unionByName, found)
 
-    found = [compare(members.filter("first < id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "line-links-0")]
+    found = [compare(members.join(firsts, "band").filter("first < id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(),
+                     "line-links-0")]
     labels = scratch.save("line-labels", components(found[0], "lines").withColumnRenamed("node", "id"))
     labelled = scratch.save("line-labelled", members.select("band", "id").join(labels, "id", "left")
                             .select("band", "id", F.coalesce("component", "id").alias("component")))
-    scratch.drop("line-members", "line-labels")
+    scratch.drop(*(f"line-members-{turn}" for turn in range(TURNS)), "line-labels")
     mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
     mixed = scratch.save("line-mixed", mixed.filter("low < high AND n > 2").select("band"))
     unconnected = scratch.save("line-unconnected", labelled.join(mixed, "band").select("id", "component").distinct())
@@ -145,11 +152,11 @@ def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float)
         once = F.col("a") < F.col("b") if step > LEADERS else F.lit(True)
         pairs = others.join(leaders, "shingle").filter(once & (F.col("ca") != F.col("cb")) & may_reach)
         similar = compare(pairs.select("a", "b", "ca", "cb").distinct(), f"line-similar-{step}")
-        # components are joined by their smallest lines, so the next round works on few links
+        # components are joined by their labels, so the next round works on few links
         joined = scratch.save(f"line-links-{step}", similar.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
         found.append(joined)
         if step <= LEADERS:
-            moved = components(joined, "lines").select(F.col("node").alias("component"), F.col("component").alias("moved"))
+            moved = lower_labels(joined)
             groups = scratch.save(f"line-groups-{step}", groups.join(moved, "component", "left").select(
                 "shingle", "id", F.coalesce("moved", "component").alias("component"), "n", "after"))
             scratch.drop(f"line-groups-{step - 1}", "line-leaders")
@@ -157,20 +164,41 @@ def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float)
     return reduce(DataFrame.unionByName, found)
 
 
+def lower_labels(joined: DataFrame) -> DataFrame:
+    """(component, moved) from links (a, b) of components: the least label within two stars, so the two belong together.
+
+    Stars become one, longer chains need not: between rounds this only spares
+    comparisons, and the links are kept for the union-find at the end. It is one
+    plan, where a union-find is a dozen of them.
+    """
+    labels = joined.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node"))
+    for end, other in (("b", "a"), ("a", "b")) * 2:
+        # labels of one end of the links go to the other end, to leaders first
+        near = joined.join(labels.withColumnRenamed("node", end), end).select(F.col(other).alias("node"), "label")
+        labels = labels.unionByName(near).groupBy("node").agg(F.min("label").alias("label"))
+    return labels.select(F.col("node").alias("component"), F.col("label").alias("moved"))
+
+
 def rare_groups(scratch: Scratch, lines: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """(shingle, id, component, n, after): lines by those rare shingles that lines of other components have too.
 
     `after` counts the shingles of the line that come later in the order. Any
-    order of the shingles gives the same links in the end; this one makes the groups small.
+    order of the shingles gives the same links in the end; this one makes the
+    groups small. Shingles that only lines of one component have come first in it:
+    they cannot be in common, so they are counted and do not move, and a line with
+    too few others is in no group.
     """
     own = lines.join(sets, "id").select("id", "component", "n", F.explode("shingles").alias("shingle"))
-    counts = scratch.save("line-shingle-counts", own.groupBy("shingle").agg(
-        F.count("*").alias("lines"), (F.min("component") < F.max("component")).alias("mixed")))
+    counts = own.groupBy("shingle").agg(F.count("*").alias("lines"), F.min("component").alias("low"), F.max("component").alias("high"))
+    # the place in the order and the shingle are one number, as numbers are sorted faster than structures
+    low32 = F.lit((1 << 32) - 1)
+    key = F.shiftleft(F.least("lines", F.lit((1 << 31) - 1)), 32).bitwiseOR(F.col("shingle").cast("long").bitwiseAND(low32))
+    counts = scratch.save("line-shingle-counts", counts.filter("low < high").select("shingle", key.alias("key")))
     ordered = own.join(counts, "shingle").groupBy("id", "component", "n").agg(
-        F.sort_array(F.collect_list(F.struct("lines", "shingle", "mixed"))).alias("order"))
-    prefix = F.slice("order", F.lit(1), (F.col("n") - F.ceil(F.col("n") * similarity - 1e-6) + 1).cast("int"))
-    return ordered.select("id", "component", "n", F.posexplode(prefix).alias("at", "of")).filter("of.mixed").select(
-        F.col("of.shingle").alias("shingle"), "id", "component", "n", (F.col("n") - F.col("at") - 1).alias("after"))
+        F.sort_array(F.collect_list("key")).alias("order")).withColumn("m", F.size("order"))
+    prefix = F.slice("order", F.lit(1), F.greatest(F.col("m") - F.ceil(F.col("n") * similarity - 1e-6) + 1, F.lit(0)).cast("int"))
+    return ordered.select("id", "component", "n", "m", F.posexplode(prefix).alias("at", "key")).select(
+        F.col("key").bitwiseAND(low32).alias("shingle"), "id", "component", "n", (F.col("m") - F.col("at") - 1).alias("after"))
 
 
 def line_classes(docs: DataFrame, width: int = WIDTH, size: int = SIZE, rows: int = ROWS,
