@@ -34,6 +34,22 @@ def encode():
     return ids
 
 
+def test_lower_ranks_come_first_in_the_middle_of_a_rank():
+    # "bc" is worked on from the left; its first merge makes "abc" of lower rank, which has to go before the next "bc"
+    tokens = [bytes([b]) for b in range(256)] + [b"abc", b"cd", b"bc", b"abcd", b"da"]
+    ranks, rng = {token: rank for rank, token in enumerate(tokens)}, random.Random(2)
+    theirs = tiktoken.Encoding("t", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    pieces = ["".join(rng.choices("abcd", k=rng.randint(1, 12))) for _ in range(3_000)]
+    model = BytePairs(ranks)
+    got = [np.frombuffer(ids, np.int32).tolist() for ids in model.encode_pieces([piece.encode() for piece in pieces])]
+    assert got == [theirs.encode_ordinary(piece) for piece in pieces]
+    # few queues are filled: opening a rank costs as much as some merges
+    model.merge = lambda pieces: opened.append(len(pieces)) or BytePairs.merge(model, pieces)
+    opened = []
+    model.encode_pieces([b"ab" + bytes(rng.choices(b"abcd", k=9)) for _ in range(8_000)])
+    assert len(opened) == 1
+
+
 def test_queue_gives_least_rank_then_leftmost_place():
     rng, queue, waiting = random.Random(4), RankQueue(50_256), []
 

@@ -23,8 +23,9 @@ from __future__ import annotations
 
 import base64
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
-from heapq import heappop, heappush
+from heapq import heappush
 from itertools import chain
 
 import numpy as np
@@ -38,7 +39,7 @@ from tidemark.llm.registry import query
 
 KEPT = 400_000        # pre-tokens (and pairs) that a task keeps
 KEPT_LENGTH = 64      # characters of the longest of them
-TOGETHER = 1_000      # pre-tokens that share a queue
+TOGETHER = 8_000      # pre-tokens that share a queue
 ROWS = 256            # rows of an Arrow batch that are worked on together
 WORD_SHIFT = 8        # the bitmap has words of 2 ** WORD_SHIFT ranks
 WORD_BITS = 1 << WORD_SHIFT
@@ -78,11 +79,13 @@ class RankQueue:
         order = np.argsort(ranks, kind="stable")
         order = order[np.searchsorted(ranks[order], 0):]
         found, starts = np.unique(ranks[order], return_index=True)
-        for rank, places in zip(found.tolist(), np.split(order, starts[1:])):
-            self.buckets[rank] = places.tolist()  # rising, so it is a heap
-            self._mark(rank)
+        places, starts = order.tolist(), starts.tolist()
+        for rank, start, end in zip(found.tolist(), starts, [*starts[1:], None]):
+            self.buckets[rank] = places[start:end]  # rising, so it is a heap
+            self.mark(rank)
 
-    def _mark(self, rank: int) -> None:
+    def mark(self, rank: int) -> None:
+        """The bucket of this rank has its first entry."""
         word = rank >> WORD_SHIFT
         self.words[word] |= 1 << (rank & WORD_BITS - 1)
         self.top |= 1 << word
@@ -93,7 +96,7 @@ class RankQueue:
             heappush(bucket, place)
         else:
             bucket.append(place)
-            self._mark(rank)
+            self.mark(rank)
 
     def least(self) -> int:
         """The least rank with entries, -1 if there is none."""
@@ -154,7 +157,7 @@ class BytePairs:
         if not pieces:
             return []
         stop, pairs, queue = self.stop, self.pairs, self.queue
-        push, buckets = queue.push, queue.buckets
+        mark, buckets = queue.mark, queue.buckets
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         codes = np.full(int(lengths.sum()) + len(pieces), 256)
         codes[np.arange(len(codes) - len(pieces)) + np.repeat(np.arange(len(pieces)), lengths)] = np.frombuffer(b"".join(pieces), np.uint8)
@@ -165,24 +168,34 @@ class BytePairs:
         # before the first place comes the last one, a stop
         after, before = list(range(1, len(part) + 1)), list(range(-1, len(part) - 1))
         while (rank := queue.least()) >= 0:
-            bucket = buckets[rank]
-            while bucket:
-                at = heappop(bucket)
+            # a merge makes longer parts, so no entry of this rank is added meanwhile
+            places, buckets[rank], high = buckets[rank], [], rank << 32
+            places.sort()
+            for at in places:
                 if waiting[at] != rank:
                     continue  # stale: the pair has grown or is gone
                 gone, left = after[at], before[at]
                 then = after[at] = after[gone]
                 before[then] = at
                 part[at], part[gone], waiting[gone] = rank, -1, -1
-                right_rank = waiting[at] = pairs[rank << 32 | part[then]]
+                right_rank = waiting[at] = pairs[high | part[then]]
                 if right_rank >= 0:
-                    push(right_rank, at)
+                    if bucket := buckets[right_rank]:
+                        heappush(bucket, at)
+                    else:
+                        bucket.append(at)
+                        mark(right_rank)
                 left_rank = waiting[left] = pairs[part[left] << 32 | rank]
                 if left_rank >= 0:
-                    push(left_rank, left)
+                    if bucket := buckets[left_rank]:
+                        heappush(bucket, left)
+                    else:
+                        bucket.append(left)
+                        mark(left_rank)
                 if 0 <= right_rank < rank or 0 <= left_rank < rank:
+                    buckets[rank] = places[bisect_right(places, at):]
                     break  # a lower rank has come up
-            if not bucket:
+            if not buckets[rank]:
                 queue.close(rank)
         ids = np.array(part, np.int32)
         ids = ids[ids >= 0]
