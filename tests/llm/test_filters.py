@@ -363,6 +363,23 @@ def test_character_counts_equal_plain_counts(spark):
     assert {tuple(map(int, k)): int(counts[tuple(k)]) for k in np.argwhere(counts)} == dict(want)
 
 
+def test_texts_without_spaced_letters_are_not_searched_for_them():
+    rng, passed = random.Random(6), 0
+    for _ in range(20_000):
+        text = "".join(rng.choices("abé.-_* \n\t@!1,\x1c", k=rng.randint(0, 14)))
+        may = tox.may_be_spaced(text.split())
+        assert may or not tox.SPACED.findall(text), repr(text)
+        passed += not may
+    assert passed > 4_000
+
+
+def test_plain_words_are_read_without_the_channel(monkeypatch):
+    seen, reader = [], tox.Reader(np.zeros((64, 64, 64), np.float32))
+    monkeypatch.setattr(tox.Reader, "read", lambda self, token: seen.append(token) or [])
+    assert reader.words("Plain words, read; at once. Word") == ["plain", "words", "read", "at", "once", "word"]
+    assert seen == [] and reader.words("id1ot soooo no! " + "x" * 50) == [] and len(seen) == 4
+
+
 def test_toxicity_without_examples(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert tox.toxicity(documents(spark, []), none).collect() == []

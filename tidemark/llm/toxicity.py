@@ -24,6 +24,8 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import compress
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +48,14 @@ SEPARATORS = set(".-_*~'`,:;/\\^=​‌‍­")
 #: Log probabilities of the channel: look-alike, left-out separator, left-out repetition, letter behind a mask.
 LOOK_COST, SEPARATOR_COST, REPEAT_COST, MASK_COST = -1.5, -0.5, -0.7, -3.0
 SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+(<€£])(?:[ .\-_*][^\W_\s]|[ .\-_*][@$!|+(<€£]){2,}(?!\S)")
+JOINTS = frozenset(".-_*")  # of spaced letters, besides the space
 EDGE = re.compile(r"^[^\w@$!|+(<€£¡]+|[^\w]+$")
 #: As EDGE, but look-alikes at the end stay.
 OUTER_EDGE = re.compile(r"^[^\w@$!|+(<€£¡]+|[^\w@$!|+(<€£¡]+$")
 NUMBER = re.compile(r"[-+(<>=~#]*[$€£]?[-+]?\d[\d.,:;/\-+()=*^'’]*[%°$€£]?[).,:;!?]*")
 PLAIN = re.compile(r"[^\W\d_]+")
+#: Signs that only end a word: no look-alikes.
+ENDS = frozenset(".,;:?")
 THRICE = re.compile(r"(.)\1\1")
 #: Readings longer than this are no single words and are also cut into words.
 LONGEST = 40
@@ -115,13 +120,17 @@ class Reader:
             self.readings.clear()
         text = text.lower()
         out: list[str] = []
-        for spaced in SPACED.findall(text):
+        tokens = text.split()
+        for spaced in SPACED.findall(text) if may_be_spaced(tokens) else ():
             for word in self.read(re.sub(r"[ .\-_*]", "", spaced)):
                 out += dict.fromkeys([word, *self.segments(word)])
-        for token in dict.fromkeys(text.split()):
+        for token in dict.fromkeys(tokens):
             found = self.readings.get(token)
             if found is None:
-                found = self.readings[token] = self.read(token)
+                # most tokens are a word, or a word and one sign that ends it, and need no further look
+                word = token[:-1] if token[-1] in ENDS else token
+                is_word = len(word) <= LONGEST and word.isalpha() and not THRICE.search(word)
+                found = self.readings[token] = [word] if is_word else self.read(token)
             out += found
         return out
 
@@ -221,6 +230,12 @@ class Reader:
         return max(zip(ended, (text for _, text in states.values())), default=(0.0, ""))[1]
 
 
+def may_be_spaced(tokens: list[str]) -> bool:
+    """False if SPACED finds nothing in a text of these tokens: it needs "a-b" within one, or two neighbours like "a b"."""
+    loose = [len(token) == 1 or token[1] in JOINTS for token in tokens]
+    return any(map(and_, loose, loose[1:])) or any(len(token) > 2 for token in compress(tokens, loose))
+
+
 def spelt(text: tuple | None) -> str:
     letters = []
     while text:
@@ -255,7 +270,7 @@ class ToxicityModel:
             automaton.make_automaton()
 
         def score(text: str) -> float:
-            words = " ".join(["", *reader.words(text), ""])
+            words = " ".join(["", *dict.fromkeys(reader.words(text)), ""])
             hits = dict(found for _, found in automaton.iter(words)) if self.weights else {}
             z = self.bias + sum(hits[g] for g in sorted(hits))
             return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
