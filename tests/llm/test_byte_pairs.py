@@ -4,6 +4,7 @@ from heapq import heappop
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from helpers import documents, odd_texts, prose
@@ -132,3 +133,16 @@ def test_query(spark, library, tmp_path):
         assert rows[i].n_tokens == len(ids)
         assert rows[i].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert rows[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_rows_of_a_batch_are_decoded_together():
+    """Slices, NULL and empty rows get their own bytes; ids that are no tokens raise."""
+    rng, model = random.Random(5), BytePairs(read_ranks())
+    rows = [None if i % 7 == 0 else [rng.randrange(model.stop) for _ in range(rng.randrange(40) * (i % 5))] for i in range(200)]
+    batch = pa.array(rows, pa.list_(pa.int32()))
+    for start, length in ((0, 200), (3, 150), (7, 1), (1, 6)):
+        want = [None if ids is None else model.decode(ids) for ids in rows[start:start + length]]
+        assert model.decode_rows(batch.slice(start, length)).to_pylist() == want
+    for wrong in ([model.stop], [-1], [None]):
+        with pytest.raises(LookupError):
+            model.decode_rows(pa.array([wrong], pa.list_(pa.int32())))

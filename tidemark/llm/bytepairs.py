@@ -137,6 +137,7 @@ class BytePairs:
         self.ranks, self.pairs = ranks, Pairs(ranks)
         self.tokens = self.pairs.tokens
         self.stop = max(ranks.values()) + 1  # stands behind every pre-token, and is part of no token
+        self.by_rank = pa.array([self.tokens.get(rank) for rank in range(self.stop)], pa.large_binary())
         self.queue = RankQueue(self.stop)
         # parts and pairs of single bytes; byte 256 is the stop
         self.first = np.array([*(ranks[bytes([b])] for b in range(256)), self.stop])
@@ -206,6 +207,22 @@ class BytePairs:
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def decode_rows(self, rows: pa.ListArray) -> pa.Array:
+        """Bytes of each list of ids, NULL for NULL: the tokens of all rows are taken at once, and only cut by row."""
+        if rows.null_count:
+            # the values behind a NULL row are whatever they are
+            found = self.decode_rows(rows.drop_null())
+            places = np.cumsum(rows.is_valid().to_numpy(zero_copy_only=False)) - 1
+            return found.take(pa.array(places, mask=rows.is_null().to_numpy(zero_copy_only=False)))
+        tokens = self.by_rank.take(rows.flatten())
+        if tokens.null_count:
+            raise KeyError("ids that are no tokens")
+        _, token_ends, data = tokens.buffers()
+        token_ends = np.frombuffer(token_ends, np.int64)[tokens.offset:tokens.offset + len(tokens) + 1]
+        row_ends = rows.offsets.to_numpy()
+        ends = token_ends[row_ends - row_ends[0]]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(ends), data])
+
 
 class Known:
     """Ids of the pre-tokens met so far, as bytes of 32-bit integers."""
@@ -296,8 +313,7 @@ def decoded(rows: DataFrame, ranks_path: str | None = None, id_column: str = "do
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                found = [None if ids is None else model.decode(ids) for ids in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())],
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), model.decode_rows(batch.column(1)).cast(pa.binary())],
                                                  names=[id_column, "ids", "bytes"])
 
     kind = rows.schema[id_column].dataType.simpleString()
