@@ -1,3 +1,4 @@
+import threading
 from datetime import date
 from decimal import Decimal
 
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import date_key
 from tidemark.operators.ids import ranked, with_positions
-from tidemark.plans import cube, etl, measures, star, steps
+from tidemark.plans import cube, etl, measures, star, steps, warehouse
 from tidemark.session import materialise
 from tidemark.sinks.published import PublishedTable
 
@@ -207,3 +208,28 @@ def test_published_tables_and_positions_are_written_small(spark, tmp_path):
     files = [f for t in (table.read(), keyed.read(), with_positions(spark.range(1_000), ["id"])) for f in t.inputFiles()]
     assert sum(f.endswith(".zstd.parquet") for f in files) >= 6
     assert table.read().count() == keyed.read().count() == 1_000
+
+
+def test_steps_in_a_list_run_at_the_same_time(spark):
+    both = threading.Barrier(2, timeout=60)  # one alone would wait in vain
+    report = steps.run_steps(spark, [[("a", both.wait), ("b", both.wait)], [("c", lambda: 1 / 0), ("d", lambda: 7)],
+                                     [("e", lambda: 1), ("f", lambda: 1)], ("g", lambda: 1)])
+    found = [(r["step"], r["status"]) for r in report.collect()]
+    assert found == [("a", "OK"), ("b", "OK"), ("c", "FAILED"), ("d", "OK"), ("e", "SKIPPED"), ("f", "SKIPPED"), ("g", "SKIPPED")]
+    assert {r["step"]: r["detail"] for r in report.collect()}["d"] == "7"
+
+
+def test_sales_are_recorded_while_the_catalogue_is_cleaned(spark, tmp_path):
+    """The build: cleaning waits for the sales to begin, so neither may come first as a whole."""
+    begun, cleaning = threading.Event(), threading.Event()
+    built = warehouse.Warehouse(spark, str(tmp_path))
+    built.record_sales = lambda s: begun.set() or cleaning.wait(60) and 5
+    built.clean = lambda s: cleaning.set() or begun.wait(60) or 1 / 0
+    for name in ("engineer", "merge", "load_new", "track", "analyse", "export", "validate", "upsert"):
+        setattr(built, name, lambda *given: 1)
+    built.model = lambda sales: sales()
+    found = {r["step"]: (r["status"], r["detail"]) for r in warehouse.build(built, None, "run").collect()}
+    assert found["clean"] == ("OK", "True") and found["model"] == ("OK", "5") and len(found) == 10
+    built.record_sales = lambda s: 1 / 0
+    found = {r["step"]: r["status"] for r in warehouse.build(built, None, "run").collect()}
+    assert found["track"] == "OK" and found["model"] == "FAILED" and found["analyse"] == found["upsert"] == "SKIPPED"

@@ -6,9 +6,12 @@ and readers see complete tables only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import features, profile, quality
@@ -32,8 +35,8 @@ class Sources:
     """Inputs of a build. `order_by` decides which of several rows of a product is the first.
 
     `sales_orders` has order_id, customer_id and order_date; `sales_items` has
-    order_item_id, order_id, product_id, store_id, quantity and unit_price;
-    `stores` has store_id and region.
+    order_item_id, order_id, product_id, store_id, quantity and unit_price, and may be a
+    function, which is called when they are published; `stores` has store_id and region.
     """
 
     catalog: DataFrame
@@ -43,7 +46,7 @@ class Sources:
     customers: DataFrame
     stores: DataFrame
     sales_orders: DataFrame
-    sales_items: DataFrame
+    sales_items: DataFrame | Callable[[], DataFrame]
 
 
 class Warehouse:
@@ -93,23 +96,27 @@ class Warehouse:
         self._report("changes", counts)
         return changes.count()
 
-    def model(self, s: Sources) -> int:
+    def record_sales(self, s: Sources) -> int:
+        """The tables of the model that need no catalogue; returns the rows of the facts."""
+        items = s.sales_items() if callable(s.sales_items) else s.sales_items
+        self._publish_all({
+            "normal_customers": s.customers, "normal_stores": s.stores, "normal_orders": s.sales_orders,
+            "normal_order_items": items, "dim_customer": s.customers, "dim_store": s.stores,
+            "dim_time": star.dim_time(s.sales_orders),
+        })
+        return self._publish("fact_sales", star.fact_sales(self.read("normal_order_items"), s.sales_orders))
+
+    def model(self, sales: Callable[[], int]) -> int:
+        """`sales` gives the outcome of `record_sales`, which may run before or meanwhile."""
         tables = star.normalise(self.read("products"))
-        normal = {
+        self._publish_all({
             "normal_products": tables.products, "normal_categories": tables.master_categories,
             "normal_sub_categories": tables.sub_categories, "normal_article_types": tables.article_types,
-            "normal_customers": s.customers, "normal_stores": s.stores, "normal_orders": s.sales_orders,
-            "normal_order_items": s.sales_items,
-        }
-        self._publish_all(normal)
+        })
         tables = star.NormalForm(self.read("normal_categories"), self.read("normal_sub_categories"),
                                  self.read("normal_article_types"), self.read("normal_products"))
-        named = {
-            "dim_product": star.dim_product(tables), "dim_customer": s.customers, "dim_store": s.stores,
-            "dim_time": star.dim_time(s.sales_orders), **star.snowflake_tables(tables),
-        }
-        fact = star.fact_sales(self.read("normal_order_items"), s.sales_orders)
-        return self._publish_all({**named, "fact_sales": fact})["fact_sales"]
+        self._publish_all({"dim_product": star.dim_product(tables), **star.snowflake_tables(tables)})
+        return sales()
 
     def analyse(self) -> int:
         sales = cube.star_join(self.read("fact_sales"), self.read("dim_product"), self.read("dim_store"))
@@ -133,17 +140,26 @@ class Warehouse:
 
 
 def build(warehouse: Warehouse, s: Sources, run_id: str) -> DataFrame:
-    """Run all steps; the report has one row per step with the rows (or results) it produced."""
+    """Run all steps; the report has one row per step with the rows (or results) it produced.
+
+    Sales are recorded while the catalogue goes through its steps, and the steps that
+    only read what these left run together: many jobs of a build are too small for a
+    whole cluster, or end with few tasks.
+    """
     w = warehouse
-    return run_steps(w.spark, [
-        ("clean", lambda: w.clean(s)),
-        ("engineer", w.engineer),
-        ("merge", lambda: w.merge(s)),
-        ("load_new", w.load_new),
-        ("track", w.track),
-        ("model", lambda: w.model(s)),
-        ("analyse", w.analyse),
-        ("export", w.export),
-        ("validate", lambda: w.validate(run_id)),
-        ("upsert", lambda: w.upsert(run_id)),
-    ])
+    with ThreadPoolExecutor(1) as pool:
+        sales = pool.submit(inheritable_thread_target(w.spark)(w.record_sales), s)
+        return run_steps(w.spark, [
+            ("clean", lambda: w.clean(s)),
+            ("engineer", w.engineer),
+            ("merge", lambda: w.merge(s)),
+            ("load_new", w.load_new),
+            ("track", w.track),
+            ("model", lambda: w.model(sales.result)),
+            [
+                ("analyse", w.analyse),
+                ("export", w.export),
+                ("validate", lambda: w.validate(run_id)),
+                ("upsert", lambda: w.upsert(run_id)),
+            ],
+        ])

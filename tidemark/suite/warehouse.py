@@ -25,8 +25,8 @@ SELECT 2, 'load_new', 0 UNION ALL SELECT 2, 'track', 0 UNION ALL SELECT 2, 'upse
 def warehouse_build(spark, sf):
     """Built once; then the loads run again and add nothing."""
     warehouse, first = _built(spark, sf)
-    again = run_steps(spark, [("load_new", warehouse.load_new), ("track", warehouse.track),
-                              ("upsert", lambda: warehouse.upsert("run-2"))]).withColumn("run", F.lit(2))
+    again = run_steps(spark, [[("load_new", warehouse.load_new), ("track", warehouse.track),
+                               ("upsert", lambda: warehouse.upsert("run-2"))]]).withColumn("run", F.lit(2))
     return first.withColumn("run", F.lit(1)).unionByName(again).select("run", "step", F.col("detail").try_cast("long").alias("n"))
 
 
@@ -39,7 +39,7 @@ def _built(spark, sf):
     sources = Sources(
         catalog=inputs.raw_catalog(spark, sf), order_by=["delivery"], inventory=inputs.inventory(spark, sf),
         reviews=inputs.reviews(spark, sf), customers=customers, stores=inputs.store(spark, sf), sales_orders=inputs.orders(spark, sf),
-        sales_items=with_positions(lines, ["order_id", "product_id", "store_id", "quantity", "unit_price"], "order_item_id"),
+        sales_items=lambda: with_positions(lines, ["order_id", "product_id", "store_id", "quantity", "unit_price"], "order_item_id"),
     )
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"), buckets=8)
     return warehouse, build(warehouse, sources, "run-1")
