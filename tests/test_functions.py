@@ -1,9 +1,11 @@
 import hashlib
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import functions as tf
+from tidemark.functions import numeric
 from tidemark.functions.dates import date_key
 
 
@@ -62,3 +64,13 @@ def test_calendar(spark):
     df = spark.sql("SELECT DATE'2024-02-29' AS d").select(*tf.calendar_columns("d"), tf.quarter_start("d").cast("string"),
                                                           tf.month_start("d").cast("string"), date_key("d"))
     assert tuple(df.first()) == (2024, 1, 2, "Thursday", "2024-01-01", "2024-02-01", 20240229)
+
+
+def test_cents_become_money_without_a_division(spark):
+    values = [0, 1, -1, 99, -12345, 10**15 + 7, 9_999_999_999_999_999, None]
+    df = spark.createDataFrame([(v,) for v in values], "cents long")
+    money = numeric.from_cents("cents")
+    assert "/" not in df.select(money)._jdf.queryExecution().analyzed().toString()
+    rows = df.select("cents", money.alias("money")).collect()
+    assert [r.money for r in rows] == [None if v is None else Decimal(v).scaleb(-2) for v in values]
+    assert df.select(money.alias("money")).dtypes == [("money", "decimal(18,2)")]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ def cents(amount: Column | str) -> Column:
 
 
 def from_cents(c: Column | str) -> Column:
-    return (_col(c).cast("decimal(18,0)") / 100).cast(MONEY)
+    """Whole cents as money; a product, as a division of decimals takes several times as long and gives the same."""
+    return (_col(c).cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
 
 
 def revenue_sum(df: DataFrame) -> Column:
