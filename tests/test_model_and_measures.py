@@ -233,3 +233,6 @@ def test_sales_are_recorded_while_the_catalogue_is_cleaned(spark, tmp_path):
     built.record_sales = lambda s: 1 / 0
     found = {r["step"]: r["status"] for r in warehouse.build(built, None, "run").collect()}
     assert found["track"] == "OK" and found["model"] == "FAILED" and found["analyse"] == found["upsert"] == "SKIPPED"
+    built.record_sales, built.validate = lambda s: 5, lambda run_id: 1 / 0
+    found = {r["step"]: r["status"] for r in warehouse.build(built, None, "run").collect()}
+    assert found["validate"] == "FAILED" and found["export"] == "OK" and found["upsert"] == "SKIPPED"

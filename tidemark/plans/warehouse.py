@@ -144,7 +144,7 @@ def build(warehouse: Warehouse, s: Sources, run_id: str) -> DataFrame:
 
     Sales are recorded while the catalogue goes through its steps, and the steps that
     only read what these left run together: many jobs of a build are too small for a
-    whole cluster, or end with few tasks.
+    whole cluster, or end with few tasks. Rows are upserted only if all of them went well.
     """
     w = warehouse
     with ThreadPoolExecutor(1) as pool:
@@ -160,6 +160,6 @@ def build(warehouse: Warehouse, s: Sources, run_id: str) -> DataFrame:
                 ("analyse", w.analyse),
                 ("export", w.export),
                 ("validate", lambda: w.validate(run_id)),
-                ("upsert", lambda: w.upsert(run_id)),
             ],
+            ("upsert", lambda: w.upsert(run_id)),
         ])
