@@ -373,6 +373,33 @@ def test_rounds_of_linking_add_few_tables(spark, monkeypatch):
     assert sum(name.startswith("lines-") for name in seen) <= 5, seen
 
 
+def test_small_bands_need_no_rare_shingles_and_lines_have_few_bands(spark, monkeypatch):
+    # bands of all runs took over 60 rows a short line, and every unconnected band went through rounds of rare shingles
+    seen, bands, save = [], [], Scratch.save
+
+    def kept(self, name, df):
+        seen.append(name)
+        out = save(self, name, df)
+        if name == "line-bands":
+            bands.extend(len(r.bands) for r in out.select("bands").collect())
+        return out
+
+    monkeypatch.setattr(Scratch, "save", kept)
+    texts = template_lines(12) + [text[:90] for text in template_lines(6)]
+    union = Union(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if similar(texts[a], texts[b]) >= 0.8:
+                union.join(a, b)
+    lines = spark.createDataFrame(list(enumerate(texts)), "id long, line string")
+    linked = Union(range(len(texts)))
+    for a, b in links(lines, 8, 16, 4, 0.8).collect():
+        linked.join(a, b)
+    assert [linked.find(i) for i in range(len(texts))] == [union.find(i) for i in range(len(texts))]
+    assert len(set(map(union.find, range(len(texts))))) < len(texts)
+    assert max(bands) <= 24 and not any(name.startswith("line-groups") for name in seen), (bands, seen)
+
+
 def test_lower_labels_stay_within_a_component_and_join_stars(spark):
     rng = random.Random(3)
     pairs = [(rng.randrange(40), rng.randrange(40)) for _ in range(25)]

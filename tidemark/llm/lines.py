@@ -4,19 +4,25 @@ Lines are compared in lower case without white space at their ends, as sets of
 `width`-character shingles (a shorter line is one shingle).
 
 1. Equal lines are grouped; only distinct lines go on.
-2. Signature: the `size` smallest hashes of the line's anchored shingles, which
-   are those that start a word and all that lie within a longer one (so text
-   without spaces has all of its shingles). The choice depends on the characters
-   next to it alone, so similar lines draw alike. Bands are all runs of `rows`
-   neighbours in the signature, so that an insertion breaks few of them.
-   A line of under SHORT characters, or whose anchored shingles do not fill the
-   signature, has, besides, the runs of the sorted hashes of all its shingles as
-   bands. Two such lines always meet: of lines with s common shingles and b
-   others, s >= 4 b, the b others cut the s common ones into b + 1 runs at most,
-   so one has four neighbours, or three or two where the sets are as small as
-   FEW says.
+2. Signature: the sorted hashes of the line's anchors. An anchor is a word
+   with the start of the next one; of a word of over LONG_WORD characters the
+   shingles of the rest are anchors too, so text without spaces has them as well.
+   The choice depends on the characters next to it alone, so similar lines draw
+   alike. `size` / 2 points are set in the range of hashes, and the `rows` anchors
+   that follow a point (around the end, if need be) are a band: two lines share it
+   if none of the first `rows` of what either has there is its own, so at
+   similarity t with probability t ** rows, nearly independent of other bands.
+   A line of under SHORT characters, or of fewer than `size` anchors, has, besides,
+   bands at `size` points of the hashes of all its shingles (at 0.8 one pair in
+   thousands shares none). With under ALL_RUNS shingles it has all runs of `rows`
+   neighbours instead, and two such lines always meet: of lines with s common
+   shingles and b others, s >= 4 b, the b others cut the s common ones into b + 1
+   runs at most, so one has four neighbours, or three or two where the sets are as
+   small as FEW says.
 3. Lines in one band are candidates. The first line of the band is compared with
-   all others; that connects most bands. Lines of bands that it does not connect
+   all others; that connects most bands. Of the others of a band that it does not
+   connect all pairs of different components are compared, if it has no more than
+   ALL_PAIRS lines. Lines of larger ones
    meet anew by rare shingles: with the shingles of each line ordered by the number
    of such lines that have them, rarest first, two sets with similarity t share one
    of the first n - ceil(t n) + 1, and its place in both bounds what they can have
@@ -41,14 +47,16 @@ from tidemark.llm.registry import query
 
 WIDTH, SIZE, ROWS, SIMILARITY = 8, 16, 4, 0.8
 BLANK = " \t\r\x0b\x0c"
-#: Lines of fewer characters have all shingles in their bands.
-SHORT = 100
+#: Lines of fewer characters have bands of all shingles; of longer words more than the start is an anchor.
+SHORT, LONG_WORD = 100, 32
+#: Lines with fewer shingles have all runs of neighbours as bands.
+ALL_RUNS = 24
 #: Lines with fewer shingles than this also have runs of this many neighbours (for a similarity of 0.8).
 FEW = {3: 16, 2: 6}
 #: Lines of a group that are compared with all others before all pairs of different components are; no effect on results.
 LEADERS = 3
-#: Parts of the bands that meet one after another, which bounds what their shuffles take on disk; no effect on results.
-TURNS = 2
+#: Unconnected bands of up to so many lines are compared pair by pair, without rare shingles; no effect on results.
+ALL_PAIRS = 16
 MARK = "mark"  # with doc_id it names a document: rows that repeat id and text are one
 
 
@@ -66,9 +74,14 @@ def shingle_set(line: str, width: int):
 
 
 def anchored_hashes(line: str, width: int):
-    """Distinct hashes of the shingles that start a word or lie within a longer one."""
-    anchored = F.regexp_extract_all(line, F.lit(rf"(?=(.{{1,{width}}}))(?:\S(?=\S{{{width}}})|\S{{1,{width}}}\s*)"), F.lit(1))
-    return F.array_distinct(F.transform(anchored, lambda shingle: F.xxhash64(shingle)))
+    """Distinct hashes of the words, each with the start of the next, and of the shingles far inside long words."""
+    def anchors(words):
+        starts = F.transform(words, lambda word, i: F.hash(word, F.substring(F.get(words, i + 1), 1, 3)))
+        rest = F.transform(F.filter(words, lambda word: F.char_length(word) > LONG_WORD),
+                           lambda word: shingle_set(F.substr(word, F.lit(LONG_WORD - width + 1)), width))
+        return F.concat(starts, F.flatten(rest))
+
+    return F.array_distinct(let(F.split(line, " "), anchors))
 
 
 def runs(signature, rows: int):
@@ -77,35 +90,42 @@ def runs(signature, rows: int):
     return F.transform(starts, lambda i: F.xxhash64(F.slice(signature, i, F.lit(rows))))
 
 
-def bands(line: str, width: int, size: int, rows: int):
-    """Distinct hashes of the runs of the signature and, for a short line, of the sorted hashes of all shingles."""
+def at_points(hashes, number: int, rows: int):
+    """For `number` points in the range of 32 bits, hashes of the `rows` sorted `hashes` that follow it, around the end."""
+    points = [-(1 << 31) + (i << 32) // number for i in range(number)]
+    around = F.concat(hashes, F.slice(hashes, 1, rows))
+    # among hashes and points, a point has as many hashes before it as its place less the points before it
+    merged = F.sort_array(F.concat(hashes, F.array(*[F.lit(p) for p in points])))
+    return let(F.struct(around.alias("around"), merged.alias("merged")), lambda x: F.transform(
+        F.array(*[F.lit(p) for p in points]), lambda p, i: F.xxhash64(F.slice(
+            x["around"], (F.array_position(x["merged"], p) - i).cast("int"), F.lit(rows)))))
+
+
+def line_bands(lines: DataFrame, width: int, size: int, rows: int) -> DataFrame:
+    """(id, bands): distinct hashes of the bands of the anchors and, for a short line, of those of all shingles."""
     none = F.array().cast("array<bigint>")
 
     def whole(hashes):
         fewer = [F.when(F.size(hashes) < below, runs(hashes, n)).otherwise(none) for n, below in FEW.items() if n < rows]
-        return F.concat(runs(hashes, rows), *fewer)
+        return F.when(F.size(hashes) < ALL_RUNS, F.concat(runs(hashes, rows), *fewer)).otherwise(at_points(hashes, size, rows))
 
-    def both(anchored):
-        is_short = (F.char_length(line) < SHORT) | (F.size(anchored) < size)
-        short = F.when(is_short, let(F.sort_array(shingle_set(line, width)), whole)).otherwise(none)
-        return F.array_distinct(F.concat(let(F.slice(F.sort_array(anchored), 1, size), lambda x: runs(x, rows)), short))
-
-    return let(anchored_hashes(line, width), both)
+    # a step for each sorted array, so that it is computed once and by generated code
+    is_short = (F.char_length("line") < SHORT) | (F.size("anchors") < size)
+    steps = (lines.select("id", "line", F.sort_array(anchored_hashes("line", width)).alias("anchors"))
+             .select("id", "anchors", F.when(is_short, F.sort_array(shingle_set("line", width))).alias("shingles")))
+    short = F.when(F.col("shingles").isNotNull(), let(F.col("shingles"), whole)).otherwise(none)
+    return steps.select("id", F.array_distinct(F.concat(at_points(F.col("anchors"), size // 2, rows), short)).alias("bands"))
 
 
 def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float) -> DataFrame:
     """(a, b) of line ids whose similarity reaches the threshold; enough of them to connect what all would."""
     scratch = Scratch(lines.sparkSession)
-    banded = scratch.save("line-bands", lines.select("id", F.explode(bands("line", width, size, rows)).alias("band")))
-    members = []
-    for turn in range(TURNS):
-        some = banded.filter(F.pmod("band", F.lit(TURNS)) == turn)
-        # bands with one line only end here; a line has a band once, so it is enough to move the bands and their counts
-        shared = scratch.save("line-shared", some.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band"))
-        members.append(scratch.save(f"line-members-{turn}", some.join(shared, "band")))
-    members = reduce(DataFrame.unionByName, members)
+    # a row for each line, so its id is written once
+    banded = scratch.save("line-bands", line_bands(lines, width, size, rows)).select("id", F.explode("bands").alias("band"))
+    # bands with one line only end here; a line has a band once, so it is enough to move the bands and their counts
+    shared = scratch.save("line-shared", banded.groupBy("band").agg(F.count("*").alias("n"), F.min("id").alias("first")).filter("n > 1"))
+    members = scratch.save("line-members", banded.join(shared.select("band", "first"), "band"))
     scratch.drop("line-bands", "line-shared")
-    firsts = members.groupBy("band").agg(F.min("id").alias("first"))
     sets = scratch.save("line-sets", lines.select("id", "line").join(members.select("id").distinct(), "id")
                         .select("id", shingle_set("line", width).alias("shingles")).withColumn("n", F.size("shingles")))
     n_sets = sets.count()
@@ -117,8 +137,8 @@ def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float)
         sized = scratch.save("line-pairs", pairs.join(sizes.withColumnsRenamed({"id": "a", "n": "na"}), "a")
                              .join(sizes.withColumnsRenamed({"id": "b", "n": "nb"}), "b")
                              .filter(F.least("na", "nb") >= similarity * F.greatest("na", "nb")))
-        # pairs carry their sets, so they go in as many turns as it takes for a turn to carry few more sets than there are
-        turns = max(1, -(-sized.count() // (2 * n_sets + 1)))
+        # pairs carry their sets, so they go in as many turns as it takes for a turn to carry no more of them than there are sets
+        turns = max(1, -(-sized.count() // (n_sets + 1)))
         found = []
         for turn in range(turns):
             some = sized.filter(F.pmod(F.xxhash64("a", "b"), F.lit(turns)) == turn) if turns > 1 else sized
@@ -128,16 +148,24 @@ def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float)
             found.append(scratch.save(f"{name}-{turn}", both.filter(jaccard >= similarity).select(*pairs.columns)))
         return reduce(DataFrame.unionByName, found)
 
-    found = [compare(members.join(firsts, "band").filter("first < id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(),
-                     "line-links-0")]
+    found = [compare(members.filter("first < id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "line-links-0")]
     labels = scratch.save("line-labels", components(found[0], "lines").withColumnRenamed("node", "id"))
-    labelled = scratch.save("line-labelled", members.select("band", "id").join(labels, "id", "left")
-                            .select("band", "id", F.coalesce("component", "id").alias("component")))
-    scratch.drop(*(f"line-members-{turn}" for turn in range(TURNS)), "line-labels")
+    labelled = scratch.save("line-labelled", members.join(labels, "id", "left").select(
+        "band", "first", "id", F.coalesce("component", "id").alias("component")))
+    scratch.drop("line-members", "line-labels")
     mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
-    mixed = scratch.save("line-mixed", mixed.filter("low < high AND n > 2").select("band"))
-    unconnected = scratch.save("line-unconnected", labelled.join(mixed, "band").select("id", "component").distinct())
+    mixed = scratch.save("line-mixed", mixed.filter("low < high AND n > 2").select("band", "n"))
+    # the first line was compared with all others
+    few = labelled.filter("first < id").join(mixed.filter(F.col("n") <= ALL_PAIRS).select("band"), "band").select("band", "id", "component")
+    pairs = (few.select("band", F.col("id").alias("a"), F.col("component").alias("ca"))
+             .join(few.select("band", F.col("id").alias("b"), F.col("component").alias("cb")), "band").filter("a < b AND ca <> cb"))
+    found.append(compare(pairs.select("a", "b").distinct(), "line-links-few"))
+    many = mixed.filter(F.col("n") > ALL_PAIRS).select("band")
+    unconnected = scratch.save("line-unconnected", labelled.join(many, "band").select("id", "component").distinct())
     scratch.drop("line-labelled", "line-mixed")
+    if unconnected.isEmpty():
+        scratch.drop("line-unconnected", "line-sets", "line-pairs")
+        return reduce(DataFrame.unionByName, found)
     groups = scratch.save("line-groups-0", rare_groups(scratch, unconnected, sets, similarity))
     scratch.drop("line-unconnected", "line-shingle-counts")
     for step in range(1, LEADERS + 2):
