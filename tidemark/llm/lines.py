@@ -149,7 +149,7 @@ def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float)
         return reduce(DataFrame.unionByName, found)
 
     found = [compare(members.filter("first < id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "line-links-0")]
-    labels = scratch.save("line-labels", components(found[0], "lines").withColumnRenamed("node", "id"))
+    labels = scratch.save("line-labels", lower_labels(found[0]).toDF("id", "component"))
     labelled = scratch.save("line-labelled", members.join(labels, "id", "left").select(
         "band", "first", "id", F.coalesce("component", "id").alias("component")))
     scratch.drop("line-members", "line-labels")
@@ -195,7 +195,7 @@ def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float)
 def lower_labels(joined: DataFrame) -> DataFrame:
     """(component, moved) from links (a, b) of components: the least label within two stars, so the two belong together.
 
-    Stars become one, longer chains need not: between rounds this only spares
+    Stars become one, longer chains need not: before and between rounds this only spares
     comparisons, and the links are kept for the union-find at the end. It is one
     plan, where a union-find is a dozen of them.
     """
