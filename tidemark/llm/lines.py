@@ -12,6 +12,7 @@ Lines are compared in lower case without white space at their ends, as sets of
    that follow a point (around the end, if need be) are a band: two lines share it
    if none of the first `rows` of what either has there is its own, so at
    similarity t with probability t ** rows, nearly independent of other bands.
+   Of under ALL_RUNS anchors all runs of `rows` neighbours are bands.
    A line of under SHORT characters, or of fewer than `size` anchors, has, besides,
    bands at `size` points of the hashes of all its shingles (at 0.8 one pair in
    thousands shares none). With under ALL_RUNS shingles it has all runs of `rows`
@@ -49,7 +50,7 @@ WIDTH, SIZE, ROWS, SIMILARITY = 8, 16, 4, 0.8
 BLANK = " \t\r\x0b\x0c"
 #: Lines of fewer characters have bands of all shingles; of longer words more than the start is an anchor.
 SHORT, LONG_WORD = 100, 32
-#: Lines with fewer shingles have all runs of neighbours as bands.
+#: Fewer shingles or anchors than this have all runs of neighbours as bands.
 ALL_RUNS = 24
 #: Lines with fewer shingles than this also have runs of this many neighbours (for a similarity of 0.8).
 FEW = {3: 16, 2: 6}
@@ -114,7 +115,9 @@ def line_bands(lines: DataFrame, width: int, size: int, rows: int) -> DataFrame:
     steps = (lines.select("id", "line", F.sort_array(anchored_hashes("line", width)).alias("anchors"))
              .select("id", "anchors", F.when(is_short, F.sort_array(shingle_set("line", width))).alias("shingles")))
     short = F.when(F.col("shingles").isNotNull(), let(F.col("shingles"), whole)).otherwise(none)
-    return steps.select("id", F.array_distinct(F.concat(at_points(F.col("anchors"), size // 2, rows), short)).alias("bands"))
+    # eight points on few anchors would miss more pairs than all runs
+    anchored = F.when(F.size("anchors") < ALL_RUNS, runs(F.col("anchors"), rows)).otherwise(at_points(F.col("anchors"), size // 2, rows))
+    return steps.select("id", F.array_distinct(F.concat(anchored, short)).alias("bands"))
 
 
 def links(lines: DataFrame, width: int, size: int, rows: int, similarity: float) -> DataFrame:
