@@ -447,3 +447,80 @@ def test_a_large_trie_keeps_the_copies_of_a_key_bounded(spark, monkeypatch, bits
         parent[root(a)] = root(b)
     pairs = [(i, j) for i in range(len(found)) for j in range(i) if (found[i] ^ found[j]).bit_count() <= budget]
     assert len(pairs) > 200 and all(root(i) == root(j) for i, j in pairs)
+
+
+@pytest.mark.parametrize("depth, cross, exact, budget, bits", [(0, False, 0, 4, 32), (2, True, 0, 4, 32), (1, False, 6, 4, 32), (6, False, 6, 3, 32),
+                                                               (0, False, 0, 3, 64), (1, True, 0, 2, 12), (9, True, 0, 3, 9)])
+@pytest.mark.parametrize("every", [False, True])
+def test_traversal_finds_every_pair_within_the_budget(depth, cross, exact, budget, bits, every):
+    rng = np.random.default_rng(11)
+    n, low = 600, (1 << (bits - depth)) - 1
+    keys = rng.integers(0, 2**63, n, dtype=np.int64).astype(np.uint64) << np.uint64(1)
+    for at in range(1, 5):  # near ones, some over the budget
+        keys[at * 120:(at + 1) * 120] = keys[:120] ^ np.bitwise_or.reduce(
+            np.uint64(1) << rng.integers(64 - bits, 64, (at, 120)).astype(np.uint64), axis=0)
+    keys &= np.uint64(low << (64 - bits))
+    if cross:
+        keys |= rng.integers(0, 2, n).astype(np.uint64) << np.uint64(64 - depth)
+    full, labels = rng.integers(0, 2**63, (n, 2), dtype=np.int64).astype(np.uint64), rng.integers(0, 200, n)
+    order = np.argsort(keys, kind="stable")
+    keys, full, labels = keys[order], full[order], labels[order]
+    split = int(np.searchsorted(keys >> np.uint64(64 - depth), np.uint64(1))) if cross else 0
+    limit = 62
+    differ = keys[:, None] ^ keys[None, :]
+    near = (np.bitwise_count(differ) <= budget) & (np.bitwise_count(full[:, None] ^ full[None, :]).sum(axis=2) <= limit) & np.triu(np.ones((n, n), bool), 1)
+    if cross:  # pairs inside one subtree are other tasks' work
+        near &= (np.arange(n) < split)[:, None] & (np.arange(n) >= split)[None, :]
+    asked = near & (differ >> np.uint64(64 - exact) == 0) if exact else near
+    got = {tuple(sorted(map(int, pair))) for pair in traverse(keys, split, budget, depth, bits, full, limit, labels if every else None, every, exact)}
+    assert got <= set(zip(*np.nonzero(near))) and asked.sum() > 30
+    if every:
+        assert got >= {(int(a), int(b)) for a, b in zip(*np.nonzero(asked)) if labels[a] != labels[b]}
+    else:
+        union, want = Union(range(n)), Union(range(n))
+        for a, b in got:
+            union.join(a, b)
+        for a, b in zip(*np.nonzero(asked)):
+            want.join(int(a), int(b))
+        assert all(union.find(int(a)) == union.find(int(b)) for a, b in zip(*np.nonzero(asked)))
+
+
+def test_few_keys_are_compared_that_are_not_near(monkeypatch):
+    # one descent with the whole budget compared over 2,500 keys for each key here, and the more the more keys there are
+    compared, compare = [], simhash.compare
+
+    def counted(keys, alo, ahi, blo, bhi, *more):
+        compared.append(int(((ahi - alo) * (bhi - blo)).sum()))
+        return compare(keys, alo, ahi, blo, bhi, *more)
+
+    monkeypatch.setattr(simhash, "compare", counted)
+    rng = np.random.default_rng(12)
+    n, bits = 16_000, 26
+    keys = np.sort(rng.integers(0, 1 << bits, n, dtype=np.int64).astype(np.uint64) << np.uint64(64 - bits))
+    links = traverse(keys, 0, 4, 0, bits)
+    assert sum(compared) <= 500 * n, sum(compared) / n
+    some = rng.integers(0, n, 200)
+    parent = list(range(n))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        parent[root(int(a))] = root(int(b))
+    for i in some.tolist():
+        for j in np.flatnonzero(np.bitwise_count(keys ^ keys[i]) <= 4).tolist():
+            assert root(i) == root(j)
+
+
+def test_fingerprints_of_several_seeds_and_many_shingles():
+    rng = random.Random(13)
+    for n in (0, 1, 2, 254, 255, 256, 700):
+        parts = [rng.randbytes(rng.randrange(40)) for _ in range(n)]
+        want = []
+        for seed in (42, 43, 7):
+            hashes = [xxhash.xxh64_intdigest(p, seed) for p in parts]
+            bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > n)
+            want.append(bits - (1 << 64) if bits >> 63 else bits)
+        assert simhash.fingerprint(parts, (42, 43, 7)) == want

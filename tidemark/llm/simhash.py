@@ -6,7 +6,9 @@ paths differ are added up, and a pair over the budget is pruned with everything
 below. Spark does the upper levels as joins between the nodes of a level, until
 both nodes of a pair together hold few enough fingerprints for one task; each
 such pair of subtrees is then traversed in one task, in numpy, level by level
-over all live node pairs at once.
+over all live node pairs at once. There the bits are turned once: two fingerprints
+within the budget keep to half of it in the front part of the bits, or to less
+than the other half in the back part, so each turn prunes by half a budget.
 
 Every level that the joins go down multiplies the pairs that a node is in, up to
 all nodes within the budget. So a large trie is joined in `budget` + 1 turns, each
@@ -23,10 +25,10 @@ subtree pair whose fingerprints are all connected already is pruned as well.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, repeat
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +42,8 @@ SEED = 42
 STEP = 2
 #: Fingerprints in the two subtrees that one task traverses.
 TASK_KEYS = 32_768
-#: Products of sizes up to which two nodes are compared leaf by leaf, and comparisons or node pairs at once.
-LEAF, CHUNK = 256, 1 << 19
+#: Products of sizes up to which two nodes are compared leaf by leaf, and comparisons or node pairs at once (that fit in a cache).
+LEAF, CHUNK = 256, 1 << 16
 
 
 def shingles(text: bytes | None, width: int) -> list[bytes]:
@@ -57,15 +59,14 @@ def fingerprint(parts: list[bytes], seeds: tuple[int, ...] = (SEED,)) -> list[in
     """64 bits for each seed: a bit is set if it is set in over half the hashes of the shingles."""
     import xxhash
 
-    out = []
-    for seed in seeds:
-        votes = np.zeros(64, dtype=np.int64)
-        for at in range(0, len(parts), 1 << 14):
-            some = parts[at:at + (1 << 14)]
-            hashes = np.fromiter((xxhash.xxh64_intdigest(s, seed) for s in some), np.uint64, len(some))
-            votes += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out.append(int(np.packbits(2 * votes > len(parts), bitorder="little").view(np.int64)[0]))
-    return out
+    votes = np.zeros(len(seeds) * 64, dtype=np.int64)
+    for at in range(0, len(parts), 255):  # as many as a byte can count
+        some = parts[at:at + 255]
+        digests = b"".join(chain.from_iterable(map(xxhash.xxh64_digest, some, repeat(seed)) for seed in seeds))
+        # a row for each shingle
+        hashes = np.ascontiguousarray(np.frombuffer(digests, np.uint64).reshape(len(seeds), -1).T)
+        votes += np.unpackbits(hashes.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * votes > len(parts)).view(">i8").tolist()
 
 
 def fingerprints(docs: DataFrame, id_columns: list[str], width: int, seeds: tuple[int, ...] = (SEED,),
@@ -88,7 +89,7 @@ def fingerprints(docs: DataFrame, id_columns: list[str], width: int, seeds: tupl
 # --- traversal of two subtrees in one task ---------------------------------------------------------------------------
 
 class Forest:
-    """Union-find over positions that remembers the links it needed."""
+    """Union-find over positions."""
 
     def __init__(self, n: int, labels: np.ndarray | None = None):
         parent = np.arange(n)
@@ -96,8 +97,11 @@ class Forest:
             _, first, which = np.unique(labels, return_index=True, return_inverse=True)
             parent = first[which]
         self.parent = parent.tolist()
+        self._settle(parent)
+
+    def _settle(self, parent: np.ndarray) -> None:
         self.component = parent
-        self.links: list[tuple[int, int]] = []
+        self.connects = bool((parent != np.arange(len(parent))).any())
         self.uniform = np.concatenate([[0], np.cumsum(parent[1:] != parent[:-1])])
 
     def find(self, i: int) -> int:
@@ -106,23 +110,25 @@ class Forest:
             parent[i] = i = parent[parent[i]]
         return i
 
-    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+    def add(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The links that were needed of those between a and b."""
         open_ = self.component[a] != self.component[b]
-        before = len(self.links)
-        for i, j in zip(a[open_].tolist(), b[open_].tolist(), strict=True):
+        a, b = a[open_], b[open_]
+        needed = np.zeros(len(a), dtype=bool)
+        for at, (i, j) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
             x, y = self.find(i), self.find(j)
             if x != y:
                 self.parent[max(x, y)] = min(x, y)
-                self.links.append((i, j))
-        if len(self.links) > before:
+                needed[at] = True
+        if needed.any():
             parent = np.asarray(self.parent)
             while True:
                 up = parent[parent]
                 if np.array_equal(up, parent):
                     break
                 parent = up
-            self.component = parent
-            self.uniform = np.concatenate([[0], np.cumsum(parent[1:] != parent[:-1])])
+            self._settle(parent)
+        return a[needed], b[needed]
 
     def joined(self, alo, ahi, blo, bhi) -> np.ndarray:
         """Are all fingerprints of both ranges in one component?"""
@@ -133,11 +139,11 @@ class Forest:
 def ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
     """lo[0], lo[0] + 1, … n[0] values, then those of the next range."""
     ends = np.cumsum(n)
-    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n - lo, n)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(lo - ends + n, n)
 
 
-def compare(keys, alo, ahi, blo, bhi, budget, full, limit, forest, every=False) -> None:
-    """Compare the leaves of node pairs one by one."""
+def compare(keys, alo, ahi, blo, bhi, budget, forest, accept) -> None:
+    """Compare the leaves of node pairs one by one; pairs within the budget go to `accept`."""
     work = np.cumsum((ahi - alo) * (bhi - blo))
     at = 0
     while at < len(alo):
@@ -145,76 +151,152 @@ def compare(keys, alo, ahi, blo, bhi, budget, full, limit, forest, every=False)
         a0, a1, b0, b1 = alo[at:past], ahi[at:past], blo[at:past], bhi[at:past]
         at = past
         # rows of a pair one after the other: a node pair may itself be large where keys repeat
-        row = ranges(a0, a1 - a0)
-        left, right = np.repeat(b0, a1 - a0), np.repeat(b1, a1 - a0)
-        sums = np.cumsum(right - left)
+        row, left, width = ranges(a0, a1 - a0), np.repeat(b0, a1 - a0), np.repeat(b1 - b0, a1 - a0)
+        sums = np.cumsum(width)
         begin = 0
         while begin < len(row):
             end = max(begin + 1, int(np.searchsorted(sums, (sums[begin - 1] if begin else 0) + CHUNK, "right")))
-            i = np.repeat(row[begin:end], (right - left)[begin:end])
-            j = ranges(left[begin:end], (right - left)[begin:end])
-            near = (i < j) & (np.bitwise_count(keys[i] ^ keys[j]) <= budget)
-            i, j = i[near], j[near]
-            if full is not None and len(i):
-                open_ = forest.component[i] != forest.component[j]
-                i, j = i[open_], j[open_]
-                near = np.bitwise_count(full[i] ^ full[j]).sum(axis=1) <= limit
-                i, j = i[near], j[near]
-            if every:
-                forest.links += zip(i.tolist(), j.tolist())
-            else:
-                forest.add(i, j)
+            some, n = row[begin:end], width[begin:end]
+            j = ranges(left[begin:end], n)
+            # few are near, so the row of a comparison is looked up for these only
+            near = np.flatnonzero(np.bitwise_count(np.repeat(keys[some], n) ^ keys[j]) <= budget)
+            i, j = some[np.searchsorted(sums[begin:end] - (sums[begin - 1] if begin else 0), near, "right")], j[near]
+            ahead = i < j
+            accept(forest, i[ahead], j[ahead])
             begin = end
 
 
+class Trie:
+    """The nodes of sorted keys of `bits` bits, level by level; node pairs are pairs of their numbers in a level.
+
+    Of the keys of two subtrees (`split`) only what is below their roots is used.
+    """
+
+    def __init__(self, keys: np.ndarray, split: int, bits: int):
+        self.keys, self.bits, self.levels = keys, bits, {}
+        differ = (keys[1:] ^ keys[:-1]).astype(np.uint64)
+        high = (differ >> np.uint64(32)).astype(np.float64)
+        low = (differ & np.uint64(0xFFFFFFFF)).astype(np.float64)
+        # bits that a key has in common with the one before it
+        self.common = bits - np.where(high > 0, 32 + np.frexp(high)[1], np.frexp(low)[1])
+        if split:
+            self.common[split - 1] = -1
+
+    def starts(self, level: int) -> np.ndarray:
+        """Where the nodes of a level begin, and the end of the last one."""
+        if level not in self.levels:
+            self.levels[level] = np.concatenate([[0], 1 + np.flatnonzero(self.common < level), [len(self.keys)]])
+        return self.levels[level]
+
+    def children(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the lower and the upper child of each node, -1 where there is none."""
+        if (level, "children") not in self.levels:
+            above, below = self.starts(level), self.starts(level + 1)
+            first = np.searchsorted(below, above)
+            both = np.diff(first) > 1
+            first = first[:-1]
+            upper = (self.keys[above[:-1]] >> self.keys.dtype.type(self.bits - level - 1)) & self.keys.dtype.type(1) != 0
+            self.levels[level, "children"] = np.where(upper, -1, first), np.where(upper | both, first + both, -1)
+        return self.levels[level, "children"]
+
+
+def descend(trie: Trie, own: bool, allowed: list[int], budget: int, forest: Forest, accept) -> None:
+    """Compare the leaves of all node pairs that differ in `allowed[d]` bits at most after d bits, for each d."""
+    stack = [(0, np.array([0]), np.array([0 if own else 1]), np.array([0], dtype=np.int8))]
+    while stack:
+        d, a, b, differ = stack.pop()
+        if len(a) > CHUNK:
+            half = len(a) // 2
+            stack.append((d, a[half:], b[half:], differ[half:]))
+            a, b, differ = a[:half], b[:half], differ[:half]
+        at = trie.starts(d)
+        alo, ahi, blo, bhi = at[a], at[a + 1], at[b], at[b + 1]
+        go = (ahi - alo) * (bhi - blo) > 1 if own else np.ones(len(a), dtype=bool)
+        if own:  # a single key with itself is no pair
+            go |= a != b
+        if forest.connects:
+            go &= ~forest.joined(alo, ahi, blo, bhi)
+        small = ((ahi - alo) * (bhi - blo) <= LEAF) | (d >= trie.bits)
+        now = go & small
+        if now.any():
+            compare(trie.keys, alo[now], ahi[now], blo[now], bhi[now], budget, forest, accept)
+        go &= ~small
+        a, b, differ = a[go], b[go], differ[go]
+        if not len(a):
+            continue
+        lower, upper = trie.children(d)
+        la, ua, lb, ub = lower[a], upper[a], lower[b], upper[b]
+        more = differ < allowed[d + 1]
+        parts = [(la, lb, differ, True), (ua, ub, differ, True), (la, ub, differ + 1, more), (ua, lb, differ + 1, more & (a != b))]
+        kept = [(x >= 0) & (y >= 0) & may for x, y, _, may in parts]
+        stack.append((d + 1, *(np.concatenate([p[k][keep] for p, keep in zip(parts, kept)]) for k in range(3))))
+
+
 def traverse(keys: np.ndarray, split: int, budget: int, depth: int, bits: int, full: np.ndarray | None = None,
-             limit: int = 0, labels: np.ndarray | None = None, every: bool = False) -> list[tuple[int, int]]:
-    """Links of a spanning forest between keys at most `budget` bits apart (and `full` rows at most `limit`).
+             limit: int = 0, labels: np.ndarray | None = None, every: bool = False, exact: int = 0) -> np.ndarray:
+    """Links, as rows of two positions, of a spanning forest between keys at most `budget` bits apart (and `full` rows at most `limit`).
 
     `keys` are the sorted keys of subtree u, then (from `split`) those of subtree
     v; without v (split = 0 or the end) pairs inside u are looked for. Keys of one
     label are connected from the start; with `every` (and `full`) all links
-    between different labels are given instead of a forest.
+    between different labels are given instead of a forest. Pairs that differ in
+    the first `exact` bits need not be given.
+
+    The bits that are left go through the trie twice: with their first part in
+    front, in which up to half of the budget may differ, and turned, with the
+    other part in front and what is then left of the budget less one. A pair that
+    is over both would be over the budget. So few node pairs live where nodes are
+    many, and most keys that are compared are near.
     """
     n = len(keys)
-    forest = Forest(n, labels)
     own = split in (0, n)
-    pairs = (0, n, 0, n) if own else (0, split, split, n)
-    stack = [(depth, *(np.array([x]) for x in pairs))]
-    while stack:
-        d, alo, ahi, blo, bhi = stack.pop()
-        if len(alo) > CHUNK:
-            half = len(alo) // 2
-            stack.append((d, alo[half:], ahi[half:], blo[half:], bhi[half:]))
-            alo, ahi, blo, bhi = alo[:half], ahi[:half], blo[:half], bhi[:half]
-        live = ~forest.joined(alo, ahi, blo, bhi)
-        alo, ahi, blo, bhi = alo[live], ahi[live], blo[live], bhi[live]
-        small = ((ahi - alo) * (bhi - blo) <= LEAF) | (d >= bits)
-        if small.any():
-            compare(keys, alo[small], ahi[small], blo[small], bhi[small], budget, full, limit, forest, every)
-            alo, ahi, blo, bhi = alo[~small], ahi[~small], blo[~small], bhi[~small]
-        if not len(alo):
-            continue
-        bit = np.uint64(1 << (63 - d))
-        above = np.uint64(((1 << d) - 1) << (64 - d))
-        amid = cut(keys, alo, ahi, above, bit, 0, n if own else split)
-        bmid = cut(keys, blo, bhi, above, bit, 0 if own else split, n)
-        same = (alo == blo) & (ahi == bhi)
-        parts = [(alo, amid, blo, bmid), (amid, ahi, bmid, bhi), (alo, amid, bmid, bhi),
-                 tuple(x[~same] for x in (amid, ahi, blo, bmid))]
-        a0, a1, b0, b1 = (np.concatenate(x) for x in zip(*parts))
-        kept = (a1 > a0) & (b1 > b0)
-        a0, a1, b0, b1 = a0[kept], a1[kept], b0[kept], b1[kept]
-        # differing bits so far, from any key of each node
-        path = np.uint64(((1 << (d + 1)) - 1) << (63 - d))
-        kept = np.bitwise_count((keys[a0] ^ keys[b0]) & path) <= budget
-        stack.append((d + 1, a0[kept], a1[kept], b0[kept], b1[kept]))
-    return forest.links
-
-
-def cut(keys, lo, hi, above, bit, first, past) -> np.ndarray:
-    """Where the upper child of each node begins."""
-    return first + np.searchsorted(keys[first:past], (keys[lo] & above) | bit)
+    same = max(0, exact - depth)
+    rest = bits - depth
+    spent = 0 if own else int(np.bitwise_count((keys[0] ^ keys[split]) >> np.uint64(64 - depth)))
+    left = budget - spent
+    if n < 2 or left < 0:
+        return np.empty((0, 2), dtype=np.int64)
+    word = np.uint32 if rest <= 32 else np.uint64
+    below = (keys << np.uint64(depth)) >> np.uint64(64 - rest) if rest else np.zeros(n, dtype=np.uint64)
+    turning = rest - same
+    first, second = left // 2, left - 1 - left // 2
+    front = turning // 2 + (first > second)
+    if second < 0 or n < 3 or front >= turning:
+        first, front = left, 0  # one turn is enough
+    found = []
+
+    def accept(order, beyond):
+        def take(forest, i, j):
+            if beyond is not None and len(i):
+                # the first turn has found these
+                new = np.bitwise_count((below[order[i]] ^ below[order[j]]) >> np.uint64(turning - front)) > beyond
+                i, j = i[new], j[new]
+            if full is not None and len(i):
+                open_ = forest.component[i] != forest.component[j]
+                i, j = i[open_], j[open_]
+                x, y = order[i], order[j]
+                near = np.bitwise_count(full[x] ^ full[y]).sum(axis=1) <= limit
+                i, j = i[near], j[near]
+            if not every:
+                i, j = forest.add(i, j)
+            found.append(np.stack([order[i], order[j]], axis=1))
+        return take
+
+    def allowed(part, at_first):
+        return [0] * (same + 1) + [at_first] * part + [left] * (turning - part)
+
+    forest = Forest(n, labels)
+    order = np.arange(n)
+    descend(Trie(below.astype(word), 0 if own else split, rest), own, allowed(front, first), left, forest, accept(order, None))
+    if front:
+        low = np.uint64((1 << turning) - 1)
+        inner = below & low
+        turned_ = (below & ~low) | ((inner << np.uint64(front)) & low) | (inner >> np.uint64(turning - front))
+        order = np.lexsort((turned_, np.zeros(n, dtype=bool) if own else np.arange(n) >= split))
+        forest = Forest(n, forest.component[order])
+        descend(Trie(turned_[order].astype(word), 0 if own else split, rest), own, allowed(turning - front, second), left, forest,
+                accept(order, first))
+    return np.concatenate(found) if found else np.empty((0, 2), dtype=np.int64)
 
 
 # --- upper levels as joins -------------------------------------------------------------------------------------------
@@ -296,19 +378,22 @@ def trie_links(keys: DataFrame, budget: int, bits: int = 64, limit: int | None =
     if not sides:
         return keys.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
 
-    def task(rows: pd.DataFrame) -> pd.DataFrame:
-        at, u, v = int(rows["level"].iloc[0]), rows["u"].iloc[0], rows["v"].iloc[0]
-        key = rows["key"].to_numpy().astype(np.uint64)
-        order = np.lexsort((rows["node"].to_numpy(), key))
-        rows, key = rows.iloc[order], key[order]
+    def task(rows: pa.Table) -> pa.Table:
+        at, u, v = (rows[c][0].as_py() for c in ("level", "u", "v"))
+        key, node = (rows[c].to_numpy() for c in ("key", "node"))
+        key = key.astype(np.uint64)
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
         split = 0 if u == v else int(np.searchsorted(key >> np.uint64(64 - at), np.uint64(v)))
-        full = None if limit is None else np.array(rows["prints"].tolist(), dtype=np.int64).astype(np.uint64)
-        node = rows["node"].to_numpy()
-        links = traverse(key, split, budget, at, bits, full, limit or 0, rows["label"].to_numpy() if every else None, every)
-        pairs = np.array(links, dtype=np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": node[pairs[:, 0]], "b": node[pairs[:, 1]]})
-
-    return _union(sides).groupBy("tree", "level", "u", "v").applyInPandas(task, "a long, b long")
+        full = labels = None
+        if limit is not None:
+            full = rows["prints"].combine_chunks().flatten().to_numpy().reshape(len(key), -1).astype(np.uint64)[order]
+        if every:
+            labels = rows["label"].to_numpy()[order]
+        pairs = node[traverse(key, split, budget, at, bits, full, limit or 0, labels, every, exact)]
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return _union(sides).groupBy("tree", "level", "u", "v").applyInArrow(task, "a long, b long")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
