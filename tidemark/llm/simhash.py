@@ -89,50 +89,48 @@ def fingerprints(docs: DataFrame, id_columns: list[str], width: int, seeds: tupl
 # --- traversal of two subtrees in one task ---------------------------------------------------------------------------
 
 class Forest:
-    """Union-find over positions."""
+    """Union-find over positions; `component` is one of the positions of each one's component."""
 
     def __init__(self, n: int, labels: np.ndarray | None = None):
-        parent = np.arange(n)
+        self.top = np.arange(n)
+        self.component, self.uniform = self.top.copy(), None
         if labels is not None and n:  # positions of one label are connected from the start
             _, first, which = np.unique(labels, return_index=True, return_inverse=True)
-            parent = first[which]
-        self.parent = parent.tolist()
-        self._settle(parent)
-
-    def _settle(self, parent: np.ndarray) -> None:
-        self.component = parent
-        self.connects = bool((parent != np.arange(len(parent))).any())
-        self.uniform = np.concatenate([[0], np.cumsum(parent[1:] != parent[:-1])])
-
-    def find(self, i: int) -> int:
-        parent = self.parent
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
+            self.component = first[which]
+        self.connects = bool((self.component != self.top).any())
 
     def add(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The links that were needed of those between a and b."""
         open_ = self.component[a] != self.component[b]
         a, b = a[open_], b[open_]
-        needed = np.zeros(len(a), dtype=bool)
-        for at, (i, j) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
-            x, y = self.find(i), self.find(j)
+        needed, up = np.zeros(len(a), dtype=bool), {}
+
+        def find(x: int) -> int:
+            while x in up:
+                above = up[x]
+                if above in up:
+                    up[x] = up[above]
+                x = above
+            return x
+
+        for at, (x, y) in enumerate(zip(self.component[a].tolist(), self.component[b].tolist(), strict=True)):
+            x, y = find(x), find(y)
             if x != y:
-                self.parent[max(x, y)] = min(x, y)
+                up[max(x, y)] = min(x, y)
                 needed[at] = True
-        if needed.any():
-            parent = np.asarray(self.parent)
-            while True:
-                up = parent[parent]
-                if np.array_equal(up, parent):
-                    break
-                parent = up
-            self._settle(parent)
+        if up:
+            # a component that has gone into another one does not come again
+            gone = list(up)
+            self.top[gone] = [find(x) for x in gone]
+            self.component, self.uniform, self.connects = self.top[self.component], None, True
         return a[needed], b[needed]
 
     def joined(self, alo, ahi, blo, bhi) -> np.ndarray:
         """Are all fingerprints of both ranges in one component?"""
-        u, c = self.uniform, self.component
+        c = self.component
+        if self.uniform is None:
+            self.uniform = np.concatenate([[0], np.cumsum(c[1:] != c[:-1])])
+        u = self.uniform
         return (u[alo] == u[ahi - 1]) & (u[blo] == u[bhi - 1]) & (c[alo] == c[blo])
 
 
